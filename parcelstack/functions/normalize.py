@@ -62,13 +62,17 @@ def pid_padded(c) -> Column:
 
 
 # ---------------------------------------------------------------- addresses
+_SUFFIX_CUT = "^(.*?) (" + "|".join(K.STREET_SUFFIX) + ") "
+
+
 def street_key(c) -> Column:
     """Address key struct(num, name) from a free-form street address.
 
     Steps: upper; drop ', <city>, NC <zip>' tail; drop trailing ZIP; drop
     unit designators (no word boundary, on purpose); take the leading house
-    number; the rest becomes alphanumeric tokens cut after the first known
-    suffix, which is replaced by its canonical form.
+    number; the rest becomes single-spaced alphanumeric tokens cut after the
+    first known suffix word, which is replaced by its canonical form. All
+    regex and map lookups: stays inside generated code.
     """
     s = F.upper(F.coalesce(col_(c).cast("string"), F.lit("")))
     s = F.regexp_replace(s, r",\s*\w[\w\s]*,?\s*NC[\s,0-9-]*$", "")
@@ -76,12 +80,12 @@ def street_key(c) -> Column:
     s = F.regexp_replace(s, r"\s+(UNIT|APT|STE|SUITE|#)\s*\S+", "")
     num = F.regexp_extract(s, r"^\s*(\d+)", 1)
     rest = F.regexp_replace(F.regexp_replace(s, r"^\s*\d+", ""), "[^A-Z0-9 ]", " ")
-    toks = F.filter(F.split(rest, " "), lambda t: t != "")
-    suffix = _lit_map(K.STREET_SUFFIX)
-    pos = F.array_position(F.transform(toks, lambda t: F.map_contains_key(suffix, t)), True)
-    cut = F.concat(F.slice(toks, 1, F.greatest(pos - 1, F.lit(0)).cast("int")),
-                   F.array(_at(suffix, _at(toks, F.greatest(pos, F.lit(1)).cast("int")))))
-    name = F.array_join(F.when(pos > 0, cut).otherwise(toks), " ")
+    t = F.trim(F.regexp_replace(rest, " +", " "))
+    padded = F.concat(F.lit(" "), t, F.lit(" "))
+    sfx = F.regexp_extract(padded, _SUFFIX_CUT, 2)
+    pre = F.trim(F.regexp_extract(padded, _SUFFIX_CUT, 1))
+    canon = F.element_at(_lit_map(K.STREET_SUFFIX), sfx)
+    name = F.when(sfx == "", t).otherwise(F.trim(F.concat(pre, F.lit(" "), canon)))
     return F.struct(num.alias("num"), F.when(num != "", name).otherwise(F.lit("")).alias("name"))
 
 
@@ -92,16 +96,22 @@ def is_absentee(site, mail) -> Column:
 
 
 # ---------------------------------------------------------------- owner names
+# Single-word noise tokens. Multi-word entries ('L L C', 'ET AL', ...) can
+# never equal one token, so they never apply and are left out of the regex.
+_NOISE_RE = " (?:" + "|".join(t for t in K.NAME_NOISE if " " not in t) + ")(?= )"
+
+
 def normalize_owner(c) -> Column:
     """Upper, non-alphanumerics to spaces, drop noise tokens, single-space join."""
     up = F.regexp_replace(F.upper(F.coalesce(col_(c).cast("string"), F.lit(""))), "[^A-Z0-9 ]", " ")
-    noise = _lit_array(K.NAME_NOISE)
-    toks = F.filter(F.split(up, " "), lambda t: (t != "") & ~F.array_contains(noise, t))
-    return F.array_join(toks, " ")
+    padded = F.concat(F.lit(" "), F.regexp_replace(up, " +", " "), F.lit(" "))
+    kept = F.regexp_replace(padded, _NOISE_RE, "")
+    return F.trim(F.regexp_replace(kept, " +", " "))
 
 
 def _toks(norm) -> Column:
-    return F.filter(F.split(col_(norm), " "), lambda t: t != "")
+    n = col_(norm)
+    return F.when(n == "", F.array().cast("array<string>")).otherwise(F.split(n, " "))
 
 
 def owner_keys(norm) -> Column:
@@ -117,13 +127,13 @@ def owner_keys(norm) -> Column:
     ab = (n >= 2) & (F.length(a) + F.length(b) >= 8)
     three = n >= 3
     ac = three & (F.length(a) + F.length(c) >= 8)
-    keys = F.array(
-        F.when(ab, F.concat_ws(" ", a, b)), F.when(ab, F.concat_ws(" ", b, a)),
-        F.when(three, F.concat_ws(" ", a, b, c)), F.when(three, F.concat_ws(" ", c, b, a)),
-        F.when(three, F.concat_ws(" ", c, a, b)),
-        F.when(ac, F.concat_ws(" ", a, c)), F.when(ac, F.concat_ws(" ", c, a)),
+    none = F.array().cast("array<string>")
+    return F.concat(
+        F.when(ab, F.array(F.concat_ws(" ", a, b), F.concat_ws(" ", b, a))).otherwise(none),
+        F.when(three, F.array(F.concat_ws(" ", a, b, c), F.concat_ws(" ", c, b, a),
+                              F.concat_ws(" ", c, a, b))).otherwise(none),
+        F.when(ac, F.array(F.concat_ws(" ", a, c), F.concat_ws(" ", c, a))).otherwise(none),
     )
-    return F.filter(keys, lambda k: k.isNotNull() & (F.length(k) >= 4))
 
 
 def decedent_keys(norm) -> Column:
@@ -139,12 +149,12 @@ def decedent_keys(norm) -> Column:
     last = _at(t, -1)
     three = n >= 3
     two_ok = (n >= 2) & (F.length(last) >= 5) & ~F.array_contains(_lit_array(K.COMMON_SURNAMES), last)
-    keys = F.array(
-        F.when(three, F.concat_ws(" ", p0, p1, p2)), F.when(three, F.concat_ws(" ", p2, p1, p0)),
-        F.when(three, F.concat_ws(" ", last, p0, p1)),
-        F.when(two_ok, F.concat_ws(" ", p0, last)), F.when(two_ok, F.concat_ws(" ", last, p0)),
-    )
-    return F.array_distinct(F.filter(keys, lambda k: k.isNotNull()))
+    none = F.array().cast("array<string>")
+    return F.array_distinct(F.concat(
+        F.when(three, F.array(F.concat_ws(" ", p0, p1, p2), F.concat_ws(" ", p2, p1, p0),
+                              F.concat_ws(" ", last, p0, p1))).otherwise(none),
+        F.when(two_ok, F.array(F.concat_ws(" ", p0, last), F.concat_ws(" ", last, p0))).otherwise(none),
+    ))
 
 
 # ---------------------------------------------------------------- classifiers
@@ -182,14 +192,15 @@ def parse_owner_name(first, last) -> Column:
     full = F.regexp_replace(F.concat(ff, F.lit(" "), lf), r"^\s+|\s+$", "")
     ent = is_entity(full)
     sfx = _lit_array(K.NAME_SUFFIXES)
-    parts = F.filter(F.split(ff, r"\s+"), lambda t: t != "")
+    none = F.array().cast("array<string>")
+    parts = F.when(ff == "", none).otherwise(F.split(ff, r"\s+"))
     p_last = F.upper(F.regexp_replace(_at(parts, -1), r"\.+$", ""))
     has_sfx1 = (F.size(parts) > 0) & F.coalesce(F.array_contains(sfx, p_last), F.lit(False))
     sfx1 = F.when(has_sfx1, p_last).otherwise(F.lit(""))
     rest = F.when(has_sfx1, F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))).otherwise(parts)
     first_name = F.coalesce(_at(rest, 1), F.lit(""))
     middle = F.when(F.size(rest) > 1, F.array_join(F.slice(rest, 2, F.size(rest)), " ")).otherwise(F.lit(""))
-    ltoks = F.filter(F.split(lf, r"\s+"), lambda t: t != "")
+    ltoks = F.when(lf == "", none).otherwise(F.split(lf, r"\s+"))
     l_last = F.upper(F.regexp_replace(_at(ltoks, -1), r"\.+$", ""))
     has_sfx2 = (F.size(ltoks) > 0) & F.coalesce(F.array_contains(sfx, l_last), F.lit(False))
     pop2 = has_sfx2 & ~has_sfx1
@@ -237,17 +248,36 @@ def notice_pattern(summary, case) -> Column:
             .otherwise("jfc"))
 
 
-def canonical_doctype(c) -> Column:
-    """Exact lookup of the lower-cased, stripped text; else the first code key
-    (in table order) contained in it; else the text with spaces -> '_'."""
-    key = F.lower(clean(c))
-    exact = _at(_lit_map(dict(K.DOCTYPE_CODES)), key)
+def doctype_key(c) -> Column:
+    return F.lower(clean(c))
+
+
+def doctype_from_key(key) -> Column:
+    """Code from a precomputed `doctype_key`: exact lookup; else the first code
+    key (in table order) contained in it; else the key with spaces -> '_'."""
+    key = col_(key)
     chain = None
     for k, v in K.DOCTYPE_CODES:
-        chain = (F.when(key.contains(k), v) if chain is None else chain.when(key.contains(k), v))
+        chain = F.when(key.contains(k), v) if chain is None else chain.when(key.contains(k), v)
     chain = chain.otherwise(F.regexp_replace(key, " ", "_"))
+    return F.coalesce(F.element_at(_lit_map(dict(K.DOCTYPE_CODES)), key), chain)
+
+
+def canonical_doctype(c) -> Column:
+    """Canonical instrument code of a free-text type (one expression).
+
+    For large inputs prefer `with_doctype_code`, which computes the key once
+    in its own projection instead of inside every CASE branch."""
     raw = F.coalesce(col_(c).cast("string"), F.lit(""))
-    return F.when(raw == "", F.lit("")).otherwise(F.coalesce(exact, chain))
+    return F.when(raw == "", F.lit("")).otherwise(doctype_from_key(doctype_key(c)))
+
+
+def with_doctype_code(df, src: str = "doc_type", out: str = "doc_type_code"):
+    """Add the canonical code column: key projected once, then the lookup."""
+    raw = F.coalesce(F.col(src).cast("string"), F.lit(""))
+    return (df.withColumn("_dt_key", doctype_key(src))
+              .withColumn(out, F.when(raw == "", F.lit("")).otherwise(doctype_from_key("_dt_key")))
+              .drop("_dt_key"))
 
 
 # ---------------------------------------------------------------- numbers, dates

@@ -114,24 +114,32 @@ def demo_candidates(demos: DataFrame) -> DataFrame:
 
 
 def instrument_candidates(instr: DataFrame) -> DataFrame:
-    """Recorded instruments by type code: lien / transfer / jfc signals and
-    their flags; satisfactions only flag. Codes nobody reads are dropped."""
-    i = instr.withColumn("_ord", row_ord(instr)).withColumn("pid", N.pid_digits(N.clean("pid")))
-    outs = []
-    for code in K.INSTRUMENT_ORDER:
-        pattern, source, flag, label, fires = K.INSTRUMENT_RULES[code]
-        part = i.where(F.col("doc_type_code") == code)
-        doc_type = F.coalesce(N.nonblank(F.col("doc_type")), F.lit(label)) if label else F.col("doc_type")
-        pairs = [("source", F.lit(source)), ("doc_type", doc_type),
-                 ("instrument_id", F.col("instrument_id")), ("book", F.col("book")), ("page", F.col("page")),
-                 ("recorded_date", F.col("recorded_date")), ("grantor", F.col("grantor")),
-                 ("grantee", F.col("grantee"))]
-        if pattern == "lien":
-            pairs.append(("amount", F.col("amount")))
-        if pattern is None:
-            pairs = []
-        outs.append(_ev(part, pattern, fires, flag, source, FEED_RANK["rod_" + code], pairs))
-    return reduce(DataFrame.unionByName, outs)
+    """Recorded instruments by type code, in ONE pass over the feed: lien /
+    transfer / jfc signals and their flags; satisfactions only flag. Codes
+    nobody reads are dropped. The per-code rule is a literal lookup."""
+    def lookup(idx):
+        m = {c: r[idx] for c, r in K.INSTRUMENT_RULES.items() if r[idx] is not None}
+        return F.element_at(F.create_map(*[F.lit(x) for kv in m.items() for x in kv]), F.col("doc_type_code"))
+    rank = F.element_at(F.create_map(*[x for c in K.INSTRUMENT_ORDER
+                                       for x in (F.lit(c), F.lit(FEED_RANK["rod_" + c]))]), F.col("doc_type_code"))
+    i = (instr.where(F.col("doc_type_code").isin(K.INSTRUMENT_ORDER))
+         .withColumn("_ord", row_ord(instr))
+         .withColumn("pid", N.pid_digits(N.clean("pid")))
+         .withColumn("_pattern", lookup(0)).withColumn("_source", lookup(1)).withColumn("_flag", lookup(2))
+         .withColumn("_fires", F.coalesce(lookup(4), F.lit(False))))
+    label = lookup(3)
+    base = [("source", F.col("_source")),
+            ("doc_type", F.coalesce(N.nonblank(F.col("doc_type")), label)),
+            ("instrument_id", F.col("instrument_id")), ("book", F.col("book")), ("page", F.col("page")),
+            ("recorded_date", F.col("recorded_date")), ("grantor", F.col("grantor")),
+            ("grantee", F.col("grantee"))]
+    detail = (F.when(F.col("_pattern").isNull(), F.create_map().cast("map<string,string>"))
+              .when(F.col("_pattern") == "lien", detail_map(base + [("amount", F.col("amount"))]))
+              .otherwise(detail_map(base)))
+    return i.select(
+        "pid", F.col("_pattern").alias("pattern"), F.col("_fires").alias("fires"), F.col("_flag").alias("flag"),
+        F.col("_source").alias("source"), rank.alias("feed_rank"), F.col("_ord").alias("row_ord"),
+        F.lit("").alias("rkey"), detail.alias("detail"), F.lit(None).cast("timestamp").alias("sale_ts"))
 
 
 def attach_by_pid(cands: DataFrame, parcels: DataFrame) -> DataFrame:
@@ -180,7 +188,8 @@ def estate_notices(est: DataFrame, county: str = K.DEFAULT_COUNTY) -> DataFrame:
     """Notices of the county with their probe-side decedent keys."""
     return (est.where(_county_is("county", [county]))
             .withColumn("_ord", row_ord(est))
-            .withColumn("keys", N.decedent_keys(N.normalize_owner("decedent_name"))))
+            .withColumn("_norm", N.normalize_owner("decedent_name"))
+            .withColumn("keys", N.decedent_keys("_norm")).drop("_norm"))
 
 
 def attach_by_name(notices: DataFrame, key_index: DataFrame) -> DataFrame:
@@ -202,48 +211,55 @@ def feed_metrics(feeds, parcels: DataFrame, addr_index: DataFrame, key_index: Da
                  county: str = K.DEFAULT_COUNTY) -> DataFrame:
     """(feed, attached, unmatched, skipped_unsafe, closed_skipped), one row per feed.
 
-    attached counts (row, parcel) pairs; unmatched counts rows. Each feed is
-    left-joined once against the distinct keys it probes, then reduced with
-    count_if; no row reaches the driver.
+    attached counts (row, parcel) pairs; unmatched counts rows. All pid-keyed
+    feeds are unioned and meet the parcel keys in ONE left join, then one
+    groupBy(feed) with count_if; the address and name feeds reuse their own
+    joins. Nothing reaches the driver.
     """
-    pk = parcels.select("pid", F.lit(True).alias("_hit"))
-
-    def pid_feed(name, df, pid_col, extra=None):
-        j = df.withColumn("pid", pid_col).join(pk, "pid", "left")
-        aggs = [F.count_if(F.col("_hit").isNotNull() & (extra if extra is not None else F.lit(True))).alias("attached"),
-                F.count_if(F.col("_hit").isNull()).alias("unmatched"),
-                F.lit(0).cast("long").alias("skipped_unsafe"),
-                (F.count_if(F.col("_hit").isNotNull() & ~extra) if extra is not None
-                 else F.lit(0).cast("long")).alias("closed_skipped")]
-        return j.agg(*aggs).select(F.lit(name).alias("feed"), "*")
-
-    tax = feeds.tax.where(_county_is("county", [county, ""]))
-    out = [pid_feed("tax", tax, N.clean("pid_normalized"))]
-
-    fc = foreclosure_notices(feeds.foreclosures, county)
-    # a notice without a full key cannot match; it counts unmatched once
-    fkeyed = fc.withColumn("_full", (F.col("addr_num") != "") & (F.col("addr_name") != ""))
-    fj = fkeyed.join(addr_index.select("addr_num", "addr_name", "pid"),
-                     on=[fkeyed.addr_num == addr_index.addr_num, fkeyed.addr_name == addr_index.addr_name,
-                         fkeyed._full], how="left")
-    out.append(fj.agg(F.count_if(F.col("pid").isNotNull()).alias("attached"),
-                      F.count_if(F.col("pid").isNull()).alias("unmatched"),
-                      F.lit(0).cast("long").alias("skipped_unsafe"),
-                      F.lit(0).cast("long").alias("closed_skipped")).select(F.lit("foreclosures").alias("feed"), "*"))
+    zero = F.lit(0).cast("long")
+    open_ = F.col("CaseStatus").isin(K.CODE_OPEN_STATUSES)
+    rows = reduce(DataFrame.unionByName, [
+        feeds.tax.where(_county_is("county", [county, ""]))
+        .select(F.lit("tax").alias("feed"), N.clean("pid_normalized").alias("pid"), F.lit(True).alias("ok")),
+        feeds.code_cases.select(F.lit("code_cases").alias("feed"), N.pid_padded("ParcelId").alias("pid"),
+                                F.coalesce(open_, F.lit(False)).alias("ok")),
+        feeds.code_demos.select(F.lit("code_demos").alias("feed"), N.pid_padded("ParcelId").alias("pid"),
+                                F.lit(True).alias("ok")),
+        feeds.instruments.where(F.col("doc_type_code").isin(K.INSTRUMENT_ORDER))
+        .select(F.concat(F.lit("rod_"), F.col("doc_type_code")).alias("feed"),
+                N.pid_digits(N.clean("pid")).alias("pid"), F.lit(True).alias("ok")),
+    ])
+    hit = rows.join(parcels.select("pid", F.lit(True).alias("_hit")), "pid", "left")
+    # one global aggregate with a count per feed (every feed reports, empty
+    # ones with zeros), then unpivoted to one row per feed
+    names = ["tax", "code_cases", "code_demos"] + ["rod_" + c for c in K.INSTRUMENT_ORDER]
+    matched, is_feed = F.col("_hit").isNotNull(), lambda n: F.col("feed") == n
+    aggs = []
+    for i, n in enumerate(names):
+        aggs += [F.count_if(is_feed(n) & matched & F.col("ok")).alias(f"a{i}"),
+                 F.count_if(is_feed(n) & ~matched).alias(f"u{i}"),
+                 F.count_if(is_feed(n) & matched & ~F.col("ok")).alias(f"c{i}")]
+    by_pid = hit.agg(*aggs).select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("feed"), F.col(f"a{i}").alias("attached"), F.col(f"u{i}").alias("unmatched"),
+                 zero.alias("skipped_unsafe"), F.col(f"c{i}").alias("closed_skipped"))
+        for i, n in enumerate(names)])).alias("m")).select("m.*")
+
+    fc = foreclosure_notices(feeds.foreclosures, county) \
+        .withColumn("_full", (F.col("addr_num") != "") & (F.col("addr_name") != ""))
+    ai = addr_index.select(F.col("addr_num").alias("i_num"), F.col("addr_name").alias("i_name"), "pid")
+    fj = fc.join(ai, (fc.addr_num == ai.i_num) & (fc.addr_name == ai.i_name) & fc._full, "left")
+    by_addr = fj.agg(F.count_if(F.col("pid").isNotNull()).alias("attached"),
+                     F.count_if(F.col("pid").isNull()).alias("unmatched"),
+                     zero.alias("skipped_unsafe"), zero.alias("closed_skipped")) \
+        .select(F.lit("foreclosures").alias("feed"), "*")
 
     es = estate_notices(feeds.estates, county)
-    hits = attach_by_name(es.where(F.size("keys") > 0), key_index)
-    per_notice = hits.groupBy("row_ord").agg(F.count(F.lit(1)).alias("n"))
+    per_notice = attach_by_name(es.where(F.size("keys") > 0), key_index) \
+        .groupBy("row_ord").agg(F.count(F.lit(1)).alias("n"))
     ej = es.join(per_notice, es._ord == per_notice.row_ord, "left")
-    out.append(ej.agg(F.coalesce(F.sum(F.when(F.size("keys") > 0, F.col("n"))), F.lit(0)).cast("long").alias("attached"),
-                      F.count_if((F.size("keys") > 0) & F.col("n").isNull()).alias("unmatched"),
-                      F.count_if(F.size("keys") == 0).alias("skipped_unsafe"),
-                      F.lit(0).cast("long").alias("closed_skipped")).select(F.lit("estates").alias("feed"), "*"))
-
-    out.append(pid_feed("code_cases", feeds.code_cases, N.pid_padded("ParcelId"),
-                        F.col("CaseStatus").isin(K.CODE_OPEN_STATUSES)))
-    out.append(pid_feed("code_demos", feeds.code_demos, N.pid_padded("ParcelId")))
-    for code in K.INSTRUMENT_ORDER:
-        part = feeds.instruments.where(F.col("doc_type_code") == code)
-        out.append(pid_feed("rod_" + code, part, N.pid_digits(N.clean("pid"))))
-    return reduce(DataFrame.unionByName, out)
+    keyed = F.size("keys") > 0
+    by_name = ej.agg(F.coalesce(F.sum(F.when(keyed, F.col("n"))), F.lit(0)).cast("long").alias("attached"),
+                     F.count_if(keyed & F.col("n").isNull()).alias("unmatched"),
+                     F.count_if(~keyed).alias("skipped_unsafe"), zero.alias("closed_skipped")) \
+        .select(F.lit("estates").alias("feed"), "*")
+    return by_pid.unionByName(by_addr).unionByName(by_name)

@@ -332,9 +332,8 @@ def code_demos(spark: SparkSession, d: str) -> DataFrame:
 
 
 def instruments(spark: SparkSession, d: str) -> DataFrame:
-    from ..functions.normalize import canonical_doctype
     df = _sel(_t(spark, d, "lineitem"), instrument_exprs("spark"))
-    df = (df.withColumn("doc_type_code", canonical_doctype("doc_type"))
+    df = (N.with_doctype_code(df)
             .withColumn("pid", N.pid_digits("pid_raw"))
             .withColumn("extra", F.create_map().cast("map<string,string>")))
     return _conform(df, FD.INSTRUMENT)
