@@ -113,32 +113,34 @@ def demo_candidates(demos: DataFrame) -> DataFrame:
     return _ev(d, "code", True, "demolition_order", "charlotte_demo", FEED_RANK["demo"], pairs)
 
 
+def instrument_rules(spark) -> DataFrame:
+    """The per-code rule table (8 rows, a fixed dimension of the feed)."""
+    rows = [(c, *K.INSTRUMENT_RULES[c][:4], bool(K.INSTRUMENT_RULES[c][4]), FEED_RANK["rod_" + c])
+            for c in K.INSTRUMENT_ORDER]
+    return spark.createDataFrame(rows, "doc_type_code string, _r_pattern string, _r_source string, _r_flag string, "
+                                       "_r_label string, _r_fires boolean, _r_rank int")
+
+
 def instrument_candidates(instr: DataFrame) -> DataFrame:
     """Recorded instruments by type code, in ONE pass over the feed: lien /
     transfer / jfc signals and their flags; satisfactions only flag. Codes
-    nobody reads are dropped. The per-code rule is a literal lookup."""
-    def lookup(idx):
-        m = {c: r[idx] for c, r in K.INSTRUMENT_RULES.items() if r[idx] is not None}
-        return F.element_at(F.create_map(*[F.lit(x) for kv in m.items() for x in kv]), F.col("doc_type_code"))
-    rank = F.element_at(F.create_map(*[x for c in K.INSTRUMENT_ORDER
-                                       for x in (F.lit(c), F.lit(FEED_RANK["rod_" + c]))]), F.col("doc_type_code"))
-    i = (instr.where(F.col("doc_type_code").isin(K.INSTRUMENT_ORDER))
-         .withColumn("_ord", row_ord(instr))
-         .withColumn("pid", N.pid_digits(N.clean("pid")))
-         .withColumn("_pattern", lookup(0)).withColumn("_source", lookup(1)).withColumn("_flag", lookup(2))
-         .withColumn("_fires", F.coalesce(lookup(4), F.lit(False))))
-    label = lookup(3)
-    base = [("source", F.col("_source")),
-            ("doc_type", F.coalesce(N.nonblank(F.col("doc_type")), label)),
+    nobody reads are dropped by the inner join with the 8-row rule table,
+    broadcast (its size is fixed by the code list, not by the data)."""
+    rules = F.broadcast(instrument_rules(instr.sparkSession))
+    i = (instr.withColumn("_ord", row_ord(instr))
+         .join(rules, "doc_type_code")
+         .withColumn("pid", N.pid_digits(N.clean("pid"))))
+    base = [("source", F.col("_r_source")),
+            ("doc_type", F.coalesce(N.nonblank(F.col("doc_type")), F.col("_r_label"))),
             ("instrument_id", F.col("instrument_id")), ("book", F.col("book")), ("page", F.col("page")),
             ("recorded_date", F.col("recorded_date")), ("grantor", F.col("grantor")),
             ("grantee", F.col("grantee"))]
-    detail = (F.when(F.col("_pattern").isNull(), F.create_map().cast("map<string,string>"))
-              .when(F.col("_pattern") == "lien", detail_map(base + [("amount", F.col("amount"))]))
+    detail = (F.when(F.col("_r_pattern").isNull(), F.create_map().cast("map<string,string>"))
+              .when(F.col("_r_pattern") == "lien", detail_map(base + [("amount", F.col("amount"))]))
               .otherwise(detail_map(base)))
     return i.select(
-        "pid", F.col("_pattern").alias("pattern"), F.col("_fires").alias("fires"), F.col("_flag").alias("flag"),
-        F.col("_source").alias("source"), rank.alias("feed_rank"), F.col("_ord").alias("row_ord"),
+        "pid", F.col("_r_pattern").alias("pattern"), F.col("_r_fires").alias("fires"), F.col("_r_flag").alias("flag"),
+        F.col("_r_source").alias("source"), F.col("_r_rank").alias("feed_rank"), F.col("_ord").alias("row_ord"),
         F.lit("").alias("rkey"), detail.alias("detail"), F.lit(None).cast("timestamp").alias("sale_ts"))
 
 

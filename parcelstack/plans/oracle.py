@@ -507,6 +507,26 @@ AS_OF = "2001-08-02"
 DRY_RUN_N = 100
 
 
+def unescape_sql(x: str) -> str:
+    """The entities present in the page table, `&amp;` last (single pass)."""
+    for a, b in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&middot;", "\u00b7"),
+                 ("&copy;", "\u00a9"), ("&nbsp;", "\u00a0"), ("&amp;", "&")]:
+        x = f"replace({x}, {_q(a)}, {_q(b)})"
+    return x
+
+
+def page_sql() -> str:
+    text = clean(unescape_sql("regexp_replace(regexp_replace(block, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')"))
+    head = unescape_sql(clean("regexp_extract(block, '^([^<]*)', 1)"))
+    return f"""
+WITH parts AS (SELECT page_id, string_split(html, '<p><b>') AS ps FROM pages),
+blocks AS (SELECT page_id, unnest(range(1, len(ps))) AS block_no,
+                  regexp_replace(unnest(ps[2:]), '</article>.*$', '', 's') AS block FROM parts),
+t AS (SELECT page_id, block_no, block, {text} AS txt FROM blocks)
+SELECT page_id, CAST(block_no AS BIGINT) AS block_no, {head} AS heading, substr(txt, 1, 1500) AS summary,
+  CAST(length(txt) AS BIGINT) AS text_len, {notice_pattern('txt', "''")} AS pattern FROM t"""
+
+
 def query_sql() -> dict[str, str]:
     base = f"WITH {feed_ctes()},\n{parcel_ctes()},\n{evidence_ctes()},\n{lead_ctes(AS_OF)}"
     withm = base + "," + metrics_ctes()
@@ -572,4 +592,5 @@ SELECT pid, a_num AS addr_num, a_name AS addr_name, m_name AS mail_name, absente
 SELECT 'tier' AS kind, tier AS key, count(*) AS n FROM sample GROUP BY tier
 UNION ALL
 SELECT 'pattern', pattern, count(*) FROM (SELECT unnest(patterns) AS pattern FROM sample) GROUP BY pattern""",
+        "page_extract": page_sql(),
     }

@@ -165,6 +165,13 @@ def street_normalize(spark, d) -> DataFrame:
                     street_key("mail_addr")["name"].alias("mail_name"), "absentee")
 
 
+def page_extract(spark, d) -> DataFrame:
+    from ..sources.extract import page_sections
+    pages = spark.read.parquet(f"{d}/pages.parquet")
+    return page_sections(pages).select("page_id", _bl(F.col("block_no")).alias("block_no"), "heading", "summary",
+                                       "text_len", "pattern")
+
+
 def dry_run(spark, d) -> DataFrame:
     return report.dry_run_distribution(lead_build(spark, d).scored, DRY_RUN_N)
 
@@ -193,4 +200,5 @@ QUERIES = {
     "entity_flags": entity_flags,
     "street_normalize": street_normalize,
     "dry_run": dry_run,
+    "page_extract": page_extract,
 }
