@@ -593,4 +593,13 @@ SELECT 'tier' AS kind, tier AS key, count(*) AS n FROM sample GROUP BY tier
 UNION ALL
 SELECT 'pattern', pattern, count(*) FROM (SELECT unnest(patterns) AS pattern FROM sample) GROUP BY pattern""",
         "page_extract": page_sql(),
+        "instrument_import": f"WITH {feed_ctes()}" + """
+SELECT instrument_id, doc_type, CASE WHEN doc_type_code = '' THEN 'unknown' ELSE doc_type_code END AS doc_type_code,
+  recorded_date, pid, amount, book, page, grantor, grantee, legal_description, CAST(1 AS BIGINT) AS n_extra,
+  'line ' || CAST(_row AS VARCHAR) AS notes FROM instr""",
+        "snapshot_overwrite": f"WITH {feed_ctes()}" + """
+SELECT _source, courtfile, pid_normalized, county, saledate FROM tax""",
+        "incremental_dedup": """
+SELECT user_id, event_id, event_type, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1""",
     }

@@ -172,6 +172,63 @@ def page_extract(spark, d) -> DataFrame:
                                        "text_len", "pattern")
 
 
+INSTRUMENT_CSV_HEADERS = {
+    # logical field -> header text used in the stand-in export (aliases, P2)
+    "recorded_date": "Record Date", "instrument_id": "Doc ID", "book": "BK", "page": "PG",
+    "doc_type": "Instrument Type", "grantor": "From", "grantee": "To", "legal_description": "Legal",
+    "pid_raw": "Tax ID", "amount": "Consideration",
+}
+
+
+def instrument_import(spark, d) -> DataFrame:
+    """S4-S5 round trip: lineitem-derived instruments exported as CSV with
+    alias headers and an unknown column, imported, written one folder per
+    type code, read back as the instrument feed."""
+    from ..sources import ingest
+    raw = standins._sel(spark.read.parquet(f"{d}/lineitem.parquet"), standins.instrument_exprs("spark"))
+    csv = raw.select(*[F.col(k).alias(v) for k, v in INSTRUMENT_CSV_HEADERS.items()],
+                     F.concat(F.lit("line "), F.col("_row").cast("string")).alias("Notes"))
+    src, target = ingest.scratch_dir(spark, "rod-csv"), ingest.scratch_dir(spark, "rod-store")
+    csv.write.option("header", True).csv(src)
+    imported = ingest.normalize_instruments(ingest.read_instrument_csv(spark, src))
+    ingest.write_by_type(imported, target)
+    back = ingest.read_instruments(spark, target)
+    return back.select("instrument_id", "doc_type", "doc_type_code", "recorded_date", "pid", "amount", "book",
+                       "page", "grantor", "grantee", "legal_description",
+                       _bl(F.size("extra")).alias("n_extra"), F.col("extra")["Notes"].alias("notes"))
+
+
+def snapshot_overwrite(spark, d) -> DataFrame:
+    """Both listings written, then a run where listing B failed; the
+    per-source snapshot keeps B's last good rows."""
+    from ..sources import ingest
+    tax = standins.tax_cases(spark, d)
+    target = ingest.scratch_dir(spark, "tax-snapshot")
+    ingest.write_tax_snapshot(tax, target)
+    ingest.write_tax_snapshot(tax.where(F.col("_source") == "kania"), target, mode="per_source")
+    back = ingest.read_tax_snapshot(spark, target)
+    return back.select("_source", "courtfile", "pid_normalized", "county", "saledate")
+
+
+def incremental_dedup(spark, d) -> DataFrame:
+    """ST1 through Structured Streaming: events arrive as five weekly drops of
+    four files each, one micro-batch per drop; the first version of each
+    user id wins (earliest drop, then lowest event id within it)."""
+    from ..sources import ingest
+    from ..streaming import incremental as inc
+    ev = spark.read.parquet(f"{d}/events.parquet").select(
+        "user_id", "event_id", F.col("ts").cast("string").alias("ts"), "event_type", "value",
+        F.floor((F.dayofmonth("ts") - 1) / 7).cast("int").alias("week"))
+    src = ingest.scratch_dir(spark, "events-drop")
+    for w in range(5):  # five weekly drops, in arrival order
+        ev.where(F.col("week") == w).drop("week").repartition(4).write.mode("append").json(src)
+    target, ckpt = ingest.scratch_dir(spark, "events-first"), ingest.scratch_dir(spark, "events-ckpt")
+    schema = "user_id long, event_id long, ts string, event_type string, value double"
+    inc.run_dedup_stream(spark, src, spark.createDataFrame([], schema).schema, target, ckpt,
+                         id_col="user_id", order_col="event_id", files_per_batch=4)
+    return spark.read.parquet(target).select("user_id", "event_id", "event_type", "value")
+
+
 def dry_run(spark, d) -> DataFrame:
     return report.dry_run_distribution(lead_build(spark, d).scored, DRY_RUN_N)
 
@@ -201,4 +258,7 @@ QUERIES = {
     "street_normalize": street_normalize,
     "dry_run": dry_run,
     "page_extract": page_extract,
+    "instrument_import": instrument_import,
+    "snapshot_overwrite": snapshot_overwrite,
+    "incremental_dedup": incremental_dedup,
 }
