@@ -46,19 +46,24 @@ def join_nonempty(*cols) -> Column:
 
 
 # ---------------------------------------------------------------- identifiers
+# Both pid rules are one regex over a zero-prefixed string, so the input is
+# referenced once: nested or pushed-down copies of the rule stay linear.
+_PID8_RE = r"^0{7}$|^0{7}(?=\d{9,}$)|^\d*?(?=\d{8}$)"
+_PAD8_RE = r"(?s)^0{8}(?=.{8,}$)|^.*?(?=.{8}$)"
+
+
 def pid_digits(c) -> Column:
-    """Keep digits; left-pad to 8 when there are 1..8, else unchanged.
+    """Keep digits; left-pad to 8 when there are 1..8, else unchanged ('' stays '').
 
-    Spark's lpad truncates longer input, hence the length guard.
+    (Spark's lpad would truncate longer input; the regex never does.)
     """
     d = F.regexp_replace(F.coalesce(col_(c).cast("string"), F.lit("")), r"\D", "")
-    return F.when((F.length(d) > 0) & (F.length(d) <= 8), F.lpad(d, 8, "0")).otherwise(d)
+    return F.regexp_replace(F.concat(F.lit("0000000"), d), _PID8_RE, "")
 
 
 def pid_padded(c) -> Column:
     """Strip, then left-pad to 8 keeping non-digits (blank -> 00000000)."""
-    s = clean(c)
-    return F.when(F.length(s) < 8, F.lpad(s, 8, "0")).otherwise(s)
+    return F.regexp_replace(F.concat(F.lit("00000000"), clean(c)), _PAD8_RE, "")
 
 
 # ---------------------------------------------------------------- addresses

@@ -147,7 +147,9 @@ def instrument_candidates(instr: DataFrame) -> DataFrame:
 def attach_by_pid(cands: DataFrame, parcels: DataFrame) -> DataFrame:
     """Inner equi-join of candidate evidence with the parcel table on pid."""
     keys = parcels.select("pid", "sale_ts")
-    return cands.drop("sale_ts").join(keys, "pid").select(*EVIDENCE_COLS)
+    # no parcel has a blank pid (P8): blank keys cannot match, and dropping
+    # them first keeps them from piling onto one reducer as a hot key
+    return cands.drop("sale_ts").where(F.col("pid") != "").join(keys, "pid").select(*EVIDENCE_COLS)
 
 
 def repeat_violator_flags(code_ev: DataFrame) -> DataFrame:

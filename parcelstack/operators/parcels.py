@@ -43,14 +43,15 @@ NUM_COLS = [
 def first_row_per_pid(raw: DataFrame) -> DataFrame:
     """Keep, per stripped pid, the row with the lowest object id; drop blank pids.
 
-    `min_by` is a partial aggregate: each map task reduces its rows per pid
-    before the shuffle, so a pid holding a large share of rows does not land
-    whole on one reducer.
+    `row_number() = 1` plans as a WindowGroupLimit that runs partially before
+    the shuffle (each map task keeps only its first row per pid), so a pid
+    holding a large share of rows does not land whole on one reducer, and no
+    wide struct is built per row.
     """
+    from pyspark.sql import Window
     keyed = raw.withColumn("pid", N.clean("pid")).where(F.col("pid") != "")
-    others = [c for c in keyed.columns if c != "pid"]
-    agg = keyed.groupBy("pid").agg(F.min_by(F.struct(*others), F.col("objectid_1")).alias("r"))
-    return agg.select("pid", "r.*")
+    w = Window.partitionBy("pid").orderBy(F.col("objectid_1").asc_nulls_last())
+    return keyed.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def clean_parcels(raw: DataFrame) -> DataFrame:

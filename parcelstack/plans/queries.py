@@ -167,7 +167,7 @@ def street_normalize(spark, d) -> DataFrame:
 
 def page_extract(spark, d) -> DataFrame:
     from ..sources.extract import page_sections
-    pages = spark.read.parquet(f"{d}/pages.parquet")
+    pages = standins.read_table(spark, d, "pages")
     return page_sections(pages).select("page_id", _bl(F.col("block_no")).alias("block_no"), "heading", "summary",
                                        "text_len", "pattern")
 
@@ -185,7 +185,7 @@ def instrument_import(spark, d) -> DataFrame:
     alias headers and an unknown column, imported, written one folder per
     type code, read back as the instrument feed."""
     from ..sources import ingest
-    raw = standins._sel(spark.read.parquet(f"{d}/lineitem.parquet"), standins.instrument_exprs("spark"))
+    raw = standins._sel(standins.read_table(spark, d, "lineitem"), standins.instrument_exprs("spark"))
     csv = raw.select(*[F.col(k).alias(v) for k, v in INSTRUMENT_CSV_HEADERS.items()],
                      F.concat(F.lit("line "), F.col("_row").cast("string")).alias("Notes"))
     src, target = ingest.scratch_dir(spark, "rod-csv"), ingest.scratch_dir(spark, "rod-store")
@@ -216,7 +216,7 @@ def incremental_dedup(spark, d) -> DataFrame:
     user id wins (earliest drop, then lowest event id within it)."""
     from ..sources import ingest
     from ..streaming import incremental as inc
-    ev = spark.read.parquet(f"{d}/events.parquet").select(
+    ev = standins.read_table(spark, d, "events").select(
         "user_id", "event_id", F.col("ts").cast("string").alias("ts"), "event_type", "value",
         F.floor((F.dayofmonth("ts") - 1) / 7).cast("int").alias("week"))
     src = ingest.scratch_dir(spark, "events-drop")

@@ -276,8 +276,21 @@ def instrument_exprs(dialect: str) -> dict[str, str]:
 
 
 # ------------------------------------------------------------------ Spark side
-def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+def read_table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """A driver table, spread over the cluster when its file cannot be split.
+
+    Each driver table is one parquet row group, i.e. one read task; the
+    regex-heavy projections that follow would then run on one core. When a
+    scan yields fewer partitions than the cluster's parallelism, rows are
+    dealt round-robin first. At scale the scan already has thousands of
+    splits and this is a no-op.
+    """
+    df = spark.read.parquet(f"{d}/{name}.parquet")
+    par = spark.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
+_t = read_table
 
 
 def _sel(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
