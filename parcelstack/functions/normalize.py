@@ -120,13 +120,28 @@ def _toks(norm) -> Column:
 
 
 def owner_keys(norm) -> Column:
+    """Index-side name keys of a normalized owner name (array<string>)."""
+    return owner_keys_from_tokens(_toks(norm))
+
+
+def decedent_keys(norm) -> Column:
+    """Probe-side keys of a normalized decedent name, distinct, in order."""
+    return decedent_keys_from_tokens(_toks(norm))
+
+
+def name_tokens(norm) -> Column:
+    """Tokens of a normalized name (empty array for '')."""
+    return _toks(norm)
+
+
+def owner_keys_from_tokens(t) -> Column:
     """Index-side name keys of a normalized owner name (array<string>).
 
     From the first three tokens a, b, c: 'a b' and 'b a' when len(a)+len(b) >= 8;
     'a b c', 'c b a', 'c a b'; 'a c' and 'c a' when len(a)+len(c) >= 8.
     Fewer than two tokens gives no key.
     """
-    t = _toks(norm)
+    t = col_(t)
     n = F.size(t)
     a, b, c = _at(t, 1), _at(t, 2), _at(t, 3)
     ab = (n >= 2) & (F.length(a) + F.length(b) >= 8)
@@ -141,14 +156,14 @@ def owner_keys(norm) -> Column:
     )
 
 
-def decedent_keys(norm) -> Column:
-    """Probe-side keys of a normalized decedent name, distinct, in order.
+def decedent_keys_from_tokens(t) -> Column:
+    """Probe-side keys from a token array, distinct, in order.
 
     Three or more tokens: 'p0 p1 p2', 'p2 p1 p0', 'pLast p0 p1'. Then
     'first last' and 'last first' when the last token has >= 5 letters and is
     not a common surname. Fewer than two tokens gives no key.
     """
-    t = _toks(norm)
+    t = col_(t)
     n = F.size(t)
     p0, p1, p2 = _at(t, 1), _at(t, 2), _at(t, 3)
     last = _at(t, -1)
@@ -223,6 +238,42 @@ def parse_owner_name(first, last) -> Column:
                             F.lit(False).alias("is_entity"), full.alias("full_name")))
 
 
+def with_owner_parsed(df, first: str, last: str, out: str):
+    """`parse_owner_name` as staged projections: the cleaned fields and token
+    arrays are columns first, so each stage stays small enough for generated
+    code and no intermediate is re-evaluated."""
+    t = f"_{out}_"
+    none = F.array().cast("array<string>")
+    sfx = _lit_array(K.NAME_SUFFIXES)
+    df = df.withColumn(t + "ff", clean(first)).withColumn(t + "lf", clean(last))
+    df = (df.withColumn(t + "full", F.regexp_replace(F.concat(F.col(t + "ff"), F.lit(" "), F.col(t + "lf")),
+                                                     r"^\s+|\s+$", ""))
+            .withColumn(t + "parts", F.when(F.col(t + "ff") == "", none).otherwise(F.split(t + "ff", r"\s+")))
+            .withColumn(t + "ltoks", F.when(F.col(t + "lf") == "", none).otherwise(F.split(t + "lf", r"\s+"))))
+    df = (df.withColumn(t + "ent", is_entity(t + "full"))
+            .withColumn(t + "p", F.upper(F.regexp_replace(_at(F.col(t + "parts"), -1), r"\.+$", "")))
+            .withColumn(t + "l", F.upper(F.regexp_replace(_at(F.col(t + "ltoks"), -1), r"\.+$", ""))))
+    df = (df.withColumn(t + "h1", F.coalesce(F.array_contains(sfx, F.col(t + "p")), F.lit(False)))
+            .withColumn(t + "h2", F.coalesce(F.array_contains(sfx, F.col(t + "l")), F.lit(False))))
+    h1, h2, parts, ltoks = F.col(t + "h1"), F.col(t + "h2"), F.col(t + "parts"), F.col(t + "ltoks")
+    rest = F.when(h1, F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))).otherwise(parts)
+    df = df.withColumn(t + "rest", rest)
+    r = F.col(t + "rest")
+    blank = F.lit("")
+    ent = F.col(t + "ent")
+    last_name = (F.when(h1 & h2, F.array_join(ltoks, " "))
+                 .when(h2, F.array_join(F.slice(ltoks, 1, F.greatest(F.size(ltoks) - 1, F.lit(0))), " "))
+                 .otherwise(F.col(t + "lf")))
+    parsed = F.struct(
+        F.when(ent, blank).otherwise(F.coalesce(_at(r, 1), blank)).alias("first_name"),
+        F.when(ent | (F.size(r) <= 1), blank).otherwise(F.array_join(F.slice(r, 2, F.size(r)), " "))
+        .alias("middle_name"),
+        F.when(ent, blank).otherwise(last_name).alias("last_name"),
+        F.when(ent, blank).when(h1, F.col(t + "p")).when(h2, F.col(t + "l")).otherwise(blank).alias("suffix"),
+        ent.alias("is_entity"), F.col(t + "full").alias("full_name"))
+    return df.withColumn(out, parsed).drop(*[c for c in df.columns if c.startswith(t)])
+
+
 def exemption_flags(c) -> dict[str, Column]:
     ex = F.upper(clean(c))
     return {

@@ -192,17 +192,20 @@ def estate_notices(est: DataFrame, county: str = K.DEFAULT_COUNTY) -> DataFrame:
     """Notices of the county with their probe-side decedent keys."""
     return (est.where(_county_is("county", [county]))
             .withColumn("_ord", row_ord(est))
-            .withColumn("_norm", N.normalize_owner("decedent_name"))
-            .withColumn("keys", N.decedent_keys("_norm")).drop("_norm"))
+            .withColumn("_tok", N.name_tokens(N.normalize_owner("decedent_name")))
+            .withColumn("keys", N.decedent_keys_from_tokens("_tok")).drop("_tok"))
 
 
 def attach_by_name(notices: DataFrame, key_index: DataFrame) -> DataFrame:
     """Any-key match: explode the notice keys, equi-join the owner-key index,
     keep distinct (notice, pid). Notices without keys are skipped (counted
     as unsafe by the metrics)."""
-    probe = notices.select("detail_id", "_ord", "decedent_name", "posted_date", "case_number", "detail_url",
-                           F.explode("keys").alias("name_key"))
-    j = probe.join(key_index, "name_key").dropDuplicates(["detail_id", "_ord", "pid"])
+    probe = notices.select("_ord", F.explode("keys").alias("name_key"))
+    # distinct (notice, parcel) on narrow rows first, then the notice payload
+    hits = (probe.join(key_index.select("name_key", "pid", "sale_ts"), "name_key")
+            .dropDuplicates(["_ord", "pid"]).drop("name_key"))
+    j = hits.join(notices.select("_ord", "detail_id", "decedent_name", "posted_date", "case_number",
+                                 "detail_url"), "_ord")
     pairs = [
         ("source", F.lit("mecktimes")), ("decedent", F.coalesce(F.col("decedent_name"), F.lit(""))),
         ("posted", F.col("posted_date")), ("case", F.col("case_number")), ("url", F.col("detail_url")),

@@ -87,8 +87,9 @@ def owner_key_index(parcels: DataFrame) -> DataFrame:
     Normalized names are projected first, so the key builder reads plain
     columns instead of re-evaluating the regex chain for every key part.
     """
-    staged = parcels.select("pid", "sale_ts", N.normalize_owner("owner").alias("_n1"),
-                            N.normalize_owner("owner2").alias("_n2"))
-    keys = F.array_union(N.owner_keys("_n1"), N.owner_keys("_n2"))
+    staged = (parcels.select("pid", "sale_ts", N.normalize_owner("owner").alias("_n1"),
+                             N.normalize_owner("owner2").alias("_n2"))
+              .select("pid", "sale_ts", N.name_tokens("_n1").alias("_t1"), N.name_tokens("_n2").alias("_t2")))
+    keys = F.array_union(N.owner_keys_from_tokens("_t1"), N.owner_keys_from_tokens("_t2"))
     return (staged.select("pid", "sale_ts", F.explode(keys).alias("name_key"))
             .dropDuplicates(["name_key", "pid"]))

@@ -35,6 +35,8 @@ def lead_records(scored: DataFrame, sig_map: DataFrame) -> DataFrame:
     """The 72-column lead record; leads with no firing pattern are dropped."""
     from ..functions import normalize as N
     s = scored.where(F.size("patterns") > 0).join(sig_map, "pid", "left")
+    s = N.with_owner_parsed(s, "owner1_first", "owner1_last", "owner_parsed")
+    s = N.with_owner_parsed(s, "owner2_first", "owner2_last", "owner2_parsed")
     txt = lambda c: F.coalesce(N.nonblank(F.col(c)), F.lit(""))
     return s.select(
         "pid", txt("nc_pin").alias("nc_pin"),
@@ -43,8 +45,7 @@ def lead_records(scored: DataFrame, sig_map: DataFrame) -> DataFrame:
         txt("address").alias("address"), txt("street_num").alias("street_num"),
         txt("street_name").alias("street_name"), txt("loc_city").alias("city"),
         txt("owner").alias("owner"), txt("owner2").alias("owner2"),
-        N.parse_owner_name("owner1_first", "owner1_last").alias("owner_parsed"),
-        N.parse_owner_name("owner2_first", "owner2_last").alias("owner2_parsed"),
+        "owner_parsed", "owner2_parsed",
         "is_entity",
         *[txt(c).alias(c) for c in ["mail_addr", "mail_addr2", "mail_city", "mail_state", "mail_zip"]],
         "year_built", "eff_year_built",

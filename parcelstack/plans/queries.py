@@ -146,9 +146,9 @@ def lead_export(spark, d) -> DataFrame:
 
 
 def owner_parse(spark, d) -> DataFrame:
-    from ..functions.normalize import parse_owner_name
+    from ..functions.normalize import with_owner_parsed
     p = lead_build(spark, d).parcels
-    return p.select("pid", parse_owner_name("owner1_first", "owner1_last").alias("o")).select("pid", "o.*")
+    return with_owner_parsed(p, "owner1_first", "owner1_last", "o").select("pid", "o.*")
 
 
 def entity_flags(spark, d) -> DataFrame:

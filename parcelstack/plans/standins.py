@@ -31,11 +31,13 @@ DIALECTS = {
         "ms": "cast(unix_millis(cast({x} as timestamp)) as string)",
         "bdy": "date_format({x}, 'MMM d, yyyy')",
         "mdy": "date_format({x}, 'MM/dd/yyyy')",
+        "pad6": "format_string('%06d', {x})",
     },
     "duckdb": {
         "ms": "cast(epoch_ms({x}) as string)",
         "bdy": "strftime({x}, '%b %-d, %Y')",
         "mdy": "strftime({x}, '%m/%d/%Y')",
+        "pad6": "printf('%06d', {x})",
     },
 }
 
@@ -44,10 +46,9 @@ def _d(dialect: str, fn: str, x: str) -> str:
     return DIALECTS[dialect][fn].format(x=x)
 
 
-def lettered(x: str) -> str:
-    """A surname unique per key: the 6+ digit key spelled with letters A-J."""
-    return (f"translate(CASE WHEN length(cast({x} as string)) < 6 THEN lpad(cast({x} as string), 6, '0') "
-            f"ELSE cast({x} as string) END, '0123456789', 'ABCDEFGHIJ')")
+def lettered(x: str, dialect: str) -> str:
+    """A surname unique per key: the key, zero-padded to 6+ digits, spelled A-J."""
+    return f"translate({_d(dialect, 'pad6', x)}, '0123456789', 'ABCDEFGHIJ')"
 
 
 def dashed(x: str) -> str:
@@ -67,7 +68,7 @@ def money(x: str) -> str:
 # ------------------------------------------------------------------ raw parcels
 def parcel_exprs(dialect: str) -> dict[str, str]:
     """Over orders o, customer c, nation n and per-customer total `tot_price`."""
-    L = lettered("c_custkey")
+    L = lettered("c_custkey", dialect)
     num = "cast(c_custkey % 20 as string)"
     first = "c_mktsegment || ' ' || chr(cast(65 + c_nationkey as int))"
     return {
@@ -185,7 +186,7 @@ def foreclosure_exprs(dialect: str) -> dict[str, str]:
 
 def estate_exprs(dialect: str) -> dict[str, str]:
     """Over orders o, customer c (the decedent is the customer)."""
-    L = lettered("c_custkey")
+    L = lettered("c_custkey", dialect)
     seg, ini = "c_mktsegment", "chr(cast(65 + c_nationkey as int))"
     return {
         "detail_id": "o_orderkey",
