@@ -1,12 +1,13 @@
 """The lead build job: feeds in, ranked lead records out.
 
-    parcels   = clean + first row per pid                 (shuffle by pid)
-    evidence  = pid-keyed feeds  JOIN parcels.pid          (one join)
+    parcels   = clean + first row per pid, checkpointed hash-partitioned by pid
+              (the fold's join with parcels then shuffles only the fold side)
+    evidence  = pid-keyed feeds  JOIN parcels.pid          (one join, AQE skew split)
               + sale notices     JOIN address index        (num, street)
               + estate notices   JOIN owner-key index      (name key)
-    evidence is repartitioned by pid and checkpointed: the fold (groupBy pid)
-    and the top-signal window (pid, pattern) then run without another shuffle,
-    and a lost executor recomputes from the checkpoint, not from the feeds.
+    evidence is checkpointed once: the fold and the top-signal window both
+    read it, and a lost executor recomputes from it, not from the feeds. Both
+    shuffle pre-reduced rows only (partial aggregate / partial group limit).
     fold -> JOIN parcels (scores, transfer rules) -> records -> rank
 """
 
@@ -30,6 +31,26 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize_by(df: DataFrame, key: str) -> DataFrame:
+    """Checkpoint hash-partitioned by `key` into spark.sql.shuffle.partitions
+    buckets, keeping that partitioning as plan metadata, so later joins and
+    aggregations on `key` against it need no shuffle of this side.
+
+    The checkpoint job is planned with AQE off: an adaptive plan does not
+    report its final partitioning to the checkpointed relation. Only this
+    write (a scan, a window or aggregate, one exchange) runs non-adaptively.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.repartition(n, key).checkpoint(eager=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
+
+
 @dataclass
 class LeadBuild:
     parcels: DataFrame
@@ -60,10 +81,10 @@ def build_leads(feeds: Feeds, as_of: str, county: str = K.DEFAULT_COUNTY,
                 checkpoint: bool = True) -> LeadBuild:
     parcels = P.clean_parcels(feeds.parcels_raw)
     if checkpoint:
-        parcels = materialize(parcels)
+        parcels = materialize_by(parcels, "pid")
     ev = build_evidence(feeds, parcels, county)
     if checkpoint:
-        ev = materialize(ev.repartition("pid"))
+        ev = materialize(ev)
     scored = score.score_leads(score.fold(ev), parcels, as_of)
     sig = ev.where(F.col("pattern").isNotNull()).unionByName(score.transfer_evidence(scored))
     top = rank.top_signals(sig)
