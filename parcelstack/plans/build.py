@@ -1,7 +1,8 @@
 """The lead build job: feeds in, ranked lead records out.
 
-    parcels   = clean + first row per pid, checkpointed hash-partitioned by pid
-              (the fold's join with parcels then shuffles only the fold side)
+    parcels   = clean + first row per pid, checkpointed
+              (`materialize_by` keeps a pid hash layout instead; measured slower
+              here because AQE then cannot broadcast the parcel keys by size)
     evidence  = pid-keyed feeds  JOIN parcels.pid          (one join, AQE skew split)
               + sale notices     JOIN address index        (num, street)
               + estate notices   JOIN owner-key index      (name key)
@@ -81,7 +82,7 @@ def build_leads(feeds: Feeds, as_of: str, county: str = K.DEFAULT_COUNTY,
                 checkpoint: bool = True) -> LeadBuild:
     parcels = P.clean_parcels(feeds.parcels_raw)
     if checkpoint:
-        parcels = materialize_by(parcels, "pid")
+        parcels = materialize(parcels)
     ev = build_evidence(feeds, parcels, county)
     if checkpoint:
         ev = materialize(ev)

@@ -19,12 +19,23 @@ from . import build, standins
 from .oracle import AS_OF, DRY_RUN_N, FILTER_SPEC
 
 _BUILDS: dict = {}
+_FEEDS: dict = {}
+
+
+def feeds(spark: SparkSession, d: str):
+    """The stand-in feeds, derived once per (session, directory) and
+    checkpointed, as a deployment reads its stored feed tables."""
+    key = (id(spark), d)
+    if key not in _FEEDS:
+        fe = standins.feeds(spark, d)
+        _FEEDS[key] = type(fe)(**{k: build.materialize(getattr(fe, k)) for k in fe.names()})
+    return _FEEDS[key]
 
 
 def lead_build(spark: SparkSession, d: str, fresh: bool = False) -> build.LeadBuild:
     key = (id(spark), d)
     if fresh or key not in _BUILDS:
-        _BUILDS[key] = build.build_leads(standins.feeds(spark, d), AS_OF)
+        _BUILDS[key] = build.build_leads(feeds(spark, d), AS_OF)
     return _BUILDS[key]
 
 
@@ -54,12 +65,12 @@ def derived_fields(spark, d) -> DataFrame:
 
 
 def first_row_per_key(spark, d) -> DataFrame:
-    r = P.first_row_per_pid(standins.raw_parcels(spark, d))
+    r = P.first_row_per_pid(feeds(spark, d).parcels_raw)
     return r.select("pid", "objectid_1", "saleprice", "saledate")
 
 
 def signal_join_pid(spark, d) -> DataFrame:
-    fe = standins.feeds(spark, d)
+    fe = feeds(spark, d)
     parcels = lead_build(spark, d).parcels
     from functools import reduce
     cands = reduce(DataFrame.unionByName, [
@@ -71,7 +82,7 @@ def signal_join_pid(spark, d) -> DataFrame:
 
 
 def unmatched_by_feed(spark, d) -> DataFrame:
-    fe = standins.feeds(spark, d)
+    fe = feeds(spark, d)
     parcels = lead_build(spark, d).parcels
     m = link.feed_metrics(fe, parcels, P.address_index(parcels), P.owner_key_index(parcels))
     return m.select("feed", *[_bl(F.col(c)).alias(c) for c in
@@ -79,14 +90,14 @@ def unmatched_by_feed(spark, d) -> DataFrame:
 
 
 def address_join(spark, d) -> DataFrame:
-    fe = standins.feeds(spark, d)
+    fe = feeds(spark, d)
     parcels = lead_build(spark, d).parcels
     ev = link.attach_by_address(link.foreclosure_notices(fe.foreclosures), P.address_index(parcels))
     return ev.select(F.col("row_ord").alias("detail_id"), "pid", "pattern")
 
 
 def name_key_join(spark, d) -> DataFrame:
-    fe = standins.feeds(spark, d)
+    fe = feeds(spark, d)
     parcels = lead_build(spark, d).parcels
     ev = link.attach_by_name(link.estate_notices(fe.estates), P.owner_key_index(parcels))
     return ev.select(F.col("row_ord").alias("detail_id"), "pid")
@@ -94,17 +105,17 @@ def name_key_join(spark, d) -> DataFrame:
 
 def notice_classify(spark, d) -> DataFrame:
     from ..functions.normalize import notice_pattern
-    fc = standins.foreclosures(spark, d)
+    fc = feeds(spark, d).foreclosures
     return fc.select("detail_id", notice_pattern("summary", "sp_case_number").alias("pattern"))
 
 
 def doctype_canonical(spark, d) -> DataFrame:
-    ins = standins.instruments(spark, d)
+    ins = feeds(spark, d).instruments
     return ins.groupBy("doc_type", "doc_type_code").agg(F.count(F.lit(1)).alias("n"))
 
 
 def repeat_flag(spark, d) -> DataFrame:
-    fe = standins.feeds(spark, d)
+    fe = feeds(spark, d)
     ev = link.attach_by_pid(link.code_candidates(fe.code_cases), lead_build(spark, d).parcels)
     return ev.groupBy("pid").agg(F.count(F.lit(1)).alias("n_open")).where(F.col("n_open") >= 2)
 
@@ -202,7 +213,7 @@ def snapshot_overwrite(spark, d) -> DataFrame:
     """Both listings written, then a run where listing B failed; the
     per-source snapshot keeps B's last good rows."""
     from ..sources import ingest
-    tax = standins.tax_cases(spark, d)
+    tax = feeds(spark, d).tax
     target = ingest.scratch_dir(spark, "tax-snapshot")
     ingest.write_tax_snapshot(tax, target)
     ingest.write_tax_snapshot(tax.where(F.col("_source") == "kania"), target, mode="per_source")
