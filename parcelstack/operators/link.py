@@ -88,10 +88,22 @@ def tax_candidates(tax: DataFrame, county: str = K.DEFAULT_COUNTY) -> DataFrame:
     return _ev(t, "tax", True, None, F.col("_source"), FEED_RANK["tax"], pairs)
 
 
-def code_candidates(cases: DataFrame, open_only: bool = True) -> DataFrame:
+def latest_case_rows(cases: DataFrame) -> DataFrame:
+    """One row per case number, the highest object id (the `dedup_cases`
+    option): a case whose status changed is counted once, in its last state.
+    `row_number() = 1` runs as a partial group limit before the shuffle."""
+    from pyspark.sql import Window
+    w = Window.partitionBy("CaseNumber").orderBy(F.col("OBJECTID").desc_nulls_last())
+    return cases.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
+def code_candidates(cases: DataFrame, open_only: bool = True, dedup_cases: bool = False) -> DataFrame:
     """Code cases keyed by the 8-padded parcel id; open statuses only (the
     status filter runs before the parcel join; metrics count closed rows
-    separately)."""
+    separately). `dedup_cases` (default off, as the reference) keeps only the
+    latest row per case number before anything else."""
+    if dedup_cases:
+        cases = latest_case_rows(cases)
     c = cases.withColumn("_ord", row_ord(cases)).withColumn("pid", N.pid_padded("ParcelId"))
     if open_only:
         c = c.where(F.col("CaseStatus").isin(K.CODE_OPEN_STATUSES))

@@ -64,10 +64,11 @@ class LeadBuild:
         return rank.rank_leads(self.records)
 
 
-def build_evidence(feeds: Feeds, parcels: DataFrame, county: str = K.DEFAULT_COUNTY) -> DataFrame:
+def build_evidence(feeds: Feeds, parcels: DataFrame, county: str = K.DEFAULT_COUNTY,
+                   dedup_cases: bool = False) -> DataFrame:
     pid_cands = reduce(DataFrame.unionByName, [
         link.tax_candidates(feeds.tax, county),
-        link.code_candidates(feeds.code_cases),
+        link.code_candidates(feeds.code_cases, dedup_cases=dedup_cases),
         link.demo_candidates(feeds.code_demos),
         link.instrument_candidates(feeds.instruments),
     ])
@@ -79,11 +80,14 @@ def build_evidence(feeds: Feeds, parcels: DataFrame, county: str = K.DEFAULT_COU
 
 
 def build_leads(feeds: Feeds, as_of: str, county: str = K.DEFAULT_COUNTY,
-                checkpoint: bool = True) -> LeadBuild:
+                checkpoint: bool = True, dedup_cases: bool = False) -> LeadBuild:
+    """The whole lead build. `as_of` is the run's 'now' (UTC date);
+    `county` the notice feeds' county; `dedup_cases` counts each code case
+    once (latest row) instead of once per ingested row."""
     parcels = P.clean_parcels(feeds.parcels_raw)
     if checkpoint:
         parcels = materialize(parcels)
-    ev = build_evidence(feeds, parcels, county)
+    ev = build_evidence(feeds, parcels, county, dedup_cases)
     if checkpoint:
         ev = materialize(ev)
     scored = score.score_leads(score.fold(ev), parcels, as_of)

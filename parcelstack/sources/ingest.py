@@ -75,6 +75,11 @@ def normalize_instruments(raw: DataFrame, doctype_override: str | None = None) -
                           .otherwise(F.col("doc_type_code")))
 
 
+def cap_rows(df: DataFrame, limit: int | None) -> DataFrame:
+    """O3: the ingest `--limit N` (schema checks on a small run); None = all rows."""
+    return df if limit is None else df.limit(int(limit))
+
+
 def write_by_type(instruments: DataFrame, target: str) -> None:
     """S5 / ST4: one folder per type code; a code present in this import
     replaces its folder, other codes' folders stay (dynamic overwrite)."""

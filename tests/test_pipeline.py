@@ -163,3 +163,32 @@ def test_tier_only_from_stack(built):
         n = len(r["patterns"])
         assert r["tier"] == ("hot" if n >= 3 else "warm" if n == 2 else "active")
         assert r["stack_count"] == n
+
+
+def test_dedup_cases_option(spark):
+    from parcelstack.operators.link import latest_case_rows
+    rows = [{"OBJECTID": 1, "CaseNumber": "C1", "CaseStatus": "Open", "ParcelId": "4"},
+            {"OBJECTID": 5, "CaseNumber": "C1", "CaseStatus": "Closed", "ParcelId": "4"},
+            {"OBJECTID": 2, "CaseNumber": "C2", "CaseStatus": "Open", "ParcelId": "4"}]
+    f = make_feeds(spark, parcels_raw=PARCELS, code_cases=rows)
+    assert sorted(r["OBJECTID"] for r in latest_case_rows(f.code_cases).collect()) == [2, 5]
+    off = build.build_leads(f, AS_OF, checkpoint=False).records.where("pid = '00000004'").first()
+    on = build.build_leads(f, AS_OF, checkpoint=False, dedup_cases=True).records.where("pid = '00000004'").first()
+    assert "code_repeat_violator" in off["flags"] and "code_repeat_violator" not in on["flags"]
+
+
+def test_run_summary_and_sinks(spark, built, tmp_path):
+    from parcelstack.operators import report
+    s = report.run_summary(built.records, run_id="r1").first()
+    assert s["total"] == 4 and s["source_commit"] == "r1"
+    assert s["tier_counts"] == {"hot": 2, "warm": 1, "active": 1}
+    assert sum(s["pattern_counts"].values()) == sum(len(r["patterns"]) for r in built.records.collect())
+    out = str(tmp_path / "out")
+    report.write_outputs(built.ranked(), report.run_summary(built.records), out)
+    back = spark.read.json(out + "/records")
+    assert back.count() == 4 and "signals" in back.columns
+    spec = {"patterns": ["code"], "text": "maple"}
+    assert report.filtered_counts(built.records, spec).agg(F.sum("n")).first()[0] == \
+        report.export_rows(built.records, spec).count() == 1
+    report.write_export_csv(built.records, spec, str(tmp_path / "csv"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 1

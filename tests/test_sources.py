@@ -145,3 +145,9 @@ def test_cursor_refresh(spark, tmp_path):
                           "OBJECTID")
     got = sorted((r["OBJECTID"], r["CaseStatus"]) for r in spark.read.parquet(target).collect())
     assert got == [(1, "Open"), (2, "Open"), (3, "Open")]    # id 2 is never re-read (documented hazard)
+
+
+def test_import_summary_and_cap(spark):
+    df = spark.createDataFrame([("dot",), ("dot",), ("quitclaim",)], "doc_type_code string")
+    assert {r["doc_type_code"]: r["rows"] for r in ingest.import_summary(df).collect()} == {"dot": 2, "quitclaim": 1}
+    assert ingest.cap_rows(df, 2).count() == 2 and ingest.cap_rows(df, None).count() == 3
