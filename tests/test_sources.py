@@ -151,3 +151,27 @@ def test_import_summary_and_cap(spark):
     df = spark.createDataFrame([("dot",), ("dot",), ("quitclaim",)], "doc_type_code string")
     assert {r["doc_type_code"]: r["rows"] for r in ingest.import_summary(df).collect()} == {"dot": 2, "quitclaim": 1}
     assert ingest.cap_rows(df, 2).count() == 2 and ingest.cap_rows(df, None).count() == 3
+
+
+def test_listing_a_rows(spark):
+    payload = json.dumps([
+        {"value": {"addressparcel": "(Parcel 10820104) 9 Pine Ln<br>Anytown NC", "saletimetaxvalue":
+                   "10:00 AM<br>$12,300.00", "openingbid": "<b>$1,000</b>", "courtfile": "24CVD1", "saledate": "2024-03-01"}},
+        {"value": {"addressparcel": "&nbsp;"}},
+        {"addressparcel": "5 Elm Rd<br>Town<br>01234567", "saletimetaxvalue": "$5", "county": "Union"}])
+    rows = X.listing_a_rows(spark.createDataFrame([(payload,)], "payload string")).collect()
+    assert len(rows) == 2
+    a, b = rows
+    assert (a["pid_normalized"], a["street"], a["city"], a["tax_value"], a["saletime"], a["openingbid"]) == \
+        ("10820104", "9 Pine Ln", "Anytown NC", "$12,300.00", "10:00 AM", "$1,000")
+    assert (b["pid_normalized"], b["county"], a["county"]) == ("01234567", "Union", "Mecklenburg")
+
+
+def test_strict_parcel_scan(spark, tmp_path):
+    import pytest
+    p = tmp_path / "parcels.jsonl"
+    p.write_text('{"pid": "1", "objectid_1": 1}\n{broken\n')
+    with pytest.raises(Exception):
+        FD.read_jsonl(spark, str(p), FD.RAW_PARCEL, strict=True).collect()
+    with pytest.raises(FileNotFoundError):
+        FD.read_jsonl(spark, None, FD.RAW_PARCEL, strict=True)
