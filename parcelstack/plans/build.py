@@ -95,3 +95,20 @@ def build_leads(feeds: Feeds, as_of: str, county: str = K.DEFAULT_COUNTY,
     top = rank.top_signals(sig)
     records = rank.lead_records(scored, rank.signals_map(top))
     return LeadBuild(parcels=parcels, evidence=ev, scored=scored, top=top, records=records)
+
+
+def run_job(spark, paths: dict, out_dir: str, as_of: str, county: str = K.DEFAULT_COUNTY,
+            run_id: str = "", export_filter: dict | None = None, dedup_cases: bool = False) -> LeadBuild:
+    """E1 end to end: JSON-lines feeds (missing optional feeds are empty) ->
+    lead build -> ranked records + run summary (+ filtered CSV export) under
+    `out_dir`. `paths` keys: parcels (required), tax, foreclosures, estates,
+    code_cases, code_demos, instruments."""
+    from ..operators import report
+    from ..session import configure
+    from ..sources.feeds import load_feeds
+    configure(spark)
+    b = build_leads(load_feeds(spark, paths), as_of, county, dedup_cases=dedup_cases)
+    report.write_outputs(b.ranked(), report.run_summary(b.records, run_id), out_dir)
+    if export_filter is not None:
+        report.write_export_csv(b.records, export_filter, f"{out_dir}/export")
+    return b

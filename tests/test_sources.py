@@ -175,3 +175,24 @@ def test_strict_parcel_scan(spark, tmp_path):
         FD.read_jsonl(spark, str(p), FD.RAW_PARCEL, strict=True).collect()
     with pytest.raises(FileNotFoundError):
         FD.read_jsonl(spark, None, FD.RAW_PARCEL, strict=True)
+
+
+def test_run_job_from_jsonl(spark, tmp_path):
+    from parcelstack.plans.build import run_job
+    d = tmp_path / "raw"
+    d.mkdir()
+    (d / "parcels.jsonl").write_text("\n".join(json.dumps(r) for r in [
+        {"objectid_1": 1, "pid": "00000002", "address": "12 OAK ST CHARLOTTE NC", "ownrfrstnme": "BOB"},
+        {"objectid_1": 2, "pid": "00000003", "address": "12 OAK ST CHARLOTTE NC", "ownrlstnme": "CONDO"}]) + "\n")
+    (d / "tax.jsonl").write_text(json.dumps({"_source": "kania", "county": "", "pid_normalized": "00000002"}) + "\n")
+    (d / "fc.jsonl").write_text(json.dumps({"detail_id": 1, "address": "12 Oak St, Charlotte, NC, 28202",
+                                            "county": "Mecklenburg", "summary": "HOA lien sale"}) + "\n")
+    out = str(tmp_path / "out")
+    run_job(spark, {"parcels": str(d / "parcels.jsonl"), "tax": str(d / "tax.jsonl"),
+                    "foreclosures": str(d / "fc.jsonl"), "estates": str(d / "absent.jsonl")},
+            out, "2024-06-01", run_id="t1", export_filter={"patterns": ["tax"]})
+    recs = {r["pid"]: r for r in spark.read.json(out + "/records").collect()}
+    assert recs["00000002"]["tier"] == "warm" and recs["00000003"]["tier"] == "active"
+    s = spark.read.json(out + "/summary").first()
+    assert s["total"] == 2 and s["source_commit"] == "t1"
+    assert spark.read.option("header", True).csv(out + "/export").count() == 1
