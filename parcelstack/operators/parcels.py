@@ -82,7 +82,7 @@ def address_index(parcels: DataFrame) -> DataFrame:
 
 
 def owner_key_index(parcels: DataFrame) -> DataFrame:
-    """Distinct (name_key, pid) from both owners' index-side keys.
+    """(name_key, pid) pairs, distinct, from both owners' index-side keys.
 
     Normalized names are projected first, so the key builder reads plain
     columns instead of re-evaluating the regex chain for every key part.
@@ -90,6 +90,9 @@ def owner_key_index(parcels: DataFrame) -> DataFrame:
     staged = (parcels.select("pid", "sale_ts", N.normalize_owner("owner").alias("_n1"),
                              N.normalize_owner("owner2").alias("_n2"))
               .select("pid", "sale_ts", N.name_tokens("_n1").alias("_t1"), N.name_tokens("_n2").alias("_t2")))
+    # pid is unique per parcel row and array_union de-duplicates the keys of
+    # both owners, so (name_key, pid) is already distinct: no shuffle here.
+    # The index is only ever joined with the (small) probe keys of notices,
+    # which Spark/AQE broadcast by measured size, streaming this side.
     keys = F.array_union(N.owner_keys_from_tokens("_t1"), N.owner_keys_from_tokens("_t2"))
-    return (staged.select("pid", "sale_ts", F.explode(keys).alias("name_key"))
-            .dropDuplicates(["name_key", "pid"]))
+    return staged.select("pid", "sale_ts", F.explode(keys).alias("name_key"))
