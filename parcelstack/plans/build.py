@@ -91,9 +91,14 @@ def build_leads(feeds: Feeds, as_of: str, county: str = K.DEFAULT_COUNTY,
     if checkpoint:
         ev = materialize(ev)
     scored = score.score_leads(score.fold(ev), parcels, as_of)
+    if checkpoint:
+        scored = materialize(scored)
     sig = ev.where(F.col("pattern").isNotNull()).unionByName(score.transfer_evidence(scored))
     top = rank.top_signals(sig)
     records = rank.lead_records(scored, rank.signals_map(top))
+    if checkpoint:
+        # the build's output table (S7 writes it); reports and exports read it
+        records = materialize(records)
     return LeadBuild(parcels=parcels, evidence=ev, scored=scored, top=top, records=records)
 
 
