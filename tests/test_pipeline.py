@@ -192,3 +192,19 @@ def test_run_summary_and_sinks(spark, built, tmp_path):
         report.export_rows(built.records, spec).count() == 1
     report.write_export_csv(built.records, spec, str(tmp_path / "csv"))
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 1
+
+
+def test_flags_never_change_tier(spark, built):
+    """Adding flag-only evidence (satisfactions, deeds of trust) to every parcel leaves every tier as it was."""
+    extra = [{"doc_type_code": c, "pid": p} for p in ["00000002", "00000003", "00000004", "10820104"]
+             for c in ("satisfaction", "dot", "asgn")]
+    f = make_feeds(spark, parcels_raw=PARCELS, tax=TAX, foreclosures=FC, estates=EST, code_cases=CASES,
+                   code_demos=DEMOS, instruments=INSTR + extra)
+    after = {r["pid"]: r["tier"] for r in build.build_leads(f, AS_OF, checkpoint=False).records.collect()}
+    before = {r["pid"]: r["tier"] for r in built.records.collect()}
+    assert after == before
+
+
+def test_tier_counts_sum_to_rows(built):
+    from parcelstack.operators import report
+    assert sum(r["n"] for r in report.tier_counts(built.records).collect()) == built.records.count()
