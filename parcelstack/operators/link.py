@@ -210,17 +210,20 @@ def estate_notices(est: DataFrame, county: str = K.DEFAULT_COUNTY) -> DataFrame:
 
 def attach_by_name(notices: DataFrame, key_index: DataFrame) -> DataFrame:
     """Any-key match: explode the notice keys, equi-join the owner-key index,
-    keep distinct (notice, pid). Notices without keys are skipped (counted
-    as unsafe by the metrics)."""
+    keep distinct (notice, pid) with the matched key as evidence (the
+    smallest when several keys hit). Notices without keys are skipped
+    (counted as unsafe by the metrics)."""
     probe = notices.select("_ord", F.explode("keys").alias("name_key"))
     # distinct (notice, parcel) on narrow rows first, then the notice payload
     hits = (probe.join(key_index.select("name_key", "pid", "sale_ts"), "name_key")
-            .dropDuplicates(["_ord", "pid"]).drop("name_key"))
+            .groupBy("_ord", "pid").agg(F.min("name_key").alias("match_key"), F.max("sale_ts").alias("sale_ts")))
     j = hits.join(notices.select("_ord", "detail_id", "decedent_name", "posted_date", "case_number",
                                  "detail_url"), "_ord")
     pairs = [
         ("source", F.lit("mecktimes")), ("decedent", F.coalesce(F.col("decedent_name"), F.lit(""))),
         ("posted", F.col("posted_date")), ("case", F.col("case_number")), ("url", F.col("detail_url")),
+        # match evidence: name linkage yields false matches by its own account
+        ("match_key", F.col("match_key")),
     ]
     return _ev(j, "estate", True, None, "mecktimes", FEED_RANK["estate"], pairs)
 
