@@ -599,6 +599,8 @@ SELECT instrument_id, doc_type, CASE WHEN doc_type_code = '' THEN 'unknown' ELSE
   'line ' || CAST(_row AS VARCHAR) AS notes FROM instr""",
         "snapshot_overwrite": f"WITH {feed_ctes()}" + """
 SELECT _source, courtfile, pid_normalized, county, saledate FROM tax""",
+        "cursor_refresh": """
+SELECT event_id AS OBJECTID, CAST(user_id AS VARCHAR) AS ParcelId, event_type AS CaseStatus, value FROM events""",
         "incremental_dedup": """
 SELECT user_id, event_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1""",

@@ -240,6 +240,26 @@ def incremental_dedup(spark, d) -> DataFrame:
     return spark.read.parquet(target).select("user_id", "event_id", "event_type", "value")
 
 
+def cursor_refresh(spark, d) -> DataFrame:
+    """ST2 through Structured Streaming: events (as code-case pages) arrive as
+    weekly drops in ascending id order, one drop per micro-batch, and week 2 is
+    delivered twice (a crash between flush and cursor save); the cursor keeps
+    every event exactly once."""
+    from ..sources import ingest
+    from ..streaming import incremental as inc
+    ev = standins.read_table(spark, d, "events").select(
+        F.col("event_id").alias("OBJECTID"), F.col("user_id").cast("string").alias("ParcelId"),
+        F.col("event_type").alias("CaseStatus"), F.col("value"),
+        F.floor((F.dayofmonth("ts") - 1) / 7).cast("int").alias("week"))
+    src = ingest.scratch_dir(spark, "case-pages")
+    for w in [0, 1, 2, 2, 3, 4]:  # arrival order, week 2 repeated
+        ev.where(F.col("week") == w).drop("week").repartition(4).write.mode("append").json(src)
+    target, ckpt = ingest.scratch_dir(spark, "cases-cursor"), ingest.scratch_dir(spark, "cases-ckpt")
+    schema = spark.createDataFrame([], "OBJECTID long, ParcelId string, CaseStatus string, value double").schema
+    inc.run_cursor_stream(spark, src, schema, target, ckpt, "OBJECTID", files_per_batch=4)
+    return spark.read.parquet(target).select("OBJECTID", "ParcelId", "CaseStatus", "value")
+
+
 def dry_run(spark, d) -> DataFrame:
     return report.dry_run_distribution(lead_build(spark, d).scored, DRY_RUN_N)
 
@@ -272,4 +292,5 @@ QUERIES = {
     "instrument_import": instrument_import,
     "snapshot_overwrite": snapshot_overwrite,
     "incremental_dedup": incremental_dedup,
+    "cursor_refresh": cursor_refresh,
 }

@@ -60,10 +60,15 @@ def run_dedup_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
 
 
 def cursor_append_batch(batch: DataFrame, target: str, oid_col: str) -> None:
-    """ST2 for one micro-batch: rows above the target's max object id."""
+    """ST2 for one micro-batch: rows above the cursor, appended; then the new
+    cursor (this batch's max id) is appended to a one-row-per-batch side table
+    `<target>_cursor`, so reading the cursor never scans the target. As in the
+    source scraper, a failure between the two writes replays the batch's rows
+    on retry (foreachBatch is at-least-once)."""
     spark = batch.sparkSession
+    cursor_path = target.rstrip("/") + "_cursor"
     try:
-        last = spark.read.parquet(target).agg(F.max(oid_col).alias("m"))
+        last = spark.read.parquet(cursor_path).agg(F.max("cursor").alias("m"))
     except Exception as e:
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             last = None
@@ -72,11 +77,14 @@ def cursor_append_batch(batch: DataFrame, target: str, oid_col: str) -> None:
     new = batch if last is None else batch.join(F.broadcast(last), F.col(oid_col) > F.coalesce("m", F.lit(-1)),
                                                 "left_semi")
     new.sortWithinPartitions(oid_col).write.mode("append").parquet(target)
+    (new.agg(F.max(oid_col).alias("cursor")).where(F.col("cursor").isNotNull())
+     .write.mode("append").parquet(cursor_path))
 
 
 def run_cursor_stream(spark: SparkSession, source_dir: str, schema: T.StructType, target: str, checkpoint: str,
-                      oid_col: str) -> None:
-    q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(source_dir)
+                      oid_col: str, files_per_batch: int = 1) -> None:
+    """Run ST2 over every file now in `source_dir` (Trigger.AvailableNow)."""
+    q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(source_dir)
          .writeStream.option("checkpointLocation", checkpoint)
          .foreachBatch(lambda df, _epoch: cursor_append_batch(df, target, oid_col))
          .trigger(availableNow=True).start())
