@@ -47,3 +47,10 @@ def test_hot_parcel(spark):
     assert hot["distress_score"] == 10 + 20          # flag rows 301, capped at 20
     assert len(hot["signals"]["code"]) == 3          # whole feed linked, top 3 kept per pattern
     assert b.evidence.where(F.col("pid") == "00000001").count() == 300
+
+
+def test_cluster_settings():
+    from parcelstack.session import cluster_settings
+    s = cluster_settings(100 * 1024 ** 4, 8000)
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600
+    assert cluster_settings(10, 8)["spark.sql.shuffle.partitions"] == "16"
