@@ -55,7 +55,8 @@ def first_row_per_pid(raw: DataFrame) -> DataFrame:
 
 
 def clean_parcels(raw: DataFrame) -> DataFrame:
-    """One cleaned row per pid (71 columns + typed sale columns + address key)."""
+    """One cleaned row per pid (71 columns + typed sale columns + address key
+    + owner name keys)."""
     r = first_row_per_pid(raw)
     text = [N.clean(src).alias(dst) for dst, src in TEXT_COLS]
     nums = [N.num(src).alias(dst) for dst, src in NUM_COLS]
@@ -68,7 +69,14 @@ def clean_parcels(raw: DataFrame) -> DataFrame:
            .withColumn("owner2", N.join_nonempty("owner2_first", "owner2_last"))
            .withColumn("sale_ts", N.ms_to_ts("sale_date_raw"))
            .withColumn("sale_date", F.col("sale_date_raw").try_cast("double").try_cast("bigint"))
-           .withColumn("addr_key", N.street_key("address"))
+           .withColumn("addr_key", N.street_key("address")))
+    # owner name keys, materialized with the parcel (normalized names and
+    # tokens staged as columns so each projection stays small)
+    out = (out.withColumn("_n1", N.normalize_owner("owner")).withColumn("_n2", N.normalize_owner("owner2"))
+           .withColumn("_t1", N.name_tokens("_n1")).withColumn("_t2", N.name_tokens("_n2"))
+           .withColumn("name_keys", F.array_union(N.owner_keys_from_tokens("_t1"), N.owner_keys_from_tokens("_t2")))
+           .drop("_n1", "_n2", "_t1", "_t2"))
+    out = (out
            .withColumn("absentee", (F.col("address") != "") & (F.col("mail_addr") != "")
                        & (F.col("addr_key.name") != N.street_key("mail_addr")["name"])))
     return out
@@ -84,15 +92,16 @@ def address_index(parcels: DataFrame) -> DataFrame:
 def owner_key_index(parcels: DataFrame) -> DataFrame:
     """(name_key, pid) pairs, distinct, from both owners' index-side keys.
 
-    Normalized names are projected first, so the key builder reads plain
-    columns instead of re-evaluating the regex chain for every key part.
+    The keys are a column of the cleaned parcels (`name_keys`), so the index
+    is one explode of a stored column. pid is unique per parcel row and the
+    keys of both owners are de-duplicated per row, so the pairs are already
+    distinct: no shuffle here. The index is only joined with the (small)
+    probe keys of notices, which Spark/AQE broadcast by measured size.
     """
-    staged = (parcels.select("pid", "sale_ts", N.normalize_owner("owner").alias("_n1"),
-                             N.normalize_owner("owner2").alias("_n2"))
-              .select("pid", "sale_ts", N.name_tokens("_n1").alias("_t1"), N.name_tokens("_n2").alias("_t2")))
-    # pid is unique per parcel row and array_union de-duplicates the keys of
-    # both owners, so (name_key, pid) is already distinct: no shuffle here.
-    # The index is only ever joined with the (small) probe keys of notices,
-    # which Spark/AQE broadcast by measured size, streaming this side.
-    keys = F.array_union(N.owner_keys_from_tokens("_t1"), N.owner_keys_from_tokens("_t2"))
-    return staged.select("pid", "sale_ts", F.explode(keys).alias("name_key"))
+    if "name_keys" not in parcels.columns:
+        staged = (parcels.select("pid", "sale_ts", N.normalize_owner("owner").alias("_n1"),
+                                 N.normalize_owner("owner2").alias("_n2"))
+                  .select("pid", "sale_ts", N.name_tokens("_n1").alias("_t1"), N.name_tokens("_n2").alias("_t2")))
+        parcels = staged.select("pid", "sale_ts", F.array_union(N.owner_keys_from_tokens("_t1"),
+                                                                N.owner_keys_from_tokens("_t2")).alias("name_keys"))
+    return parcels.select("pid", "sale_ts", F.explode("name_keys").alias("name_key"))
