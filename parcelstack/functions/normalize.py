@@ -346,23 +346,6 @@ def _sql(c: str) -> str:
     return "`" + c.replace("`", "``") + "`"
 
 
-def truthy_num(c) -> Column:
-    """Python truthiness of a raw value read as text: null, '' -> false.
-
-    Raw numbers arrive as text in our schemas, so '0' is truthy (as the
-    text "0" is), while a numeric 0 cannot occur.
-    """
-    c = col_(c).cast("string")
-    return c.isNotNull() & (c != "")
-
-
-def value_fallback(market, total) -> Column:
-    """`market or total` on raw text values, then as double (null if not numeric)."""
-    m, t = col_(market).cast("string"), col_(total).cast("string")
-    pick = F.when(truthy_num(m), m).otherwise(t)
-    return pick.try_cast("double")
-
-
 def ms_to_ts(c) -> Column:
     """Epoch milliseconds (number or text) -> timestamp; only 0 < v < 2100-01-01."""
     v = col_(c).cast("string").try_cast("double")
@@ -382,7 +365,3 @@ def days_between(later, earlier) -> Column:
     """Whole days of (later - earlier), floored like Python's timedelta.days."""
     secs = F.unix_seconds(later) - F.unix_seconds(earlier)
     return F.floor(secs / F.lit(86400)).cast("long")
-
-
-def round1(x) -> Column:
-    return F.round(x, 1)

@@ -164,19 +164,6 @@ def attach_by_pid(cands: DataFrame, parcels: DataFrame) -> DataFrame:
     return cands.drop("sale_ts").where(F.col("pid") != "").join(keys, "pid").select(*EVIDENCE_COLS)
 
 
-def repeat_violator_flags(code_ev: DataFrame) -> DataFrame:
-    """One `code_repeat_violator` flag per pid with >= 2 attached open cases
-    (partial count per map task, then merge: safe for hot pids)."""
-    g = (code_ev.where(F.col("source") == "charlotte_hns")
-         .groupBy("pid").agg(F.count(F.lit(1)).alias("n"), F.max("sale_ts").alias("sale_ts"))
-         .where(F.col("n") >= 2))
-    return g.select(
-        "pid", F.lit(None).cast("string").alias("pattern"), F.lit(False).alias("fires"),
-        F.lit("code_repeat_violator").alias("flag"), F.lit("charlotte_hns").alias("source"),
-        F.lit(FEED_RANK["code"]).alias("feed_rank"), F.lit(None).cast("long").alias("row_ord"),
-        F.lit("").alias("rkey"), F.create_map().cast("map<string,string>").alias("detail"), "sale_ts")
-
-
 # ------------------------------------------------------------------ address-keyed feed
 def foreclosure_notices(fc: DataFrame, county: str = K.DEFAULT_COUNTY) -> DataFrame:
     """Notices of the county with their class (P4) and address key."""
