@@ -69,7 +69,24 @@ def transfer_rule_a(p_sale_ts: Column, sale_price: Column, value: Column, now: C
     return recent & sale_price.isNotNull() & F.coalesce(nominal, F.lit(False))
 
 
-def score_leads(folded: DataFrame, parcels: DataFrame, as_of: str) -> DataFrame:
+WEIGHT_KEYS = ["PATTERN_WEIGHTS", "ABSENTEE_POINTS", "VALUE_OVER_500K_POINTS", "DEMOLITION_POINTS", "VACANT_POINTS",
+               "HEIRS_POINTS", "DISTRESS_PER_PATTERN", "DISTRESS_FLAG_CAP", "DISTRESS_ABSENTEE", "DISTRESS_SENIOR",
+               "DISTRESS_EQUITY", "DISTRESS_YEARS"]
+
+
+def weights(overrides: dict | None = None):
+    """Score weights: the fixed defaults, with named overrides (for example
+    DISTRESS_SENIOR=0 to stop age-related exemptions from raising a score)."""
+    from types import SimpleNamespace
+    w = {k: getattr(K, k) for k in WEIGHT_KEYS}
+    for k, v in (overrides or {}).items():
+        if k not in w:
+            raise KeyError(f"unknown weight {k}")
+        w[k] = v
+    return SimpleNamespace(**w)
+
+
+def score_leads(folded: DataFrame, parcels: DataFrame, as_of: str, weight_overrides: dict | None = None) -> DataFrame:
     """Join the fold with the parcel row (J11) and compute every score field.
 
     Output keeps the parcel columns plus: patterns, stack_count, tier,
@@ -77,6 +94,7 @@ def score_leads(folded: DataFrame, parcels: DataFrame, as_of: str) -> DataFrame:
     with no pattern are kept here (P7 drops them in `records`).
     """
     now = as_of_ts(as_of)
+    W = weights(weight_overrides)
     L = folded.join(parcels, "pid")
     value = value_or_total(F.col("total_market_value"), F.col("total_value"))
     rule_a = transfer_rule_a(F.col("sale_ts"), F.col("sale_price"), value, now)
@@ -97,7 +115,7 @@ def score_leads(folded: DataFrame, parcels: DataFrame, as_of: str) -> DataFrame:
 
     # ---- raw_score (M1) and the flags it adds
     has = lambda p: F.array_contains("patterns", p)
-    pat_pts = sum((F.when(has(p), F.lit(w)).otherwise(F.lit(0)) for p, w in K.PATTERN_WEIGHTS.items()), F.lit(0))
+    pat_pts = sum((F.when(has(p), F.lit(w)).otherwise(F.lit(0)) for p, w in W.PATTERN_WEIGHTS.items()), F.lit(0))
     val0 = F.coalesce(F.when(_truthy(F.col("total_market_value")), F.col("total_market_value")),
                       F.when(_truthy(F.col("total_value")), F.col("total_value")), F.lit(0.0))
     high_value = _finite(val0) & (val0 >= K.HIGH_VALUE)
@@ -105,11 +123,11 @@ def score_leads(folded: DataFrame, parcels: DataFrame, as_of: str) -> DataFrame:
     heirs = has("estate") & F.upper(F.col("owner_type")).isin(K.HEIRS_OWNER_TYPES)
     demo = F.array_contains("flag_set", "demolition_order")
     L = (L.withColumn("raw_score", (pat_pts
-                                    + F.when(F.col("absentee"), K.ABSENTEE_POINTS).otherwise(0)
-                                    + F.when(high_value, K.VALUE_OVER_500K_POINTS).otherwise(0)
-                                    + F.when(demo, K.DEMOLITION_POINTS).otherwise(0)
-                                    + F.when(vacant, K.VACANT_POINTS).otherwise(0)
-                                    + F.when(heirs, K.HEIRS_POINTS).otherwise(0)).cast("int"))
+                                    + F.when(F.col("absentee"), W.ABSENTEE_POINTS).otherwise(0)
+                                    + F.when(high_value, W.VALUE_OVER_500K_POINTS).otherwise(0)
+                                    + F.when(demo, W.DEMOLITION_POINTS).otherwise(0)
+                                    + F.when(vacant, W.VACANT_POINTS).otherwise(0)
+                                    + F.when(heirs, W.HEIRS_POINTS).otherwise(0)).cast("int"))
          .withColumn("flags", F.array_sort(F.array_union("flag_set", F.filter(F.array(
              F.when(F.col("absentee"), F.lit("absentee_owner")),
              F.when(high_value, F.lit("value_over_500k")),
@@ -138,13 +156,13 @@ def score_leads(folded: DataFrame, parcels: DataFrame, as_of: str) -> DataFrame:
          .withColumn("lot_value_pct", F.when(lv.isNotNull() & _finite(tmv) & (tmv > 0),
                                              F.round(F.least(F.lit(100.0), lv / tmv * 100.0), 1)))
          .withColumn("distress_score", (
-             F.col("stack_count") * K.DISTRESS_PER_PATTERN
-             + F.least(F.lit(K.DISTRESS_FLAG_CAP), F.col("n_flags"))
-             + F.when(F.col("is_absentee"), K.DISTRESS_ABSENTEE).otherwise(0)
-             + F.when(F.col("is_senior"), K.DISTRESS_SENIOR).otherwise(0)
+             F.col("stack_count") * W.DISTRESS_PER_PATTERN
+             + F.least(F.lit(W.DISTRESS_FLAG_CAP), F.col("n_flags"))
+             + F.when(F.col("is_absentee"), W.DISTRESS_ABSENTEE).otherwise(0)
+             + F.when(F.col("is_senior"), W.DISTRESS_SENIOR).otherwise(0)
              + F.when(F.coalesce(F.col("estimated_equity_pct") >= K.DISTRESS_EQUITY_MIN, F.lit(False)),
-                      K.DISTRESS_EQUITY).otherwise(0)
-             + F.when(yo >= K.DISTRESS_YEARS_MIN, K.DISTRESS_YEARS).otherwise(0)).cast("int")))
+                      W.DISTRESS_EQUITY).otherwise(0)
+             + F.when(yo >= K.DISTRESS_YEARS_MIN, W.DISTRESS_YEARS).otherwise(0)).cast("int")))
     return L
 
 

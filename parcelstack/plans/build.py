@@ -80,17 +80,18 @@ def build_evidence(feeds: Feeds, parcels: DataFrame, county: str = K.DEFAULT_COU
 
 
 def build_leads(feeds: Feeds, as_of: str, county: str = K.DEFAULT_COUNTY,
-                checkpoint: bool = True, dedup_cases: bool = False) -> LeadBuild:
+                checkpoint: bool = True, dedup_cases: bool = False, weights: dict | None = None) -> LeadBuild:
     """The whole lead build. `as_of` is the run's 'now' (UTC date);
     `county` the notice feeds' county; `dedup_cases` counts each code case
-    once (latest row) instead of once per ingested row."""
+    once (latest row) instead of once per ingested row; `weights` overrides
+    score weights by name (see `score.WEIGHT_KEYS`)."""
     parcels = P.clean_parcels(feeds.parcels_raw)
     if checkpoint:
         parcels = materialize(parcels)
     ev = build_evidence(feeds, parcels, county, dedup_cases)
     if checkpoint:
         ev = materialize(ev)
-    scored = score.score_leads(score.fold(ev), parcels, as_of)
+    scored = score.score_leads(score.fold(ev), parcels, as_of, weights)
     if checkpoint:
         scored = materialize(scored)
     sig = ev.where(F.col("pattern").isNotNull()).unionByName(score.transfer_evidence(scored))

@@ -208,3 +208,14 @@ def test_flags_never_change_tier(spark, built):
 def test_tier_counts_sum_to_rows(built):
     from parcelstack.operators import report
     assert sum(r["n"] for r in report.tier_counts(built.records).collect()) == built.records.count()
+
+
+def test_weight_overrides(spark, feeds, built):
+    """Weights are config: the senior points can be switched off (policy point)."""
+    b = build.build_leads(feeds, AS_OF, checkpoint=False, weights={"DISTRESS_SENIOR": 0, "PATTERN_WEIGHTS":
+                                                                   {"jfc": 25, "tax": 20, "estate": 20, "code": 12,
+                                                                    "lien": 12, "transfer": 0}})
+    new = {r["pid"]: r for r in b.records.collect()}
+    old = {r["pid"]: r for r in built.records.collect()}
+    assert new["10820104"]["raw_score"] == old["10820104"]["raw_score"] - 10
+    assert {p: r["tier"] for p, r in new.items()} == {p: r["tier"] for p, r in old.items()}   # tiers never move
