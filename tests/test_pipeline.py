@@ -219,3 +219,11 @@ def test_weight_overrides(spark, feeds, built):
     old = {r["pid"]: r for r in built.records.collect()}
     assert new["10820104"]["raw_score"] == old["10820104"]["raw_score"] - 10
     assert {p: r["tier"] for p, r in new.items()} == {p: r["tier"] for p, r in old.items()}   # tiers never move
+
+
+def test_free_text_over_signal_payload(built):
+    """The text filter can search the signal payload (a case number here)."""
+    from parcelstack.operators import report
+    plain = {r["pid"] for r in built.records.where(report.matches({"text": "24sp1"})).collect()}
+    deep = {r["pid"] for r in built.records.where(report.matches({"text": "24sp1", "search_signals": True})).collect()}
+    assert plain == set() and deep == {"00000002", "00000003"}
