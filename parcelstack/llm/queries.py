@@ -4,6 +4,7 @@ the whole tables, with the digest columns that their contracts name."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,11 +21,28 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return over_limit(count_tokens(table(spark, sf_dir, "documents"), model_path()))
 
 
+def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import plan, taken_words
+    return taken_words(*plan(table(spark, sf_dir, "documents")))
+
+
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .exact_dedup import copies
+    return copies(table(spark, sf_dir, "documents")).select(
+        F.col("doc.doc_id").alias("doc_id"), "keep_id", "group_size", "kept", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sentencepiece_codec import digests, encode
     return digests(encode(table(spark, sf_dir, "documents"), model_path(), decoded=True))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op9_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op2_token_counts, op4_mix, op8_exact_dedup, op9_sentencepiece)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_exact_dedup": """
+        WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+             g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text)
+        SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(text) AS text_sha256
+        FROM t JOIN g USING (text)""",
+}
