@@ -16,11 +16,25 @@ def model_path(name: str = "piece_bpe_32k.model") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import fit, held_out, predict
+    docs = table(spark, sf_dir, "documents")
+    out = predict(docs, fit(docs.where(~held_out())))
+    return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import count_tokens, over_limit
     return over_limit(count_tokens(table(spark, sf_dir, "documents"), model_path()))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import fit, held_out, score
+    docs = table(spark, sf_dir, "documents")
+    out = score(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import plan, taken_words
     return taken_words(*plan(table(spark, sf_dir, "documents")))
@@ -37,7 +51,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode(table(spark, sf_dir, "documents"), model_path(), decoded=True))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op4_mix, op8_exact_dedup, op9_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_token_counts, op3_toxicity, op4_mix, op8_exact_dedup, op9_sentencepiece)}
 
 ORACLE_SQL: dict[str, str] = {
     "op8_exact_dedup": """
