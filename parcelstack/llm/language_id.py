@@ -198,7 +198,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     return texts(docs).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: Model | None, min_score: float = 0.5) -> DataFrame:
+def keep_identified(docs: DataFrame, model: Model | None, min_score: float = 0.25) -> DataFrame:
     """The rows of `docs`, all columns, whose language is determined with at
     least `min_score`. Rows go through Python whole, so none is joined back."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

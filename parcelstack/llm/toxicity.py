@@ -33,16 +33,25 @@ _WORDS = re.compile(r"[^\W\d_]+")
 MEMORY = 500_000
 
 
+def beginnings(word: str) -> list[str]:
+    return [word[:k] for k in (4, 5, 6) if len(word) >= k]
+
+
 def parts(word: str) -> list[str]:
     """Features of a word: itself, its beginnings, and its 5-grams."""
-    out = [f"={word}"]
-    out += [f"^{word[:k]}" for k in (4, 5, 6) if len(word) >= k]
-    out += [word[i:i + 5] for i in range(1, len(word) - 4)]
-    return out
+    return [f"={word}", *(f"^{b}" for b in beginnings(word)), *(word[i:i + 5] for i in range(1, len(word) - 4))]
+
+
+def document_parts(text: str) -> set[str]:
+    """Features of a text: those of its words, and the beginnings that at
+    least two different words of it share."""
+    words = set(_WORDS.findall(text.lower()))
+    shared = Counter(b for w in words for b in beginnings(w))
+    return {p for w in words for p in parts(w)} | {f"2{b}" for b, n in shared.items() if n > 1}
 
 
 class _Known(dict):
-    """word -> numbers of its features in the model."""
+    """word -> (numbers of its features, of its beginnings if shared) in the model."""
 
     def __init__(self, vocabulary: dict[str, int]):
         super().__init__()
@@ -52,7 +61,19 @@ class _Known(dict):
         if len(self) > MEMORY:
             self.clear()
         get = self.vocabulary.get
-        self[word] = found = tuple(i for i in map(get, parts(word)) if i is not None)
+        self[word] = found = (tuple(i for i in map(get, parts(word)) if i is not None),
+                              tuple(i for i in (get(f"2{b}") for b in beginnings(word)) if i is not None))
+        return found
+
+    def of(self, text: str) -> set[int]:
+        """The model's features in a text."""
+        found, once = set(), set()
+        for w in set(_WORDS.findall(text.lower())):
+            own, shared = self[w]
+            if own:
+                found.update(own)
+            for i in shared:
+                (found if i in once else once).add(i)
         return found
 
 
@@ -64,34 +85,35 @@ class Model:
         known = _Known(self.vocabulary) if known is None else known
         z = np.full(len(texts_), self.bias)
         for k, t in enumerate(texts_):
-            found = {i for w in set(_WORDS.findall(t.lower())) for i in known[w]}
+            found = known.of(t)
             if found:
                 z[k] += self.weights[list(found)].sum()
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        return _sigmoid(z)
 
 
-def train_nnpu(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05,
-               decay: float = 2e-4) -> tuple[np.ndarray, float]:
-    """(weights, bias) by Adam on the non-negative risk with logistic loss."""
+def train_nnpu(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 600, rate: float = 0.05,
+               decay: float = 3e-5) -> tuple[np.ndarray, float]:
+    """(weights, bias) by Adam on the non-negative risk with the sigmoid loss
+    (bounded, so the features chosen on the positives cannot outweigh them)."""
     x_p, x_u = np.c_[pos, np.ones(len(pos))], np.c_[unl, np.ones(len(unl))]
     w = np.zeros(x_p.shape[1])
+    w[-1] = -1
     m, v = np.zeros_like(w), np.zeros_like(w)
-
-    def sig(z):
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-
     for t in range(1, steps + 1):
-        z_p, z_u = x_p @ w, x_u @ w
-        neg_p = x_p.T @ sig(z_p) / len(x_p)  # gradient of R_p(-)
-        bracket = np.logaddexp(0, z_u).mean() - prior * np.logaddexp(0, z_p).mean()
-        against = x_u.T @ sig(z_u) / len(x_u) - prior * neg_p
-        grad = against + prior * (-(x_p.T @ sig(-z_p)) / len(x_p)) if bracket >= 0 else -against
+        s_p, s_u = _sigmoid(x_p @ w), _sigmoid(x_u @ w)
+        toward = x_p.T @ (s_p * (1 - s_p)) / len(x_p)  # gradient of R_p(-), and of R_p(+) with its sign turned
+        against = x_u.T @ (s_u * (1 - s_u)) / len(x_u) - prior * toward
+        grad = against - prior * toward if s_u.mean() - prior * s_p.mean() >= 0 else -against
         grad = grad + decay * np.r_[w[:-1], 0]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         w = w - rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
     return w[:-1], float(w[-1])
 
 
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
 def held_out(doc_id="doc_id", folds: int = 3, fold: int = 1):
     """Rows whose labels training never sees."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds == fold, F.lit(False))
@@ -126,7 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, n_positive: int = 1500, n_unlabelled
         seen = {0: Counter(), 1: Counter()}
         for batch in batches:
             for y, t in zip(batch.column("y").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                seen[y].update({p for w in set(_WORDS.findall(t.lower())) for p in parts(w)})
+                seen[y].update(document_parts(t))
         for y, c in seen.items():
             items = list(c.items())
             for i in range(0, len(items), 50_000):
@@ -147,7 +169,7 @@ def fit(docs: DataFrame, labels: DataFrame, n_positive: int = 1500, n_unlabelled
     def found(batches):
         known = _Known(vocabulary)
         for batch in batches:
-            hits = [sorted({i for w in set(_WORDS.findall(t.lower())) for i in known[w]}) for t in batch.column("text").to_pylist()]
+            hits = [sorted(known.of(t)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(hits, pa.list_(pa.int32()))], ["y", "hits"])
 
     sample = drawn.mapInArrow(found, "y int, hits array<int>").collect()  # bounded by the sample parameters
