@@ -51,7 +51,14 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode(table(spark, sf_dir, "documents"), model_path(), decoded=True))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_token_counts, op3_toxicity, op4_mix, op8_exact_dedup, op9_sentencepiece)}
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk_search import integer_vectors, top_k
+    rows = integer_vectors(table(spark, sf_dir, "embeddings"))
+    return top_k(rows, rows.where("vec_id % 50 = 0"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_token_counts, op3_toxicity, op4_mix, op8_exact_dedup, op9_sentencepiece,
+                                  op10_topk_search)}
 
 ORACLE_SQL: dict[str, str] = {
     "op8_exact_dedup": """
@@ -59,4 +66,12 @@ ORACLE_SQL: dict[str, str] = {
              g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text)
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(text) AS text_sha256
         FROM t JOIN g USING (text)""",
+    "op10_topk_search": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+                   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+                   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+             r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
 }
