@@ -40,6 +40,11 @@ def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(*plan(table(spark, sf_dir, "documents")))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_scan import digests, scan
+    return digests(scan(table(spark, sf_dir, "documents")))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import copies
     return copies(table(spark, sf_dir, "documents")).select(
@@ -57,7 +62,7 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(rows, rows.where("vec_id % 50 = 0"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_token_counts, op3_toxicity, op4_mix, op8_exact_dedup, op9_sentencepiece,
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_token_counts, op3_toxicity, op4_mix, op6_secret_scan, op8_exact_dedup, op9_sentencepiece,
                                   op10_topk_search)}
 
 ORACLE_SQL: dict[str, str] = {
