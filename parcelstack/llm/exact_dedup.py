@@ -137,9 +137,8 @@ def suspects(sent: DataFrame, owner_bits: int) -> DataFrame:
     return back.select("owner", "n", "k", "code", "bitmap").mapInArrow(read, "fp long").distinct()
 
 
-def suspect_filter(spark, suspect: DataFrame):
-    """A predicate on a fingerprint column that holds for every suspect, and
-    for few others while the filter is not saturated."""
+def suspect_filter_bits(suspect: DataFrame) -> tuple[np.ndarray, int]:
+    """(packed bits, log2 of their number): set for every fingerprint in `fp`."""
     n = suspect.count()
     bits = min(FILTER_BITS, max(16, (32 * n).bit_length()))
 
@@ -155,20 +154,28 @@ def suspect_filter(spark, suspect: DataFrame):
     table = np.zeros((1 << bits) // 8, dtype=np.uint8)
     for r in rows:  # at most 2^FILTER_BITS / FILTER_CHUNK rows of 4 KB
         table[r.chunk * FILTER_CHUNK // 8:][:FILTER_CHUNK // 8] = np.frombuffer(r.marks, dtype=np.uint8)
-    shared = spark.sparkContext.broadcast(table)
+    return table, bits
+
+
+def suspect_filter(spark, suspect: DataFrame):
+    """A predicate on a fingerprint column that holds for every suspect, and
+    for few others while the filter is not saturated."""
+    shared = spark.sparkContext.broadcast(suspect_filter_bits(suspect))
 
     @F.pandas_udf("boolean")
     def suspected(fp: pd.Series) -> pd.Series:
-        at = fp.to_numpy() >> (FINGERPRINT_BITS - bits)
-        return pd.Series((shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
+        table, bits = shared.value
+        at = fp.fillna(0).to_numpy(dtype=np.int64) >> (FINGERPRINT_BITS - bits)
+        return pd.Series((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
 
     return suspected
 
 
-def copies(docs: DataFrame, owner_bits: int | None = None) -> DataFrame:
+def copies(docs: DataFrame, owner_bits: int | None = None, smallest: bool = False) -> DataFrame:
     """All columns of `docs` under `doc` (a struct), with text (null as
     empty), keep_id, group_size and kept. `owner_bits`: 2^bits owners; by
-    default about one for four shuffle partitions."""
+    default about one for four shuffle partitions. `smallest`: the smallest
+    doc_id of a group stays instead of the largest."""
     spark = docs.sparkSession
     if owner_bits is None:
         owner_bits = max(3, (int(spark.conf.get("spark.sql.shuffle.partitions")) // 4).bit_length())
@@ -181,8 +188,11 @@ def copies(docs: DataFrame, owner_bits: int | None = None) -> DataFrame:
     alone = rows.where(~suspected("fp")).select("doc", "id", "body", F.col("id").alias("keep_id"),
                                                 F.lit(1).cast("long").alias("group_size"))
     some = rows.where(suspected("fp"))
-    groups = some.groupBy("fp", "body").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    some = some.join(groups, ["fp", "body"]).select("doc", "id", "body", "keep_id", "group_size")
+    groups = some.groupBy("fp", "body").agg((F.min if smallest else F.max)("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # the redundant key gives the join an exchange of its own, whose large
+    # partitions (the copies of one text) can be split at run time
+    spread = F.xxhash64(F.lit(1), "body").alias("spread")
+    some = some.select("*", spread).join(groups.select("*", spread), ["fp", "body", "spread"]).select("doc", "id", "body", "keep_id", "group_size")
     return alone.unionAll(some).select("doc", F.col("body").alias("text"), "keep_id", "group_size",
                                        F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"))
 
