@@ -40,11 +40,22 @@ def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(*plan(table(spark, sf_dir, "documents")))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_join import similar_components
+    return similar_components(table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secret_scan import digests, scan
     return digests(scan(table(spark, sf_dir, "documents")))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import remove_repeats
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import copies
     return copies(table(spark, sf_dir, "documents")).select(
@@ -62,10 +73,37 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(rows, rows.where("vec_id % 50 = 0"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_token_counts, op3_toxicity, op4_mix, op6_secret_scan, op8_exact_dedup, op9_sentencepiece,
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_token_counts, op3_toxicity, op4_mix, op5_jaccard_join, op6_secret_scan, op7_substring_dedup, op8_exact_dedup, op9_sentencepiece,
                                   op10_topk_search)}
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_jaccard_join": """
+        WITH RECURSIVE
+        t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        p AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM t),
+        s AS (SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 4], ' ')) || ':' || least(len(w), 5) AS h FROM p),
+        z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        x AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+        l AS (SELECT x.a, x.b FROM x JOIN z za ON za.doc_id = x.a JOIN z zb ON zb.doc_id = x.b
+              WHERE 100 * c >= 80 * (za.n + zb.n - c)),
+        e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+        r AS (SELECT doc_id AS node, doc_id AS root FROM documents
+              UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node WHERE r.root < e.b)
+        SELECT d.doc_id, coalesce(z.n, 0)::BIGINT AS n_shingles, m.root AS component_id
+        FROM documents d LEFT JOIN z USING (doc_id)
+        JOIN (SELECT node, min(root) AS root FROM r GROUP BY node) m ON m.node = d.doc_id""",
+    "op7_substring_dedup": """
+        WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+             p AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS pos FROM t),
+             x AS (SELECT p.doc_id, pos, md5(array_to_string(w[pos:pos + 49], ' ')) AS h FROM p JOIN t USING (doc_id)),
+             f AS (SELECT doc_id, pos FROM (SELECT *, min(doc_id) OVER (PARTITION BY h) AS low FROM x) WHERE low < doc_id),
+             i AS (SELECT t.doc_id, unnest(range(1, len(w) + 1)) AS i FROM t),
+             d AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS i FROM f),
+             k AS (SELECT i.doc_id, list(i.i ORDER BY i.i) AS ks FROM i ANTI JOIN d USING (doc_id, i) GROUP BY i.doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(len(ks), 0))::BIGINT AS n_removed,
+               sha256(array_to_string(list_transform(coalesce(ks, []), lambda j: w[j]), ' ')) AS kept_sha256
+        FROM t LEFT JOIN k USING (doc_id)""",
     "op8_exact_dedup": """
         WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
              g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text)
