@@ -212,3 +212,17 @@ def similar_components(docs: DataFrame, k: int = 5, threshold: int = 80) -> Data
     out = every.select("doc_id", "keep_id").join(of, "keep_id", "left")
     root = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("doc_id")))
     return out.select("doc_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_shingles"), root.alias("component_id"))
+
+
+def keep_representatives(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFrame:
+    """The rows of `docs`, all columns, without near duplicates: of each
+    component the document with the smallest id stays. Only rows that may have
+    to go are shuffled."""
+    gone = cut(similar_components(docs, k, threshold).where("doc_id > component_id").select(
+        F.col("doc_id").alias("_gone")).distinct())
+    fp = F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("long")), 64 - FINGERPRINT_BITS)
+    suspected = suspect_filter(docs.sparkSession, gone.select(
+        F.shiftrightunsigned(F.xxhash64("_gone"), 64 - FINGERPRINT_BITS).alias("fp")))
+    maybe = F.coalesce(suspected(fp), F.lit(False)) & F.col("doc_id").isNotNull()
+    rest = docs.where(maybe).join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    return docs.where(~maybe).unionByName(rest)
