@@ -117,8 +117,9 @@ def rejections(tested: DataFrame, rate: float = 0.05) -> DataFrame:
 
 
 def scan(docs: DataFrame, rate: float = 0.05) -> DataFrame:
-    """(row, doc_id, kind, start, end) of every span, and one row with null
-    kind for a document without any; `row` tells rows apart."""
+    """(row, doc_id, kind, start, end) of every span; rows with null kind are
+    no spans, and every document has one row at least. `row` tells the rows of
+    the input apart."""
     rows = texts(docs).withColumn("row", F.monotonically_increasing_id())
     patterns = (*BASE, RANDOM)
     hits = F.concat(*[_hits(i, p, g, least, token=i == len(BASE)) for i, (_, p, g, least) in enumerate(patterns)])
@@ -126,7 +127,8 @@ def scan(docs: DataFrame, rate: float = 0.05) -> DataFrame:
     by_kind = W.partitionBy("row", "kind").orderBy("nth")
     rows = rows.withColumn("end", F.sum(F.col("gap") + F.col("len")).over(by_kind.rowsBetween(W.unboundedPreceding, 0)))
     rows = rows.withColumn("start", F.col("end") - F.col("len"))
-    rows = rows.where("kind IS NULL OR keep")
+    # a row whose match is too short stays without a kind, for its document
+    rows = rows.withColumn("kind", F.when(F.col("keep"), F.col("kind")))
     base = F.col("kind") < len(BASE)
     order = W.partitionBy("row").orderBy("start", "kind")
     before = F.max(F.when(base, F.col("end"))).over(order.rowsBetween(W.unboundedPreceding, -1))
