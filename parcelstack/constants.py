@@ -12,7 +12,16 @@ PATTERNS = ["jfc", "tax", "estate", "code", "lien", "transfer"]
 
 # Tiers come only from the number of distinct patterns.
 TIER_HOT, TIER_WARM, TIER_ACTIVE = "hot", "warm", "active"
-TIER_RANK = {TIER_HOT: 3, TIER_WARM: 2, TIER_ACTIVE: 1}
+# The texts that a run summary carries.
+TIER_RULES = {"hot": "stack_count >= 3", "warm": "stack_count == 2", "active": "stack_count == 1"}
+PATTERNS_LEGEND = {
+    "jfc": "Judicial Foreclosure (Power of Sale)",
+    "tax": "Tax Distress (delinquency / In Rem / mortgage-style)",
+    "estate": "Probate / Estate Opened",
+    "code": "Code Violation / Demolition Order",
+    "lien": "Recorded Lien / Civil Judgment",
+    "transfer": "Distressed Conveyance (not yet wired)",
+}
 
 # Code-case statuses that count as open (case-sensitive) and the case type
 # that raises the housing flag.

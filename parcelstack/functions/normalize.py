@@ -49,7 +49,6 @@ def join_nonempty(*cols) -> Column:
 # Both pid rules are one regex over a zero-prefixed string, so the input is
 # referenced once: nested or pushed-down copies of the rule stay linear.
 _PID8_RE = r"^0{7}$|^0{7}(?=\d{9,}$)|^\d*?(?=\d{8}$)"
-_PAD8_RE = r"(?s)^0{8}(?=.{8,}$)|^.*?(?=.{8}$)"
 
 
 def pid_digits(c) -> Column:
@@ -62,8 +61,11 @@ def pid_digits(c) -> Column:
 
 
 def pid_padded(c) -> Column:
-    """Strip, then left-pad to 8 keeping non-digits (blank -> 00000000)."""
-    return F.regexp_replace(F.concat(F.lit("00000000"), clean(c)), _PAD8_RE, "")
+    """Strip, then zero-fill to 8 keeping non-digits (blank -> 00000000); the
+    zeros go behind a leading sign, and longer ids stay as they are."""
+    signed = F.regexp_replace(clean(c), r"(?s)^([+-]?)(.*)$", "$100000000$2")
+    # too many zeros now: drop as many as the width allows, behind the sign
+    return F.regexp_replace(signed, r"(?s)^([+-]?)0{8}(?=.{8,}$)|(?s)^([+-])0*?(?=.{7}$)|(?s)^0*?(?=.{8}$)", "$1$2")
 
 
 # ---------------------------------------------------------------- addresses

@@ -36,9 +36,19 @@ FEED_RANK["transfer"] = 6 + len(K.INSTRUMENT_ORDER)
 
 
 def row_ord(df: DataFrame) -> Column:
-    """File order of a feed row: the helper `_row` when the feed has one,
-    else the scan order id (increasing within and across file splits)."""
-    return F.col("_row").cast("long") if "_row" in df.columns else F.monotonically_increasing_id()
+    """A stable order of feed rows, the same wherever and however often a row
+    is evaluated: a stored sequence `_row` when the feed has one, else its own
+    id (notices and cases come in id order), else a hash of the whole row
+    (listings and instruments carry no id; among such ties the order is
+    arbitrary but fixed)."""
+    for c in ("_row", "detail_id", "OBJECTID"):
+        if c in df.columns:
+            own = F.col(c).cast("long")
+            break
+    else:
+        own = F.lit(None).cast("long")
+    plain = [F.to_json(c) if t.startswith("map") else F.col(c) for c, t in df.dtypes]
+    return F.coalesce(own, F.xxhash64(*plain))
 
 
 def detail_map(pairs: list[tuple[str, Column]]) -> Column:
@@ -133,6 +143,12 @@ def instrument_rules(spark) -> DataFrame:
                                        "_r_label string, _r_fires boolean, _r_rank int")
 
 
+def instrument_pid(instr: DataFrame) -> Column:
+    """Parcel id of an instrument: the first of its three id fields that is not blank."""
+    own = [N.nonblank(F.col(c).cast("string")) for c in ("pid", "parcel_id", "ParcelId") if c in instr.columns]
+    return N.pid_digits(N.clean(F.coalesce(*own, F.lit(""))))
+
+
 def instrument_candidates(instr: DataFrame) -> DataFrame:
     """Recorded instruments by type code, in ONE pass over the feed: lien /
     transfer / jfc signals and their flags; satisfactions only flag. Codes
@@ -141,7 +157,7 @@ def instrument_candidates(instr: DataFrame) -> DataFrame:
     rules = F.broadcast(instrument_rules(instr.sparkSession))
     i = (instr.withColumn("_ord", row_ord(instr))
          .join(rules, "doc_type_code")
-         .withColumn("pid", N.pid_digits(N.clean("pid"))))
+         .withColumn("pid", instrument_pid(instr)))
     base = [("source", F.col("_r_source")),
             ("doc_type", F.coalesce(N.nonblank(F.col("doc_type")), F.col("_r_label"))),
             ("instrument_id", F.col("instrument_id")), ("book", F.col("book")), ("page", F.col("page")),
@@ -181,7 +197,7 @@ def attach_by_address(notices: DataFrame, addr_index: DataFrame) -> DataFrame:
     pairs = [
         ("source", F.lit("mecktimes")), ("case", F.col("sp_case_number")), ("posted", F.col("posted_date")),
         ("auction", F.col("auction_date")), ("deed_book", F.col("deed_book")), ("deed_page", F.col("deed_page")),
-        ("summary", F.substring(F.coalesce(F.col("summary"), F.lit("")), 1, 300)), ("url", F.col("detail_url")),
+        ("summary", F.coalesce(F.col("summary"), F.lit(""))), ("url", F.col("detail_url")),
     ]
     return _ev(j, F.col("pattern"), True, None, "mecktimes", FEED_RANK["foreclosure"], pairs)
 
@@ -200,12 +216,11 @@ def attach_by_name(notices: DataFrame, key_index: DataFrame) -> DataFrame:
     keep distinct (notice, pid) with the matched key as evidence (the
     smallest when several keys hit). Notices without keys are skipped
     (counted as unsafe by the metrics)."""
-    probe = notices.select("_ord", F.explode("keys").alias("name_key"))
-    # distinct (notice, parcel) on narrow rows first, then the notice payload
-    hits = (probe.join(key_index.select("name_key", "pid", "sale_ts"), "name_key")
-            .groupBy("_ord", "pid").agg(F.min("name_key").alias("match_key"), F.max("sale_ts").alias("sale_ts")))
-    j = hits.join(notices.select("_ord", "detail_id", "decedent_name", "posted_date", "case_number",
-                                 "detail_url"), "_ord")
+    own = ["_ord", "detail_id", "decedent_name", "posted_date", "case_number", "detail_url"]
+    probe = notices.select(*own, F.explode("keys").alias("name_key"))
+    # the payload (five short texts) travels with the keys: no second join
+    j = (probe.join(key_index.select("name_key", "pid", "sale_ts"), "name_key")
+         .groupBy(*own, "pid").agg(F.min("name_key").alias("match_key"), F.max("sale_ts").alias("sale_ts")))
     pairs = [
         ("source", F.lit("mecktimes")), ("decedent", F.coalesce(F.col("decedent_name"), F.lit(""))),
         ("posted", F.col("posted_date")), ("case", F.col("case_number")), ("url", F.col("detail_url")),
@@ -236,9 +251,12 @@ def feed_metrics(feeds, parcels: DataFrame, addr_index: DataFrame, key_index: Da
                                 F.lit(True).alias("ok")),
         feeds.instruments.where(F.col("doc_type_code").isin(K.INSTRUMENT_ORDER))
         .select(F.concat(F.lit("rod_"), F.col("doc_type_code")).alias("feed"),
-                N.pid_digits(N.clean("pid")).alias("pid"), F.lit(True).alias("ok")),
+                instrument_pid(feeds.instruments).alias("pid"), F.lit(True).alias("ok")),
     ])
-    hit = rows.join(parcels.select("pid", F.lit(True).alias("_hit")), "pid", "left")
+    # blank ids match no parcel: counted, not joined (a hot key)
+    blank = F.coalesce(F.col("pid"), F.lit("")) == ""
+    hit = (rows.where(~blank).join(parcels.select("pid", F.lit(True).alias("_hit")), "pid", "left")
+           .unionByName(rows.where(blank).withColumn("_hit", F.lit(None).cast("boolean"))))
     # one global aggregate with a count per feed (every feed reports, empty
     # ones with zeros), then unpivoted to one row per feed
     names = ["tax", "code_cases", "code_demos"] + ["rod_" + c for c in K.INSTRUMENT_ORDER]

@@ -70,6 +70,32 @@ def lead_records(scored: DataFrame, sig_map: DataFrame) -> DataFrame:
     )
 
 
+def with_position(records: DataFrame) -> DataFrame:
+    """Adds `position`, the 1-based place in the ranking, without a global
+    sort: a place is the number of records with a better (tier, stack, score),
+    of records of the same one in earlier pid buckets, and of those before it
+    in its own bucket. Scores are few; buckets are pid prefixes."""
+    score = ["tier_rank", "stack_count", "raw_score"]
+    r = records.withColumn("_bucket", F.substring("pid", 1, 5))
+    buckets = r.groupBy(*score, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    levels = buckets.groupBy(*score).agg(F.sum("_n").alias("_n"))
+    better = Window.orderBy(*[F.col(c).desc() for c in score]).rowsBetween(Window.unboundedPreceding, -1)
+    levels = levels.withColumn("_better", F.coalesce(F.sum("_n").over(better), F.lit(0))).drop("_n")
+    earlier = Window.partitionBy(*score).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = buckets.withColumn("_earlier", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    own = F.row_number().over(Window.partitionBy(*score, "_bucket").orderBy("pid"))
+    return (r.withColumn("_own", own).join(buckets, [*score, "_bucket"]).join(levels, score)
+            .withColumn("position", F.col("_better") + F.col("_earlier") + F.col("_own"))
+            .drop("_bucket", "_own", "_earlier", "_better"))
+
+
+def signals_text(signals) -> "F.Column":
+    """A record's signals as sorted text: pattern:place:source:case, ..."""
+    one = F.transform(F.map_entries(signals), lambda e: F.transform(e["value"], lambda d, i: F.concat_ws(
+        ":", e["key"], (i + 1).cast("string"), F.coalesce(d["source"], F.lit("")), F.coalesce(d["case"], F.lit("")))))
+    return F.array_join(F.array_sort(F.flatten(one)), ",")
+
+
 def rank_leads(records: DataFrame) -> DataFrame:
     """Tier rank, stack count, raw score, all descending; pid breaks ties.
     A range-partitioned sort: no single-task global ordering."""

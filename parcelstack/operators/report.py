@@ -124,10 +124,12 @@ def run_summary(records: DataFrame, run_id: str = "") -> DataFrame:
     folded = tiers.unionByName(pats).unionByName(tot).agg(
         as_map("total").alias("totals"), as_map("tier").alias("tier_counts"),
         as_map("pattern").alias("pattern_counts"))
+    fixed = lambda d: F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
     return folded.select(
         F.current_timestamp().alias("generated_at"), F.lit(run_id).alias("source_commit"),
         F.col("totals")["total"].alias("total"), "tier_counts", "pattern_counts",
-        F.col("totals")["high_confidence_warm"].alias("high_confidence_warm"))
+        F.col("totals")["high_confidence_warm"].alias("high_confidence_warm"),
+        fixed(K.PATTERNS_LEGEND).alias("patterns_legend"), fixed(K.TIER_RULES).alias("tier_rules"))
 
 
 def write_outputs(ranked: DataFrame, summary: DataFrame, out_dir: str) -> None:

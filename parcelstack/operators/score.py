@@ -16,6 +16,11 @@ from .. import constants as K
 from ..functions import normalize as N
 
 
+def _one_decimal(x: Column) -> Column:
+    """Rounded to one decimal by the number's exact binary value."""
+    return F.replace(F.format_number(x, 1), F.lit(","), F.lit("")).cast("double")
+
+
 def as_of_ts(as_of: str) -> Column:
     """The run's 'now' as a UTC timestamp (midnight of the given date)."""
     return F.to_timestamp(F.lit(as_of))
@@ -137,7 +142,7 @@ def score_leads(folded: DataFrame, parcels: DataFrame, as_of: str, weight_overri
     # ---- derived fields
     sp, tmv, lv = F.col("sale_price"), value, F.col("land_value")
     equity = F.when(_finite(sp) & _finite(tmv) & (tmv > 0) & (sp > 0),
-                    F.round(F.greatest(F.lit(0.0), F.least(F.lit(100.0), (1.0 - sp / tmv) * 100.0)), 1))
+                    _one_decimal(F.greatest(F.lit(0.0), F.least(F.lit(100.0), (1.0 - sp / tmv) * 100.0))))
     years = F.when(F.col("sale_ts").isNotNull(),
                    F.round(N.days_between(now, F.col("sale_ts")) / 365.25, 1))
     yb = F.col("year_built")
@@ -154,7 +159,7 @@ def score_leads(folded: DataFrame, parcels: DataFrame, as_of: str, weight_overri
     L = (L.withColumn("is_likely_inherited", (yo >= 25) & (F.coalesce(age, F.lit(0)) >= 50)
                       & ~F.col("is_entity") & ~F.col("is_homestead"))
          .withColumn("lot_value_pct", F.when(lv.isNotNull() & _finite(tmv) & (tmv > 0),
-                                             F.round(F.least(F.lit(100.0), lv / tmv * 100.0), 1)))
+                                             _one_decimal(F.least(F.lit(100.0), lv / tmv * 100.0))))
          .withColumn("distress_score", (
              F.col("stack_count") * W.DISTRESS_PER_PATTERN
              + F.least(F.lit(W.DISTRESS_FLAG_CAP), F.col("n_flags"))

@@ -1,8 +1,7 @@
 """The lead build job: feeds in, ranked lead records out.
 
-    parcels   = clean + first row per pid, checkpointed
-              (`materialize_by` keeps a pid hash layout instead; measured slower
-              here because AQE then cannot broadcast the parcel keys by size)
+    parcels   = clean + first row per pid, stored as Parquet (like every stage
+              table: feeds, evidence, scored, records)
     evidence  = pid-keyed feeds  JOIN parcels.pid          (one join, AQE skew split)
               + sale notices     JOIN address index        (num, street)
               + estate notices   JOIN owner-key index      (name key)
@@ -14,6 +13,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -27,29 +27,12 @@ from ..sources.feeds import Feeds
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the cluster's shared checkpoint directory."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def materialize_by(df: DataFrame, key: str) -> DataFrame:
-    """Checkpoint hash-partitioned by `key` into spark.sql.shuffle.partitions
-    buckets, keeping that partitioning as plan metadata, so later joins and
-    aggregations on `key` against it need no shuffle of this side.
-
-    The checkpoint job is planned with AQE off: an adaptive plan does not
-    report its final partitioning to the checkpointed relation. Only this
-    write (a scan, a window or aggregate, one exchange) runs non-adaptively.
-    """
+    """A stage table: Parquet in the cluster's shared folder, read back, so
+    later scans read only the columns they use."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    prev = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return df.repartition(n, key).checkpoint(eager=True)
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", prev)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/parcelstack-stage/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @dataclass

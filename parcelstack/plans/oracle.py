@@ -42,7 +42,9 @@ def pid_digits(x: str) -> str:
 
 def pid_padded(x: str) -> str:
     c = clean(x)
-    return f"(CASE WHEN length({c}) < 8 THEN lpad({c}, 8, '0') ELSE {c} END)"
+    sign = f"regexp_extract({c}, '^[+-]')"
+    return (f"(CASE WHEN length({c}) >= 8 THEN {c} "
+            f"ELSE {sign} || lpad(substr({c}, length({sign}) + 1), 8 - length({sign})::INT, '0') END)")
 
 
 _SUFFIX_ALT = "|".join(K.STREET_SUFFIX)
@@ -192,15 +194,14 @@ raw_parcels AS (
   JOIN tot ON tk = o_custkey),
 tax AS (
   SELECT *, {pid_digits('addressparcel_raw')} AS pid_normalized FROM (
-    SELECT {_sel(ta)} FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')
+    SELECT {_sel(ta)} FROM orders WHERE o_orderstatus <> 'P')
   UNION ALL BY NAME
   SELECT *, {pid_digits('addressparcel')} AS pid_normalized FROM (
-    SELECT {_sel(tb)} FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P')),
-fc AS (SELECT {_sel(S.foreclosure_exprs(D))} FROM supplier JOIN nation ON s_nationkey = n_nationkey),
-est AS (SELECT {_sel(S.estate_exprs(D))} FROM orders JOIN customer ON o_custkey = c_custkey
-        WHERE o_orderstatus = 'O' AND o_orderpriority = '5-LOW'),
+    SELECT {_sel(tb)} FROM orders WHERE o_orderstatus = 'P')),
+fc AS (SELECT {_sel(S.foreclosure_exprs(D))} FROM supplier),
+est AS (SELECT {_sel(S.estate_exprs(D))} FROM orders JOIN customer ON o_custkey = c_custkey),
 cases AS (SELECT {_sel(S.code_case_exprs(D))} FROM events),
-demos AS (SELECT {_sel(S.code_demo_exprs(D))} FROM events WHERE {S.DEMO_FILTER}),
+demos AS (SELECT {_sel(S.code_demo_exprs(D))} FROM supplier),
 instr AS (SELECT *, {canonical_doctype('doc_type')} AS doc_type_code, {pid_digits('pid_raw')} AS pid
           FROM (SELECT {_sel(ins)} FROM lineitem))"""
 
@@ -273,7 +274,7 @@ def evidence_ctes(county: str = K.DEFAULT_COUNTY) -> str:
               "address": "FullAddress", "created": "DateCreated"}
     fc_d = {"source": "'mecktimes'", "case": "sp_case_number", "posted": "posted_date",
             "auction": "auction_date", "deed_book": "deed_book", "deed_page": "deed_page",
-            "summary": "substr(coalesce(summary, ''), 1, 300)", "url": "detail_url"}
+            "summary": "coalesce(summary, '')", "url": "detail_url"}
     es_d = {"source": "'mecktimes'", "decedent": "coalesce(decedent_name, '')", "posted": "posted_date",
             "case": "case_number", "url": "detail_url"}
     ins_parts = []
@@ -396,10 +397,10 @@ l2 AS (
     (contains({ex}, 'DISABLED') AND NOT contains({ex}, 'VET')) AS is_disabled,
     CASE WHEN sale_price IS NOT NULL AND NOT isnan(sale_price) AND {value} IS NOT NULL AND NOT isnan({value})
       AND {value} > 0 AND sale_price > 0
-      THEN round(greatest(0.0, least(100.0, (1.0 - sale_price / {value}) * 100.0)), 1) END AS estimated_equity_pct,
+      THEN printf('%.1f', greatest(0.0, least(100.0, (1.0 - sale_price / {value}) * 100.0)))::DOUBLE END AS estimated_equity_pct,
     CASE WHEN sale_ts IS NOT NULL THEN round({days_between(now, 'sale_ts')} / 365.25, 1) END AS years_owned,
     CASE WHEN land_value IS NOT NULL AND {value} IS NOT NULL AND NOT isnan({value}) AND {value} > 0
-      THEN round(least(100.0, land_value / {value} * 100.0), 1) END AS lot_value_pct,
+      THEN printf('%.1f', least(100.0, land_value / {value} * 100.0))::DOUBLE END AS lot_value_pct,
     CASE WHEN year_built IS NOT NULL AND (year_built <> 0 OR isnan(year_built))
       THEN year({now}) - TRY_CAST(trunc(year_built) AS INT) ELSE 0 END AS structure_age
   FROM l1),
@@ -483,7 +484,15 @@ top AS (
 
 # One lead filter, used for both the counts and the rows (P10).
 FILTER_SPEC = {"patterns": ["estate", "code"], "min_equity": 0.0, "max_equity": 100.0,
-               "absentee": True, "text": "nation"}
+               "absentee": True, "text": "ward"}
+
+
+# Each toggle of the interactive filters on its own (P10), payload text included.
+TOGGLES = {
+    "years_min": {"min_years": 5.0}, "years_max": {"max_years": 6.0}, "senior": {"senior": True}, "not_senior": {"senior": False},
+    "entity": {"entity": True}, "demolition": {"demolition": True}, "no_demolition": {"demolition": False},
+    "payload": {"text": "demo1", "search_signals": True},
+}
 
 
 def filter_sql(spec=FILTER_SPEC) -> str:
@@ -496,10 +505,18 @@ def filter_sql(spec=FILTER_SPEC) -> str:
         conds.append(f"estimated_equity_pct <= {spec['max_equity']}")
     if "absentee" in spec:
         conds.append(f"is_absentee = {str(spec['absentee']).upper()}")
+    for key, cond in (("min_years", "years_owned >= {}"), ("max_years", "years_owned <= {}")):
+        if key in spec:
+            conds.append(cond.format(spec[key]))
+    for key, col in (("senior", "is_senior"), ("entity", "is_entity"), ("demolition", "list_contains(flags, 'demolition_order')")):
+        if key in spec:
+            conds.append(f"{col} = {str(spec[key]).upper()}")
     if spec.get("text"):
         t = spec["text"].lower()
+        payload = (f" OR pid IN (SELECT pid FROM top WHERE contains(lower(CAST(detail AS VARCHAR)), {_q(t)}))"
+                   if spec.get("search_signals") else "")
         conds.append(f"(contains(lower(address), {_q(t)}) OR contains(lower(owner), {_q(t)}) "
-                     f"OR contains(lower(pid), {_q(t)}))")
+                     f"OR contains(lower(pid), {_q(t)}){payload})")
     return " AND ".join(f"coalesce({c}, FALSE)" for c in conds) or "TRUE"
 
 
@@ -523,10 +540,43 @@ WITH parts AS (SELECT page_id, string_split(html, '<p><b>') AS ps FROM pages),
 blocks AS (SELECT page_id, unnest(range(1, len(ps))) AS block_no,
                   regexp_replace(unnest(ps[2:]), '</article>.*$', '', 's') AS block FROM parts),
 t AS (SELECT page_id, block_no, block, {text} AS txt FROM blocks)
-SELECT page_id, CAST(block_no AS BIGINT) AS block_no, {head} AS heading, substr(txt, 1, 1500) AS summary,
+SELECT page_id, CAST(block_no AS BIGINT) AS block_no, {head} AS heading, txt AS summary,
   CAST(length(txt) AS BIGINT) AS text_len, {notice_pattern('txt', "''")} AS pattern FROM t"""
 
 
+def record_sql() -> str:
+    """The 72 columns of the lead record, from the raw row of each lead."""
+    from ..operators.parcels import NUM_COLS, TEXT_COLS
+    pe = S.parcel_exprs(D)
+    raw = [f"{clean(src) if src in pe else _q('')} AS {dst}" for dst, src in TEXT_COLS]
+    raw += [f"{f'TRY_CAST({src} AS DOUBLE)' if src in pe else 'NULL::DOUBLE'} AS {dst}" for dst, src in NUM_COLS]
+    name = lambda n: f"concat_ws(' ', nullif(r.owner{n}_first, ''), nullif(r.owner{n}_last, ''))"
+    full = lambda n: f"regexp_replace(r.owner{n}_first || ' ' || r.owner{n}_last, '^\\s+|\\s+$', '', 'g')"
+    own = ["nc_pin", "address", "street_num", "street_name", "mail_addr", "mail_addr2", "mail_city", "mail_state", "mail_zip",
+           "year_built", "eff_year_built", "building_type", "land_use", "land_use_code", "grade", "story_height",
+           "vacant_or_improved", "exterior_wall", "foundation", "roof_cover", "heat", "heat_fuel", "heated_area", "total_area",
+           "bedrooms", "fullbath", "halfbath", "fireplaces", "residential_units", "gis_acres", "total_acres", "legal_acres",
+           "total_market_value", "total_value", "land_value", "building_value", "sale_price", "deed_type", "valid_sale",
+           "deed_book", "deed_page", "tax_district", "owner_type", "exemption"]
+    derived = ["estimated_equity_pct", "years_owned", "is_absentee", "is_likely_landlord", "is_homestead", "is_senior",
+               "is_disabled_veteran", "is_disabled", "is_likely_inherited", "lot_value_pct", "tier", "is_entity"]
+    whole = ["distress_score", "stack_count", "raw_score", "tier_rank"]
+    return f"""
+rec AS (SELECT cpid, saledate AS sale_date_text, {', '.join(raw)} FROM p0),
+sig AS (SELECT pid, string_agg(s, ',' ORDER BY s) AS signals FROM (
+  SELECT pid, pattern || ':' || rank || ':' || coalesce(detail['source'], source, '') || ':' || coalesce(detail['case'], '') AS s
+  FROM top) GROUP BY pid)
+SELECT l.pid, CASE WHEN l.pid <> '' THEN {_q(K.PARCEL_URL_PREFIX)} || l.pid ELSE '' END AS polaris_url,
+  r.loc_city AS city, {name(1)} AS owner, {name(2)} AS owner2, {full(1)} AS owner_parsed, {full(2)} AS owner2_parsed,
+  {', '.join('r.' + c for c in own)},
+  TRY_CAST(TRY_CAST(r.sale_date_text AS DOUBLE) AS BIGINT) AS sale_date,
+  coalesce(nullif(r.neighborhood_desc, ''), nullif(r.neighborhood, ''), '') AS neighborhood,
+  {', '.join('l.' + c for c in derived)}, {', '.join(f'CAST(l.{c} AS BIGINT) AS {c}' for c in whole)},
+  array_to_string(l.patterns, ',') AS patterns, array_to_string(l.flags, ',') AS flags,
+  coalesce(sig.signals, '') AS signals, l.is_absentee AS absentee
+FROM leads l JOIN rec r ON r.cpid = l.pid LEFT JOIN sig ON sig.pid = l.pid"""
+
+
 def query_sql() -> dict[str, str]:
     base = f"WITH {feed_ctes()},\n{parcel_ctes()},\n{evidence_ctes()},\n{lead_ctes(AS_OF)}"
     withm = base + "," + metrics_ctes()
@@ -564,7 +614,7 @@ SELECT pid, rule_a, rule_b, transfer_fired FROM l1""",
 SELECT pid, pattern, CAST(rank AS BIGINT) AS rank, source, rkey, CAST(feed_rank AS BIGINT) AS feed_rank,
   CAST(row_ord AS BIGINT) AS row_ord FROM top""",
         "rank_leads": base + """
-SELECT pid, tier, CAST(tier_rank AS BIGINT) AS tier_rank, CAST(stack_count AS BIGINT) AS stack_count,
+SELECT row_number() OVER (ORDER BY tier_rank DESC, stack_count DESC, raw_score DESC, pid) AS position, pid, tier, CAST(tier_rank AS BIGINT) AS tier_rank, CAST(stack_count AS BIGINT) AS stack_count,
   CAST(raw_score AS BIGINT) AS raw_score FROM leads""",
         "tier_summary": base + """
 SELECT tier, count(*) AS n FROM leads GROUP BY tier""",
@@ -592,6 +642,23 @@ SELECT pid, a_num AS addr_num, a_name AS addr_name, m_name AS mail_name, absente
 SELECT 'tier' AS kind, tier AS key, count(*) AS n FROM sample GROUP BY tier
 UNION ALL
 SELECT 'pattern', pattern, count(*) FROM (SELECT unnest(patterns) AS pattern FROM sample) GROUP BY pattern""",
+        "lead_record": witht + "," + record_sql(),
+        "run_summary": base + """
+SELECT 'tier_counts' AS kind, tier AS key, count(*) AS n FROM leads GROUP BY tier
+UNION ALL SELECT 'pattern_counts', pattern, count(*) FROM (SELECT unnest(patterns) AS pattern FROM leads) GROUP BY pattern
+UNION ALL SELECT 'total', 'total', count(*) FROM leads
+UNION ALL SELECT 'total', 'high_confidence_warm', count(*) FILTER (WHERE tier = 'warm' AND (list_contains(flags, 'demolition_order')
+  OR list_contains(flags, 'code_housing_case') OR is_absentee)) FROM leads""",
+        "import_summary": f"WITH {feed_ctes()}" + """
+SELECT CASE WHEN doc_type_code = '' THEN 'unknown' ELSE doc_type_code END AS doc_type_code, count(*) AS rows
+FROM instr GROUP BY ALL""",
+        "feed_scan": f"WITH {feed_ctes()}" + """
+SELECT OBJECTID, ParcelId, CaseNumber, CaseStatus, DateCreated FROM cases""",
+        "feature_scan": """
+SELECT event_id AS OBJECTID, event_type AS CaseType, value, 'layer' AS _source FROM events""",
+        "filter_toggles": witht + "\n" + "\nUNION ALL ".join(
+            f"SELECT {_q(name)} AS toggle, tier, count(*) AS n FROM leads WHERE {filter_sql(spec)} GROUP BY tier"
+            for name, spec in TOGGLES.items()),
         "page_extract": page_sql(),
         "instrument_import": f"WITH {feed_ctes()}" + """
 SELECT instrument_id, doc_type, CASE WHEN doc_type_code = '' THEN 'unknown' ELSE doc_type_code END AS doc_type_code,

@@ -5,8 +5,8 @@ All run over the whole stand-in feeds derived from the driver's tables
 column aliased to the same name as in `oracle.query_sql()`.
 
 The lead build is shared: the first query on a (session, directory) pair
-builds and checkpoints parcels and evidence; later queries reuse those
-checkpointed tables, as a scheduled job would reuse yesterday's tables.
+builds and stores parcels and evidence; later queries of the same application
+reuse those stage tables, as a scheduled job would reuse yesterday's tables.
 """
 
 from __future__ import annotations
@@ -16,16 +16,16 @@ from pyspark.sql import functions as F
 
 from ..operators import link, parcels as P, report, score
 from . import build, standins
-from .oracle import AS_OF, DRY_RUN_N, FILTER_SPEC
+from .oracle import AS_OF, DRY_RUN_N, FILTER_SPEC, TOGGLES
 
 _BUILDS: dict = {}
 _FEEDS: dict = {}
 
 
 def feeds(spark: SparkSession, d: str):
-    """The stand-in feeds, derived once per (session, directory) and
-    checkpointed, as a deployment reads its stored feed tables."""
-    key = (id(spark), d)
+    """The stand-in feeds, derived once per (application, directory) and
+    stored, as a deployment reads its stored feed tables."""
+    key = (spark.sparkContext.applicationId, d)
     if key not in _FEEDS:
         fe = standins.feeds(spark, d)
         _FEEDS[key] = type(fe)(**{k: build.materialize(getattr(fe, k)) for k in fe.names()})
@@ -33,7 +33,7 @@ def feeds(spark: SparkSession, d: str):
 
 
 def lead_build(spark: SparkSession, d: str, fresh: bool = False) -> build.LeadBuild:
-    key = (id(spark), d)
+    key = (spark.sparkContext.applicationId, d)
     if fresh or key not in _BUILDS:
         _BUILDS[key] = build.build_leads(feeds(spark, d), AS_OF)
     return _BUILDS[key]
@@ -131,8 +131,9 @@ def top_signals(spark, d) -> DataFrame:
 
 
 def rank_leads(spark, d) -> DataFrame:
-    r = lead_build(spark, d).ranked()
-    return r.select("pid", "tier", _bl(F.col("tier_rank")).alias("tier_rank"),
+    from ..operators.rank import with_position
+    r = with_position(lead_build(spark, d).records)
+    return r.select("position", "pid", "tier", _bl(F.col("tier_rank")).alias("tier_rank"),
                     _bl(F.col("stack_count")).alias("stack_count"), _bl(F.col("raw_score")).alias("raw_score"))
 
 
@@ -242,9 +243,8 @@ def incremental_dedup(spark, d) -> DataFrame:
 
 def cursor_refresh(spark, d) -> DataFrame:
     """ST2 through Structured Streaming: events (as code-case pages) arrive as
-    weekly drops in ascending id order, one drop per micro-batch, and week 2 is
-    delivered twice (a crash between flush and cursor save); the cursor keeps
-    every event exactly once."""
+    weekly drops, out of order (week 3 first) and week 2 twice (a crash between
+    flush and cursor save); every event is kept exactly once."""
     from ..sources import ingest
     from ..streaming import incremental as inc
     ev = standins.read_table(spark, d, "events").select(
@@ -252,7 +252,7 @@ def cursor_refresh(spark, d) -> DataFrame:
         F.col("event_type").alias("CaseStatus"), F.col("value"),
         F.floor((F.dayofmonth("ts") - 1) / 7).cast("int").alias("week"))
     src = ingest.scratch_dir(spark, "case-pages")
-    for w in [0, 1, 2, 2, 3, 4]:  # arrival order, week 2 repeated
+    for w in [3, 0, 1, 2, 2, 4]:  # arrival order, week 2 repeated
         ev.where(F.col("week") == w).drop("week").repartition(4).write.mode("append").json(src)
     target, ckpt = ingest.scratch_dir(spark, "cases-cursor"), ingest.scratch_dir(spark, "cases-ckpt")
     schema = spark.createDataFrame([], "OBJECTID long, ParcelId string, CaseStatus string, value double").schema
@@ -260,6 +260,74 @@ def cursor_refresh(spark, d) -> DataFrame:
     return spark.read.parquet(target).select("OBJECTID", "ParcelId", "CaseStatus", "value")
 
 
+def lead_record(spark, d) -> DataFrame:
+    """The whole 72-column lead record; lists, parsed names and signals as text."""
+    from ..operators.rank import signals_text
+    r = lead_build(spark, d).records
+    as_text = {"patterns": F.array_join("patterns", ","), "flags": F.array_join("flags", ","),
+               "signals": signals_text(F.col("signals")), "owner_parsed": F.col("owner_parsed.full_name"),
+               "owner2_parsed": F.col("owner2_parsed.full_name")}
+    whole = ("stack_count", "raw_score", "distress_score", "tier_rank")
+    return r.select(*[as_text.get(c, _bl(F.col(c)) if c in whole else F.col(c)).alias(c) for c in r.columns])
+
+
+def run_summary(spark, d) -> DataFrame:
+    """The one-row summary, its maps as rows."""
+    s = report.run_summary(lead_build(spark, d).records)
+    maps = [(k, F.explode(k)) for k in ("tier_counts", "pattern_counts")]
+    rows = [s.select(F.lit(k).alias("kind"), x.alias("key", "n")) for k, x in maps]
+    rows += [s.select(F.lit("total").alias("kind"), F.lit(k).alias("key"), F.col(k).alias("n")) for k in ("total", "high_confidence_warm")]
+    out = rows[0]
+    for x in rows[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+def import_summary(spark, d) -> DataFrame:
+    """Rows per type code of an import."""
+    from ..sources import ingest
+    raw = standins._sel(standins.read_table(spark, d, "lineitem"), standins.instrument_exprs("spark"))
+    csv = raw.select(*[F.col(k).alias(v) for k, v in INSTRUMENT_CSV_HEADERS.items()])
+    return ingest.import_summary(ingest.normalize_instruments(csv))
+
+
+def feed_scan(spark, d) -> DataFrame:
+    """Code cases as JSON lines whose ids come as numbers, quoted numbers
+    and fractions, among lines that are no JSON; the scan keeps every case."""
+    from ..sources import ingest
+    from ..sources import feeds as FD
+    cases = standins.code_cases(spark, d).drop("_row")
+    line = F.to_json(F.struct(*[F.col(c) for c in cases.columns if c != "OBJECTID"]))
+    oid = F.col("OBJECTID").cast("string")
+    own = F.when(F.col("OBJECTID") % 3 == 0, oid).when(F.col("OBJECTID") % 3 == 1, F.concat(F.lit('"'), oid, F.lit('"'))) \
+        .otherwise(F.concat(oid, F.lit(".0")))
+    lines = cases.select(F.explode(F.array(F.concat(F.lit('{"OBJECTID":'), own, F.lit(","), F.substring(line, 2, 1 << 30)),
+                                           F.concat(F.lit('{"OBJECTID":'), oid))).alias("value"))
+    path = ingest.scratch_dir(spark, "case-lines")
+    lines.write.text(path)
+    return FD.read_jsonl(spark, path, FD.CODE_CASE).select("OBJECTID", "ParcelId", "CaseNumber", "CaseStatus", "DateCreated")
+
+
+def feature_scan(spark, d) -> DataFrame:
+    """Map-service pages (one feature without an id on each) flattened."""
+    from ..sources import extract
+    ev = standins.read_table(spark, d, "events")
+    feature = F.struct(F.struct(F.col("event_id").alias("OBJECTID"), F.col("event_type").alias("CaseType"), "value").alias("attributes"))
+    blank = F.struct(F.struct(F.lit(None).cast("long").alias("OBJECTID"), F.lit("x").alias("CaseType"), F.lit(0.0).alias("value")).alias("attributes"))
+    pages = ev.select(F.to_json(F.struct(F.array(feature, blank).alias("features"))).alias("payload"))
+    return extract.feature_rows(pages, "struct<OBJECTID: bigint, CaseType: string, value: double>", "layer", "OBJECTID")
+
+
+def filter_toggles(spark, d) -> DataFrame:
+    """P10: every filter toggle on its own, counted by tier."""
+    r = lead_build(spark, d).records
+    out = None
+    for name, spec in TOGGLES.items():
+        one = report.filtered_counts(r, spec).withColumn("toggle", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def dry_run(spark, d) -> DataFrame:
     return report.dry_run_distribution(lead_build(spark, d).scored, DRY_RUN_N)
 
@@ -288,6 +356,12 @@ QUERIES = {
     "entity_flags": entity_flags,
     "street_normalize": street_normalize,
     "dry_run": dry_run,
+    "lead_record": lead_record,
+    "run_summary": run_summary,
+    "import_summary": import_summary,
+    "feed_scan": feed_scan,
+    "feature_scan": feature_scan,
+    "filter_toggles": filter_toggles,
     "page_extract": page_extract,
     "instrument_import": instrument_import,
     "snapshot_overwrite": snapshot_overwrite,

@@ -10,10 +10,11 @@ row subset, cap or sample is taken.
 | feed              | from                         | shape                                   |
 |-------------------|------------------------------|-----------------------------------------|
 | raw parcels       | orders x customer x nation   | one row per order; pid = customer       |
-| tax cases         | orders (1-URGENT, F / P)     | two listings with different columns     |
-| foreclosures      | supplier x nation            | address-keyed sale notices              |
-| estates           | orders x customer (5-LOW, O) | decedent names in five spellings        |
-| code cases, demos | events                       | pid = user id, status from event type   |
+| tax cases         | orders                       | two listings with different columns     |
+| foreclosures      | supplier                     | address-keyed sale notices              |
+| estates           | orders x customer            | decedent names in five spellings        |
+| code cases        | events                       | pid = user id, status from event type   |
+| demolitions       | supplier                     | pid = supplier key                      |
 | instruments       | lineitem                     | twelve type texts, dashed parcel ids    |
 """
 
@@ -52,9 +53,9 @@ def lettered(x: str, dialect: str) -> str:
 
 
 def dashed(x: str) -> str:
-    """Parcel id as printed on listings: ddd-ddd-dd of the 8-padded key."""
-    p = f"lpad(cast({x} as string), 8, '0')"
-    return f"substr({p}, 1, 3) || '-' || substr({p}, 4, 3) || '-' || substr({p}, 7, 2)"
+    """Parcel id as printed on listings: ddd-ddd-dd of the 8-padded key (longer keys keep all digits)."""
+    p = f"({pid8(x)})"
+    return f"substr({p}, 1, 3) || '-' || substr({p}, 4, 3) || '-' || substr({p}, 7)"
 
 
 def pid8(x: str) -> str:
@@ -69,15 +70,17 @@ def money(x: str) -> str:
 def parcel_exprs(dialect: str) -> dict[str, str]:
     """Over orders o, customer c, nation n and per-customer total `tot_price`."""
     L = lettered("c_custkey", dialect)
-    num = "cast(c_custkey % 20 as string)"
+    # two parcels (units) to an address, however many customers there are
+    num = "cast(cast(floor(c_custkey / 2) as bigint) as string)"
+    ward = "'WARD ' || cast(cast(floor(c_custkey / 2) as bigint) % 25 as string)"
     first = "c_mktsegment || ' ' || chr(cast(65 + c_nationkey as int))"
     return {
         "objectid_1": "o_orderkey",
         "pid": pid8("o_custkey"),
         "nc_pin": "cast(o_custkey * 7 as string)",
-        "address": f"{num} || ' ' || n_name || ' STREET ANYTOWN NC'",
+        "address": f"{num} || ' ' || {ward} || ' STREET ANYTOWN NC'",
         "streetnumber": num,
-        "streetname": "n_name || ' STREET'",
+        "streetname": f"{ward} || ' STREET'",
         "loccity": "'ANYTOWN'",
         "ownrfrstnme": (f"CASE WHEN c_acctbal < 0 THEN '' WHEN c_custkey % 7 = 0 THEN {first} || ' JR' "
                         f"ELSE {first} END"),
@@ -85,8 +88,8 @@ def parcel_exprs(dialect: str) -> dict[str, str]:
         "ownr2frstnme": "CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'PARTNER' ELSE '' END",
         "ownr2lstnme": f"CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN {L} ELSE '' END",
         "mailaddr1": (f"CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'PO BOX ' || cast(c_custkey as string) "
-                      f"WHEN c_mktsegment = 'MACHINERY' THEN {num} || ' ' || n_name || ' AVE' "
-                      f"ELSE {num} || ' ' || n_name || ' STREET' END"),
+                      f"WHEN c_mktsegment = 'MACHINERY' THEN {num} || ' ' || {ward} || ' AVE' "
+                      f"ELSE {num} || ' ' || {ward} || ' STREET' END"),
         "mailaddr2": "''",
         "city": "'ANYTOWN'",
         "state": "'NC'",
@@ -122,7 +125,7 @@ def parcel_exprs(dialect: str) -> dict[str, str]:
 
 
 def tax_a_exprs(dialect: str) -> dict[str, str]:
-    """Listing A (orders with status F, priority 1-URGENT): parcel in the cell."""
+    """Listing A (orders of any status but P): parcel in the cell."""
     return {
         "_source": "'kania'",
         "county": ("CASE WHEN o_orderkey % 10 = 0 THEN 'Union' WHEN o_orderkey % 10 = 1 THEN '' "
@@ -141,7 +144,7 @@ def tax_a_exprs(dialect: str) -> dict[str, str]:
 
 
 def tax_b_exprs(dialect: str) -> dict[str, str]:
-    """Listing B (orders with status P, priority 1-URGENT): parcel = order key."""
+    """Listing B (orders with status P): parcel = order key."""
     return {
         "_source": "'rbcwb'",
         "county": "'Mecklenburg'",
@@ -156,15 +159,15 @@ def tax_b_exprs(dialect: str) -> dict[str, str]:
 
 
 def foreclosure_exprs(dialect: str) -> dict[str, str]:
-    """Over supplier s, nation n."""
-    num = "cast(s_suppkey % 20 as string)"
+    """Over supplier s."""
+    num, ward = "cast(s_suppkey as string)", "'WARD ' || cast(s_suppkey % 25 as string)"
     day = "cast(s_suppkey % 200 as int)"
     return {
         "detail_id": "s_suppkey",
         "detail_url": "'https://notices.example/detail?id=' || cast(s_suppkey as string)",
         "posted_date": f"cast(DATE '2001-01-01' + {day} as string)",
-        "address": (f"CASE WHEN s_suppkey % 5 = 0 THEN {num} || ' ' || n_name || ' St Unit 4, Anytown, NC, 28200' "
-                    f"ELSE {num} || ' ' || n_name || ' St, Anytown, NC, 28200' END"),
+        "address": (f"CASE WHEN s_suppkey % 5 = 0 THEN {num} || ' ' || {ward} || ' St Unit 4, Anytown, NC, 28200' "
+                    f"ELSE {num} || ' ' || {ward} || ' St, Anytown, NC, 28200' END"),
         "county": "CASE WHEN s_suppkey % 9 = 0 THEN 'Union' ELSE 'Mecklenburg' END",
         "auction_date": f"cast(DATE '2001-01-01' + cast(s_suppkey % 200 + 30 as int) as string)",
         "sp_case_number": ("CASE WHEN s_suppkey % 4 = 0 THEN '' "
@@ -229,23 +232,20 @@ def code_case_exprs(dialect: str) -> dict[str, str]:
 
 
 def code_demo_exprs(dialect: str) -> dict[str, str]:
-    """Over events of type purchase with value > 450: demolition orders."""
+    """Over supplier s: every supplier key is a parcel with a demolition order."""
     return {
-        "OBJECTID": "event_id",
-        "ParcelId": "cast(user_id as string)",
-        "CaseNumber": "'DEMO' || cast(event_id as string)",
+        "OBJECTID": "s_suppkey",
+        "ParcelId": "cast(s_suppkey as string)",
+        "CaseNumber": "'DEMO' || cast(s_suppkey as string)",
         "CaseType": "'Demolition'",
         "CaseStatus": "'Open'",
-        "FullAddress": "'CASE SITE ' || cast(user_id as string)",
-        "DateCreated": "cast(cast(ts as date) as string)",
+        "FullAddress": "'CASE SITE ' || cast(s_suppkey as string)",
+        "DateCreated": "cast(DATE '2001-01-01' + cast(s_suppkey % 200 as int) as string)",
         "_source": "'charlotte_demo'",
-        "_row": "event_id",
+        "_row": "s_suppkey",
     }
 
 
-DEMO_FILTER = "event_type = 'purchase' AND value > 450"
-
-
 def instrument_exprs(dialect: str) -> dict[str, str]:
     """Over lineitem l: twelve type texts from return flag, line status, line parity."""
     return {
@@ -278,17 +278,8 @@ def instrument_exprs(dialect: str) -> dict[str, str]:
 
 # ------------------------------------------------------------------ Spark side
 def read_table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """A driver table, spread over the cluster when its file cannot be split.
-
-    Each driver table is one parquet row group, i.e. one read task; the
-    regex-heavy projections that follow would then run on one core. When a
-    scan yields fewer partitions than the cluster's parallelism, rows are
-    dealt round-robin first. At scale the scan already has thousands of
-    splits and this is a no-op.
-    """
-    df = spark.read.parquet(f"{d}/{name}.parquet")
-    par = spark.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    """A driver table."""
+    return spark.read.parquet(f"{d}/{name}.parquet")
 
 
 _t = read_table
@@ -317,8 +308,8 @@ def raw_parcels(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tax_cases(spark: SparkSession, d: str) -> DataFrame:
-    o = _t(spark, d, "orders").where("o_orderpriority = '1-URGENT'")
-    a = _sel(o.where("o_orderstatus = 'F'"), tax_a_exprs("spark")) \
+    o = _t(spark, d, "orders")
+    a = _sel(o.where("o_orderstatus <> 'P'"), tax_a_exprs("spark")) \
         .withColumn("pid_normalized", N.pid_digits("addressparcel_raw"))
     b = _sel(o.where("o_orderstatus = 'P'"), tax_b_exprs("spark")) \
         .withColumn("pid_normalized", N.pid_digits("addressparcel"))
@@ -326,13 +317,11 @@ def tax_cases(spark: SparkSession, d: str) -> DataFrame:
 
 
 def foreclosures(spark: SparkSession, d: str) -> DataFrame:
-    s = _t(spark, d, "supplier")
-    n = _t(spark, d, "nation")
-    return _conform(_sel(s.join(n, s.s_nationkey == n.n_nationkey), foreclosure_exprs("spark")), FD.FORECLOSURE)
+    return _conform(_sel(_t(spark, d, "supplier"), foreclosure_exprs("spark")), FD.FORECLOSURE)
 
 
 def estates(spark: SparkSession, d: str) -> DataFrame:
-    o = _t(spark, d, "orders").where("o_orderstatus = 'O' AND o_orderpriority = '5-LOW'")
+    o = _t(spark, d, "orders")
     c = _t(spark, d, "customer")
     return _conform(_sel(o.join(c, o.o_custkey == c.c_custkey), estate_exprs("spark")), FD.ESTATE)
 
@@ -342,7 +331,7 @@ def code_cases(spark: SparkSession, d: str) -> DataFrame:
 
 
 def code_demos(spark: SparkSession, d: str) -> DataFrame:
-    return _conform(_sel(_t(spark, d, "events").where(DEMO_FILTER), code_demo_exprs("spark")), FD.CODE_CASE)
+    return _conform(_sel(_t(spark, d, "supplier"), code_demo_exprs("spark")), FD.CODE_CASE)
 
 
 def instruments(spark: SparkSession, d: str) -> DataFrame:

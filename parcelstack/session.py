@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -47,10 +48,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared spark.checkpoint.dir; set a scratch one only
-    when none is configured (local tests)."""
+    """The cluster's shared spark.checkpoint.dir. Without one, a local session
+    (tests) gets a scratch folder; on a cluster that is an error, since each
+    executor would write to a disk of its own."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="parcelstack-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     elif not spark.sparkContext.getCheckpointDir():
@@ -79,9 +83,3 @@ def cluster_settings(input_bytes: int, executor_cores_total: int,
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
     }
-
-
-def apply_settings(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    return spark

@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 S = T.StringType()
@@ -61,7 +62,7 @@ CODE_CASE = T.StructType([T.StructField("OBJECTID", T.LongType())] + [T.StructFi
 
 INSTRUMENT = T.StructType([T.StructField(f, S) for f in [
     "_source", "doc_type", "doc_type_code", "recorded_date", "instrument_id", "book", "page",
-    "grantor", "grantee", "legal_description", "amount", "pid",
+    "grantor", "grantee", "legal_description", "amount", "pid", "parcel_id", "ParcelId",
 ]] + [T.StructField("extra", T.MapType(S, S))])
 
 
@@ -72,17 +73,23 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 def read_jsonl(spark: SparkSession, path: str | None, schema: T.StructType, strict: bool = False) -> DataFrame:
     """JSON lines with a declared schema.
 
-    Lenient (default): malformed lines are dropped, blank lines skipped, and a
-    missing path yields an empty feed. Strict (the parcel master): the path
-    must exist and a malformed line fails the job.
+    Lenient (default): lines that are no JSON object are dropped, blank lines
+    skipped, and a missing path yields an empty feed. Strict (the parcel
+    master): the path must exist and such a line fails the job. Ids are read
+    as text and converted after, so a quoted id or one with a fraction (5.0)
+    keeps its row; an id that is no number is null.
     """
     if path is None:
         if strict:
             raise FileNotFoundError("parcel master path is required")
         return empty(spark, schema)
-    reader = spark.read.schema(schema).option("mode", "FAILFAST" if strict else "DROPMALFORMED")
+    text = T.StructType([T.StructField(f.name, S if f.dataType == T.LongType() else f.dataType) for f in schema.fields])
+    reader = spark.read.schema(text).option("mode", "FAILFAST" if strict else "DROPMALFORMED")
     try:
-        return reader.json(path)
+        rows = reader.json(path)
+        return rows.select(*[
+            F.col(f.name).try_cast("decimal(38,6)").try_cast("bigint").alias(f.name) if f.dataType == T.LongType() else F.col(f.name)
+            for f in schema.fields])
     except Exception as e:  # AnalysisException: path does not exist
         if strict or "PATH_NOT_FOUND" not in str(e):
             raise

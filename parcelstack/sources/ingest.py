@@ -25,10 +25,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def detect_column(fields: list[str], aliases: list[str]) -> str | None:
-    """Header matched after trim, lower, spaces -> '_'; first alias wins."""
+    """Header matched after trim, lower, spaces -> '_'; first alias wins,
+    and of headers that read alike the last one."""
     norm = {}
     for f in fields:
-        norm.setdefault(f.strip().lower().replace(" ", "_"), f)
+        norm[f.strip().lower().replace(" ", "_")] = f
     for a in aliases:
         if a in norm:
             return norm[a]
@@ -37,8 +38,11 @@ def detect_column(fields: list[str], aliases: list[str]) -> str | None:
 
 def read_instrument_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header row, every column as text; a UTF-8 BOM on the first
-    header name is dropped."""
-    df = spark.read.option("header", True).option("inferSchema", False).option("encoding", "UTF-8").csv(path)
+    header name is dropped. Quoted cells may hold commas, doubled quotes and
+    line breaks. All files of one read must have the same header (a file that
+    differs fails the read); read files of another layout separately."""
+    df = (spark.read.option("header", True).option("inferSchema", False).option("encoding", "UTF-8")
+          .option("quote", '"').option("escape", '"').option("multiLine", True).option("enforceSchema", False).csv(path))
     return df.toDF(*[c.lstrip("﻿") for c in df.columns])
 
 

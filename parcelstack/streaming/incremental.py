@@ -2,51 +2,58 @@
 
 ST1  append with id dedup: a notice id already in the target is skipped, the
      first version of a new id wins. Each micro-batch (foreachBatch) keeps the
-     first row per id of the batch (partial `min_by`, safe for hot ids), drops
-     ids the target already holds (left anti-join against the target's ids of
-     the batch's buckets only), and appends. State lives in the target table,
-     not in the stream, so it does not grow in memory.
-ST2  append by monotone cursor: only rows whose object id is above the
-     target's current maximum are appended, in ascending order.
-
-Both are exactly-once per micro-batch through the checkpoint location, and
-recompute from source files after a lost executor.
+     first row per id of the batch (partial `min_by`, safe for hot ids) and
+     drops the ids that earlier batches wrote (left anti-join against the id
+     column alone, of the id buckets that the batch has).
+ST2  append by monotone cursor: rows whose object id is above the highest one
+     seen are new. Rows at or below it (a page that arrived late, or again)
+     are compared with the ids already held, so none is lost or doubled.
+
+Both write a micro-batch to a folder of its own (`_batch=N`) by overwriting,
+and look only at earlier batches: a batch that is replayed after a failure
+replaces its own rows, so the result holds every row once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ID_BUCKETS = 64
 
 
-def _bucket(c: str) -> F.Column:
+def _bucket(c: str) -> Column:
     return F.pmod(F.xxhash64(F.col(c)), F.lit(ID_BUCKETS)).cast("int")
 
 
-def _target_ids(spark: SparkSession, target: str, id_col: str, buckets: DataFrame) -> DataFrame | None:
+def _earlier(spark: SparkSession, path: str, epoch: int) -> DataFrame | None:
+    """What batches before `epoch` wrote; None if there is nothing yet."""
     try:
-        t = spark.read.parquet(target)
+        return spark.read.parquet(path).where(F.col("_batch") < epoch)
     except Exception as e:  # first batch: no target yet
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return None
         raise
-    # partition pruning on the bucket column: only the batch's buckets are read
-    return t.join(F.broadcast(buckets), "_bucket", "left_semi").select(id_col)
 
 
-def dedup_append_batch(batch: DataFrame, target: str, id_col: str, order_col: str) -> None:
-    """ST1 for one micro-batch."""
-    spark = batch.sparkSession
+def _first_rows(batch: DataFrame, id_col: str, order_col: str) -> DataFrame:
     cols = [c for c in batch.columns if c != id_col]
-    first = (batch.groupBy(id_col).agg(F.min_by(F.struct(*cols), F.col(order_col)).alias("r"))
-             .select(id_col, "r.*").withColumn("_bucket", _bucket(id_col)))
-    buckets = first.select("_bucket").distinct()
-    seen = _target_ids(spark, target, id_col, buckets)
-    new = first if seen is None else first.join(seen, id_col, "left_anti")
-    new.write.mode("append").partitionBy("_bucket").parquet(target)
+    return (batch.groupBy(id_col).agg(F.min_by(F.struct(*cols), F.col(order_col)).alias("r"))
+            .select(id_col, "r.*"))
+
+
+def dedup_append_batch(batch: DataFrame, target: str, id_col: str, order_col: str, epoch: int) -> None:
+    """ST1 for one micro-batch. Rows are dealt by bucket before the write, so
+    a batch adds at most one file to a bucket."""
+    spark = batch.sparkSession
+    new = _first_rows(batch, id_col, order_col).withColumn("_bucket", _bucket(id_col))
+    held = _earlier(spark, target, epoch)
+    if held is not None:
+        buckets = [r[0] for r in batch.select(_bucket(id_col)).distinct().collect()]  # at most ID_BUCKETS numbers
+        new = new.join(held.where(F.col("_bucket").isin(buckets)).select(id_col), id_col, "left_anti")
+    (new.repartition(ID_BUCKETS, "_bucket").write.mode("overwrite").partitionBy("_bucket")
+     .parquet(f"{target}/_batch={epoch}"))
 
 
 def run_dedup_stream(spark: SparkSession, source_dir: str, schema: T.StructType, target: str, checkpoint: str,
@@ -54,31 +61,29 @@ def run_dedup_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
     """Run ST1 over every file now in `source_dir` (Trigger.AvailableNow)."""
     q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(source_dir)
          .writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, _epoch: dedup_append_batch(df, target, id_col, order_col))
+         .foreachBatch(lambda df, epoch: dedup_append_batch(df, target, id_col, order_col, epoch))
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
-def cursor_append_batch(batch: DataFrame, target: str, oid_col: str) -> None:
-    """ST2 for one micro-batch: rows above the cursor, appended; then the new
-    cursor (this batch's max id) is appended to a one-row-per-batch side table
-    `<target>_cursor`, so reading the cursor never scans the target. As in the
-    source scraper, a failure between the two writes replays the batch's rows
-    on retry (foreachBatch is at-least-once)."""
+def cursor_append_batch(batch: DataFrame, target: str, oid_col: str, epoch: int) -> None:
+    """ST2 for one micro-batch. The cursor of a batch is a row of the side
+    table `<target>_cursor`, so finding it never scans the target; the ids of
+    the target are read only when the batch has rows at or below the cursor."""
     spark = batch.sparkSession
     cursor_path = target.rstrip("/") + "_cursor"
-    try:
-        last = spark.read.parquet(cursor_path).agg(F.max("cursor").alias("m"))
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            last = None
-        else:
-            raise
-    new = batch if last is None else batch.join(F.broadcast(last), F.col(oid_col) > F.coalesce("m", F.lit(-1)),
-                                                "left_semi")
-    new.sortWithinPartitions(oid_col).write.mode("append").parquet(target)
-    (new.agg(F.max(oid_col).alias("cursor")).where(F.col("cursor").isNotNull())
-     .write.mode("append").parquet(cursor_path))
+    cursors = _earlier(spark, cursor_path, epoch)
+    last = cursors.agg(F.max("cursor")).first()[0] if cursors is not None else None
+    new = batch.dropDuplicates([oid_col])
+    if last is not None:
+        late = new.where(F.col(oid_col) <= last)
+        new = new.where(F.col(oid_col) > last)
+        if not late.isEmpty():
+            new = new.unionByName(late.join(_earlier(spark, target, epoch).select(oid_col), oid_col, "left_anti"))
+    new.sortWithinPartitions(oid_col).write.mode("overwrite").parquet(f"{target}/_batch={epoch}")
+    highest = spark.read.parquet(f"{target}/_batch={epoch}").agg(F.max(oid_col).alias("cursor"))
+    highest.select(F.greatest("cursor", F.lit(last).cast("long")).alias("cursor")).where("cursor IS NOT NULL") \
+        .write.mode("overwrite").parquet(f"{cursor_path}/_batch={epoch}")
 
 
 def run_cursor_stream(spark: SparkSession, source_dir: str, schema: T.StructType, target: str, checkpoint: str,
@@ -86,13 +91,11 @@ def run_cursor_stream(spark: SparkSession, source_dir: str, schema: T.StructType
     """Run ST2 over every file now in `source_dir` (Trigger.AvailableNow)."""
     q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(source_dir)
          .writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, _epoch: cursor_append_batch(df, target, oid_col))
+         .foreachBatch(lambda df, epoch: cursor_append_batch(df, target, oid_col, epoch))
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
 def batch_first_versions(rows: DataFrame, id_col: str, order_col: str) -> DataFrame:
     """The batch equivalent of ST1 over all rows at once (for equality tests)."""
-    cols = [c for c in rows.columns if c != id_col]
-    return (rows.groupBy(id_col).agg(F.min_by(F.struct(*cols), F.col(order_col)).alias("r"))
-            .select(id_col, "r.*"))
+    return _first_rows(rows, id_col, order_col)
