@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +15,7 @@ from ..session import ensure_checkpoint_dir
 
 # Bytes of text that one Python step holds as arrays at a time. Rows are never
 # cut: a single longer text makes a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 19
 
 # What separates words in the operators' contracts: space and 0x09-0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -26,6 +27,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows as a compressed Parquet table in the shared folder: for text
+    that several later scans read."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def texts(docs: DataFrame, *more: Column) -> DataFrame:
     """(doc_id, text) of every row, a null text as empty; whatever other
     columns the input has are left out, so their names cannot clash."""

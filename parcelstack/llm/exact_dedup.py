@@ -157,6 +157,17 @@ def suspect_filter_bits(suspect: DataFrame) -> tuple[np.ndarray, int]:
     return table, bits
 
 
+def holds(table: np.ndarray, bits: int, fp: np.ndarray) -> np.ndarray:
+    """Whether the filter has the bit of each fingerprint."""
+    at = fp >> (FINGERPRINT_BITS - bits)
+    return (table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+
+
+def id_fingerprint(column: str = "doc_id"):
+    """Fingerprint of an id column."""
+    return F.shiftrightunsigned(F.xxhash64(column), 64 - FINGERPRINT_BITS)
+
+
 def suspect_filter(spark, suspect: DataFrame):
     """A predicate on a fingerprint column that holds for every suspect, and
     for few others while the filter is not saturated."""
@@ -164,9 +175,7 @@ def suspect_filter(spark, suspect: DataFrame):
 
     @F.pandas_udf("boolean")
     def suspected(fp: pd.Series) -> pd.Series:
-        table, bits = shared.value
-        at = fp.fillna(0).to_numpy(dtype=np.int64) >> (FINGERPRINT_BITS - bits)
-        return pd.Series((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
+        return pd.Series(holds(*shared.value, fp.fillna(0).to_numpy(dtype=np.int64)))
 
     return suspected
 

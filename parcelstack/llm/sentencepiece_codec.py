@@ -31,7 +31,7 @@ def encode(docs: DataFrame, model_path: str, end_id: bool = True, decoded: bool
         from .bpe import encoder
         e = encoder(model_path)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=4 << 20):
                 ids, n = e.encode(part.column("text").to_pylist(), end_id)
                 cols = [part.column("doc_id"), _lists(ids, n)]
                 if decoded:

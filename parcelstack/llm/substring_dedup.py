@@ -36,8 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as H
-from .common import cut, slices, texts
-from .exact_dedup import FINGERPRINT_BITS, copies, messages, suspect_filter, suspect_filter_bits, suspects
+from .common import cut, slices, stored, texts
+from .exact_dedup import FINGERPRINT_BITS, copies, holds, id_fingerprint, messages, suspect_filter_bits, suspects
 
 
 def anchors(h: np.ndarray, valid: np.ndarray, reach: int) -> np.ndarray:
@@ -90,7 +90,7 @@ class _Levels:
     def second(self, known: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
         """Anchors that repeat, extended to half the length."""
         at, h = self.first()
-        at = at[_holds(known, bits, h)]
+        at = at[holds(known, bits, _fp(h))]
         ends = np.repeat(np.cumsum(self.counts), self.counts)
         at = at[at + self.half <= ends[at]]
         h = H.window_hashes(self.words, self.half)
@@ -99,7 +99,7 @@ class _Levels:
     def third(self, known: np.ndarray, bits: int, known2: np.ndarray, bits2: int) -> np.ndarray:
         """Positions of full windows around the anchors left."""
         at, h = self.second(known, bits)
-        at = at[_holds(known2, bits2, h)]
+        at = at[holds(known2, bits2, _fp(h))]
         mark = np.zeros(len(self.words) + 1, dtype=np.int64)
         np.add.at(mark, np.maximum(at - (self.window - self.half), 0), 1)
         np.add.at(mark, at + 1, -1)
@@ -112,11 +112,6 @@ def _fp(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - FINGERPRINT_BITS)).astype(np.int64)
 
 
-def _holds(table: np.ndarray, bits: int, h: np.ndarray) -> np.ndarray:
-    at = _fp(h) >> (FINGERPRINT_BITS - bits)
-    return (table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
-
-
 def _level(live: DataFrame, window: int, known) -> DataFrame:
     """Fingerprints of one level's windows; `known`: what earlier levels found."""
     def run(batches):
@@ -158,7 +153,8 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     spark = docs.sparkSession
     owner_bits = max(3, (int(spark.conf.get("spark.sql.shuffle.partitions")) // 2).bit_length())
     rows = copies(texts(docs), owner_bits, smallest=True)
-    rows = rows.select(F.col("doc.doc_id").alias("doc_id"), "text", (F.col("kept") | F.col("doc.doc_id").isNull()).alias("first"))
+    rows = stored(rows.select(F.col("doc.doc_id").alias("doc_id"), "text",
+                              (F.col("kept") | F.col("doc.doc_id").isNull()).alias("first")))
     live = rows.where("first").select("doc_id", "text")
     known = _repeated(spark, _level(live.where("doc_id IS NOT NULL"), window, None), owner_bits)
     known2 = _repeated(spark, _level(live.where("doc_id IS NOT NULL"), window, known), owner_bits)
@@ -169,33 +165,52 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     spread = F.xxhash64("h1", "h2").alias("spread")
     hits = full.select("*", spread).join(lowest.select("h1", "h2", "low", spread), ["h1", "h2", "spread"]).where("doc_id > low")
     hits = cut(hits.groupBy("doc_id").agg(F.collect_set("pos").alias("at")))  # at most a document's words
-    fp = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - FINGERPRINT_BITS)
-    hit = suspect_filter(spark, hits.select(fp.alias("fp")))
-    live = live.withColumn("fp", fp)
-    none = F.lit(None).cast("array<int>").alias("at")
-    parts = rows.where("NOT first").select("doc_id", "text", none, F.lit(True).alias("all")).unionAll(
-        live.where(F.col("doc_id").isNull() | ~hit("fp")).select("doc_id", "text", none, F.lit(False).alias("all"))).unionAll(
-        live.where(F.col("doc_id").isNotNull() & hit("fp")).join(hits, "doc_id", "left").select("doc_id", "text", "at", F.lit(False).alias("all")))
+    known3 = spark.sparkContext.broadcast(suspect_filter_bits(hits.select(id_fingerprint().alias("fp"))))
+    # documents that may lose words meet their positions; no other text moves
+    rows = rows.withColumn("fp", F.when(F.col("first") & F.col("doc_id").isNotNull(), id_fingerprint()))
+    form = "doc_id long, n_words long, n_removed long, text string"
+
+    def is_hit(part):
+        fp = part.column("fp")
+        return holds(*known3.value, np.asarray(fp.fill_null(0), dtype=np.int64)) & np.asarray(fp.is_valid())
+
+    def untouched(batches):
+        for batch in batches:
+            for part in slices(batch):
+                part = part.filter(pa.array(~is_hit(part)))
+                yield _strip(part, [None] * part.num_rows, [not x for x in part.column("first").to_pylist()], window)
+
+    def candidates(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(is_hit(batch))).select(["doc_id", "text"])
 
     def strip(batches):
         for batch in batches:
             for part in slices(batch):
-                n_words, n_removed, kept = [], [], []
-                for text, at, whole in zip(part.column("text"), part.column("at").to_pylist(), part.column("all").to_pylist(), strict=True):
-                    own = text.as_buffer().to_pybytes().split()
-                    left = own
-                    if whole and len(own) >= window:
-                        left = []
-                    elif at:
-                        edge = np.zeros(len(own) + window + 1, dtype=np.int64)
-                        edge[np.array(at)] += 1
-                        edge[np.array(at) + window] -= 1
-                        left = [own[i] for i in np.flatnonzero(np.cumsum(edge)[:len(own)] == 0).tolist()]
-                    n_words.append(len(own))
-                    n_removed.append(len(own) - len(left))
-                    kept.append(b" ".join(left))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
-                     pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "text"])
-
-    return parts.mapInArrow(strip, "doc_id long, n_words long, n_removed long, text string")
+                yield _strip(part, part.column("at").to_pylist(), [False] * part.num_rows, window)
+
+    touched = rows.select("doc_id", "text", "fp").mapInArrow(candidates, "doc_id long, text string").join(hits, "doc_id", "left")
+    return rows.mapInArrow(untouched, form).unionAll(touched.select("doc_id", "text", "at").mapInArrow(strip, form))
+
+
+def _strip(part: pa.RecordBatch, positions: list, whole: list, window: int) -> pa.RecordBatch:
+    """What is left of each text without the windows at `positions`, or without
+    any window where `whole`."""
+    n_words, n_removed, kept = [], [], []
+    for text, at, every in zip(part.column("text"), positions, whole, strict=True):
+        own = text.as_buffer().to_pybytes().split()
+        left = own
+        if every and len(own) >= window:
+            left = []
+        elif at:
+            at = np.array(at)
+            edge = np.zeros(len(own) + window + 1, dtype=np.int64)
+            edge[at] += 1
+            edge[at + window] -= 1
+            left = [own[i] for i in np.flatnonzero(np.cumsum(edge)[:len(own)] == 0).tolist()]
+        n_words.append(len(own))
+        n_removed.append(len(own) - len(left))
+        kept.append(b" ".join(left))
+    return pa.RecordBatch.from_arrays(
+        [part.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
+         pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "text"])

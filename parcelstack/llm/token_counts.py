@@ -27,7 +27,7 @@ def count_tokens(docs: DataFrame, model_path: str) -> DataFrame:
         from .bpe import encoder
         e = encoder(model_path)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=4 << 20):
                 n = e.counts(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("n_bytes"), pa.array(n, pa.int64())],
