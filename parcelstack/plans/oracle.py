@@ -660,6 +660,34 @@ SELECT event_id AS OBJECTID, event_type AS CaseType, value, 'layer' AS _source F
             f"SELECT {_q(name)} AS toggle, tier, count(*) AS n FROM leads WHERE {filter_sql(spec)} GROUP BY tier"
             for name, spec in TOGGLES.items()),
         "page_extract": page_sql(),
+        "notice_extract": """
+SELECT s_suppkey AS detail_id,
+  'https://mecktimes.com/public-notice/search-detail?indexgroup=real_estate&detail=' || s_suppkey AS detail_url,
+  '2001-02-0' || (1 + s_suppkey % 9) AS posted_date, s_suppkey || ' O\u2019Hara St \u2013 Anytown, NC' AS address,
+  'Mecklenburg' AS county, '2001-09-01' AS auction_date, '24SP' || printf('%06d', s_suppkey) AS sp_case_number,
+  CAST(1 + s_suppkey % 900 AS VARCHAR) AS deed_book, CAST(1 + s_suppkey % 90 AS VARCHAR) AS deed_page,
+  repeat('lorem ipsum ', 200) || 'CASE 24 SP ' || printf('%06d', s_suppkey) || ' of ' || s_name || ' recorded in Book '
+    || (1 + s_suppkey % 900) || ' at Page ' || (1 + s_suppkey % 90)
+    || CASE WHEN s_suppkey % 2 = 0 THEN ' \u2014 Tax foreclosure &amp; sale' ELSE ' under lien of Shoal HOA' END AS summary,
+  CASE WHEN s_suppkey % 2 = 0 THEN 'tax' ELSE 'lien' END AS pattern FROM supplier""",
+        "estate_extract": """
+SELECT o_orderkey AS detail_id,
+  'https://mecktimes.com/public-notice/search-detail?indexgroup=probate&detail=' || o_orderkey AS detail_url,
+  '2001-03-01' AS posted_date, 'D\u2019Arcy, Ann ' || nm AS heading,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'JO ANN ' || nm ELSE 'ANN ' || nm || ' D\u2019ARCY' END AS decedent_name,
+  'Union' AS county, '24E' || printf('%06d', o_custkey) AS case_number,
+  repeat('lorem ipsum ', 200) || CASE WHEN o_orderkey % 2 = 0 THEN 'claims against Jo Ann ' || nm || ', deceased' ELSE 'no name given' END
+    || ' 24 E ' || printf('%06d', o_custkey) AS summary, 'mecktimes_probate' AS _source
+FROM (SELECT *, translate(printf('%06d', o_custkey), '0123456789', 'ABCDEFGHIJ') AS nm FROM orders)""",
+        "listing_extract": """
+SELECT 'rbcwb' AS _source, c_custkey || ' Elm & Oak' AS address, '24-' || c_custkey AS courtfile,
+  CASE WHEN length(c_custkey::VARCHAR) < 8 THEN lpad(c_custkey::VARCHAR, 8, '0') ELSE c_custkey::VARCHAR END AS pid_normalized,
+  'Mecklenburg' AS county, 'O\u2019' || c_name AS name, 'Open' AS status,
+  NULL::VARCHAR AS street, NULL::VARCHAR AS tax_value, NULL::VARCHAR AS saletime FROM customer
+UNION ALL
+SELECT 'kania', '(parcel ' || c_custkey || ') ' || c_custkey || ' O\u2019Hara Ct | Anytown | ' || (c_custkey + 10000), '24CVD' || c_custkey,
+  CASE WHEN length(c_custkey::VARCHAR) < 8 THEN lpad(c_custkey::VARCHAR, 8, '0') ELSE c_custkey::VARCHAR END, 'Mecklenburg',
+  NULL, NULL, c_custkey || ' O\u2019Hara Ct', '$1,200.50', '10:00 AM' FROM customer""",
         "instrument_import": f"WITH {feed_ctes()}" + """
 SELECT instrument_id, doc_type, CASE WHEN doc_type_code = '' THEN 'unknown' ELSE doc_type_code END AS doc_type_code,
   recorded_date, pid, amount, book, page, grantor, grantee, legal_description, CAST(1 AS BIGINT) AS n_extra,

@@ -184,6 +184,37 @@ def page_extract(spark, d) -> DataFrame:
                                        "text_len", "pattern")
 
 
+def _rendered(spark, d, table, expr, name="html") -> DataFrame:
+    return standins.read_table(spark, d, table).select(F.expr(expr).alias(name))
+
+
+def notice_extract(spark, d) -> DataFrame:
+    """Result pages rendered from suppliers, split, read and classified."""
+    from ..functions.normalize import notice_pattern
+    from ..sources import extract as X
+    pages = _rendered(spark, d, "supplier", standins.notice_page_expr("spark"))
+    return X.notice_fields(X.split_blocks(pages, X.BLOCK_START, X.BLOCK_END_MARKS)).withColumn(
+        "pattern", notice_pattern("summary", "sp_case_number"))
+
+
+def estate_extract(spark, d) -> DataFrame:
+    """Estate pages rendered from orders."""
+    from ..sources import extract as X
+    pages = _rendered(spark, d, "orders", standins.estate_page_expr("spark"))
+    return X.estate_fields(X.split_blocks(pages, X.BLOCK_START, X.BLOCK_END_MARKS))
+
+
+def listing_extract(spark, d) -> DataFrame:
+    """Listing tables and listing payloads rendered from customers."""
+    from ..sources import extract as X
+    cols = ["_source", "address", "courtfile", "pid_normalized", "county"]
+    b = X.listing_b_rows(_rendered(spark, d, "customer", standins.listing_page_expr("spark")))
+    a = X.listing_a_rows(_rendered(spark, d, "customer", standins.listing_json_expr("spark"), "payload"))
+    none = F.lit(None).cast("string")
+    return b.select(*cols, "name", "status", none.alias("street"), none.alias("tax_value"), none.alias("saletime")).unionByName(
+        a.select(*cols, none.alias("name"), none.alias("status"), "street", "tax_value", "saletime"))
+
+
 INSTRUMENT_CSV_HEADERS = {
     # logical field -> header text used in the stand-in export (aliases, P2)
     "recorded_date": "Record Date", "instrument_id": "Doc ID", "book": "BK", "page": "PG",
@@ -363,6 +394,9 @@ QUERIES = {
     "feature_scan": feature_scan,
     "filter_toggles": filter_toggles,
     "page_extract": page_extract,
+    "notice_extract": notice_extract,
+    "estate_extract": estate_extract,
+    "listing_extract": listing_extract,
     "instrument_import": instrument_import,
     "snapshot_overwrite": snapshot_overwrite,
     "incremental_dedup": incremental_dedup,

@@ -276,6 +276,46 @@ def instrument_exprs(dialect: str) -> dict[str, str]:
     }
 
 
+# ------------------------------------------------------------------ markup, rendered from whole tables
+# Long text in front of what the extractors look for, entities of all kinds.
+FILLER = "repeat('lorem ipsum ', 200)"
+
+
+def notice_page_expr(d: str) -> str:
+    """Over supplier: a result page with the notice and a block without an id."""
+    return (f"'<html><main><div class=\"col-md-11 pnsr-block odd\"><a href=\"?detail=' || cast(s_suppkey as string) || '\">x</a>' "
+            f"|| '<span class=\"result-date\"> 2001-02-0' || cast(1 + s_suppkey % 9 as string) || ' </span>' "
+            f"|| '<div class=\"notice-heading\">' || cast(s_suppkey as string) || ' O&rsquo;Hara St &#8211; Anytown, NC</div>' "
+            f"|| '<div class=\"notice-summary\"><p>' || {FILLER} || '</p> CASE 24 SP ' || {_d(d, 'pad6', 's_suppkey')} || ' of ' || s_name "
+            f"|| ' recorded in Book ' || cast(1 + s_suppkey % 900 as string) || ' at Page ' || cast(1 + s_suppkey % 90 as string) "
+            f"|| CASE WHEN s_suppkey % 2 = 0 THEN ' &mdash; Tax foreclosure &amp;amp; sale' ELSE ' under lien of Shoal HOA' END || '</div>' "
+            f"|| '<strong>County:</strong> Mecklenburg</b><strong>Auction Date:</strong> 2001-09-01 <' || '</div>' "
+            f"|| '<div class=\"col-md-11 pnsr-block\">no id</div><div id=\"search-results-pagination\">1 2 3</div></main></html>'")
+
+
+def estate_page_expr(d: str) -> str:
+    """Over orders: a page with one estate notice; the name is in the text or only in the heading."""
+    return (f"'<div class=\"col-md-11 pnsr-block\"><i>detail=' || cast(o_orderkey as string) || '</i>' "
+            f"|| '<span class=\"result-date\">2001-03-01</span><div class=\"notice-heading\">D&rsquo;Arcy, Ann ' || {lettered('o_custkey', d)} || '</div>' "
+            f"|| '<div class=\"notice-summary\">' || {FILLER} || CASE WHEN o_orderkey % 2 = 0 THEN ' claims against Jo Ann ' || {lettered('o_custkey', d)} "
+            f"|| ', deceased' ELSE ' no name given' END || ' 24 E ' || {_d(d, 'pad6', 'o_custkey')} || '</div>' "
+            f"|| '<strong>County:</strong> Union<' || '</main>'")
+
+
+def listing_page_expr(d: str) -> str:
+    """Over customer: a listing table with empty cells and entities."""
+    return ("'<table class=\"t\"><tr><th>Name</th></tr><tr><td></td></tr><tr><td>O&rsquo;' || c_name || '</td><td> </td><td>' "
+            "|| cast(c_custkey as string) || ' Elm &amp; Oak</td><td>28200</td><td>' || " + dashed("c_custkey")
+            + " || '</td><td>24&#45;' || cast(c_custkey as string) || '</td><td><b>Open</b></td></tr></table>'")
+
+
+def listing_json_expr(d: str) -> str:
+    """Over customer: a listing payload with one row and one placeholder row."""
+    return ("'[{\"value\":{\"addressparcel\":\"(parcel ' || cast(c_custkey as string) || ') ' || cast(c_custkey as string) "
+            "|| ' O&rsquo;Hara Ct<br>Anytown<br>' || cast(c_custkey + 10000 as string) || '\",\"saletimetaxvalue\":\"10:00 AM<br>$1,200.50\",' "
+            "|| '\"openingbid\":\"<b>$5</b>\",\"courtfile\":\"24CVD' || cast(c_custkey as string) || '\"}},{\"addressparcel\":\"&nbsp;\"}]'")
+
+
 # ------------------------------------------------------------------ Spark side
 def read_table(spark: SparkSession, d: str, name: str) -> DataFrame:
     """A driver table."""
