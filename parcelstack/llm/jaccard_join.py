@@ -12,12 +12,18 @@ very many documents share come last and hardly ever into a prefix.
    fingerprint exchange, which finds those that occur twice; a third lists per
    document its prefix shingles that do (texts are scanned again, not moved).
 3. Documents of identical prefix and size form a group. Per shingle and size
-   band the smallest group is the hub; each group is paired with the hub that
-   it shares most shingles with, and each member with its group's head.
-   Verified pairs (whole sets are compared) make first components.
+   band the group that shares most with others is the hub; each group is
+   paired with the hubs that it shares most shingles with, and each member
+   with its group's head. Verified pairs make first components.
 4. Shingles whose documents lie in several components still may hide links:
    all pairs across components there that pass the size filter are verified
    too. Pairs inside a component need no check, since they change nothing.
+   One shingle of the two must lie in the shorter prefix that suffices for
+   the smaller set (n - ceil(2t / (1 + t) * n) + 1).
+
+A pair is verified in two steps: counts of shingles per hash bin (128 bytes a
+document) give an upper bound of the intersection, and only pairs that it
+leaves open are compared by their whole sets.
 
 So the work stays linear in a group of near copies, however large, while no
 link between components is lost; the result is the components.
@@ -35,15 +41,20 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import words as H
-from .common import cut, slices, texts
+from .common import cut, slices, stored, texts
 from .components import components
-from .exact_dedup import FINGERPRINT_BITS, copies, messages, suspect_filter, suspect_filter_bits, suspects
+from .exact_dedup import (FINGERPRINT_BITS, copies, holds, id_fingerprint, messages, suspect_filter, suspect_filter_bits,
+                          suspects)
 
 SKETCH_BITS = 18
 SKETCH_CHUNK = 4096
+BINS = 128
+# Hubs that a group is paired with before components are first formed.
+HUBS = 2
 
 
 def shingle_sets(part: pa.RecordBatch, k: int) -> list[np.ndarray]:
@@ -103,8 +114,10 @@ def frequency_sketch(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def prefixes(live: DataFrame, k: int, threshold: int) -> DataFrame:
-    """(doc_id, n, gid, tokens): set size, group, and the prefix shingles that
-    occur in more than one document's prefix."""
+    """(doc_id, n, gid, tokens, n_short, bins): set size, group, the prefix
+    shingles that occur in more than one document's prefix (n_short of them in
+    the shorter prefix), and shingle counts per hash bin (null if one is over
+    255)."""
     spark = live.sparkSession
     sketch = spark.sparkContext.broadcast(frequency_sketch(live, k))
 
@@ -123,20 +136,43 @@ def prefixes(live: DataFrame, k: int, threshold: int) -> DataFrame:
         table, bits = known.value
         for batch in batches:
             for part in slices(batch):
-                n, gid, toks = [], [], []
+                n, gid, toks, n_short, bins = [], [], [], [], []
                 for s in shingle_sets(part, k):
                     p = prefix(s, sketch.value, threshold)
-                    at = (p >> np.uint64(64 - bits)).astype(np.int64)
-                    twice = (table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+                    twice = holds(table, bits, (p >> np.uint64(64 - FINGERPRINT_BITS)).astype(np.int64))
                     n.append(len(s))
                     gid.append(int(H.mix((H.mix(p, 3) * np.arange(1, 2 * len(p), 2, dtype=np.uint64)).sum(dtype=np.uint64, keepdims=True),
                                          len(s)).view(np.int64)[0]))
                     toks.append(p[twice].view(np.int64))
+                    short = len(s) + (-200 * threshold * len(s) // (100 * (100 + threshold))) + 1 if len(s) else 0
+                    n_short.append(int(twice[:max(short, 0)].sum()))
+                    count = np.bincount((s & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)
+                    bins.append(count.astype(np.uint8).tobytes() if count.max(initial=0) < 256 else None)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n, pa.int32()), pa.array(gid, pa.int64()), pa.array(toks, pa.list_(pa.int64()))],
-                    ["doc_id", "n", "gid", "tokens"])
+                    [part.column("doc_id"), pa.array(n, pa.int32()), pa.array(gid, pa.int64()), pa.array(toks, pa.list_(pa.int64())),
+                     pa.array(n_short, pa.int32()), pa.array(bins, pa.binary())],
+                    ["doc_id", "n", "gid", "tokens", "n_short", "bins"])
+
+    return cut(live.select("doc_id", "text").mapInArrow(
+        rows, "doc_id long, n int, gid long, tokens array<long>, n_short int, bins binary"))
+
+
+def possible(docs: DataFrame, pairs: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) whose bin counts leave the threshold possible."""
+    def bound(batches):
+        for batch in batches:
+            na, nb = (np.asarray(batch.column(c), dtype=np.int64) for c in ("na", "nb"))
+            both = np.minimum(na, nb)
+            known = np.asarray(batch.column("xa").is_valid()) & np.asarray(batch.column("xb").is_valid())
+            at = np.flatnonzero(known)
+            if len(at):
+                x, y = (np.frombuffer(b"".join(batch.column(c).take(pa.array(at)).to_pylist()), dtype=np.uint8).reshape(-1, BINS)
+                        for c in ("xa", "xb"))
+                both[at] = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+            yield batch.select(["a", "b"]).filter(pa.array(100 * both >= threshold * (na + nb - both)))
 
-    return cut(live.select("doc_id", "text").mapInArrow(rows, "doc_id long, n int, gid long, tokens array<long>"))
+    x, y = (docs.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("bins").alias(f"x{c}")) for c in "ab")
+    return pairs.distinct().join(x, "a").join(y, "b").select("a", "b", "na", "nb", "xa", "xb").mapInArrow(bound, "a long, b long")
 
 
 def verify(live: DataFrame, pairs: DataFrame, k: int, threshold: int) -> DataFrame:
@@ -145,6 +181,7 @@ def verify(live: DataFrame, pairs: DataFrame, k: int, threshold: int) -> DataFra
     def sets(batches):
         for batch in batches:
             for part in slices(batch):
+                part = part.filter(pa.array(holds(*asked.value, np.asarray(part.column("fp"), dtype=np.int64))))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([s.tobytes() for s in shingle_sets(part, k)], pa.binary())], ["doc_id", "s"])
 
@@ -159,10 +196,8 @@ def verify(live: DataFrame, pairs: DataFrame, k: int, threshold: int) -> DataFra
 
     pairs = cut(pairs.distinct())
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    fp = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - FINGERPRINT_BITS)
-    asked = suspect_filter(live.sparkSession, ids.select(fp.alias("fp")))
-    # texts that share an id (repeated rows) are one document
-    s = live.where(asked(fp)).select("doc_id", "text").mapInArrow(sets, "doc_id long, s binary")
+    asked = live.sparkSession.sparkContext.broadcast(suspect_filter_bits(ids.select(id_fingerprint().alias("fp"))))
+    s = live.select("doc_id", "text", id_fingerprint().alias("fp")).mapInArrow(sets, "doc_id long, s binary")
     with_a = pairs.join(s.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), "a")
     both = with_a.join(s.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")), "b")
     return cut(both.select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long").distinct())
@@ -173,36 +208,47 @@ def links(live: DataFrame, k: int = 5, threshold: int = 80) -> tuple[DataFrame,
     whatever any links connect. `live`: (doc_id, text), copies collapsed."""
     docs = prefixes(live, k, threshold)
     some = docs.where("n > 0 AND doc_id IS NOT NULL")
-    groups = some.groupBy("gid", "n").agg(F.min("doc_id").alias("head"), F.first("tokens").alias("tokens"))
+    groups = cut(some.groupBy("gid", "n").agg(F.min("doc_id").alias("head"), F.first("tokens").alias("tokens")))
     # sizes whose ratio is below the threshold never link, so bands overlap by one step at most
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / threshold))).cast("int")
-    posts = groups.select("head", "n", band.alias("band"), F.explode("tokens").alias("token"))
-    hub = posts.groupBy("token", "band").agg(F.min(F.struct("n", "head")).alias("hub"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    posts = groups.select("head", band.alias("band"), F.explode("tokens").alias("token"))
+    # a group's weight: how often its shingles occur in other groups
+    shared = posts.groupBy("token", "band").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     spread = F.xxhash64("token", "band").alias("spread")
-    met = posts.select("*", spread).join(hub.select("token", "band", "hub", spread), ["token", "band", "spread"])
-    met = met.where("head <> hub.head").groupBy("head", F.col("hub.head").alias("hub")).agg(F.count(F.lit(1)).alias("c"))
-    first = met.groupBy("head").agg(F.max_by("hub", F.struct("c", -F.col("hub"))).alias("hub"))
-    grouped = some.select("doc_id", "gid", "n", F.xxhash64("gid").alias("spread"))
-    members = grouped.join(groups.select("gid", "n", "head", F.xxhash64("gid").alias("spread")), ["gid", "n", "spread"]).where("doc_id <> head")
-    pairs = first.select(F.col("head").alias("a"), F.col("hub").alias("b")).unionAll(
-        members.select(F.col("doc_id").alias("a"), F.col("head").alias("b")))
-    found = verify(live, pairs, k, threshold)
+    met = cut(posts.select("*", spread).join(shared.select("token", "band", "c", spread), ["token", "band", "spread"]).drop("spread"))
+    weight = met.groupBy("head").agg(F.sum("c").alias("weight"))
+    hub = met.join(weight, "head").groupBy("token", "band").agg(F.max_by("head", F.struct("weight", -F.col("head"))).alias("hub"))
+    near = met.select("*", spread).join(hub.select("token", "band", "hub", spread), ["token", "band", "spread"])
+    near = near.where("head <> hub").groupBy("head", "hub").agg(F.count(F.lit(1)).alias("c"))
+    place = F.row_number().over(W.partitionBy("head").orderBy(F.desc("c"), "hub"))
+    near = near.withColumn("place", place).where(F.col("place") <= HUBS)
+    members = some.select("doc_id", "gid", "n", F.xxhash64("gid").alias("spread")).join(
+        groups.select("gid", "n", "head", F.xxhash64("gid").alias("spread")), ["gid", "n", "spread"]).where("doc_id <> head")
+    pairs = cut(near.select(F.col("head").alias("a"), F.col("hub").alias("b")).unionAll(
+        members.select(F.col("doc_id").alias("a"), F.col("head").alias("b"))).distinct())
+    found = verify(live, possible(docs, pairs, threshold), k, threshold)
     # across components: shingles, and groups, whose documents are not yet connected
     roots = components(found)
     placed = some.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-    entries = placed.select("doc_id", "n", "root", F.explode(F.concat("tokens", F.array("gid"))).alias("token"))
+    entries = placed.select("doc_id", "n", "root", "n_short", F.posexplode(F.concat(F.array("gid"), "tokens")).alias("at", "token"))
+    entries = entries.select("doc_id", "n", "root", "token", (F.col("at") <= F.col("n_short")).alias("short"))
     open_ = entries.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1")
     spread = F.xxhash64(F.lit(5), "token").alias("spread")
     entries = cut(entries.select("*", spread).join(open_.select("token", spread), ["token", "spread"]).drop("spread"))
-    a, b = (entries.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("root").alias(f"r{x}"), "token") for x in "ab")
-    rest = a.join(b, "token").where(F.expr(f"ra < rb AND 100 * least(na, nb) >= {threshold} * greatest(na, nb)")).select("a", "b").distinct()
-    rest = rest.join(pairs.select("a", "b").unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
+    a, b = (entries.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("root").alias(f"r{x}"),
+                           F.col("short").alias(f"s{x}"), "token") for x in "ab")
+    rest = a.join(b, "token").where(F.expr(
+        f"(na < nb OR (na = nb AND a < b)) AND sa AND ra <> rb AND 100 * na >= {threshold} * nb")).select("a", "b").distinct()
+    tried = pairs.select("a", "b").unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    rest = possible(docs, rest.join(tried, ["a", "b"], "left_anti"), threshold)
     return docs.select("doc_id", "n"), found.unionAll(verify(live, rest, k, threshold))
 
 
 def similar_components(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
-    every = copies(texts(docs), smallest=True).select(F.col("doc.doc_id").alias("doc_id"), "text", "keep_id", "kept")
+    every = copies(texts(docs), smallest=True).select(
+        F.col("doc.doc_id").alias("doc_id"), F.when(F.col("kept"), F.col("text")).alias("text"), "keep_id", "kept")
+    every = stored(every)
     live = every.where("kept AND doc_id IS NOT NULL").select("doc_id", "text")
     sizes, found = links(live, k, threshold)
     roots = components(found)
@@ -220,9 +266,8 @@ def keep_representatives(docs: DataFrame, k: int = 5, threshold: int = 80) -> Da
     to go are shuffled."""
     gone = cut(similar_components(docs, k, threshold).where("doc_id > component_id").select(
         F.col("doc_id").alias("_gone")).distinct())
-    fp = F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("long")), 64 - FINGERPRINT_BITS)
-    suspected = suspect_filter(docs.sparkSession, gone.select(
-        F.shiftrightunsigned(F.xxhash64("_gone"), 64 - FINGERPRINT_BITS).alias("fp")))
+    suspected = suspect_filter(docs.sparkSession, gone.select(id_fingerprint("_gone").alias("fp")))
+    fp = id_fingerprint(F.col("doc_id").cast("long"))
     maybe = F.coalesce(suspected(fp), F.lit(False)) & F.col("doc_id").isNotNull()
     rest = docs.where(maybe).join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
     return docs.where(~maybe).unionByName(rest)
