@@ -28,8 +28,8 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The rows as a compressed Parquet table in the shared folder: for text
-    that several later scans read."""
+    """The rows as a compressed Parquet table in the shared folder: for wide or
+    long tables that several later scans read."""
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/llm-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

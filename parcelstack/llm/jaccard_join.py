@@ -153,7 +153,7 @@ def prefixes(live: DataFrame, k: int, threshold: int) -> DataFrame:
                      pa.array(n_short, pa.int32()), pa.array(bins, pa.binary())],
                     ["doc_id", "n", "gid", "tokens", "n_short", "bins"])
 
-    return cut(live.select("doc_id", "text").mapInArrow(
+    return stored(live.select("doc_id", "text").mapInArrow(
         rows, "doc_id long, n int, gid long, tokens array<long>, n_short int, bins binary"))
 
 
@@ -208,14 +208,14 @@ def links(live: DataFrame, k: int = 5, threshold: int = 80) -> tuple[DataFrame,
     whatever any links connect. `live`: (doc_id, text), copies collapsed."""
     docs = prefixes(live, k, threshold)
     some = docs.where("n > 0 AND doc_id IS NOT NULL")
-    groups = cut(some.groupBy("gid", "n").agg(F.min("doc_id").alias("head"), F.first("tokens").alias("tokens")))
+    groups = stored(some.groupBy("gid", "n").agg(F.min("doc_id").alias("head"), F.first("tokens").alias("tokens")))
     # sizes whose ratio is below the threshold never link, so bands overlap by one step at most
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / threshold))).cast("int")
     posts = groups.select("head", band.alias("band"), F.explode("tokens").alias("token"))
     # a group's weight: how often its shingles occur in other groups
     shared = posts.groupBy("token", "band").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     spread = F.xxhash64("token", "band").alias("spread")
-    met = cut(posts.select("*", spread).join(shared.select("token", "band", "c", spread), ["token", "band", "spread"]).drop("spread"))
+    met = stored(posts.select("*", spread).join(shared.select("token", "band", "c", spread), ["token", "band", "spread"]).drop("spread"))
     weight = met.groupBy("head").agg(F.sum("c").alias("weight"))
     hub = met.join(weight, "head").groupBy("token", "band").agg(F.max_by("head", F.struct("weight", -F.col("head"))).alias("hub"))
     near = met.select("*", spread).join(hub.select("token", "band", "hub", spread), ["token", "band", "spread"])
@@ -234,7 +234,7 @@ def links(live: DataFrame, k: int = 5, threshold: int = 80) -> tuple[DataFrame,
     entries = entries.select("doc_id", "n", "root", "token", (F.col("at") <= F.col("n_short")).alias("short"))
     open_ = entries.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1")
     spread = F.xxhash64(F.lit(5), "token").alias("spread")
-    entries = cut(entries.select("*", spread).join(open_.select("token", spread), ["token", "spread"]).drop("spread"))
+    entries = stored(entries.select("*", spread).join(open_.select("token", spread), ["token", "spread"]).drop("spread"))
     a, b = (entries.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("root").alias(f"r{x}"),
                            F.col("short").alias(f"s{x}"), "token") for x in "ab")
     rest = a.join(b, "token").where(F.expr(
