@@ -45,7 +45,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import words as H
-from .common import cut, slices, stored, texts
+from .common import cut, ragged, slices, stored, texts
 from .components import components
 from .exact_dedup import (FINGERPRINT_BITS, copies, holds, id_fingerprint, messages, suspect_filter, suspect_filter_bits,
                           suspects)
@@ -53,6 +53,8 @@ from .exact_dedup import (FINGERPRINT_BITS, copies, holds, id_fingerprint, messa
 SKETCH_BITS = 18
 SKETCH_CHUNK = 4096
 BINS = 128
+# Documents of one shingle that a task pairs with as many others at a time.
+BLOCK = 1024
 # Hubs that a group is paired with before components are first formed.
 HUBS = 2
 
@@ -175,6 +177,76 @@ def possible(docs: DataFrame, pairs: DataFrame, threshold: int) -> DataFrame:
     return pairs.distinct().join(x, "a").join(y, "b").select("a", "b", "na", "nb", "xa", "xb").mapInArrow(bound, "a long, b long")
 
 
+def across(entries: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of one shingle's documents that lie in different components
+    and that sizes and bin counts leave possible. A shingle with many documents
+    is dealt out as cells of two blocks each, so no task holds more than a few
+    blocks; pairs are formed and tested as arrays and only the possible ones
+    become rows."""
+    blocks = F.expr(f"(c + {BLOCK - 1}) div {BLOCK}")
+    e = entries.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
+    e = e.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    e = e.select("token", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
+                 "doc_id", "n", "root", "short", "bins")
+    n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    e = e.repartition(n, "token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "doc_id")
+
+    def pairs_of(rows: pa.Table):
+        cols = {c: np.asarray(rows.column(c)) for c in ("token", "lo", "hi", "block", "doc_id", "n", "root", "short")}
+        size = len(cols["n"])
+        new = np.r_[True, (np.diff(cols["token"]) != 0) | (np.diff(cols["lo"]) != 0) | (np.diff(cols["hi"]) != 0)]
+        edge = np.flatnonzero(new)
+        after = np.repeat(np.r_[edge[1:], size], np.diff(np.r_[edge, size])) - np.arange(size) - 1
+        has = np.asarray(rows.column("bins").is_valid())
+        blank = bytes(BINS)
+        bins = np.frombuffer(b"".join(x if x is not None else blank for x in rows.column("bins").to_pylist()), dtype=np.uint8).reshape(-1, BINS)
+        done = np.r_[0, np.cumsum(after)]
+        lo = 0
+        while lo < size:  # about a quarter of a million pairs at a time
+            hi = max(lo + 1, int(np.searchsorted(done, done[lo] + (1 << 18), side="right")) - 1)
+            k = after[lo:hi]
+            i = np.repeat(np.arange(lo, hi), k)
+            j = ragged(np.arange(lo + 1, hi + 1), k)
+            ok = (cols["root"][i] != cols["root"][j]) & ((cols["lo"][i] == cols["hi"][i]) | (cols["block"][i] != cols["block"][j]))
+            i, j = i[ok], j[ok]
+            small = np.where(cols["n"][i] <= cols["n"][j], i, j)  # of equal sizes either prefix suffices
+            ni, nj = cols["n"][i].astype(np.int64), cols["n"][j].astype(np.int64)
+            ok = (cols["short"][small] | ((ni == nj) & (cols["short"][i] | cols["short"][j]))) & (
+                100 * np.minimum(ni, nj) >= threshold * np.maximum(ni, nj))
+            i, j, ni, nj = i[ok], j[ok], ni[ok], nj[ok]
+            for at in range(0, len(i), 1 << 15):
+                x, y, nx, ny = (v[at:at + (1 << 15)] for v in (i, j, ni, nj))
+                both = np.minimum(bins[x], bins[y]).sum(axis=1, dtype=np.int64)
+                both = np.where(has[x] & has[y], both, np.minimum(nx, ny))
+                ok = 100 * both >= threshold * (nx + ny - both)
+                u, v = cols["doc_id"][x[ok]], cols["doc_id"][y[ok]]
+                if len(u):
+                    yield np.stack([np.minimum(u, v), np.maximum(u, v)], axis=1)
+            lo = hi
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            rows = rows.combine_chunks()
+            key = np.stack([np.asarray(rows.column(c)) for c in ("token", "lo", "hi")])
+            change = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
+            at = int(change[-1]) if len(change) else 0  # the last cell may go on in the next batch
+            yield from emit(rows.slice(0, at))
+            held = rows.slice(at)
+        if held is not None:
+            yield from emit(held)
+
+    def emit(rows):
+        found = list(pairs_of(rows)) if rows.num_rows else []
+        if found:
+            p = np.unique(np.concatenate(found), axis=0)
+            yield pa.RecordBatch.from_pydict({"a": pa.array(p[:, 0]), "b": pa.array(p[:, 1])})
+
+    return e.mapInArrow(run, "a long, b long")
+
+
 def verify(live: DataFrame, pairs: DataFrame, k: int, threshold: int) -> DataFrame:
     """(a, b) of the pairs whose whole shingle sets reach the threshold. Only
     texts that are in a pair move, as their sets."""
@@ -230,17 +302,13 @@ def links(live: DataFrame, k: int = 5, threshold: int = 80) -> tuple[DataFrame,
     # across components: shingles, and groups, whose documents are not yet connected
     roots = components(found)
     placed = some.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-    entries = placed.select("doc_id", "n", "root", "n_short", F.posexplode(F.concat(F.array("gid"), "tokens")).alias("at", "token"))
-    entries = entries.select("doc_id", "n", "root", "token", (F.col("at") <= F.col("n_short")).alias("short"))
-    open_ = entries.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1")
+    entries = placed.select("doc_id", "n", "root", "n_short", "bins", F.posexplode(F.concat(F.array("gid"), "tokens")).alias("at", "token"))
+    entries = entries.select("doc_id", "n", "root", "bins", "token", (F.col("at") <= F.col("n_short")).alias("short"))
+    open_ = entries.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("c")).where("r0 < r1")
     spread = F.xxhash64(F.lit(5), "token").alias("spread")
-    entries = stored(entries.select("*", spread).join(open_.select("token", spread), ["token", "spread"]).drop("spread"))
-    a, b = (entries.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("root").alias(f"r{x}"),
-                           F.col("short").alias(f"s{x}"), "token") for x in "ab")
-    rest = a.join(b, "token").where(F.expr(
-        f"(na < nb OR (na = nb AND a < b)) AND sa AND ra <> rb AND 100 * na >= {threshold} * nb")).select("a", "b").distinct()
+    entries = entries.select("*", spread).join(open_.select("token", "c", spread), ["token", "spread"]).drop("spread")
     tried = pairs.select("a", "b").unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    rest = possible(docs, rest.join(tried, ["a", "b"], "left_anti"), threshold)
+    rest = cut(across(entries, threshold).distinct()).join(tried, ["a", "b"], "left_anti")
     return docs.select("doc_id", "n"), found.unionAll(verify(live, rest, k, threshold))
 
 

@@ -88,6 +88,16 @@ def test_jaccard_components(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
 
 
+def test_links_found_across_components_alone(spark, monkeypatch):
+    """Without hubs every link must come out of the cells, many to a shingle."""
+    monkeypatch.setattr(jaccard_join, "HUBS", 0)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 3)
+    rows = near_rows()
+    n, want = near_components(rows)
+    got = jaccard_join.similar_components(documents(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (n[i], want[i]) for i in n}
+
+
 def test_jaccard_edges(spark):
     rows = edge_rows()
     docs = documents(spark, rows)
