@@ -1,6 +1,7 @@
 """Mixing sources to target weights (operator 4), DataFrame functions only.
 
-Each source is its documents one after another (in hash-bucket order), packed
+Each source is its documents one after another (in hash-bucket order, those
+without a doc_id dealt by a hash of their text), packed
 into blocks of `block` words; the last block may be short. Output shards draw
 multinomial source counts, slot by slot from a hash of (seed, slot); slots of
 a source that drew more than its quota go to the sources that drew less, so
@@ -26,13 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, texts
+from .common import WORD, cut, stored, texts
 
 
-def doc_sizes(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size): the words of every whole text."""
-    t = texts(docs, F.col("source").cast("string").alias("source"))
-    return t.select("doc_id", "source", F.regexp_count("text", F.lit(WORD)).cast("long").alias("size"))
+def doc_sizes(docs: DataFrame, keys: tuple = ()) -> DataFrame:
+    """(doc_id, source, size, content, keys): the words and a hash of every
+    whole text."""
+    t = texts(docs, F.col("source").cast("string").alias("source"), *keys)
+    return t.select("doc_id", "source", F.regexp_count("text", F.lit(WORD)).cast("long").alias("size"),
+                    F.xxhash64("text").alias("content"), *keys)
 
 
 def source_targets(sizes: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, cap: int = 2) -> DataFrame:
@@ -107,13 +110,15 @@ def draw_slots(spark, quotas: DataFrame, n_slots: int, shard_slots: int, seed: i
 
 
 def plan(docs: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, cap: int = 2, block: int = 256,
-         shard_slots: int = 1024, seed: int = 20240229) -> tuple[DataFrame, DataFrame]:
+         shard_slots: int = 1024, seed: int = 20240229, keys: tuple = ()) -> tuple[DataFrame, DataFrame]:
     """(documents, pieces). documents: doc_id, source_no, size, source_size,
     target, start (words of its source before it). pieces: what the mix takes,
     in output order of (shard, slot): shard, slot, pass, source_no, start,
-    doc_id, first_word, n_words."""
+    doc_id, first_word, n_words. (source_no, start) tells documents with words
+    apart. `keys`: columns of `docs` that are kept in documents and order rows
+    of equal doc_id and text."""
     spark = docs.sparkSession
-    sizes = cut(doc_sizes(docs))
+    sizes = cut(doc_sizes(docs, keys))
     targets = cut(source_targets(sizes, weights, share, cap)
                   .withColumn("take", F.round("target").cast("long"))
                   .withColumn("blocks", F.expr(f"(source_size + {block - 1}) div {block}"))
@@ -125,9 +130,11 @@ def plan(docs: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, cap: i
     # documents in their sources; about sqrt(n) buckets
     buckets = 1 << ((n_docs.bit_length() + 1) // 2)
     placed = sizes.withColumn("s", F.col("source")).drop("source").join(
-        targets, F.col("s").eqNullSafe(F.col("source"))).select("doc_id", "source_no", "size", "source_size", "target")
-    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
-    placed = running_total(placed, ["source_no"], "bucket", ["doc_id", "size"], "size", "start").drop("bucket")
+        targets, F.col("s").eqNullSafe(F.col("source"))).select("doc_id", "source_no", "size", "source_size", "target", "content", *keys)
+    dealt = F.when(F.col("doc_id").isNull(), F.col("content")).otherwise(F.xxhash64("doc_id"))
+    placed = placed.withColumn("bucket", F.pmod(dealt, F.lit(buckets)))
+    placed = running_total(placed, ["source_no"], "bucket", ["doc_id", "size", "content", *keys], "size", "start")
+    placed = placed.drop("bucket", "content")
     placed = cut(placed)
     parts = placed.where("size > 0").withColumn("block", F.explode(F.expr(
         f"sequence(start div {block}, (start + size - 1) div {block})"))).select(
@@ -173,17 +180,22 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as documents: one row per document and pass that takes words of
     it, with the input's columns; text holds the words taken, joined by one
     space (the unchanged text where a pass takes all of it), n_chars its
-    length. Rows that repeat a doc_id are told apart by nothing here, so the
-    input's doc_ids must differ, as they do behind a dedup."""
-    placed, pieces = plan(docs, **options)
-    runs = pieces.groupBy("doc_id", "pass").agg(
+    length. Every row of the input is a document of its own, whether its doc_id
+    is null or repeated: rows are stored once with a number, and the pieces of
+    (source_no, start) meet their row by it."""
+    kept = stored(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+                              F.monotonically_increasing_id().alias("_row")))
+    placed, pieces = plan(kept.select("doc.doc_id", "doc.text", "doc.source", "_row"), keys=("_row",), **options)
+    runs = pieces.groupBy("source_no", "start", "pass").agg(
         F.sum("n_words").alias("_n"), F.sort_array(F.collect_list(F.struct("first_word", "n_words"))).alias("_runs"))
-    runs = runs.join(placed.select("doc_id", "size"), "doc_id").select("doc_id", "_n", "_runs", F.col("size").alias("_size"))
+    runs = runs.join(placed.where("size > 0").select("source_no", "start", "_row", "size"), ["source_no", "start"]).select(
+        "_row", "_n", "_runs", F.col("size").alias("_size"))
     words = F.regexp_extract_all("text", F.lit(WORD), 0)
     part = F.expr("array_join(flatten(transform(_runs, r -> slice(_words, int(r.first_word) + 1, int(r.n_words)))), ' ')")
-    out = docs.join(runs, "doc_id")
+    out = kept.join(runs, "_row").select("doc", "_n", "_runs", "_size", F.col("doc.text").alias("text"))
     out = out.withColumn("_words", F.when(F.col("_n") < F.col("_size"), words))
     out = out.withColumn("text", F.when(F.col("_n") < F.col("_size"), part).otherwise(F.col("text")))
+    made = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        made["n_chars"] = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[made.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])

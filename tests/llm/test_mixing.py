@@ -89,6 +89,35 @@ def test_mixed_documents_hold_the_words_taken(spark):
     assert {i: words[i] for i in taken} == taken
 
 
+def test_mixed_documents_tell_rows_without_or_of_one_id_apart(spark):
+    rows = [(None if i % 3 else i, prose(i, 40 + i % 9), None, "ab"[i % 2]) for i in range(40)]
+    rows += [(900, prose(900, 60), None, "a")] * 3 + [(901, prose(k, 50), None, "b") for k in (901, 902)] + [(None, prose(903, 30), None, None)] * 2
+    size, most = Counter(), Counter()
+    for _, text, _, source in rows:
+        size[source] += len(WORD.findall(text))
+        for w in WORD.findall(text):
+            most[source, w] += 2
+    want = targets(size)
+    docs = documents(spark, rows)
+    got = mixing.mixed_documents(docs, block=32).collect()
+    taken, used, by_id = Counter(), Counter(), Counter()
+    for r in got:
+        own = WORD.findall(r.text)
+        assert any(r.doc_id == i and r.source == s and not Counter(own) - Counter(WORD.findall(t)) for i, t, _, s in rows)
+        taken[r.source] += len(own)
+        used.update((r.source, w) for w in own)
+        by_id[r.doc_id, r.source] += len(own)
+    assert all(abs(taken[s] - want[s]) <= 0.5 for s in size)
+    assert not used - most
+    planned = Counter()
+    source = {(r[0], len(WORD.findall(r[1])), size[r[3]]): r[3] for r in rows}
+    for r in mixing.taken_words(*mixing.plan(docs, block=32)).collect():
+        planned[source[r.doc_id, r.size, r.source_size]] += r.taken
+    assert taken == planned
+    assert all(by_id[i, s] <= 2 * sum(len(WORD.findall(t)) for j, t, _, z in rows if (j, z) == (i, s)) for i, s in by_id)
+    assert Counter(map(tuple, mixing.mixed_documents(docs.repartition(3), block=32).collect())) == Counter(map(tuple, got))
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 def test_registered_query(spark):
     from parcelstack.llm import queries as Q

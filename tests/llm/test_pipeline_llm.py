@@ -8,7 +8,7 @@ import pytest
 
 import corpus_pipeline
 
-from .helpers import WORD, documents, edge_rows, near_components
+from .helpers import WORD, documents, edge_rows, near_components, prose
 from .test_mixing import targets
 
 SF = "/root/testdata/sf0.001"
@@ -61,3 +61,19 @@ def test_edge_rows_and_empty_table(spark, tmp_path):
     tables = stages(spark, docs, tmp_path / "a")
     assert tables[-1].count() > 0 and {0, 1, 2, 3}.isdisjoint({r.doc_id for r in tables[1].collect()})
     assert stages(spark, docs.limit(0), tmp_path / "b")[-1].count() == 0
+
+
+def test_null_and_repeated_ids_pass_all_stages(spark, tmp_path):
+    pytest.importorskip("sentencepiece")
+    rows = [(i, prose(i, 60), "en", "ab"[i % 2]) for i in range(8)] + [(None, prose(20 + i, 60), "en", "ab"[i % 2]) for i in range(8)]
+    rows += [(30, prose(30, 60), "en", "b")] * 2
+    tables = [t.collect() for t in stages(spark, documents(spark, rows), tmp_path)]
+    assert [sorted(map(str, ((r.doc_id, r.text) for r in t))) for t in tables[1:4]] == [sorted(map(str, (r[:2] for r in rows)))] * 3
+    size = Counter(s for *_, s in rows for _ in range(60))
+    want, taken, by_doc = targets(size), Counter(), Counter()
+    for r in tables[4]:
+        taken[r.source] += len(WORD.findall(r.text))
+        by_doc[r.doc_id] += len(WORD.findall(r.text))
+    assert all(abs(taken[s] - want[s]) <= 0.5 for s in size)
+    assert by_doc[None] > 0 and by_doc[30] <= 2 * 2 * 60 and all(n <= 2 * 60 for i, n in by_doc.items() if i not in (None, 30))
+    assert len(tables[5]) == len(tables[4])
