@@ -2,9 +2,11 @@
 DataFrame functions only.
 
 Base spans come from three patterns. Beyond them, every run of 20 or more
-characters of a usual encoding is a candidate: its encoding is inferred (hex,
-base32, base62, base64, URL-safe base64), and over that alphabet three tests
-ask whether it looks drawn at random: chi-squared uniformity, runs above and
+characters of a usual encoding is a candidate: its encoding is inferred as the
+smallest standard alphabet that holds all its characters (digits, hex, hex with
+hyphens, letters of one case, base32, base36, letters, base62, base64, URL-safe
+base64, or all of these), and over that alphabet three tests ask whether it
+looks drawn at random: chi-squared uniformity, runs above and
 below the middle of the alphabet, and lag-one serial correlation. Fisher's
 method combines them. Candidates for which randomness is rejected are
 dropped, the others reported; the false discovery rate of the rejections is
@@ -39,14 +41,24 @@ KINDS = (*(k[0] for k in BASE), RANDOM[0])
 
 _DIGITS, _UPPER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWER = _UPPER.lower()
-# encoding: (what its strings look like, alphabet); the first that fits is inferred
+# alphabets by size; the first that covers a candidate is inferred, and the last covers every one
 ENCODINGS = (
-    (r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]+$", _DIGITS + "abcdef"),
-    (r"^(?=.*[0-9])(?=.*[A-F])[0-9A-F]+$", _DIGITS + "ABCDEF"),
-    (r"^(?=.*[2-7])(?=.*[A-Z])[A-Z2-7]+$", _UPPER + "234567"),
-    (r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9]+$", _UPPER + _LOWER + _DIGITS),
-    (r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9+/]+$", _UPPER + _LOWER + _DIGITS + "+/"),
-    (r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9_-]+$", _UPPER + _LOWER + _DIGITS + "-_"),
+    _DIGITS,
+    _DIGITS + "abcdef",
+    _DIGITS + "ABCDEF",
+    _DIGITS + "abcdef-",
+    _DIGITS + "ABCDEF-",
+    _LOWER,
+    _UPPER,
+    _UPPER + "234567",
+    _LOWER + "234567",
+    _LOWER + _DIGITS,
+    _UPPER + _DIGITS,
+    _UPPER + _LOWER,
+    _UPPER + _LOWER + _DIGITS,
+    _UPPER + _LOWER + _DIGITS + "+/",
+    _UPPER + _LOWER + _DIGITS + "-_",
+    _UPPER + _LOWER + _DIGITS + "+/-_",
 )
 
 _HIT = "array<struct<kind:int,nth:int,gap:int,len:int,keep:boolean,token:string>>"
@@ -75,9 +87,10 @@ def _tail(z: str) -> str:
 
 def battery(rows: DataFrame) -> DataFrame:
     """Adds p to rows with `token`: the combined p-value of randomness over
-    the inferred encoding, null where no encoding fits."""
+    the inferred encoding; null only where `token` is."""
     body = F.regexp_replace("token", "=+$", "")
-    alpha = F.coalesce(*[F.when(F.rlike(body, F.lit(shape)), F.lit(a)) for shape, a in ENCODINGS])
+    # covered: nothing is left of it without the alphabet's characters
+    alpha = F.coalesce(*[F.when(F.translate(body, a, "") == "", F.lit(a)) for a in ENCODINGS])
     rows = rows.withColumn("body", body).withColumn("alpha", alpha)
     rows = rows.withColumn("a", F.char_length("alpha").cast("double")).withColumn("n", F.char_length("body").cast("double"))
     rows = rows.withColumn("squares", F.expr(

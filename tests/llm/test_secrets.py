@@ -74,6 +74,33 @@ def test_random_strings_are_added_and_regular_ones_not(spark):
     assert got[600].n_random == 0 and got[600].n_assign == 1
 
 
+def test_candidates_of_every_alphabet_reach_the_battery(spark):
+    rnd = random.Random(6)
+    lower, upper, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    shapes = {"base36": (lower + digits, 32), "upper base36": (upper + digits, 32), "base32": (lower + "234567", 32),
+              "upper base32": (upper + "234567", 32), "letters": (lower, 32), "upper letters": (upper, 32),
+              "both letters": (lower + upper, 32), "digits": (digits, 22), "hex": (digits + "ABCDEF", 32), "short": (lower + upper, 20),
+              "base64": (lower + upper + digits + "+/", 40), "base64url": (lower + upper + digits + "-_", 40),
+              "any": (lower + upper + digits + "+/-_", 60)}
+    rows, of = [], {}
+    for name, (alphabet, n) in shapes.items():
+        for _ in range(40):
+            of[len(rows)] = name, n
+            rows.append((len(rows), "some words " + "".join(rnd.choice(alphabet) for _ in range(n)) + " and more"))
+    for _ in range(40):
+        of[len(rows)] = "uuid", 36
+        h = "".join(rnd.choice("0123456789abcdef") for _ in range(32))
+        rows.append((len(rows), f"some words {h[:8]}-{h[8:12]}-4{h[13:16]}-{h[16:20]}-{h[20:]} and more"))
+    plain = ["-" * 40, "_" * 25, "/" * 20, "internationalization", "xyz789" * 5, "deadbeef-" * 4, "A" * 30, "1" * 22,
+             "state-of-the-art-and-other-words", "usr/local/share/python/site/packages", "ABABABABABABABABABABABAB", "abcdefghijklmnopqrstuvwxyz"]
+    first = len(rows)
+    rows += [(first + i, f"some words {t} and more") for i, t in enumerate(plain)]
+    got = {r.doc_id: r for r in secret_scan.digests(secret_scan.scan(documents(spark, rows))).collect()}
+    found = {name: sum(got[i].spans == f"random:11:{11 + n}" for i, (x, n) in of.items() if x == name) for name in {*shapes, "uuid"}}
+    assert all(n >= 34 for n in found.values()), found
+    assert [t for i, t in enumerate(plain) if got[first + i].spans] == []
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 def test_registered_query(spark):
     from parcelstack.llm import queries as Q
