@@ -16,8 +16,10 @@
 Messages are checkpointed, so a sender's bitmap still fits if a task reruns.
 
 Defined results: a null text counts as empty, and all empty texts are equal;
-of equal texts the largest doc_id stays (null ids lose to any other); rows
-that repeat both doc_id and text are the same document and share its verdict;
+of equal texts the largest doc_id stays (null ids lose to any other; where
+all are null `copies` marks every row kept, as its SQL does, and `dedup` keeps
+one of them); rows that repeat both a doc_id and text are the same document and
+share its verdict;
 other columns are passed through or ignored; an empty table gives no rows.
 """
 
@@ -207,5 +209,10 @@ def copies(docs: DataFrame, owner_bits: int | None = None, smallest: bool = Fals
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns."""
-    return copies(docs).where("kept").select("doc.*")
+    """The rows of `docs` that stay, with all their columns. Where every row of
+    a text is without a doc_id, one of them stays: the one whose columns have
+    the smallest hash (rows of one hash are equal, so any of them)."""
+    kept = copies(docs).where("kept")
+    nameless = F.col("doc.doc_id").isNull() & (F.col("group_size") > 1)
+    one = kept.where(nameless).groupBy("text").agg(F.min_by("doc", F.xxhash64("doc")).alias("doc"))
+    return kept.where(~nameless).select("doc.*").unionAll(one.select("doc.*"))

@@ -56,6 +56,15 @@ def test_exact_copies(spark):
     assert exact_dedup.copies(docs.limit(0)).count() == 0
 
 
+def test_one_row_stays_of_a_text_without_any_id(spark):
+    rows = [(None, "no id", x, "s") for x in ("en", "fr", "fr", None)] + [(None, None, "en"), (None, "", "en"), (None, "alone"), (None, "named"), (3, "named"), (3, "named")]
+    docs = documents(spark, rows)
+    got = [exact_dedup.dedup(x).select("doc_id", "text", "lang").collect() for x in (docs, docs.repartition(3, "lang"))]
+    assert sorted((r.doc_id or 0, r.text or "") for r in got[0]) == [(0, ""), (0, "alone"), (0, "no id"), (3, "named"), (3, "named")]
+    assert sorted(got[0], key=str) == sorted(got[1], key=str)
+    assert exact_dedup.dedup(docs).columns == docs.columns
+
+
 def near_rows():
     """Copies, near copies in chains, groups with a shared beginning, a common passage, short texts."""
     rnd = random.Random(5)
