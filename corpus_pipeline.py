@@ -20,7 +20,8 @@ from parcelstack.session import ensure_checkpoint_dir
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: learns from the labelled rows; documents without an
-    identified language go."""
+    identified language go (without any label to learn from, those without a
+    letter)."""
     model = language_id.fit(docs.where(~language_id.held_out()))
     return language_id.keep_identified(docs, model)
 

@@ -200,7 +200,8 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model: Model | None, min_score: float = 0.25) -> DataFrame:
     """The rows of `docs`, all columns, whose language is determined with at
-    least `min_score`. Rows go through Python whole, so none is joined back."""
+    least `min_score`; without a model (nothing to learn from) those that have
+    a letter. Rows go through Python whole, so none is joined back."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     at = names.index("text")
@@ -209,10 +210,11 @@ def keep_identified(docs: DataFrame, model: Model | None, min_score: float = 0.2
         m = shared.value
         for batch in batches:
             for part in slices(batch.rename_columns([f"c{i}" for i in range(len(names))]), f"c{at}", 1 << 20):
-                score = np.zeros(part.num_rows)
+                x, keep = features([t or "" for t in part.column(at).to_pylist()])
                 if m is not None:
-                    x, some = features([t or "" for t in part.column(at).to_pylist()])
-                    score[some] = m.predict(x[some])[1]
-                yield part.filter(pa.array(score >= min_score)).rename_columns(names)
+                    score = np.zeros(part.num_rows)
+                    score[keep] = m.predict(x[keep])[1]
+                    keep = score >= min_score
+                yield part.filter(pa.array(keep)).rename_columns(names)
 
     return docs.mapInArrow(run, docs.schema)

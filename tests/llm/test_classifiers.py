@@ -100,3 +100,10 @@ def test_nnpu_gradient_separates():
     unl = np.c_[np.r_[np.ones(40), np.zeros(360)], rng.integers(0, 2, 400)]
     w, b = toxicity.train_nnpu(pos, unl, prior=0.1)
     assert b < 0 < w[0] + b and abs(w[1]) < w[0]
+
+
+def test_without_a_model_every_document_with_a_letter_stays(spark):
+    docs = documents(spark, [(1, "some text", None), (2, "日本", None), (3, "7 !!", None), (4, "", None), (5, None, None), (None, "x", None)])
+    kept = language_id.keep_identified(docs, language_id.fit(docs))
+    assert kept.schema == docs.schema
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2]
