@@ -24,8 +24,8 @@ Windows are judged on the input; 96 hash bits stand for a window's words.
 Defined results: null and empty texts and texts of fewer than `window` words
 lose nothing; the same window within one document is no repetition; rows
 without an id neither lose words nor cost others any; rows that share an id
-are not compared with each other and lose the same positions; words are
-joined by one space; one row out per row in; other columns are ignored.
+are not compared with each other, and each loses the windows that its own
+words repeat; words are joined by one space; one row out per row in; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -125,21 +125,22 @@ def _level(live: DataFrame, window: int, known) -> DataFrame:
 
 
 def _full_windows(live: DataFrame, window: int, known, known2) -> DataFrame:
-    """(h1, h2, doc_id, pos) of the full windows that may repeat."""
+    """(h1, h2, doc_id, row, pos) of the full windows that may repeat."""
     def run(batches):
         for batch in batches:
             for part in slices(batch):
                 levels = _Levels(part, window)
                 at = levels.third(*known.value, *known2.value)
-                row = np.repeat(np.arange(part.num_rows), levels.counts)[at]
+                of = np.repeat(np.arange(part.num_rows), levels.counts)[at]
                 begin = np.cumsum(levels.counts) - levels.counts
                 h1 = H.window_hashes(levels.words, window, 1)
                 h2 = H.window_hashes(levels.words, window, 2)
                 yield pa.RecordBatch.from_pydict({
                     "h1": pa.array(h1[at].view(np.int64)), "h2": pa.array((h2[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-                    "doc_id": part.column("doc_id").take(pa.array(row)), "pos": pa.array((at - begin[row]).astype(np.int32))})
+                    "doc_id": part.column("doc_id").take(pa.array(of)), "row": part.column("row").take(pa.array(of)),
+                    "pos": pa.array((at - begin[of]).astype(np.int32))})
 
-    return live.where("doc_id IS NOT NULL").mapInArrow(run, "h1 long, h2 int, doc_id long, pos int")
+    return live.where("doc_id IS NOT NULL").mapInArrow(run, "h1 long, h2 int, doc_id long, row long, pos int")
 
 
 def _repeated(spark, fingerprints: DataFrame, owner_bits: int):
@@ -154,8 +155,9 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     owner_bits = max(3, (int(spark.conf.get("spark.sql.shuffle.partitions")) // 2).bit_length())
     rows = copies(texts(docs), owner_bits, smallest=True)
     rows = stored(rows.select(F.col("doc.doc_id").alias("doc_id"), "text",
-                              (F.col("kept") | F.col("doc.doc_id").isNull()).alias("first")))
-    live = rows.where("first").select("doc_id", "text")
+                              (F.col("kept") | F.col("doc.doc_id").isNull()).alias("first"),
+                              F.monotonically_increasing_id().alias("row")))
+    live = rows.where("first").select("doc_id", "row", "text")
     known = _repeated(spark, _level(live.where("doc_id IS NOT NULL"), window, None), owner_bits)
     known2 = _repeated(spark, _level(live.where("doc_id IS NOT NULL"), window, known), owner_bits)
     full = _full_windows(live, window, known, known2)
@@ -164,10 +166,10 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     # partitions (a window in very many documents) can be split at run time
     spread = F.xxhash64("h1", "h2").alias("spread")
     hits = full.select("*", spread).join(lowest.select("h1", "h2", "low", spread), ["h1", "h2", "spread"]).where("doc_id > low")
-    hits = cut(hits.groupBy("doc_id").agg(F.collect_set("pos").alias("at")))  # at most a document's words
-    known3 = spark.sparkContext.broadcast(suspect_filter_bits(hits.select(id_fingerprint().alias("fp"))))
+    hits = cut(hits.groupBy("row").agg(F.collect_set("pos").alias("at")))  # at most a document's words
+    known3 = spark.sparkContext.broadcast(suspect_filter_bits(hits.select(id_fingerprint("row").alias("fp"))))
     # documents that may lose words meet their positions; no other text moves
-    rows = rows.withColumn("fp", F.when(F.col("first") & F.col("doc_id").isNotNull(), id_fingerprint()))
+    rows = rows.withColumn("fp", F.when(F.col("first") & F.col("doc_id").isNotNull(), id_fingerprint("row")))
     form = "doc_id long, n_words long, n_removed long, text string"
 
     def is_hit(part):
@@ -182,14 +184,14 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
 
     def candidates(batches):
         for batch in batches:
-            yield batch.filter(pa.array(is_hit(batch))).select(["doc_id", "text"])
+            yield batch.filter(pa.array(is_hit(batch))).select(["doc_id", "row", "text"])
 
     def strip(batches):
         for batch in batches:
             for part in slices(batch):
                 yield _strip(part, part.column("at").to_pylist(), [False] * part.num_rows, window)
 
-    touched = rows.select("doc_id", "text", "fp").mapInArrow(candidates, "doc_id long, text string").join(hits, "doc_id", "left")
+    touched = rows.select("doc_id", "row", "text", "fp").mapInArrow(candidates, "doc_id long, row long, text string").join(hits, "row", "left")
     return rows.mapInArrow(untouched, form).unionAll(touched.select("doc_id", "text", "at").mapInArrow(strip, form))
 
 

@@ -152,6 +152,14 @@ def test_substring_edges(spark):
     assert substring_dedup.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_rows_of_one_id_lose_their_own_positions(spark):
+    low, a, b, c = (prose(k, 80) for k in (700, 701, 702, 703))
+    rows = [(1, low), (2, a + " " + low), (2, b), (2, low.rsplit(" ", 20)[0]), (2, low + " " + c), (3, a)]
+    want = {(2, a + " " + low): (160, 80, a), (2, b): (80, 0, b), (2, rows[3][1]): (60, 60, ""), (2, rows[4][1]): (160, 80, c), (1, low): (80, 0, low), (3, a): (80, 80, "")}
+    got = substring_dedup.remove_repeats(documents(spark, rows)).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.text) for r in got) == sorted((i, *w) for (i, _), w in want.items())
+
+
 def test_anchors_cover_every_window():
     rng = np.random.default_rng(3)
     for _ in range(20):
