@@ -314,6 +314,11 @@ def links(live: DataFrame, k: int = 5, threshold: int = 80) -> tuple[DataFrame,
 
 def similar_components(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
+    def own_size(batches):
+        for batch in batches:
+            for part in slices(batch):
+                yield pa.RecordBatch.from_pydict({"n": pa.array([len(s) for s in shingle_sets(part, k)], pa.int64())})
+
     every = copies(texts(docs), smallest=True).select(
         F.col("doc.doc_id").alias("doc_id"), F.when(F.col("kept"), F.col("text")).alias("text"), "keep_id", "kept")
     every = stored(every)
@@ -323,9 +328,13 @@ def similar_components(docs: DataFrame, k: int = 5, threshold: int = 80) -> Data
     sizes = sizes.groupBy("doc_id").agg(F.max("n").alias("n"))
     of = cut(sizes.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         F.col("doc_id").alias("keep_id"), "n", F.coalesce("root", "doc_id").alias("root")))
-    out = every.select("doc_id", "keep_id").join(of, "keep_id", "left")
+    out = every.where("keep_id IS NOT NULL").select("doc_id", "keep_id").join(of, "keep_id", "left")
     root = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("doc_id")))
-    return out.select("doc_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_shingles"), root.alias("component_id"))
+    out = out.select("doc_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_shingles"), root.alias("component_id"))
+    # texts that occur only without an id: each row still has its text
+    none = F.lit(None).cast("long")
+    nameless = every.where("keep_id IS NULL").select("text").mapInArrow(own_size, "n long")
+    return out.unionAll(nameless.select(none.alias("doc_id"), F.col("n").alias("n_shingles"), none.alias("component_id")))
 
 
 def keep_representatives(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFrame:

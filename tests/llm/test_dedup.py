@@ -121,6 +121,13 @@ def test_jaccard_edges(spark):
     assert jaccard_join.similar_components(docs.limit(0)).count() == 0
 
 
+def test_texts_without_any_id_have_their_size(spark):
+    rows = [(None, prose(800, 30)), (None, prose(800, 30)), (None, "one two"), (None, ""), (None, None), (1, prose(801, 20)), (None, prose(801, 20))]
+    got = jaccard_join.similar_components(documents(spark, rows)).collect()
+    assert sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in got) == [
+        (0, 0, 0), (0, 0, 0), (0, 1, 0), (0, 16, 0), (0, 26, 0), (0, 26, 0), (1, 16, 1)]
+
+
 @pytest.mark.parametrize("window", [50, 9])
 def test_substring_removal(spark, window):
     rnd = random.Random(window)
