@@ -13,6 +13,7 @@ round, so the order of merges is that of the reference algorithm.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from itertools import islice
 
 import numpy as np
@@ -48,7 +49,7 @@ class Model:
         self.size = len(proto.pieces)
         score = {i: proto.pieces[i].score for i in normal.values()}
         order = {s: k for k, s in enumerate(sorted(set(score.values()), reverse=True))}
-        ties = {s for s in order if sum(v == s for v in score.values()) > 1} if len(order) < len(score) else set()
+        ties = {s for s, n in Counter(score.values()).items() if n > 1}
         if any(set(t) != {SPACE} for t, i in normal.items() if score[i] in ties and len(t) > 1):
             raise ValueError("only pieces of spaces may share a score")
         if any(SPACE in t.lstrip(SPACE) or t.startswith(SPACE * 2) and t.strip(SPACE) for t in normal):

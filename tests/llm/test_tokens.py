@@ -69,3 +69,29 @@ def test_long_runs(encoder, library):
 def test_special_strings_are_text(encoder, library):
     for t in ("<s>", "</s><unk>", "<0x0A>", "a<s> b"):
         assert encoder.encode([t])[0].tolist() == library.encode(t, add_eos=True)
+
+
+def test_model_is_built_in_linear_time():
+    import time
+
+    from parcelstack.llm.bpe import Model
+    start = time.process_time()
+    Model(model_path())
+    assert time.process_time() - start < 10
+
+
+def test_registered_queries_over_a_whole_table(spark, library):
+    import os
+
+    from parcelstack.llm.queries import op2_token_counts, op9_sentencepiece, table
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver tables not present")
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    counts, digests = {}, {}
+    for r in table(spark, sf, "documents").select("doc_id", "text").collect():
+        ids = library.encode(r.text or "", add_eos=True)
+        counts[r.doc_id] = (len((r.text or "").encode()), len(ids) - 1, len(ids) - 1 > 4096)
+        digests[r.doc_id] = (len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids)))
+    assert {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in op2_token_counts(spark, sf).collect()} == counts
+    assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in op9_sentencepiece(spark, sf).collect()} == digests
