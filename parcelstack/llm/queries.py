@@ -73,8 +73,15 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(rows, rows.where("vec_id % 50 = 0"))
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .byte_bpe import digests
+    return digests(table(spark, sf_dir, "documents"), model_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_token_counts, op3_toxicity, op4_mix, op5_jaccard_join, op6_secret_scan, op7_substring_dedup, op8_exact_dedup, op9_sentencepiece,
-                                  op10_topk_search)}
+                                  op10_topk_search, op12_byte_bpe)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_jaccard_join": """
