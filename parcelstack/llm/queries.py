@@ -73,6 +73,11 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(rows, rows.where("vec_id % 50 = 0"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .collocations import collocations, ranked
+    return ranked(collocations(table(spark, sf_dir, "documents")))
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -81,7 +86,7 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_token_counts, op3_toxicity, op4_mix, op5_jaccard_join, op6_secret_scan, op7_substring_dedup, op8_exact_dedup, op9_sentencepiece,
-                                  op10_topk_search, op12_byte_bpe)}
+                                  op10_topk_search, op11_collocations, op12_byte_bpe)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_jaccard_join": """
@@ -124,4 +129,24 @@ ORACLE_SQL: dict[str, str] = {
                    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
              r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_collocations": """
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+             w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+             i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+             z AS (SELECT lang, k, w[i:i + k - 1] AS g FROM i, (VALUES (1), (2), (3)) AS v(k) WHERE i + k - 1 <= len(w)),
+             f AS (SELECT lang, k, g, count(*) AS a FROM z GROUP BY ALL),
+             n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+             c AS (SELECT * FROM f WHERE k > 1 AND a >= 10),
+             s AS (SELECT lang, g[1:2] AS g, a FROM c WHERE k = 3 UNION ALL SELECT lang, g[2:3], a FROM c WHERE k = 3),
+             m AS (SELECT lang, g, max(a) AS most FROM s GROUP BY ALL),
+             x AS (SELECT c.lang, c.g, c.k, c.a, l.k AS cut, l.a AS l, r.a AS r,
+                          (1000000::HUGEINT * c.a * c.a // (l.a::HUGEINT * r.a))::BIGINT AS score
+                   FROM c JOIN f l ON l.lang = c.lang AND l.k < c.k AND l.g = c.g[1:l.k]
+                   JOIN f r ON r.lang = c.lang AND r.k = c.k - l.k AND r.g = c.g[l.k + 1:c.k]),
+             y AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) AS pick FROM x),
+             k AS (SELECT y.* FROM y LEFT JOIN m USING (lang, g) WHERE pick = 1 AND (most IS NULL OR k = 3 OR 100 * most < 50 * y.a)),
+             o AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM k),
+             q AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM q JOIN n USING (lang) WHERE rank <= 2000""",
 }

@@ -19,6 +19,7 @@ CONTRACTS = {
     "op8": [("doc_id", "bigint"), ("keep_id", "bigint"), ("group_size", "bigint"), ("kept", "boolean"), ("text_sha256", "string")],
     "op9": [("doc_id", "bigint"), ("n_tokens", "bigint"), ("ids_sha256", "string"), ("decoded_sha256", "string")],
     "op10": [("query_id", "bigint"), ("rank", "int"), ("vec_id", "bigint"), ("score", "bigint")],
+    "op11": [("lang", "string"), ("rank", "bigint"), ("phrase", "string"), ("a", "bigint"), ("l", "bigint"), ("r", "bigint"), ("n", "bigint"), ("score", "bigint")],
     "op12": [("doc_id", "bigint"), ("n_tokens", "bigint"), ("ids_sha256", "string"), ("decoded_sha256", "string")],
 }
 
