@@ -85,8 +85,13 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"), model_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .conversation_trie import prefix_trie
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_token_counts, op3_toxicity, op4_mix, op5_jaccard_join, op6_secret_scan, op7_substring_dedup, op8_exact_dedup, op9_sentencepiece,
-                                  op10_topk_search, op11_collocations, op12_byte_bpe)}
+                                  op10_topk_search, op11_collocations, op12_byte_bpe, op13_conversation_trie)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_jaccard_join": """
@@ -149,4 +154,22 @@ ORACLE_SQL: dict[str, str] = {
              o AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM k),
              q AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
         SELECT lang, rank, phrase, a, l, r, n, score FROM q JOIN n USING (lang) WHERE rank <= 2000""",
+    "op13_conversation_trie": """
+        WITH r AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+             l AS (SELECT c, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, role, text) AS s FROM r GROUP BY c),
+             h AS (SELECT c, s, xor(4294967295, list_reduce([4294967295] || flatten(list_transform(string_split(c::VARCHAR, ''),
+                                        lambda x: [ascii(x)::BIGINT + 1, 0, 0, 0, 0, 0, 0, 0, 0])),
+                                    lambda a, x: CASE WHEN x > 0 THEN xor(a, x - 1)
+                                                      ELSE xor(a >> 1, CASE WHEN a % 2 = 1 THEN 3988292384 ELSE 0 END) END)) % 4 AS h FROM l),
+             b AS (SELECT h.c, list_concat(coalesce(o.s[1:h.h], []), h.s[h.h + 1:]) AS s FROM h LEFT JOIN l o ON o.c = h.c - h.c % 20),
+             p AS (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM b),
+             v AS (SELECT s[1:d] AS g, d, min(c) AS conv_id, count(*) AS n, list(c ORDER BY c) FILTER (WHERE len(s) = d) AS ends FROM p GROUP BY 1, 2),
+             w AS (SELECT *, CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(g[d].t, '[^\\x20\\x09-\\x0D]+')) END AS w, g[1:d - 1] AS up FROM v),
+             k AS (SELECT up AS g, count(*) AS n_children FROM w WHERE d > 0 GROUP BY up),
+             x AS (SELECT w.*, coalesce(n_children, 0) AS n_children FROM w LEFT JOIN k USING (g)),
+             a AS (SELECT x.*, unnest(range(0, d + 1)) AS j FROM x),
+             t AS (SELECT g[1:j] AS g, sum((n - 1) * w)::BIGINT AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves FROM a GROUP BY 1)
+        SELECT x.conv_id, x.d AS depth, u.conv_id AS parent_conv_id, x.n AS n_convs, x.n_children, t.n_leaves, t.saved_tokens,
+               sha256(coalesce(array_to_string(x.ends, ','), '')) AS ends_sha256
+        FROM x JOIN t USING (g) LEFT JOIN w u ON x.d > 0 AND u.d = x.d - 1 AND u.g = x.up""",
 }

@@ -21,6 +21,8 @@ CONTRACTS = {
     "op10": [("query_id", "bigint"), ("rank", "int"), ("vec_id", "bigint"), ("score", "bigint")],
     "op11": [("lang", "string"), ("rank", "bigint"), ("phrase", "string"), ("a", "bigint"), ("l", "bigint"), ("r", "bigint"), ("n", "bigint"), ("score", "bigint")],
     "op12": [("doc_id", "bigint"), ("n_tokens", "bigint"), ("ids_sha256", "string"), ("decoded_sha256", "string")],
+    "op13": [("conv_id", "bigint"), ("depth", "bigint"), ("parent_conv_id", "bigint"), ("n_convs", "bigint"), ("n_children", "bigint"), ("n_leaves", "bigint"),
+             ("saved_tokens", "bigint"), ("ends_sha256", "string")],
 }
 
 
