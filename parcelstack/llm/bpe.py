@@ -24,6 +24,11 @@ SPACE = "▁"
 NONE = np.iinfo(np.int32).max
 # Words longer than this are first cut where no piece of the model could span.
 LONG_WORD = 64
+# Bytes of text that a worker encodes at a time, and of words that it remembers
+# (with about WORD_BYTES for each word's place in the tables).
+SLICE = 1 << 20
+MEMORY = 32 << 20
+WORD_BYTES = 160
 
 
 class Model:
@@ -306,16 +311,16 @@ class Codes(dict):
 
 
 class Encoder:
-    """Encodes texts, remembering the ids of the words it has seen; the
-    memory is dropped when it holds `limit` words."""
+    """Encodes texts, remembering the ids of the words it has seen; what it
+    remembers is dropped when it takes more than `limit` bytes or so."""
 
-    def __init__(self, model: Model, limit: int = 600_000):
+    def __init__(self, model: Model, limit: int = MEMORY):
         self.model, self.limit = model, limit
         self.clear()
 
     def clear(self) -> None:
         self.codes = Codes()
-        self.known = 0
+        self.known = self.held = 0
         self.ids = np.zeros(0, dtype=np.int32)
         self.count = np.zeros(0, dtype=np.int64)
         self.start = np.zeros(0, dtype=np.int64)
@@ -328,9 +333,10 @@ class Encoder:
             self.count = np.concatenate([self.count, count])
             self.start = np.cumsum(self.count) - self.count
             self.known = len(self.codes)
+            self.held += sum(map(len, fresh)) + WORD_BYTES * len(fresh) + ids.size * 4
 
     def _words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.codes) > self.limit:
+        if self.held > self.limit:
             self.clear()
         get, cut = self.codes.__getitem__, self.model.pre_tokens
         flat: list[int] = []

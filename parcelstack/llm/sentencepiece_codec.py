@@ -28,10 +28,10 @@ def encode(docs: DataFrame, model_path: str, end_id: bool = True, decoded: bool
     schema = "doc_id long, ids array<int>" + (", decoded string" if decoded else "")
 
     def run(batches):
-        from .bpe import encoder
+        from .bpe import SLICE, encoder
         e = encoder(model_path)
         for batch in batches:
-            for part in slices(batch, limit=4 << 20):
+            for part in slices(batch, limit=SLICE):
                 ids, n = e.encode(part.column("text").to_pylist(), end_id)
                 cols = [part.column("doc_id"), _lists(ids, n)]
                 if decoded:

@@ -24,10 +24,10 @@ def count_tokens(docs: DataFrame, model_path: str) -> DataFrame:
     library gives them for the BPE model at `model_path` (a path that every
     executor can read), without begin or end ids."""
     def run(batches):
-        from .bpe import encoder
+        from .bpe import SLICE, encoder
         e = encoder(model_path)
         for batch in batches:
-            for part in slices(batch, limit=4 << 20):
+            for part in slices(batch, limit=SLICE):
                 n = e.counts(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("n_bytes"), pa.array(n, pa.int64())],
