@@ -37,6 +37,8 @@ other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -239,10 +241,15 @@ def across(entries: DataFrame, threshold: int) -> DataFrame:
             yield from emit(held)
 
     def emit(rows):
-        found = list(pairs_of(rows)) if rows.num_rows else []
-        if found:
-            p = np.unique(np.concatenate(found), axis=0)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(p[:, 0]), "b": pa.array(p[:, 1])})
+        found, n = [], 0
+        for pairs in chain(pairs_of(rows) if rows.num_rows else (), [None]):
+            if pairs is not None:
+                found.append(pairs)
+                n += len(pairs)
+            if found and (pairs is None or n > 1 << 18):  # None: no more
+                p = np.unique(np.concatenate(found), axis=0)
+                yield pa.RecordBatch.from_pydict({"a": pa.array(p[:, 0]), "b": pa.array(p[:, 1])})
+                found, n = [], 0
 
     return e.mapInArrow(run, "a long, b long")
 
