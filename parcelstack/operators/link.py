@@ -62,7 +62,7 @@ def recency_key(pairs: list[tuple[str, Column]]) -> Column:
     return F.coalesce(*cands, F.lit("")) if cands else F.lit("")
 
 
-def _ev(df: DataFrame, pattern, fires, flag, source, rank: int, pairs, order: Column | None = None) -> DataFrame:
+def _ev(df: DataFrame, pattern, fires, flag, source, rank: int, pairs, order: Column | None = None, more: tuple = ()) -> DataFrame:
     lit = lambda v: v if isinstance(v, Column) else F.lit(v)
     return df.select(
         F.col("pid"),
@@ -75,6 +75,7 @@ def _ev(df: DataFrame, pattern, fires, flag, source, rank: int, pairs, order: Co
         recency_key(pairs).alias("rkey"),
         detail_map(pairs).alias("detail"),
         *([F.col("sale_ts")] if "sale_ts" in df.columns else [F.lit(None).cast("timestamp").alias("sale_ts")]),
+        *more,
     )
 
 
@@ -109,8 +110,8 @@ def latest_case_rows(cases: DataFrame) -> DataFrame:
 
 def code_candidates(cases: DataFrame, open_only: bool = True, dedup_cases: bool = False) -> DataFrame:
     """Code cases keyed by the 8-padded parcel id; open statuses only (the
-    status filter runs before the parcel join; metrics count closed rows
-    separately). `dedup_cases` (default off, as the reference) keeps only the
+    status filter runs before the parcel join), or all rows with `ok` false for
+    the closed ones. `dedup_cases` (default off, as the reference) keeps only the
     latest row per case number before anything else."""
     if dedup_cases:
         cases = latest_case_rows(cases)
@@ -123,7 +124,10 @@ def code_candidates(cases: DataFrame, open_only: bool = True, dedup_cases: bool
         ("created", F.col("DateCreated")), ("closed", F.col("DateClosed")), ("conclusion", F.col("Conclusion")),
     ]
     housing = F.when(F.col("CaseType").isin(K.CODE_HIGH_SIGNAL_TYPES), F.lit("code_housing_case"))
-    return _ev(c, "code", True, housing, "charlotte_hns", FEED_RANK["code"], pairs)
+    if open_only:
+        return _ev(c, "code", True, housing, "charlotte_hns", FEED_RANK["code"], pairs)
+    c = c.withColumn("ok", F.coalesce(F.col("CaseStatus").isin(K.CODE_OPEN_STATUSES), F.lit(False)))
+    return _ev(c, "code", True, housing, "charlotte_hns", FEED_RANK["code"], pairs, more=("ok",))
 
 
 def demo_candidates(demos: DataFrame) -> DataFrame:
@@ -192,8 +196,11 @@ def foreclosure_notices(fc: DataFrame, county: str = K.DEFAULT_COUNTY) -> DataFr
 
 def attach_by_address(notices: DataFrame, addr_index: DataFrame) -> DataFrame:
     """Equi-join on (house number, street name): every parcel at the address."""
-    j = notices.where((F.col("addr_num") != "") & (F.col("addr_name") != "")) \
-        .join(addr_index, ["addr_num", "addr_name"])
+    return _address_evidence(notices.where((F.col("addr_num") != "") & (F.col("addr_name") != ""))
+                             .join(addr_index, ["addr_num", "addr_name"]))
+
+
+def _address_evidence(j: DataFrame) -> DataFrame:
     pairs = [
         ("source", F.lit("mecktimes")), ("case", F.col("sp_case_number")), ("posted", F.col("posted_date")),
         ("auction", F.col("auction_date")), ("deed_book", F.col("deed_book")), ("deed_page", F.col("deed_page")),
@@ -203,6 +210,9 @@ def attach_by_address(notices: DataFrame, addr_index: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ name-keyed feed
+_NOTICE_COLS = ["_ord", "detail_id", "decedent_name", "posted_date", "case_number", "detail_url"]
+
+
 def estate_notices(est: DataFrame, county: str = K.DEFAULT_COUNTY) -> DataFrame:
     """Notices of the county with their probe-side decedent keys."""
     return (est.where(_county_is("county", [county]))
@@ -216,77 +226,96 @@ def attach_by_name(notices: DataFrame, key_index: DataFrame) -> DataFrame:
     keep distinct (notice, pid) with the matched key as evidence (the
     smallest when several keys hit). Notices without keys are skipped
     (counted as unsafe by the metrics)."""
-    own = ["_ord", "detail_id", "decedent_name", "posted_date", "case_number", "detail_url"]
+    own = _NOTICE_COLS
     probe = notices.select(*own, F.explode("keys").alias("name_key"))
     # the payload (five short texts) travels with the keys: no second join
     j = (probe.join(key_index.select("name_key", "pid", "sale_ts"), "name_key")
          .groupBy(*own, "pid").agg(F.min("name_key").alias("match_key"), F.max("sale_ts").alias("sale_ts")))
+    return _name_evidence(j)
+
+
+def _name_evidence(j: DataFrame, *more: str) -> DataFrame:
     pairs = [
         ("source", F.lit("mecktimes")), ("decedent", F.coalesce(F.col("decedent_name"), F.lit(""))),
         ("posted", F.col("posted_date")), ("case", F.col("case_number")), ("url", F.col("detail_url")),
         # match evidence: name linkage yields false matches by its own account
         ("match_key", F.col("match_key")),
     ]
-    return _ev(j, "estate", True, None, "mecktimes", FEED_RANK["estate"], pairs)
+    return _ev(j, "estate", True, None, "mecktimes", FEED_RANK["estate"], pairs, more=more)
 
 
-# ------------------------------------------------------------------ metrics
-def feed_metrics(feeds, parcels: DataFrame, addr_index: DataFrame, key_index: DataFrame,
-                 county: str = K.DEFAULT_COUNTY) -> DataFrame:
-    """(feed, attached, unmatched, skipped_unsafe, closed_skipped), one row per feed.
+# ------------------------------------------------------------------ links: one linkage for evidence and metrics
+LINK_COLS = EVIDENCE_COLS + ["state"]
+ATTACHED, UNMATCHED, UNSAFE, CLOSED = LINK_STATES = ("attached", "unmatched", "skipped_unsafe", "closed_skipped")
+FEED_OF_RANK = {r: {"foreclosure": "foreclosures", "estate": "estates", "code": "code_cases", "demo": "code_demos"}.get(f, f)
+                for f, r in FEED_RANK.items() if f != "transfer"}
 
-    attached counts (row, parcel) pairs; unmatched counts rows. All pid-keyed
-    feeds are unioned and meet the parcel keys in ONE left join, then one
-    groupBy(feed) with count_if; the address and name feeds reuse their own
-    joins. Nothing reaches the driver.
-    """
-    zero = F.lit(0).cast("long")
-    open_ = F.col("CaseStatus").isin(K.CODE_OPEN_STATUSES)
-    rows = reduce(DataFrame.unionByName, [
-        feeds.tax.where(_county_is("county", [county, ""]))
-        .select(F.lit("tax").alias("feed"), N.clean("pid_normalized").alias("pid"), F.lit(True).alias("ok")),
-        feeds.code_cases.select(F.lit("code_cases").alias("feed"), N.pid_padded("ParcelId").alias("pid"),
-                                F.coalesce(open_, F.lit(False)).alias("ok")),
-        feeds.code_demos.select(F.lit("code_demos").alias("feed"), N.pid_padded("ParcelId").alias("pid"),
-                                F.lit(True).alias("ok")),
-        feeds.instruments.where(F.col("doc_type_code").isin(K.INSTRUMENT_ORDER))
-        .select(F.concat(F.lit("rod_"), F.col("doc_type_code")).alias("feed"),
-                instrument_pid(feeds.instruments).alias("pid"), F.lit(True).alias("ok")),
-    ])
-    # blank ids match no parcel: counted, not joined (a hot key)
+
+def _bare(df: DataFrame, keep: Column) -> DataFrame:
+    """Payload only where `keep`: rows that are merely counted stay narrow."""
+    own = ("pid", "feed_rank", "row_ord")
+    return df.select(*[F.col(c) if c in own or c not in EVIDENCE_COLS else F.when(keep, F.col(c)).alias(c) for c in df.columns])
+
+
+def link_by_pid(cands: DataFrame, parcels: DataFrame) -> DataFrame:
+    """Every candidate row with its state. `ok` false marks rows that count but
+    never attach (closed cases); blank ids match no parcel and are not joined,
+    as they would pile onto one reducer."""
+    cands = _bare(cands.drop("sale_ts"), F.col("ok"))
+    keys = parcels.select("pid", "sale_ts", F.lit(True).alias("_hit"))
     blank = F.coalesce(F.col("pid"), F.lit("")) == ""
-    hit = (rows.where(~blank).join(parcels.select("pid", F.lit(True).alias("_hit")), "pid", "left")
-           .unionByName(rows.where(blank).withColumn("_hit", F.lit(None).cast("boolean"))))
-    # one global aggregate with a count per feed (every feed reports, empty
-    # ones with zeros), then unpivoted to one row per feed
-    names = ["tax", "code_cases", "code_demos"] + ["rod_" + c for c in K.INSTRUMENT_ORDER]
-    matched, is_feed = F.col("_hit").isNotNull(), lambda n: F.col("feed") == n
-    aggs = []
-    for i, n in enumerate(names):
-        aggs += [F.count_if(is_feed(n) & matched & F.col("ok")).alias(f"a{i}"),
-                 F.count_if(is_feed(n) & ~matched).alias(f"u{i}"),
-                 F.count_if(is_feed(n) & matched & ~F.col("ok")).alias(f"c{i}")]
-    by_pid = hit.agg(*aggs).select(F.explode(F.array(*[
-        F.struct(F.lit(n).alias("feed"), F.col(f"a{i}").alias("attached"), F.col(f"u{i}").alias("unmatched"),
-                 zero.alias("skipped_unsafe"), F.col(f"c{i}").alias("closed_skipped"))
-        for i, n in enumerate(names)])).alias("m")).select("m.*")
-
-    fc = foreclosure_notices(feeds.foreclosures, county) \
-        .withColumn("_full", (F.col("addr_num") != "") & (F.col("addr_name") != ""))
-    ai = addr_index.select(F.col("addr_num").alias("i_num"), F.col("addr_name").alias("i_name"), "pid")
-    fj = fc.join(ai, (fc.addr_num == ai.i_num) & (fc.addr_name == ai.i_name) & fc._full, "left")
-    by_addr = fj.agg(F.count_if(F.col("pid").isNotNull()).alias("attached"),
-                     F.count_if(F.col("pid").isNull()).alias("unmatched"),
-                     zero.alias("skipped_unsafe"), zero.alias("closed_skipped")) \
-        .select(F.lit("foreclosures").alias("feed"), "*")
-
-    es = estate_notices(feeds.estates, county)
-    per_notice = attach_by_name(es.where(F.size("keys") > 0), key_index) \
-        .groupBy("row_ord").agg(F.count(F.lit(1)).alias("n"))
-    ej = es.join(per_notice, es._ord == per_notice.row_ord, "left")
-    keyed = F.size("keys") > 0
-    by_name = ej.agg(F.coalesce(F.sum(F.when(keyed, F.col("n"))), F.lit(0)).cast("long").alias("attached"),
-                     F.count_if(keyed & F.col("n").isNull()).alias("unmatched"),
-                     F.count_if(~keyed).alias("skipped_unsafe"), zero.alias("closed_skipped")) \
-        .select(F.lit("estates").alias("feed"), "*")
-    return by_pid.unionByName(by_addr).unionByName(by_name)
+    joined = cands.where(~blank).join(keys, "pid", "left").unionByName(
+        cands.where(blank).withColumns({"sale_ts": F.lit(None).cast("timestamp"), "_hit": F.lit(None).cast("boolean")}))
+    state = F.when(F.col("_hit").isNull(), UNMATCHED).when(F.col("ok"), ATTACHED).otherwise(CLOSED)
+    return joined.withColumn("state", state).select(*LINK_COLS)
+
+
+def link_by_address(notices: DataFrame, addr_index: DataFrame) -> DataFrame:
+    """A row per notice and parcel at its address, one for a notice without."""
+    full = (F.col("addr_num") != "") & (F.col("addr_name") != "")
+    index = addr_index.select("addr_num", "addr_name", "pid", "sale_ts")
+    alone = notices.where(~full).withColumns({"pid": F.lit(None).cast("string"), "sale_ts": F.lit(None).cast("timestamp")})
+    joined = notices.where(full).join(index, ["addr_num", "addr_name"], "left").unionByName(alone)
+    return _address_evidence(joined).withColumn("state", F.when(F.col("pid").isNull(), UNMATCHED).otherwise(ATTACHED))
+
+
+def link_by_name(notices: DataFrame, key_index: DataFrame) -> DataFrame:
+    """A row per notice and parcel that shares a key. A notice without keys has
+    one row of its own state; one of which some key meets no parcel has a row
+    without a pid (it is unmatched if it has no other). Notices are expected
+    with their keys stored: where `keys` is still an expression, Spark copies
+    the whole chain into filters it infers from the explode."""
+    own = _NOTICE_COLS
+    probe = notices.select(*own, F.explode_outer(F.when(F.size("keys") > 0, F.col("keys"))).alias("name_key"))
+    keyed = F.col("name_key").isNotNull()
+    index = key_index.select("name_key", "pid", "sale_ts")
+    joined = (probe.where(keyed).join(index, "name_key", "left").groupBy(*own, "pid")
+              .agg(F.min("name_key").alias("match_key"), F.max("sale_ts").alias("sale_ts"))
+              .withColumn("state", F.when(F.col("pid").isNull(), UNMATCHED).otherwise(ATTACHED)))
+    unsafe = probe.where(~keyed).select(*own, F.lit(None).cast("string").alias("pid"), F.lit(None).cast("string").alias("match_key"),
+                                        F.lit(None).cast("timestamp").alias("sale_ts"), F.lit(UNSAFE).alias("state"))
+    return _name_evidence(joined.unionByName(unsafe), "state")
+
+
+def evidence_of(links: DataFrame) -> DataFrame:
+    return links.where(F.col("state") == ATTACHED).select(*EVIDENCE_COLS)
+
+
+def feed_metrics(links: DataFrame) -> DataFrame:
+    """(feed, attached, unmatched, skipped_unsafe, closed_skipped), one row per
+    feed, read off the links: no feed, parcel or key is joined a second time.
+
+    attached counts (row, parcel) pairs; the others count rows. A notice of the
+    name feed is unmatched when none of its keys met a parcel.
+    """
+    named = F.col("feed_rank") == FEED_RANK["estate"]
+    whole = links.where(~(named & (F.col("state") == UNMATCHED))).groupBy("feed_rank", "state").agg(F.count(F.lit(1)).alias("n"))
+    missed = (links.where(named & F.col("state").isin(ATTACHED, UNMATCHED)).groupBy("row_ord")
+              .agg(F.max(F.col("state") == ATTACHED).alias("hit")).where(~F.col("hit"))
+              .select(F.lit(FEED_RANK["estate"]).alias("feed_rank"), F.lit(UNMATCHED).alias("state"))
+              .groupBy("feed_rank", "state").agg(F.count(F.lit(1)).alias("n")))
+    # one global aggregate, so every feed reports, empty ones with zeros
+    cell = lambda r, s: F.coalesce(F.sum(F.when((F.col("feed_rank") == r) & (F.col("state") == s), F.col("n"))), F.lit(0)).alias(f"{s}_{r}")
+    row = whole.unionByName(missed).agg(*[cell(r, s) for r in FEED_OF_RANK for s in LINK_STATES])
+    return row.select(F.explode(F.array(*[
+        F.struct(F.lit(f).alias("feed"), *[F.col(f"{s}_{r}").alias(s) for s in LINK_STATES]) for r, f in FEED_OF_RANK.items()])).alias("m")).select("m.*")

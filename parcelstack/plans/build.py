@@ -5,8 +5,8 @@
     evidence  = pid-keyed feeds  JOIN parcels.pid          (one join, AQE skew split)
               + sale notices     JOIN address index        (num, street)
               + estate notices   JOIN owner-key index      (name key)
-    evidence is checkpointed once: the fold and the top-signal window both
-    read it, and a lost executor recomputes from it, not from the feeds. Both
+    links (evidence and the rows that found no parcel, which metrics count) are
+    stored once: the fold, the top-signal window and the metrics all read them, and a lost executor recomputes from it, not from the feeds. Both
     shuffle pre-reduced rows only (partial aggregate / partial group limit).
     fold -> JOIN parcels (scores, transfer rules) -> records -> rank
 """
@@ -38,6 +38,7 @@ def materialize(df: DataFrame) -> DataFrame:
 @dataclass
 class LeadBuild:
     parcels: DataFrame
+    links: DataFrame
     evidence: DataFrame
     scored: DataFrame
     top: DataFrame
@@ -47,19 +48,22 @@ class LeadBuild:
         return rank.rank_leads(self.records)
 
 
+def build_links(feeds: Feeds, parcels: DataFrame, county: str = K.DEFAULT_COUNTY,
+                dedup_cases: bool = False, store=lambda df: df) -> DataFrame:
+    """Every feed row's links to parcels, with those that found none: evidence
+    and match metrics both come from here. `store` keeps the estate notices
+    with their keys, which are exploded next."""
+    open_ = [link.tax_candidates(feeds.tax, county), link.demo_candidates(feeds.code_demos), link.instrument_candidates(feeds.instruments)]
+    cands = reduce(DataFrame.unionByName, [c.withColumn("ok", F.lit(True)) for c in open_])
+    cands = cands.unionByName(link.code_candidates(feeds.code_cases, open_only=False, dedup_cases=dedup_cases))
+    by_addr = link.link_by_address(link.foreclosure_notices(feeds.foreclosures, county), P.address_index(parcels))
+    by_name = link.link_by_name(store(link.estate_notices(feeds.estates, county)), P.owner_key_index(parcels))
+    return reduce(DataFrame.unionByName, [link.link_by_pid(cands, parcels), by_addr, by_name])
+
+
 def build_evidence(feeds: Feeds, parcels: DataFrame, county: str = K.DEFAULT_COUNTY,
                    dedup_cases: bool = False) -> DataFrame:
-    pid_cands = reduce(DataFrame.unionByName, [
-        link.tax_candidates(feeds.tax, county),
-        link.code_candidates(feeds.code_cases, dedup_cases=dedup_cases),
-        link.demo_candidates(feeds.code_demos),
-        link.instrument_candidates(feeds.instruments),
-    ])
-    by_pid = link.attach_by_pid(pid_cands, parcels)
-    by_addr = link.attach_by_address(link.foreclosure_notices(feeds.foreclosures, county),
-                                     P.address_index(parcels))
-    by_name = link.attach_by_name(link.estate_notices(feeds.estates, county), P.owner_key_index(parcels))
-    return reduce(DataFrame.unionByName, [by_pid, by_addr, by_name])
+    return link.evidence_of(build_links(feeds, parcels, county, dedup_cases))
 
 
 def build_leads(feeds: Feeds, as_of: str, county: str = K.DEFAULT_COUNTY,
@@ -71,9 +75,10 @@ def build_leads(feeds: Feeds, as_of: str, county: str = K.DEFAULT_COUNTY,
     parcels = P.clean_parcels(feeds.parcels_raw)
     if checkpoint:
         parcels = materialize(parcels)
-    ev = build_evidence(feeds, parcels, county, dedup_cases)
+    links = build_links(feeds, parcels, county, dedup_cases, materialize if checkpoint else lambda df: df)
     if checkpoint:
-        ev = materialize(ev)
+        links = materialize(links)
+    ev = link.evidence_of(links)
     scored = score.score_leads(score.fold(ev), parcels, as_of, weights)
     if checkpoint:
         scored = materialize(scored)
@@ -83,7 +88,7 @@ def build_leads(feeds: Feeds, as_of: str, county: str = K.DEFAULT_COUNTY,
     if checkpoint:
         # the build's output table (S7 writes it); reports and exports read it
         records = materialize(records)
-    return LeadBuild(parcels=parcels, evidence=ev, scored=scored, top=top, records=records)
+    return LeadBuild(parcels=parcels, links=links, evidence=ev, scored=scored, top=top, records=records)
 
 
 def run_job(spark, paths: dict, out_dir: str, as_of: str, county: str = K.DEFAULT_COUNTY,

@@ -82,9 +82,7 @@ def signal_join_pid(spark, d) -> DataFrame:
 
 
 def unmatched_by_feed(spark, d) -> DataFrame:
-    fe = feeds(spark, d)
-    parcels = lead_build(spark, d).parcels
-    m = link.feed_metrics(fe, parcels, P.address_index(parcels), P.owner_key_index(parcels))
+    m = link.feed_metrics(lead_build(spark, d).links)
     return m.select("feed", *[_bl(F.col(c)).alias(c) for c in
                               ["attached", "unmatched", "skipped_unsafe", "closed_skipped"]])
 
@@ -99,7 +97,7 @@ def address_join(spark, d) -> DataFrame:
 def name_key_join(spark, d) -> DataFrame:
     fe = feeds(spark, d)
     parcels = lead_build(spark, d).parcels
-    ev = link.attach_by_name(link.estate_notices(fe.estates), P.owner_key_index(parcels))
+    ev = link.attach_by_name(build.materialize(link.estate_notices(fe.estates)), P.owner_key_index(parcels))
     return ev.select(F.col("row_ord").alias("detail_id"), "pid")
 
 

@@ -95,8 +95,7 @@ def test_flags_and_scores(built):
 
 
 def test_fanout_and_metrics(spark, feeds, built):
-    m = {r["feed"]: r for r in link.feed_metrics(feeds, built.parcels, P.address_index(built.parcels),
-                                                   P.owner_key_index(built.parcels)).collect()}
+    m = {r["feed"]: r for r in link.feed_metrics(built.links).collect()}
     assert (m["tax"]["attached"], m["tax"]["unmatched"]) == (2, 1)
     assert (m["foreclosures"]["attached"], m["foreclosures"]["unmatched"]) == (2, 1)   # fan-out to 2 parcels
     assert (m["estates"]["attached"], m["estates"]["unmatched"], m["estates"]["skipped_unsafe"]) == (1, 0, 2)

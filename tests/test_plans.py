@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from conftest import make_feeds
-from parcelstack.operators import parcels as P, rank, score
+from parcelstack.operators import link, parcels as P, rank, score
 from parcelstack.plans import build
 
 
@@ -49,6 +49,24 @@ def test_hot_parcel(spark):
     assert b.evidence.where(F.col("pid") == "00000001").count() == 300
 
 
+def test_metrics_and_name_join_plans(spark):
+    f = make_feeds(spark, parcels_raw=[{"objectid_1": 1, "pid": "00000001", "ownrfrstnme": "JO ANN", "ownrlstnme": "WHITFIELD"}],
+                   estates=[{"detail_id": 1, "county": "Mecklenburg", "decedent_name": "Jo Ann Whitfield"},
+                            {"detail_id": 2, "county": "Mecklenburg", "decedent_name": "Max Quillfeather Stone"},
+                            {"detail_id": 3, "county": "Mecklenburg", "decedent_name": "Cher"}])
+    b = build.build_leads(f, "2024-06-01")
+    metrics = link.feed_metrics(b.links)
+    assert "Join" not in plan(metrics)
+    m = {r["feed"]: r for r in metrics.collect()}
+    assert len(m) == 5 + 8
+    assert tuple(m["estates"])[1:] == (1, 1, 1, 0)
+    assert tuple(m["tax"])[1:] == (0, 0, 0, 0)
+    # keys are read as stored: no filter of the join holds a regular expression
+    notices = build.materialize(link.estate_notices(f.estates))
+    p = plan(link.attach_by_name(notices, P.owner_key_index(b.parcels)))
+    assert "regexp" not in p and "rlike" not in p.lower()
+
+
 def test_cluster_settings():
     from parcelstack.session import cluster_settings
     s = cluster_settings(100 * 1024 ** 4, 8000)
