@@ -521,6 +521,7 @@ def filter_sql(spec=FILTER_SPEC) -> str:
 
 
 AS_OF = "2001-08-02"
+INGEST_LIMIT = 500  # O3
 DRY_RUN_N = 100
 
 
@@ -694,6 +695,20 @@ SELECT instrument_id, doc_type, CASE WHEN doc_type_code = '' THEN 'unknown' ELSE
   'line ' || CAST(_row AS VARCHAR) AS notes FROM instr""",
         "snapshot_overwrite": f"WITH {feed_ctes()}" + """
 SELECT _source, courtfile, pid_normalized, county, saledate FROM tax""",
+        "mixed_import": f"WITH {feed_ctes()}" + """
+SELECT instrument_id, doc_type, CASE WHEN doc_type_code = '' THEN 'unknown' ELSE doc_type_code END AS doc_type_code,
+  recorded_date, pid, amount, book, page, grantor, grantee, legal_description, CAST(1 AS BIGINT) AS n_extra,
+  'line ' || CAST(_row AS VARCHAR) AS notes FROM instr""",
+        "feed_rejects": f"WITH {feed_ctes()}" + """
+SELECT '{"OBJECTID":' || CAST(OBJECTID AS VARCHAR) AS line FROM cases""",
+        "feed_scan_counts": f"WITH {feed_ctes()}" + """
+SELECT 'lenient' AS scan, count(*) AS n_rows, count(*) AS n_rejected FROM cases
+UNION ALL SELECT 'strict', count(*), 0 FROM orders
+UNION ALL SELECT 'missing', 0, 0""",
+        "ingest_limit": f"WITH {feed_ctes()}" + f"""
+SELECT least({INGEST_LIMIT}, count(*)) AS n FROM cases""",
+        "incremental_highest": """
+SELECT max(user_id) AS highest_id, count(DISTINCT user_id) AS n_held FROM events""",
         "cursor_refresh": """
 SELECT event_id AS OBJECTID, CAST(user_id AS VARCHAR) AS ParcelId, event_type AS CaseStatus, value FROM events""",
         "incremental_dedup": """

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators import link, parcels as P, report, score
 from . import build, standins
-from .oracle import AS_OF, DRY_RUN_N, FILTER_SPEC, TOGGLES
+from .oracle import AS_OF, DRY_RUN_N, FILTER_SPEC, INGEST_LIMIT, TOGGLES
 
 _BUILDS: dict = {}
 _FEEDS: dict = {}
@@ -221,6 +221,16 @@ INSTRUMENT_CSV_HEADERS = {
 }
 
 
+# Three layouts of the same export: names and order of the columns.
+MIXED_HEADERS = [
+    INSTRUMENT_CSV_HEADERS,
+    {"amount": "Value", "pid_raw": "Parcel ID", "legal_description": "Description", "grantee": "To Party", "grantor": "From Party",
+     "doc_type": "Type", "page": "Deed Page", "book": "Deed Book", "instrument_id": "Document", "recorded_date": "Date"},
+    {"doc_type": "document_type", "instrument_id": "instrument", "recorded_date": "FILING DATE", "book": "book", "page": "page",
+     "pid_raw": "pid", "grantor": "GRANTOR", "grantee": "GRANTEE", "amount": "amount", "legal_description": "legal"},
+]
+
+
 def instrument_import(spark, d) -> DataFrame:
     """S4-S5 round trip: lineitem-derived instruments exported as CSV with
     alias headers and an unknown column, imported, written one folder per
@@ -251,10 +261,9 @@ def snapshot_overwrite(spark, d) -> DataFrame:
     return back.select("_source", "courtfile", "pid_normalized", "county", "saledate")
 
 
-def incremental_dedup(spark, d) -> DataFrame:
-    """ST1 through Structured Streaming: events arrive as five weekly drops of
-    four files each, one micro-batch per drop; the first version of each
-    user id wins (earliest drop, then lowest event id within it)."""
+def _event_drops(spark, d) -> str:
+    """Target of ST1 over events that arrive as five weekly drops of four files
+    each, one micro-batch per drop."""
     from ..sources import ingest
     from ..streaming import incremental as inc
     ev = standins.read_table(spark, d, "events").select(
@@ -267,7 +276,19 @@ def incremental_dedup(spark, d) -> DataFrame:
     schema = "user_id long, event_id long, ts string, event_type string, value double"
     inc.run_dedup_stream(spark, src, spark.createDataFrame([], schema).schema, target, ckpt,
                          id_col="user_id", order_col="event_id", files_per_batch=4)
-    return spark.read.parquet(target).select("user_id", "event_id", "event_type", "value")
+    return target
+
+
+def incremental_dedup(spark, d) -> DataFrame:
+    """ST1 through Structured Streaming: the first version of each user id
+    wins (earliest drop, then lowest event id within it)."""
+    return spark.read.parquet(_event_drops(spark, d)).select("user_id", "event_id", "event_type", "value")
+
+
+def incremental_highest(spark, d) -> DataFrame:
+    """ST1's side value: the highest id and the number of ids held after all drops."""
+    from ..streaming import incremental as inc
+    return inc.highest_id(spark, _event_drops(spark, d))
 
 
 def cursor_refresh(spark, d) -> DataFrame:
@@ -337,6 +358,59 @@ def feed_scan(spark, d) -> DataFrame:
     return FD.read_jsonl(spark, path, FD.CODE_CASE).select("OBJECTID", "ParcelId", "CaseNumber", "CaseStatus", "DateCreated")
 
 
+def _case_lines(spark, d) -> str:
+    """Code cases as JSON lines, a truncated line after every case."""
+    from ..sources import ingest
+    cases = standins.code_cases(spark, d).drop("_row")
+    broken = F.concat(F.lit('{"OBJECTID":'), F.col("OBJECTID").cast("string"))
+    path = ingest.scratch_dir(spark, "case-lines")
+    cases.select(F.explode(F.array(F.to_json(F.struct(*cases.columns)), broken, F.lit(" "))).alias("value")).write.text(path)
+    return path
+
+
+def feed_rejects(spark, d) -> DataFrame:
+    """The lines that the lenient scan of the code cases rejects."""
+    from ..sources import feeds as FD
+    return FD.scan_lines(spark, _case_lines(spark, d), FD.CODE_CASE).rejects.select("line")
+
+
+def feed_scan_counts(spark, d) -> DataFrame:
+    """Rows and rejected lines of a lenient scan (code cases), a strict
+    scan (the parcel master) and a missing optional feed."""
+    from ..sources import feeds as FD
+    from ..sources import ingest
+    master = ingest.scratch_dir(spark, "parcel-lines")
+    feeds(spark, d).parcels_raw.write.json(master)
+    scans = {"lenient": FD.scan_lines(spark, _case_lines(spark, d), FD.CODE_CASE),
+             "strict": FD.scan_lines(spark, master, FD.RAW_PARCEL, strict=True),
+             "missing": FD.scan_lines(spark, ingest.scratch_dir(spark, "no-such-feed"), FD.TAX_CASE)}
+    parts = [s.counts.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum("n_rejected"), F.lit(0)).alias("n_rejected"))
+             .select(F.lit(k).alias("scan"), "n_rows", "n_rejected") for k, s in scans.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def ingest_limit(spark, d) -> DataFrame:
+    """O3: the named limit of a trial ingest, as rows kept."""
+    from ..sources import ingest
+    return ingest.cap_rows(standins.code_cases(spark, d), INGEST_LIMIT).agg(F.count(F.lit(1)).alias("n"))
+
+
+def mixed_import(spark, d) -> DataFrame:
+    """The instruments exported in three layouts (other names, order
+    and an unknown column of its own each) into one folder, imported whole."""
+    from ..sources import ingest
+    raw = standins._sel(standins.read_table(spark, d, "lineitem"), standins.instrument_exprs("spark"))
+    src = ingest.scratch_dir(spark, "rod-mixed")
+    note = F.concat(F.lit("line "), F.col("_row").cast("string"))
+    for k, names in enumerate(MIXED_HEADERS):
+        part = raw.where(F.col("_row") % len(MIXED_HEADERS) == k)
+        part.select(*[F.col(c).alias(v) for c, v in names.items()], note.alias(f"Notes {k}")).write.mode("append").option("header", True).csv(src)
+    out = ingest.import_folder(spark, src)
+    return out.select("instrument_id", "doc_type", "doc_type_code", "recorded_date", "pid", "amount", "book",
+                      "page", "grantor", "grantee", "legal_description", _bl(F.size("extra")).alias("n_extra"),
+                      F.array_join(F.map_values("extra"), "").alias("notes"))
+
+
 def feature_scan(spark, d) -> DataFrame:
     """Map-service pages (one feature without an id on each) flattened."""
     from ..sources import extract
@@ -399,4 +473,9 @@ QUERIES = {
     "snapshot_overwrite": snapshot_overwrite,
     "incremental_dedup": incremental_dedup,
     "cursor_refresh": cursor_refresh,
+    "incremental_highest": incremental_highest,
+    "feed_rejects": feed_rejects,
+    "feed_scan_counts": feed_scan_counts,
+    "ingest_limit": ingest_limit,
+    "mixed_import": mixed_import,
 }

@@ -1,4 +1,4 @@
-"""Typed feed schemas and the JSON-lines scan.
+"""Typed feed schemas and the JSON-lines scans.
 
 Each feed has an explicit StructType (no inference). Raw numbers arrive as
 numbers or numeric text, so they are read as STRING and converted with
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,6 +67,10 @@ INSTRUMENT = T.StructType([T.StructField(f, S) for f in [
 ]] + [T.StructField("extra", T.MapType(S, S))])
 
 
+_REJECT = T.StructType([T.StructField("file", S), T.StructField("line", S)])
+_REJECT_COUNTS = T.StructType([T.StructField("file", S), T.StructField("n_rows", T.LongType()), T.StructField("n_rejected", T.LongType())])
+
+
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -90,12 +95,53 @@ def read_jsonl(spark: SparkSession, path: str | None, schema: T.StructType, stri
         return rows.select(*[
             F.col(f.name).try_cast("decimal(38,6)").try_cast("bigint").alias(f.name) if f.dataType == T.LongType() else F.col(f.name)
             for f in schema.fields])
-    except Exception as e:  # AnalysisException: path does not exist
-        if strict or "PATH_NOT_FOUND" not in str(e):
+    except AnalysisException as e:
+        if strict or e.getCondition() != "PATH_NOT_FOUND":
             raise
         return empty(spark, schema)
 
 
+@dataclass
+class LineScan:
+    """A JSON-lines scan in three parts: typed rows, lines that are no JSON
+    object of the schema, and both counted per file."""
+    rows: DataFrame
+    rejects: DataFrame
+    counts: DataFrame
+
+
+def scan_lines(spark: SparkSession, path: str | None, schema: T.StructType, strict: bool = False) -> LineScan:
+    """JSON lines split into rows and rejects (file, line); blank lines are
+    neither. counts is (file, n_rows, n_rejected), one partial aggregate over
+    the text. A missing path has no rows unless `strict`; strict also fails,
+    naming the files, if any line is rejected. Ids are read as in read_jsonl."""
+    text = T.StructType([T.StructField(f.name, S if f.dataType == T.LongType() else f.dataType) for f in schema.fields])
+    try:
+        lines = spark.read.text(path) if path is not None else None
+    except AnalysisException as e:
+        if strict or e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        lines = None
+    if lines is None:
+        if strict:
+            raise FileNotFoundError("parcel master path is required")
+        return LineScan(empty(spark, schema), empty(spark, _REJECT), empty(spark, _REJECT_COUNTS))
+    lines = lines.select(F.col("_metadata.file_name").alias("file"), F.trim("value").alias("line")).where("line <> ''")
+    known = T.StructType([*text.fields, T.StructField("_corrupt", S)])
+    parsed = lines.withColumn("r", F.from_json("line", known, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+    # an object either parses whole or leaves its text behind; other JSON values are no objects
+    good = F.col("line").startswith("{") & F.col("r").isNotNull() & F.col("r._corrupt").isNull()
+    parsed = parsed.withColumn("good", F.coalesce(good, F.lit(False)))
+    counts = parsed.groupBy("file").agg(F.count_if("good").alias("n_rows"), F.count_if(~F.col("good")).alias("n_rejected"))
+    if strict:
+        bad = counts.where("n_rejected > 0").orderBy(F.desc("n_rejected"), "file").limit(5).collect()
+        if bad:
+            raise ValueError("lines that are no JSON object: " + ", ".join(f"{r.file} ({r.n_rejected})" for r in bad))
+    own = [F.col(f"r.{f.name}").try_cast("decimal(38,6)").try_cast("bigint").alias(f.name) if f.dataType == T.LongType()
+           else F.col(f"r.{f.name}").alias(f.name) for f in schema.fields]
+    return LineScan(parsed.where("good").select(*own), parsed.where(~F.col("good")).select("file", "line"), counts)
+
+
 @dataclass
 class Feeds:
     """All inputs of one lead build. Optional feeds may be empty DataFrames."""

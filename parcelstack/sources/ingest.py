@@ -8,6 +8,7 @@ Header aliases are resolved once on the driver from the file's column names
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,14 +37,37 @@ def detect_column(fields: list[str], aliases: list[str]) -> str | None:
     return None
 
 
-def read_instrument_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_instrument_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     """CSV with a header row, every column as text; a UTF-8 BOM on the first
-    header name is dropped. Quoted cells may hold commas, doubled quotes and
-    line breaks. All files of one read must have the same header (a file that
-    differs fails the read); read files of another layout separately."""
+    header name is dropped. Quoted cells may hold commas, doubled quotes and,
+    with `multi_line`, line breaks (files are then not split between tasks).
+    All files of one read must have the same header (a file that differs fails
+    the read); `import_folder` takes folders of several layouts."""
     df = (spark.read.option("header", True).option("inferSchema", False).option("encoding", "UTF-8")
-          .option("quote", '"').option("escape", '"').option("multiLine", True).option("enforceSchema", False).csv(path))
-    return df.toDF(*[c.lstrip("﻿") for c in df.columns])
+          .option("quote", '"').option("escape", '"').option("multiLine", multi_line).option("enforceSchema", False).csv(path))
+    return df.toDF(*[c.lstrip("\ufeff") for c in df.columns])
+
+
+def file_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(header, files): the first line of each file of a folder and the files
+    that have it. Lines of a file are numbered in reading order within its first
+    block, so the first is a partial aggregate over one pass of the text."""
+    # the block is selected with the line: Spark fills it in while it reads
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
+                                         F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"))
+    first = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    header = F.regexp_replace("header", "^\ufeff|\r$", "")
+    return first.groupBy(header.alias("header")).agg(F.sort_array(F.collect_list("file")).alias("files"))
+
+
+def import_folder(spark: SparkSession, path: str, doctype_override: str | None = None, multi_line: bool = True) -> DataFrame:
+    """S4 over a folder whose files need not share a header: files are grouped
+    by their header, each layout's aliases are resolved on its own, and the
+    normalized rows are one union. Only headers and file names pass the driver;
+    an empty file has no rows."""
+    layouts = [r.files for r in file_headers(spark, path).orderBy("header").collect()]
+    parts = [normalize_instruments(read_instrument_csv(spark, files, multi_line), doctype_override) for files in layouts]
+    return reduce(DataFrame.unionByName, parts) if parts else FD.empty(spark, FD.INSTRUMENT)
 
 
 def normalize_instruments(raw: DataFrame, doctype_override: str | None = None) -> DataFrame:

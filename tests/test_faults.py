@@ -106,10 +106,41 @@ def test_refresh_replaces_a_replayed_batch_and_takes_late_rows(spark, tmp_path):
     for ids, epoch in (([5, 6, 6], 0), ([1, 6, 9], 1), ([1, 6, 9], 1), ([2, 3, 9], 2)):
         inc.cursor_append_batch(batch(ids), t, "OBJECTID", epoch)
     assert sorted(r.OBJECTID for r in spark.read.parquet(t).collect()) == [1, 2, 3, 5, 6, 9]
-    d = str(tmp_path / "d")
-    for ids, epoch in (([5, 6], 0), ([6, 7], 1), ([6, 7], 1)):
-        inc.dedup_append_batch(batch(ids), d, "OBJECTID", "x", epoch)
-    assert sorted(r.OBJECTID for r in spark.read.parquet(d).collect()) == [5, 6, 7]
+
+
+def test_dedup_stream_survives_a_lost_batch_and_takes_late_drops(spark, tmp_path, monkeypatch):
+    from parcelstack.streaming import incremental as inc
+    schema = spark.createDataFrame([], "detail_id long, seq long, v string, at timestamp").schema
+    src, target, ckpt = (str(tmp_path / x) for x in ("src", "target", "ckpt"))
+
+    def drop(*rows):
+        spark.createDataFrame([(*r, None) for r in rows], schema).coalesce(1).write.mode("append").json(src)
+
+    def run():
+        inc.run_dedup_stream(spark, src, schema, target, ckpt, id_col="detail_id", order_col="seq")
+
+    drop((1, 2, "second"), (1, 1, "first"), (2, 5, "b"), (2, None, "no order"))
+    run()
+    drop((1, 0, "late"), (9, 1, "c"), (3, 4, "d"), (3, 4, "e"), (None, 1, "x"), (None, 0, "y"))
+    write, failures = inc.write_new_rows, []
+
+    def lost(df, *a):  # the batch is written, its side value is not
+        df.write.mode("overwrite").parquet(f"{target}/_batch={a[-1]}")
+        failures.append(a[-1])
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(inc, "write_new_rows", lost)
+    with pytest.raises(Exception):
+        run()
+    monkeypatch.setattr(inc, "write_new_rows", write)
+    assert len(failures) == 1
+    run()
+    drop((4, 1, "f"), (9, 0, "late"), (None, 0, "z"))
+    run()
+    got = {r.detail_id: r.v for r in spark.read.parquet(target).collect()}
+    assert got == {1: "first", 2: "b", 3: "d", 4: "f", 9: "c", None: "y"}
+    assert spark.read.parquet(target).count() == 6
+    assert tuple(inc.highest_id(spark, target).first()) == (9, 6)
 
 
 def test_no_scratch_folder_on_a_cluster():

@@ -196,3 +196,43 @@ def test_run_job_from_jsonl(spark, tmp_path):
     s = spark.read.json(out + "/summary").first()
     assert s["total"] == 2 and s["source_commit"] == "t1"
     assert spark.read.option("header", True).csv(out + "/export").count() == 1
+
+
+def test_lines_split_into_rows_and_rejects(spark, tmp_path):
+    import pytest
+    from parcelstack.sources import feeds as FD
+    a, b = tmp_path / "in" / "a.jsonl", tmp_path / "in" / "b.jsonl"
+    a.parent.mkdir()
+    a.write_text('{"OBJECTID": 5.0, "ParcelId": 7}\n\n  \n{"OBJECTID": "6"}\n{"OBJECTID": 7, "Par\nnot json\n[1]\n"x"\n[{"OBJECTID": 1}]\nnull\n{}\n')
+    b.write_text('{"OBJECTID": 8, "other": [1, 2]}\n')
+    scan = FD.scan_lines(spark, str(a.parent), FD.CODE_CASE)
+    assert sorted((r.OBJECTID or 0, r.ParcelId) for r in scan.rows.collect()) == [(0, None), (5, "7"), (6, None), (8, None)]
+    assert {(r.file, r.line) for r in scan.rejects.collect()} == {("a.jsonl", x) for x in ('{"OBJECTID": 7, "Par', "not json", "[1]", '"x"', '[{"OBJECTID": 1}]', "null")}
+    assert {tuple(r) for r in scan.counts.collect()} == {("a.jsonl", 3, 6), ("b.jsonl", 1, 0)}
+    assert scan.rows.schema == FD.CODE_CASE
+    with pytest.raises(ValueError, match=r"a.jsonl \(6\)"):
+        FD.scan_lines(spark, str(a.parent), FD.CODE_CASE, strict=True)
+    assert FD.scan_lines(spark, str(b), FD.CODE_CASE, strict=True).rows.count() == 1
+    none = FD.scan_lines(spark, str(tmp_path / "none"), FD.CODE_CASE)
+    assert none.rows.count() == none.rejects.count() == none.counts.count() == 0
+    for path in (None, str(tmp_path / "none")):
+        with pytest.raises(Exception):
+            FD.scan_lines(spark, path, FD.CODE_CASE, strict=True)
+
+
+def test_folder_of_exports_with_different_headers(spark, tmp_path):
+    d = tmp_path / "exports"
+    d.mkdir()
+    (d / "a.csv").write_text("\ufeffDoc ID,Tax ID,Instrument Type,Clerk\r\nA1,123-456-78,DEED OF TRUST,Kim\r\n")
+    (d / "b.csv").write_text('type,instrument,pid,grantor\nQUITCLAIM,B1,9,"Doe, ""Jo""\nand heirs"\nQUITCLAIM,B2,10,x\n')
+    (d / "c.csv").write_text("Doc ID,Tax ID,Instrument Type,Clerk\nC1,7,DEED OF TRUST,Lee\n")
+    (d / "empty.csv").write_text("")
+    got = {r.instrument_id: r for r in ingest.import_folder(spark, str(d)).collect()}
+    assert set(got) == {"A1", "B1", "B2", "C1"}
+    assert got["A1"].pid == "12345678" and got["A1"].extra == {"Clerk": "Kim"} and got["C1"].extra == {"Clerk": "Lee"}
+    assert got["B1"].grantor == 'Doe, "Jo"\nand heirs' and got["B1"].extra == {} and got["B2"].pid == "00000010"
+    headers = ingest.file_headers(spark, str(d)).collect()
+    assert sorted(len(r.files) for r in headers) == [1, 2]
+    (tmp_path / "nothing").mkdir()
+    (tmp_path / "nothing" / "x.csv").write_text("")
+    assert ingest.import_folder(spark, str(tmp_path / "nothing")).count() == 0
