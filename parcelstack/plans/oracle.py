@@ -661,6 +661,9 @@ SELECT event_id AS OBJECTID, event_type AS CaseType, value, 'layer' AS _source F
             f"SELECT {_q(name)} AS toggle, tier, count(*) AS n FROM leads WHERE {filter_sql(spec)} GROUP BY tier"
             for name, spec in TOGGLES.items()),
         "page_extract": page_sql(),
+        "page_files": page_sql(),
+        "payload_files": """
+SELECT event_id AS OBJECTID, event_type AS CaseType, value, 'layer' AS _source FROM events""",
         "notice_extract": """
 SELECT s_suppkey AS detail_id,
   'https://mecktimes.com/public-notice/search-detail?indexgroup=real_estate&detail=' || s_suppkey AS detail_url,

@@ -199,7 +199,32 @@ def estate_extract(spark, d) -> DataFrame:
     """Estate pages rendered from orders."""
     from ..sources import extract as X
     pages = _rendered(spark, d, "orders", standins.estate_page_expr("spark"))
-    return X.estate_fields(X.split_blocks(pages, X.BLOCK_START, X.BLOCK_END_MARKS))
+    return X.estate_fields(X.split_blocks(pages, X.BLOCK_START, X.BLOCK_END_MARKS, spread=2 * spark.sparkContext.defaultParallelism))
+
+
+def page_files(spark, d) -> DataFrame:
+    """The pages as one file each, read back as whole files and extracted."""
+    from ..sources import extract as X
+    from ..sources import ingest
+    folder = ingest.scratch_dir(spark, "page-files")
+    pages = standins.read_table(spark, d, "pages")
+    pages.select("page_id", "html").write.partitionBy("page_id").text(folder)
+    files = X.read_whole_files(spark, folder).withColumn("page_id", F.col("page_id").cast(pages.schema["page_id"].dataType))
+    return X.page_sections(files).select("page_id", _bl(F.col("block_no")).alias("block_no"), "heading", "summary", "text_len", "pattern")
+
+
+def payload_files(spark, d) -> DataFrame:
+    """Map-service envelopes of many lines, one file a page, read
+    back as whole files and flattened."""
+    from ..sources import extract as X
+    from ..sources import ingest
+    ev = standins.read_table(spark, d, "events")
+    feature = F.struct(F.struct(F.col("event_id").alias("OBJECTID"), F.col("event_type").alias("CaseType"), "value").alias("attributes"))
+    pages = ev.groupBy(F.floor(F.col("event_id") / 500).alias("page")).agg(F.collect_list(feature).alias("features"))
+    folder = ingest.scratch_dir(spark, "payload-files")
+    pages.select("page", F.to_json(F.struct("features"), {"pretty": "true"}).alias("value")).write.partitionBy("page").text(folder)
+    files = X.read_whole_files(spark, folder, "payload")
+    return X.feature_rows(files, "struct<OBJECTID: bigint, CaseType: string, value: double>", "layer", "OBJECTID")
 
 
 def listing_extract(spark, d) -> DataFrame:
@@ -478,4 +503,6 @@ QUERIES = {
     "feed_scan_counts": feed_scan_counts,
     "ingest_limit": ingest_limit,
     "mixed_import": mixed_import,
+    "page_files": page_files,
+    "payload_files": payload_files,
 }

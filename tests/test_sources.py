@@ -236,3 +236,16 @@ def test_folder_of_exports_with_different_headers(spark, tmp_path):
     (tmp_path / "nothing").mkdir()
     (tmp_path / "nothing" / "x.csv").write_text("")
     assert ingest.import_folder(spark, str(tmp_path / "nothing")).count() == 0
+
+
+def test_whole_files(spark, tmp_path):
+    from parcelstack.sources import extract as X
+    (tmp_path / "p" / "day=2024-01-02").mkdir(parents=True)
+    (tmp_path / "p" / "day=2024-01-02" / "a.html").write_text("<p><b>One\nline</b> text &amp; more\r\n</article> tail")
+    (tmp_path / "p" / "day=2024-01-03").mkdir()
+    (tmp_path / "p" / "day=2024-01-03" / "b.html").write_text("<p><b>Two</b> x")
+    got = {r.day: r for r in X.read_whole_files(spark, str(tmp_path / "p")).collect()}
+    assert got["2024-01-02"].html == "<p><b>One\nline</b> text &amp; more\r\n</article> tail" and got["2024-01-02"].url.endswith("a.html")
+    rows = X.read_whole_files(spark, str(tmp_path / "p")).withColumnRenamed("day", "page_id")
+    assert {r.page_id: r.summary for r in X.page_sections(rows).collect()} == {"2024-01-02": "One line text & more", "2024-01-03": "Two x"}
+    assert X.read_whole_files(spark, str(tmp_path / "none")).count() == 0
