@@ -230,12 +230,11 @@ def payload_files(spark, d) -> DataFrame:
 def listing_extract(spark, d) -> DataFrame:
     """Listing tables and listing payloads rendered from customers."""
     from ..sources import extract as X
-    cols = ["_source", "address", "courtfile", "pid_normalized", "county"]
+    from ..sources import ingest
     b = X.listing_b_rows(_rendered(spark, d, "customer", standins.listing_page_expr("spark")))
     a = X.listing_a_rows(_rendered(spark, d, "customer", standins.listing_json_expr("spark"), "payload"))
-    none = F.lit(None).cast("string")
-    return b.select(*cols, "name", "status", none.alias("street"), none.alias("tax_value"), none.alias("saletime")).unionByName(
-        a.select(*cols, none.alias("name"), none.alias("status"), "street", "tax_value", "saletime"))
+    return ingest.union_listings(b, a).select("_source", "address", "courtfile", "pid_normalized", "county", "name", "status",
+                                              "street", "tax_value", "saletime")
 
 
 INSTRUMENT_CSV_HEADERS = {

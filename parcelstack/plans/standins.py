@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions import normalize as N
 from ..sources import feeds as FD
+from ..sources import ingest
 
 # Functions whose names differ between Spark SQL and DuckDB.
 DIALECTS = {
@@ -353,7 +354,7 @@ def tax_cases(spark: SparkSession, d: str) -> DataFrame:
         .withColumn("pid_normalized", N.pid_digits("addressparcel_raw"))
     b = _sel(o.where("o_orderstatus = 'P'"), tax_b_exprs("spark")) \
         .withColumn("pid_normalized", N.pid_digits("addressparcel"))
-    return _conform(a.unionByName(b, allowMissingColumns=True), FD.TAX_CASE)
+    return ingest.union_listings(a, b, keep=("_row",))
 
 
 def foreclosures(spark: SparkSession, d: str) -> DataFrame:

@@ -125,6 +125,14 @@ def import_summary(instruments: DataFrame) -> DataFrame:
     return instruments.groupBy("doc_type_code").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def union_listings(*listings: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Tax listings of different columns as one feed (schema TAX_CASE, what
+    a listing lacks is null), with further columns named in `keep`."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), listings)
+    return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                         for f in FD.TAX_CASE.fields], *[F.col(c) for c in keep])
+
+
 def write_tax_snapshot(tax: DataFrame, target: str, mode: str = "per_source") -> None:
     """S6 / ST3: the tax listing snapshot.
 

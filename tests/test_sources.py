@@ -249,3 +249,14 @@ def test_whole_files(spark, tmp_path):
     rows = X.read_whole_files(spark, str(tmp_path / "p")).withColumnRenamed("day", "page_id")
     assert {r.page_id: r.summary for r in X.page_sections(rows).collect()} == {"2024-01-02": "One line text & more", "2024-01-03": "Two x"}
     assert X.read_whole_files(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_union_of_listings(spark):
+    from parcelstack.sources import feeds as FD
+    a = spark.createDataFrame([("kania", "1 Elm", "$5", 1)], "_source string, street string, tax_value string, _row long")
+    b = spark.createDataFrame([("rbcwb", "Jo", "Open", 2, "x")], "_source string, name string, status string, _row long, other string")
+    out = ingest.union_listings(a, b, keep=("_row",))
+    assert out.columns == [*FD.TAX_CASE.names, "_row"]
+    assert sorted((r._source, r.street, r.name, r.tax_value, r.status, r._row) for r in out.collect()) == [
+        ("kania", "1 Elm", None, "$5", None, 1), ("rbcwb", None, "Jo", None, "Open", 2)]
+    assert ingest.union_listings(a.limit(0)).count() == 0
