@@ -8,10 +8,12 @@ collected to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import constants as K
+from .rank import with_position
 
 
 def tier_counts(records: DataFrame) -> DataFrame:
@@ -139,5 +141,39 @@ def write_outputs(ranked: DataFrame, summary: DataFrame, out_dir: str) -> None:
     summary.coalesce(1).write.mode("overwrite").json(f"{out_dir}/summary")
 
 
+def write_document(records: DataFrame, summary: DataFrame, path: str, records_per_part: int = 200_000) -> None:
+    """S7 as one JSON object: the summary's fields, then `records` in rank
+    order. Text parts of one line a record; their texts one after another, in
+    order of file name, are the object. The first line opens it, the last one
+    closes it. Positions range-partition the rows, so no task holds more than
+    its share and nothing is collected. Null fields are written as nulls."""
+    as_json = lambda df: F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    ranked = with_position(records)
+    body = ranked.select("position", F.concat(F.when(F.col("position") > 1, ",").otherwise(""),
+                                              as_json(records)).alias("value"))
+    opened = F.concat(F.regexp_replace(as_json(summary), r"\}$", ""), F.lit(',"records":['))
+    head = summary.select(F.lit(0).cast("long").alias("position"), opened.alias("value"))
+    tail = records.sparkSession.range(1).select(F.lit((1 << 63) - 1).alias("position"), F.lit("]}").alias("value"))
+    rows = head.unionByName(body).unionByName(tail)
+    (rows.repartitionByRange("position").sortWithinPartitions("position").select("value")
+     .write.mode("overwrite").option("maxRecordsPerFile", records_per_part).text(path))
+
+
+def read_document(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The records of a document that `write_document` wrote, with `place`,
+    their 1-based place in it. `schema`: of a record. A part is read whole, so
+    that its lines keep their order; its size is bounded when it is written."""
+    parts = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_name").alias("file"), F.split(F.regexp_replace("value", r"\n$", ""), "\n").alias("lines"))
+    sizes = parts.select("file", F.size("lines").alias("n"))
+    before = F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))  # one row a part
+    starts = sizes.select("file", F.coalesce(before, F.lit(0)).alias("start"))
+    lines = parts.join(starts, "file").select("start", F.posexplode("lines").alias("at", "line"))
+    lines = lines.select((F.col("start") + F.col("at")).alias("place"), "line")
+    lines = lines.where((F.col("place") > 0) & (F.col("line") != "]}"))
+    one = F.from_json(F.regexp_replace("line", "^,", ""), schema)
+    return lines.select("place", one.alias("r")).select("place", "r.*")
+
+
 def write_export_csv(records: DataFrame, spec: dict, out_dir: str) -> None:
     export_rows(records, spec).write.mode("overwrite").option("header", True).csv(out_dir)

@@ -495,6 +495,13 @@ TOGGLES = {
 }
 
 
+# Searches answered from postings: two fields, payload, a short text, none found.
+SEARCHES = {
+    "place": {"text": "Ward 1"}, "payload": {"text": "demo1", "search_signals": True}, "number": {"text": "0000001"},
+    "short": {"text": "10", "absentee": True}, "pattern": {"text": "ward", "patterns": ["estate", "code"]}, "none": {"text": "no such text"},
+}
+
+
 def filter_sql(spec=FILTER_SPEC) -> str:
     conds = []
     if spec.get("patterns"):
@@ -615,6 +622,9 @@ SELECT pid, rule_a, rule_b, transfer_fired FROM l1""",
 SELECT pid, pattern, CAST(rank AS BIGINT) AS rank, source, rkey, CAST(feed_rank AS BIGINT) AS feed_rank,
   CAST(row_ord AS BIGINT) AS row_ord FROM top""",
         "rank_leads": base + """
+SELECT row_number() OVER (ORDER BY tier_rank DESC, stack_count DESC, raw_score DESC, pid) AS position, pid, tier, CAST(tier_rank AS BIGINT) AS tier_rank, CAST(stack_count AS BIGINT) AS stack_count,
+  CAST(raw_score AS BIGINT) AS raw_score FROM leads""",
+        "lead_document": base + """
 SELECT row_number() OVER (ORDER BY tier_rank DESC, stack_count DESC, raw_score DESC, pid) AS position, pid, tier, CAST(tier_rank AS BIGINT) AS tier_rank, CAST(stack_count AS BIGINT) AS stack_count,
   CAST(raw_score AS BIGINT) AS raw_score FROM leads""",
         "tier_summary": base + """
@@ -660,6 +670,8 @@ SELECT event_id AS OBJECTID, event_type AS CaseType, value, 'layer' AS _source F
         "filter_toggles": witht + "\n" + "\nUNION ALL ".join(
             f"SELECT {_q(name)} AS toggle, tier, count(*) AS n FROM leads WHERE {filter_sql(spec)} GROUP BY tier"
             for name, spec in TOGGLES.items()),
+        "search_postings": witht + "\n" + "\nUNION ALL ".join(
+            f"SELECT {_q(name)} AS search, pid, tier FROM leads WHERE {filter_sql(spec)}" for name, spec in SEARCHES.items()),
         "page_extract": page_sql(),
         "page_files": page_sql(),
         "payload_files": """

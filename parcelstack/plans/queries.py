@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators import link, parcels as P, report, score
 from . import build, standins
-from .oracle import AS_OF, DRY_RUN_N, FILTER_SPEC, INGEST_LIMIT, TOGGLES
+from .oracle import AS_OF, DRY_RUN_N, FILTER_SPEC, INGEST_LIMIT, SEARCHES, TOGGLES
 
 _BUILDS: dict = {}
 _FEEDS: dict = {}
@@ -455,6 +455,32 @@ def filter_toggles(spark, d) -> DataFrame:
     return out
 
 
+def search_postings(spark, d) -> DataFrame:
+    """Searches answered from trigram postings of the lead records."""
+    from ..operators import search
+    from ..sources import ingest
+    r = lead_build(spark, d).records
+    path = ingest.scratch_dir(spark, "postings")
+    search.build_postings(r, path)
+    postings = search.read_postings(spark, path)
+    out = None
+    for name, spec in SEARCHES.items():
+        one = search.search(r, postings, spec).select(F.lit(name).alias("search"), "pid", "tier")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def lead_document(spark, d) -> DataFrame:
+    """The one output document in rank order, written and read back."""
+    from ..sources import ingest
+    r = lead_build(spark, d).records
+    path = ingest.scratch_dir(spark, "lead-document")
+    report.write_document(r, report.run_summary(r), path)
+    back = report.read_document(spark, path, r.schema)
+    return back.select(_bl(F.col("place")).alias("position"), "pid", "tier", _bl(F.col("tier_rank")).alias("tier_rank"),
+                       _bl(F.col("stack_count")).alias("stack_count"), _bl(F.col("raw_score")).alias("raw_score"))
+
+
 def dry_run(spark, d) -> DataFrame:
     return report.dry_run_distribution(lead_build(spark, d).scored, DRY_RUN_N)
 
@@ -502,6 +528,8 @@ QUERIES = {
     "feed_scan_counts": feed_scan_counts,
     "ingest_limit": ingest_limit,
     "mixed_import": mixed_import,
+    "search_postings": search_postings,
+    "lead_document": lead_document,
     "page_files": page_files,
     "payload_files": payload_files,
 }

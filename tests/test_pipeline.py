@@ -226,3 +226,47 @@ def test_free_text_over_signal_payload(built):
     plain = {r["pid"] for r in built.records.where(report.matches({"text": "24sp1"})).collect()}
     deep = {r["pid"] for r in built.records.where(report.matches({"text": "24sp1", "search_signals": True})).collect()}
     assert plain == set() and deep == {"00000002", "00000003"}
+
+
+def test_one_document(spark, built, tmp_path):
+    """The parts one after another are one JSON object in rank order, also with a record to a part and with none."""
+    import glob
+    import json
+    from parcelstack.operators import report
+    for name, records, per_part in (("all", built.records, 1), ("empty", built.records.where("false"), 10)):
+        out = str(tmp_path / name)
+        report.write_document(records, report.run_summary(records, run_id="r1"), out, records_per_part=per_part)
+        doc = json.loads("".join(open(f, encoding="utf-8").read() for f in sorted(glob.glob(out + "/part-*"))))
+        ranked = [r["pid"] for r in records.orderBy(F.desc("tier_rank"), F.desc("stack_count"), F.desc("raw_score"), "pid").collect()]
+        assert [r["pid"] for r in doc["records"]] == ranked
+        assert doc["source_commit"] == "r1" and (name == "empty" or doc["total"] == len(ranked))
+        assert all(set(r) == set(records.columns) for r in doc["records"])
+        back = report.read_document(spark, out, records.schema)
+        assert [r["pid"] for r in back.orderBy("place").collect()] == ranked
+        assert [r["place"] for r in back.orderBy("place").collect()] == list(range(1, len(ranked) + 1))
+        same = back.select("pid", F.to_json("signals").alias("s")).exceptAll(records.select("pid", F.to_json("signals").alias("s")))
+        assert same.count() == 0
+
+
+def test_search_by_postings(spark, built, tmp_path):
+    """The postings give the rows of the plain predicate, for every substring of a few texts and for short and absent ones."""
+    from parcelstack.operators import report, search
+    path = str(tmp_path / "postings")
+    search.build_postings(built.records, path)
+    postings = search.read_postings(spark, path)
+    texts = {"", "a", "10", "MAPLE", "24sp1", "zzz", "%_", "aaaa"}
+    for r in built.records.limit(1).collect():
+        texts |= {r["owner"][i:i + 4] for i in range(0, max(1, len(r["owner"]) - 3), 9)} | {r["address"], r["pid"][2:6]}
+    for text in sorted(texts):
+        for deep in (False, True):
+            spec = {"text": text, "search_signals": deep}
+            want = sorted(r["pid"] for r in built.records.where(report.matches(spec)).select("pid").collect())
+            assert sorted(r["pid"] for r in search.search(built.records, postings, spec).select("pid").collect()) == want, spec
+
+
+def test_search_reads_only_its_grams(spark, built, tmp_path):
+    from parcelstack.operators import search
+    path = str(tmp_path / "postings")
+    search.build_postings(built.records, path)
+    plan = search.candidates(search.read_postings(spark, path), "maple")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [bucket" in plan and "PushedFilters: [In(gram" in plan
