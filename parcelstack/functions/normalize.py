@@ -203,47 +203,15 @@ def is_landlord_entity(c) -> Column:
     return is_entity(c) & up.rlike(_LANDLORD_RE)
 
 
-def parse_owner_name(first, last) -> Column:
-    """struct(first_name, middle_name, last_name, suffix, is_entity, full_name).
-
-    Entities get empty parts. A trailing suffix of the first field is taken
-    first; a suffix at the end of the last field is removed only when the
-    first field gave none.
-    """
-    ff, lf = clean(first), clean(last)
-    full = F.regexp_replace(F.concat(ff, F.lit(" "), lf), r"^\s+|\s+$", "")
-    ent = is_entity(full)
-    sfx = _lit_array(K.NAME_SUFFIXES)
-    none = F.array().cast("array<string>")
-    parts = F.when(ff == "", none).otherwise(F.split(ff, r"\s+"))
-    p_last = F.upper(F.regexp_replace(_at(parts, -1), r"\.+$", ""))
-    has_sfx1 = (F.size(parts) > 0) & F.coalesce(F.array_contains(sfx, p_last), F.lit(False))
-    sfx1 = F.when(has_sfx1, p_last).otherwise(F.lit(""))
-    rest = F.when(has_sfx1, F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))).otherwise(parts)
-    first_name = F.coalesce(_at(rest, 1), F.lit(""))
-    middle = F.when(F.size(rest) > 1, F.array_join(F.slice(rest, 2, F.size(rest)), " ")).otherwise(F.lit(""))
-    ltoks = F.when(lf == "", none).otherwise(F.split(lf, r"\s+"))
-    l_last = F.upper(F.regexp_replace(_at(ltoks, -1), r"\.+$", ""))
-    has_sfx2 = (F.size(ltoks) > 0) & F.coalesce(F.array_contains(sfx, l_last), F.lit(False))
-    pop2 = has_sfx2 & ~has_sfx1
-    last_name = F.when(has_sfx2, F.array_join(F.slice(ltoks, 1, F.greatest(F.size(ltoks) - 1, F.lit(0))), " ")) \
-        .otherwise(lf)
-    # When the first field already gave a suffix, the last field keeps its
-    # own suffix token (only re-joined with single spaces).
-    suffix = F.when(has_sfx1, sfx1).when(pop2, l_last).otherwise(F.lit(""))
-    last_name = F.when(has_sfx2 & has_sfx1, F.array_join(ltoks, " ")).otherwise(last_name)
-    blank = F.lit("")
-    return F.when(ent, F.struct(blank.alias("first_name"), blank.alias("middle_name"), blank.alias("last_name"),
-                                blank.alias("suffix"), F.lit(True).alias("is_entity"), full.alias("full_name"))) \
-        .otherwise(F.struct(first_name.alias("first_name"), middle.alias("middle_name"),
-                            last_name.alias("last_name"), suffix.alias("suffix"),
-                            F.lit(False).alias("is_entity"), full.alias("full_name")))
-
-
 def with_owner_parsed(df, first: str, last: str, out: str):
-    """`parse_owner_name` as staged projections: the cleaned fields and token
-    arrays are columns first, so each stage stays small enough for generated
-    code and no intermediate is re-evaluated."""
+    """Adds `out`: struct(first_name, middle_name, last_name, suffix, is_entity,
+    full_name). Entities get empty parts. A trailing suffix of the first field
+    is taken first; a suffix at the end of the last field is removed only when
+    the first field gave none (it then stays, re-joined with single spaces).
+
+    Staged projections: the cleaned fields and token arrays are columns first,
+    so each stage stays small enough for generated code and no intermediate is
+    re-evaluated."""
     t = f"_{out}_"
     none = F.array().cast("array<string>")
     sfx = _lit_array(K.NAME_SUFFIXES)

@@ -103,7 +103,8 @@ def test_entity(spark, owner, entity, landlord):
     ("JANE Q.", "DOE JR.", ("JANE", "Q.", "DOE", "JR", False)),
 ])
 def test_parse_owner(spark, first, last, parsed):
-    r = one(spark, N.parse_owner_name(F.col("a"), F.col("b")), first, last, schema="a string, b string")
+    df = spark.createDataFrame([(first, last)], "a string, b string")
+    r = N.with_owner_parsed(df, "a", "b", "r").first()["r"]
     assert (r["first_name"], r["middle_name"], r["last_name"], r["suffix"], r["is_entity"]) == parsed
 
 

@@ -260,3 +260,38 @@ def test_union_of_listings(spark):
     assert sorted((r._source, r.street, r.name, r.tax_value, r.status, r._row) for r in out.collect()) == [
         ("kania", "1 Elm", None, "$5", None, 1), ("rbcwb", None, "Jo", None, "Open", 2)]
     assert ingest.union_listings(a.limit(0)).count() == 0
+
+
+def _decoded(spark, texts):
+    from parcelstack.sources.extract import html_unescape, html_unescape_all
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    out = df.select("i", html_unescape("t").alias("one"), html_unescape_all(F.array("t", F.lit("&lt;"))).alias("all"))
+    plan = out._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+    rows = sorted((r["i"], r["one"], r["all"]) for r in out.collect())
+    assert all(r[2] == [r[1], "<"] for r in rows)
+    return [r[1] for r in rows]
+
+
+def test_entities_without_python(spark):
+    """Every name with and without its semicolon, every kind of number, and random runs of the characters that matter."""
+    import html
+    import random
+    from html.entities import html5
+    texts = ["", "&", "a & b", "&&amp;&", "&amp;lt;", "&#;", "&#x;", "&#xg;", "&notit;", "&ampersand", "&LT", "&nosuch;", "&" + "a" * 40 + ";"]
+    for n in html5:
+        texts += [f"x&{n}y", f"&{n.rstrip(';')} z", f"&{n.rstrip(';')}Q;"]
+    edges = {0, 9, 10, 11, 12, 13, 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFDD0, 0xFDEF, 0xFFFD, 0xFFFE, 0x1F600, 0x10FFFE, 0x10FFFF, 0x110000, 10**12}
+    for n in sorted(edges | set(range(1, 300))):
+        texts += [f"&#{n};", f"&#00{n}b", f"&#x{n:x};", f"&#X{n:X}g", f"&#x000{n:x}"]
+    rng = random.Random(7)
+    texts += ["".join(rng.choice(["&", "&", "#", "x", ";", "amp", "lt", "not", "in", "1", "38", "f", " ", "<", "\n", "\u00e9", "\U0001f600"])
+                      for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    got = _decoded(spark, texts)
+    wrong = [(t, g, html.unescape(t)) for t, g in zip(texts, got, strict=True) if g != html.unescape(t)]
+    assert not wrong, wrong[:10]
+
+
+def test_entities_null(spark):
+    from parcelstack.sources.extract import html_unescape
+    assert spark.createDataFrame([(None,)], "t string").select(html_unescape("t").alias("r")).first()["r"] is None
