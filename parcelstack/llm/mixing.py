@@ -109,6 +109,22 @@ def draw_slots(spark, quotas: DataFrame, n_slots: int, shard_slots: int, seed: i
     return drawn.where("position < quota").select("slot", "shard", "source_no", "position").unionByName(moved)
 
 
+def pass_blocks(targets: DataFrame, seed: int, stretch: int = 4096) -> DataFrame:
+    """(source_no, pass, block, h): every block of every pass over a source and
+    the hash that ranks it. The sources lie in one partition, so their
+    stretches of blocks are dealt out to tasks before blocks become rows."""
+    spread = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    perm = targets.where("quota > 0").select("source_no", "blocks", F.explode(F.expr(
+        "sequence(0L, (quota - 1) div blocks)")).alias("pass"))
+    perm = perm.select("*", F.explode(F.expr(f"sequence(0L, (blocks - 1) div {stretch})")).alias("piece"))
+    perm = perm.repartition(spread, F.xxhash64("source_no", "pass", "piece"))
+    perm = perm.select("source_no", "pass", "blocks", F.explode(F.expr(
+        f"sequence(piece * {stretch}, least(piece * {stretch} + {stretch - 1}, blocks - 1))")).alias("block"))
+    rank = F.when(F.col("block") < F.col("blocks") - 1, F.shiftrightunsigned(
+        F.xxhash64(F.lit(seed + 1), "source_no", "pass", "block"), 1)).otherwise(F.lit((1 << 63) - 1))
+    return perm.select("source_no", "pass", "block", rank.alias("h"))
+
+
 def plan(docs: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, cap: int = 2, block: int = 256,
          shard_slots: int = 1024, seed: int = 20240229, keys: tuple = ()) -> tuple[DataFrame, DataFrame]:
     """(documents, pieces). documents: doc_id, source_no, size, source_size,
@@ -147,14 +163,7 @@ def plan(docs: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, cap: i
         F.expr("position % blocks").alias("nth"),
         F.expr(f"take - (position div blocks) * source_size - (position % blocks) * {block}").alias("left"))
     # permutations: blocks of a pass ranked by a hash, the last block last
-    perm = targets.where("quota > 0").select("source_no", "blocks", F.explode(F.expr(
-        "sequence(0L, (quota - 1) div blocks)")).alias("pass"))
-    stretch = 4096
-    perm = perm.select("*", F.explode(F.expr(f"sequence(0L, (blocks - 1) div {stretch})")).alias("piece"))
-    perm = perm.select("source_no", "pass", "blocks", F.explode(F.expr(
-        f"sequence(piece * {stretch}, least(piece * {stretch} + {stretch - 1}, blocks - 1))")).alias("block"))
-    perm = perm.withColumn("h", F.when(F.col("block") < F.col("blocks") - 1, F.shiftrightunsigned(
-        F.xxhash64(F.lit(seed + 1), "source_no", "pass", "block"), 1)).otherwise(F.lit((1 << 63) - 1)))
+    perm = pass_blocks(targets, seed)
     rank_buckets = 1 << ((n_slots.bit_length() + 1) // 2)
     shift = 63 - (rank_buckets.bit_length() - 1)
     perm = perm.withColumn("hb", F.shiftright("h", shift)).withColumn("one", F.lit(1).cast("long"))

@@ -124,3 +124,12 @@ def test_registered_query(spark):
     rows = [(r.doc_id, r.text, None, r.source) for r in Q.table(spark, SF, "documents").collect()]
     check(Q.table(spark, SF, "documents"), rows)
     assert Q.op4_mix(spark, SF).columns == ["doc_id", "size", "source_size", "target", "taken"]
+
+
+def test_permutations_come_from_several_tasks(spark):
+    """One source's blocks become rows in several tasks, each block of a pass once."""
+    targets = spark.createDataFrame([(0, 40_000, 50_000), (1, 0, 0)], "source_no int, blocks long, quota long").coalesce(1)
+    rows = mixing.pass_blocks(targets, 1).selectExpr("source_no", "pass", "block", "h", "spark_partition_id() as task").collect()
+    assert len({r.task for r in rows}) >= 4
+    assert sorted((r["pass"], r.block) for r in rows) == [(p, b) for p in (0, 1) for b in range(40_000)]
+    assert {r.h for r in rows if r.block == 39_999} == {(1 << 63) - 1}
