@@ -38,9 +38,11 @@ FINGERPRINT_BITS = 48
 # Fingerprints that a sender holds before it sends them off; a partition with
 # more sends several messages to an owner.
 MESSAGE_FINGERPRINTS = 1 << 20
+# Distinct fingerprints that an owner is to hold at most, on average.
+OWNER_FINGERPRINTS = 1 << 20
 # Upper bound of the broadcast filter: 2^28 bits are 32 MB.
 FILTER_BITS = 28
-FILTER_CHUNK = 1 << 15
+FILTER_CHUNK = 1 << 12
 
 
 def rice_encode(values: np.ndarray, span: int) -> tuple[int, bytes]:
@@ -67,6 +69,19 @@ def rice_decode(n: int, k: int, code: bytes) -> np.ndarray:
     return np.cumsum((q << k) + r + 1) - 1
 
 
+def owner_bits_for(spark, fingerprints: int) -> int:
+    """log2 of the number of owners: set by the number of fingerprints, so that
+    an owner's group stays bounded, and enough of them for the shuffle's tasks.
+    Owners are ranges, so fingerprints have to be evenly spread over theirs."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(3, (tasks // 4).bit_length(), (fingerprints // OWNER_FINGERPRINTS).bit_length())
+
+
+def text_bytes_of(docs: DataFrame) -> int:
+    """UTF-8 bytes of all texts."""
+    return docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+
+
 MESSAGE = "sender long, owner int, n int, k int, code binary, again binary"
 
 
@@ -154,7 +169,7 @@ def suspect_filter_bits(suspect: DataFrame) -> tuple[np.ndarray, int]:
             .select(F.expr(f"slot div {FILTER_CHUNK}").alias("chunk"), F.expr(f"int(slot % {FILTER_CHUNK})").alias("bit"))
             .groupBy("chunk").applyInPandas(chunk, "chunk long, marks binary").collect())
     table = np.zeros((1 << bits) // 8, dtype=np.uint8)
-    for r in rows:  # at most 2^FILTER_BITS / FILTER_CHUNK rows of 4 KB
+    for r in rows:  # at most 2^FILTER_BITS / FILTER_CHUNK rows of 512 bytes
         table[r.chunk * FILTER_CHUNK // 8:][:FILTER_CHUNK // 8] = np.frombuffer(r.marks, dtype=np.uint8)
     return table, bits
 
@@ -185,11 +200,11 @@ def suspect_filter(spark, suspect: DataFrame):
 def copies(docs: DataFrame, owner_bits: int | None = None, smallest: bool = False) -> DataFrame:
     """All columns of `docs` under `doc` (a struct), with text (null as
     empty), keep_id, group_size and kept. `owner_bits`: 2^bits owners; by
-    default about one for four shuffle partitions. `smallest`: the smallest
+    default `owner_bits_for` the rows. `smallest`: the smallest
     doc_id of a group stays instead of the largest."""
     spark = docs.sparkSession
     if owner_bits is None:
-        owner_bits = max(3, (int(spark.conf.get("spark.sql.shuffle.partitions")) // 4).bit_length())
+        owner_bits = owner_bits_for(spark, docs.count())
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
                        F.col("doc_id").cast("long").alias("id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("body"))

@@ -49,8 +49,8 @@ from pyspark.sql import functions as F
 from . import words as H
 from .common import cut, ragged, slices, stored, texts
 from .components import components
-from .exact_dedup import (FINGERPRINT_BITS, copies, holds, id_fingerprint, messages, suspect_filter, suspect_filter_bits,
-                          suspects)
+from .exact_dedup import (FINGERPRINT_BITS, copies, holds, id_fingerprint, messages, owner_bits_for, suspect_filter,
+                          suspect_filter_bits, suspects, text_bytes_of)
 
 SKETCH_BITS = 18
 SKETCH_CHUNK = 4096
@@ -77,6 +77,12 @@ def shingle_sets(part: pa.RecordBatch, k: int) -> list[np.ndarray]:
     return out
 
 
+def prefix_fp(p: np.ndarray) -> np.ndarray:
+    """Fingerprints of prefix shingles. Prefixes prefer small hashes among
+    equal counts; mixed again, they spread evenly over owners and filter."""
+    return (H.mix(p, 11) >> np.uint64(64 - FINGERPRINT_BITS)).astype(np.int64)
+
+
 def prefix(s: np.ndarray, sketch: np.ndarray, threshold: int) -> np.ndarray:
     """The first n - ceil(threshold% n) + 1 shingles in order of (count, hash)."""
     if not len(s):
@@ -130,9 +136,10 @@ def prefixes(live: DataFrame, k: int, threshold: int) -> DataFrame:
             for part in slices(batch):
                 own = [prefix(s, sketch.value, threshold) for s in shingle_sets(part, k)]
                 flat = np.concatenate(own) if own else np.zeros(0, np.uint64)
-                yield pa.RecordBatch.from_pydict({"fp": pa.array((flat >> np.uint64(64 - FINGERPRINT_BITS)).astype(np.int64))})
+                yield pa.RecordBatch.from_pydict({"fp": pa.array(prefix_fp(flat))})
 
-    owner_bits = max(3, (int(spark.conf.get("spark.sql.shuffle.partitions")) // 2).bit_length())
+    # a text has a word for two bytes at most, and its prefix about (100 - threshold)% of its shingles
+    owner_bits = owner_bits_for(spark, text_bytes_of(live) * (100 - threshold) // 200 + live.count())
     sent = cut(messages(live.select("text").mapInArrow(tokens, "fp long"), owner_bits))
     known = spark.sparkContext.broadcast(suspect_filter_bits(cut(suspects(sent, owner_bits))))
 
@@ -143,7 +150,7 @@ def prefixes(live: DataFrame, k: int, threshold: int) -> DataFrame:
                 n, gid, toks, n_short, bins = [], [], [], [], []
                 for s in shingle_sets(part, k):
                     p = prefix(s, sketch.value, threshold)
-                    twice = holds(table, bits, (p >> np.uint64(64 - FINGERPRINT_BITS)).astype(np.int64))
+                    twice = holds(table, bits, prefix_fp(p))
                     n.append(len(s))
                     gid.append(int(H.mix((H.mix(p, 3) * np.arange(1, 2 * len(p), 2, dtype=np.uint64)).sum(dtype=np.uint64, keepdims=True),
                                          len(s)).view(np.int64)[0]))

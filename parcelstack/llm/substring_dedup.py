@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 
 from . import words as H
 from .common import cut, slices, stored, texts
-from .exact_dedup import FINGERPRINT_BITS, copies, holds, id_fingerprint, messages, suspect_filter_bits, suspects
+from .exact_dedup import (FINGERPRINT_BITS, copies, holds, id_fingerprint, messages, owner_bits_for, suspect_filter_bits,
+                          suspects, text_bytes_of)
 
 
 def anchors(h: np.ndarray, valid: np.ndarray, reach: int) -> np.ndarray:
@@ -109,7 +110,9 @@ class _Levels:
 
 
 def _fp(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - FINGERPRINT_BITS)).astype(np.int64)
+    """Fingerprints of window hashes. Anchors are the smallest hashes of their
+    surroundings; mixed again, they spread evenly over owners and filter."""
+    return (H.mix(h, 7) >> np.uint64(64 - FINGERPRINT_BITS)).astype(np.int64)
 
 
 def _level(live: DataFrame, window: int, known) -> DataFrame:
@@ -152,12 +155,13 @@ def _repeated(spark, fingerprints: DataFrame, owner_bits: int):
 def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     """(doc_id, n_words, n_removed, text): the words kept, joined by one space."""
     spark = docs.sparkSession
-    owner_bits = max(3, (int(spark.conf.get("spark.sql.shuffle.partitions")) // 2).bit_length())
-    rows = copies(texts(docs), owner_bits, smallest=True)
+    rows = copies(texts(docs), smallest=True)
     rows = stored(rows.select(F.col("doc.doc_id").alias("doc_id"), "text",
                               (F.col("kept") | F.col("doc.doc_id").isNull()).alias("first"),
                               F.monotonically_increasing_id().alias("row")))
     live = rows.where("first").select("doc_id", "row", "text")
+    # an anchor for about half the distance within which one is chosen; words take two bytes or more
+    owner_bits = owner_bits_for(spark, text_bytes_of(live) // (window - window // 2 + 1))
     known = _repeated(spark, _level(live.where("doc_id IS NOT NULL"), window, None), owner_bits)
     known2 = _repeated(spark, _level(live.where("doc_id IS NOT NULL"), window, known), owner_bits)
     full = _full_windows(live, window, known, known2)

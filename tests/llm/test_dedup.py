@@ -187,3 +187,24 @@ def test_registered_queries_against_brute_force(spark):
     cut = without_repeats(rows, 50)
     assert {r.doc_id: (r.n_words, r.n_removed) for r in Q.op7_substring_dedup(spark, SF).collect()} == {
         i: x[:2] for i, x in cut.items()}
+
+
+def test_owners_follow_the_data_and_share_it_evenly(spark):
+    """No owner's group grows with the corpus, and anchors or prefixes (small hashes) do not pile onto the first owners."""
+    few = exact_dedup.owner_bits_for(spark, 1000)
+    assert few == exact_dedup.owner_bits_for(spark, 0) >= 3
+    for n in (10**8, 10**10):
+        bits = exact_dedup.owner_bits_for(spark, n)
+        assert n / exact_dedup.OWNER_FINGERPRINTS <= 1 << bits <= max(1 << few, 2 * n / exact_dedup.OWNER_FINGERPRINTS)
+    rng = np.random.default_rng(3)
+    small = np.sort(rng.integers(0, 1 << 63, 40_000, dtype=np.uint64))[:4000]
+    for fp in (substring_dedup._fp(small), jaccard_join.prefix_fp(small)):
+        assert fp.min() >= 0 and fp.max() < 1 << exact_dedup.FINGERPRINT_BITS
+        share = np.bincount(fp >> (exact_dedup.FINGERPRINT_BITS - 3), minlength=8)
+        assert share.min() > 350 and share.max() < 650
+
+
+def test_many_owners_give_the_same_rows(spark):
+    docs = documents(spark, edge_rows())
+    want = sorted(exact_dedup.copies(docs, 3).select("doc.doc_id", "keep_id", "group_size", "kept").collect(), key=str)
+    assert sorted(exact_dedup.copies(docs, 9).select("doc.doc_id", "keep_id", "group_size", "kept").collect(), key=str) == want
