@@ -27,7 +27,12 @@ def as_of_ts(as_of: str) -> Column:
 
 
 def fold(evidence: DataFrame) -> DataFrame:
-    """pid -> distinct firing patterns, flag rows, estate-then-sale test.
+    """pid -> distinct firing patterns, flag rows, estate-then-sale test."""
+    return finish_fold(fold_state(evidence))
+
+
+def fold_state(evidence: DataFrame) -> DataFrame:
+    """The fold's state per pid, which `merge_states` can add to.
 
     Evidence rows carry the parcel's sale timestamp, so the estate interval
     rule (0 <= whole days from posted to sale <= 548) folds in the same pass.
@@ -36,19 +41,32 @@ def fold(evidence: DataFrame) -> DataFrame:
     ev = evidence.withColumn("_posted", posted)
     est_hit = (F.col("sale_ts").isNotNull() & F.col("_posted").isNotNull()
                & N.days_between(F.col("sale_ts"), F.col("_posted")).between(0, K.TRANSFER_ESTATE_DAYS))
-    g = ev.groupBy("pid").agg(
+    return ev.groupBy("pid").agg(
         F.array_sort(F.collect_set(F.when(F.col("fires"), F.col("pattern")))).alias("patterns0"),
         F.count("flag").alias("n_flags0"),
         F.array_sort(F.collect_set("flag")).alias("flag_set0"),
         F.coalesce(F.bool_or(est_hit), F.lit(False)).alias("rule_b"),
         F.count_if(F.col("source") == "charlotte_hns").alias("n_open_cases"),
     )
-    # A3: two or more attached open cases add one repeat-violator flag
+
+
+def merge_states(states: DataFrame, *keys: str) -> DataFrame:
+    """One state per pid (and `keys`, which the pid determines) of several:
+    sets united, counts added. A pid has a state or two here, so the lists
+    are short."""
+    both = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+    return states.groupBy(*keys, "pid").agg(
+        both("patterns0"), F.sum("n_flags0").alias("n_flags0"), both("flag_set0"),
+        F.bool_or("rule_b").alias("rule_b"), F.sum("n_open_cases").alias("n_open_cases"))
+
+
+def finish_fold(state: DataFrame) -> DataFrame:
+    """A3: two or more attached open cases add one repeat-violator flag."""
     repeat = F.col("n_open_cases") >= 2
-    return (g.withColumn("n_flags0", F.col("n_flags0") + repeat.cast("int"))
-             .withColumn("flag_set0", F.array_sort(F.array_union(
-                 "flag_set0", F.when(repeat, F.array(F.lit("code_repeat_violator"))).otherwise(F.array())
-                 .cast("array<string>")))))
+    return (state.withColumn("n_flags0", F.col("n_flags0") + repeat.cast("int"))
+                 .withColumn("flag_set0", F.array_sort(F.array_union(
+                     "flag_set0", F.when(repeat, F.array(F.lit("code_repeat_violator"))).otherwise(F.array())
+                     .cast("array<string>")))))
 
 
 def _truthy(x: Column) -> Column:

@@ -594,6 +594,9 @@ def query_sql() -> dict[str, str]:
         "stack_tier": base + """
 SELECT pid, array_to_string(patterns, ',') AS patterns, CAST(stack_count AS BIGINT) AS stack_count, tier FROM leads""",
         "lead_scores": base + """
+SELECT pid, CAST(raw_score AS BIGINT) AS raw_score, CAST(distress_score AS BIGINT) AS distress_score,
+  array_to_string(flags, ',') AS flags, CAST(n_flags AS BIGINT) AS n_flags FROM leads""",
+        "incremental_fold": base + """
 SELECT pid, CAST(raw_score AS BIGINT) AS raw_score, CAST(distress_score AS BIGINT) AS distress_score,
   array_to_string(flags, ',') AS flags, CAST(n_flags AS BIGINT) AS n_flags FROM leads""",
         "derived_fields": base + """
@@ -619,6 +622,9 @@ SELECT pid, count(*) AS n_open FROM ev_pid WHERE source = 'charlotte_hns' GROUP
         "transfer_rules": base + """
 SELECT pid, rule_a, rule_b, transfer_fired FROM l1""",
         "top_signals": witht + """
+SELECT pid, pattern, CAST(rank AS BIGINT) AS rank, source, rkey, CAST(feed_rank AS BIGINT) AS feed_rank,
+  CAST(row_ord AS BIGINT) AS row_ord FROM top""",
+        "incremental_top": witht + """
 SELECT pid, pattern, CAST(rank AS BIGINT) AS rank, source, rkey, CAST(feed_rank AS BIGINT) AS feed_rank,
   CAST(row_ord AS BIGINT) AS row_ord FROM top""",
         "rank_leads": base + """

@@ -315,6 +315,48 @@ def incremental_highest(spark, d) -> DataFrame:
     return inc.highest_id(spark, _event_drops(spark, d))
 
 
+_FOLDS: dict = {}
+
+
+def _fold_drops(spark, d) -> str:
+    """State of the incremental fold after five drops of feed rows, each linked
+    on its own with the stored parcels, drop 2 delivered twice."""
+    from ..sources import ingest
+    from ..streaming import refold
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _FOLDS:
+        fe, parcels = feeds(spark, d), lead_build(spark, d).parcels
+        state = ingest.scratch_dir(spark, "fold-state")
+        for n in [0, 1, 2, 2, 3, 4]:
+            part = type(fe)(**{k: f if k == "parcels_raw" else f.where(F.pmod(link.row_ord(f), F.lit(5)) == n)
+                               for k, f in ((k, getattr(fe, k)) for k in fe.names())})
+            links = build.build_links(part, parcels, store=build.materialize)
+            refold.apply_drop(build.materialize(link.evidence_of(links)), state, n)
+        _FOLDS[key] = state
+    return _FOLDS[key]
+
+
+def _refolded(spark, d) -> DataFrame:
+    from ..streaming import refold
+    return score.score_leads(refold.current_fold(spark, _fold_drops(spark, d)), lead_build(spark, d).parcels, AS_OF)
+
+
+def incremental_fold(spark, d) -> DataFrame:
+    """A1, A2 kept up to date drop by drop: the same scores as the full build."""
+    s = _refolded(spark, d).where(F.size("patterns") > 0)
+    return s.select("pid", _bl(F.col("raw_score")).alias("raw_score"),
+                    _bl(F.col("distress_score")).alias("distress_score"),
+                    F.array_join("flags", ",").alias("flags"), _bl(F.col("n_flags")).alias("n_flags"))
+
+
+def incremental_top(spark, d) -> DataFrame:
+    """W1 kept up to date drop by drop: the same top signals as the full build."""
+    from ..streaming import refold
+    t = refold.current_top(spark, _fold_drops(spark, d), _refolded(spark, d))
+    return t.select("pid", "pattern", _bl(F.col("rank")).alias("rank"), "source", "rkey",
+                    _bl(F.col("feed_rank")).alias("feed_rank"), _bl(F.col("row_ord")).alias("row_ord"))
+
+
 def cursor_refresh(spark, d) -> DataFrame:
     """ST2 through Structured Streaming: events (as code-case pages) arrive as
     weekly drops, out of order (week 3 first) and week 2 twice (a crash between
@@ -524,6 +566,8 @@ QUERIES = {
     "incremental_dedup": incremental_dedup,
     "cursor_refresh": cursor_refresh,
     "incremental_highest": incremental_highest,
+    "incremental_fold": incremental_fold,
+    "incremental_top": incremental_top,
     "feed_rejects": feed_rejects,
     "feed_scan_counts": feed_scan_counts,
     "ingest_limit": ingest_limit,
