@@ -43,6 +43,23 @@ def test_edges(spark):
     assert run(spark, []) == [] and run(spark, [(3, [1.0])]) == [] and run(spark, [(5, [1.0])]) == []
 
 
+def test_ranges_that_cannot_reach_a_floor_are_not_shipped(spark, monkeypatch):
+    """Small packets: many ranges and batches, a third of all rows under one id."""
+    monkeypatch.setattr(K, "RANGE_COMPONENTS", 0)  # 128 vectors to a range
+    monkeypatch.setattr(K, "BATCH_COMPONENTS", 0)
+    rng = np.random.default_rng(2)
+    far = {0: 4.0, 1: -4.0}
+    rows = [(i, [float(x) for x in rng.normal(size=3) * 0.1 + far.get(i // 700, 0.0)]) for i in range(2100)]
+    rows += [(900, [float(x) for x in rng.normal(size=3)]) for _ in range(1000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ints = K.integer_vectors(df)
+    search = K.Search(ints, ints.where("vec_id % 5 = 0"), sample=300)
+    n_ranges, n_asked = search.ranges.count(), search.batches.agg({"n": "sum"}).first()[0]
+    shipped = search.pairs.agg({"n": "sum"}).first()[0]
+    assert n_ranges > 20 and search.batches.count() > 3 and n_asked < shipped < n_ranges * n_asked * 0.6
+    assert [tuple(r) for r in search.best().orderBy("query_id", "rank").collect()] == brute(rows, set(range(0, 2100, 5)))
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(0, 10 ** 6), st.integers(1, 400), st.integers(1, 30))
 def test_cell_is_exact(seed, n, spread):
