@@ -186,26 +186,60 @@ def possible(docs: DataFrame, pairs: DataFrame, threshold: int) -> DataFrame:
     return pairs.distinct().join(x, "a").join(y, "b").select("a", "b", "na", "nb", "xa", "xb").mapInArrow(bound, "a long, b long")
 
 
+def dealt(entries: DataFrame) -> DataFrame:
+    """`entries` in cells (token, lo, hi), with their own `block` (lo or hi).
+    A shingle of at most BLOCK documents is one cell. In a larger one the
+    components of more than BLOCK documents are cut into blocks of their own,
+    the others share blocks, each whole in one; every two blocks make a cell,
+    but for two of one component. So documents of different components meet
+    once, and those of one component at most inside a shared block."""
+    cols = ["token", "lo", "hi", "block", "doc_id", "n", "root", "short", "bins"]
+    zero = F.lit(0).cast("long")
+    small = entries.where(F.col("c") <= BLOCK).select("*", *[zero.alias(x) for x in ("lo", "hi", "block")]).select(*cols)
+    big = entries.where(F.col("c") > BLOCK)
+    per_root = cut(big.groupBy("token", "root").agg(F.count(F.lit(1)).alias("m")))
+    large = F.col("m") > BLOCK
+    lots = per_root.groupBy("token", F.when(large, F.col("root")).alias("lot")).agg(F.sum("m").alias("m"))
+    lots = lots.withColumn("blocks", F.expr(f"(m + {BLOCK - 1}) div {BLOCK}"))
+    pieces = lots.select("token", "lot", "blocks", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("part"))
+    number = F.row_number().over(W.partitionBy("token").orderBy(F.col("lot").asc_nulls_first(), "part")).cast("long")
+    pieces = cut(pieces.withColumn("block", number))
+    x, y = (pieces.select("token", F.col("lot").alias(f"lot_{c}"), F.col("block").alias(c)) for c in ("lo", "hi"))
+    cells = x.join(y, "token").where("lo <= hi AND (lot_lo IS NULL OR NOT lot_lo <=> lot_hi)").select("token", "lo", "hi")
+    sides = cells.select("token", "lo", "hi", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("block"))
+    # a component's own blocks, or the shared ones; the redundant key lets a hot key's partition be split
+    spread = F.xxhash64(F.lit(7), "token", "root").alias("spread")
+    of_root = per_root.select("token", "root", F.when(large, F.col("root")).alias("lot"), spread)
+    placed = big.select("*", spread).join(of_root, ["token", "root", "spread"]).drop("spread")
+    first = pieces.groupBy("token", F.col("lot").alias("of")).agg(F.min("block").alias("first"), F.max("blocks").alias("blocks"))
+    whole = F.xxhash64(F.when(F.col("lot").isNull(), F.col("root")).otherwise(F.col("doc_id")))
+    placed = placed.join(first.withColumnRenamed("token", "t"), (F.col("token") == F.col("t")) & F.col("lot").eqNullSafe(F.col("of")))
+    placed = placed.withColumn("block", F.col("first") + F.pmod(whole, F.col("blocks"))).drop("t", "of")
+    return small.unionByName(placed.join(sides, ["token", "block"]).select(*cols))
+
+
 def across(entries: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) of one shingle's documents that lie in different components
-    and that sizes and bin counts leave possible. A shingle with many documents
-    is dealt out as cells of two blocks each, so no task holds more than a few
-    blocks; pairs are formed and tested as arrays and only the possible ones
-    become rows."""
-    blocks = F.expr(f"(c + {BLOCK - 1}) div {BLOCK}")
-    e = entries.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
-    e = e.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
-    e = e.select("token", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
-                 "doc_id", "n", "root", "short", "bins")
+    and that sizes and bin counts leave possible. No pair inside a component is
+    formed: linked copies that share a shingle with one other document cost a
+    pair each. A shingle with many documents is dealt out as cells of two
+    blocks each, so no task holds more than a few blocks; pairs are formed and
+    tested as arrays and only the possible ones become rows."""
     n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    e = e.repartition(n, "token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "doc_id")
+    order = ["token", "lo", "hi", "block", "root", "doc_id"]
+    e = dealt(entries).repartition(n, "token", "lo", "hi").sortWithinPartitions(*order)
 
     def pairs_of(rows: pa.Table):
         cols = {c: np.asarray(rows.column(c)) for c in ("token", "lo", "hi", "block", "doc_id", "n", "root", "short")}
         size = len(cols["n"])
         new = np.r_[True, (np.diff(cols["token"]) != 0) | (np.diff(cols["lo"]) != 0) | (np.diff(cols["hi"]) != 0)]
-        edge = np.flatnonzero(new)
-        after = np.repeat(np.r_[edge[1:], size], np.diff(np.r_[edge, size])) - np.arange(size) - 1
+        edge = np.r_[np.flatnonzero(new), size]
+        # a row's partners: from the end of its block's rows, or inside one block of its component's rows, to the end of the cell
+        inside = cols["lo"] == cols["hi"]
+        turn = np.r_[True, new[1:] | (np.diff(cols["block"]) != 0) | (inside[1:] & (np.diff(cols["root"]) != 0))]
+        run = np.r_[np.flatnonzero(turn), size]
+        start = np.repeat(run[1:], np.diff(run))
+        after = np.repeat(edge[1:], np.diff(edge)) - start
         has = np.asarray(rows.column("bins").is_valid())
         blank = bytes(BINS)
         bins = np.frombuffer(b"".join(x if x is not None else blank for x in rows.column("bins").to_pylist()), dtype=np.uint8).reshape(-1, BINS)
@@ -215,9 +249,7 @@ def across(entries: DataFrame, threshold: int) -> DataFrame:
             hi = max(lo + 1, int(np.searchsorted(done, done[lo] + (1 << 18), side="right")) - 1)
             k = after[lo:hi]
             i = np.repeat(np.arange(lo, hi), k)
-            j = ragged(np.arange(lo + 1, hi + 1), k)
-            ok = (cols["root"][i] != cols["root"][j]) & ((cols["lo"][i] == cols["hi"][i]) | (cols["block"][i] != cols["block"][j]))
-            i, j = i[ok], j[ok]
+            j = ragged(start[lo:hi], k)
             small = np.where(cols["n"][i] <= cols["n"][j], i, j)  # of equal sizes either prefix suffices
             ni, nj = cols["n"][i].astype(np.int64), cols["n"][j].astype(np.int64)
             ok = (cols["short"][small] | ((ni == nj) & (cols["short"][i] | cols["short"][j]))) & (

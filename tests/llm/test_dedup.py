@@ -107,6 +107,33 @@ def test_links_found_across_components_alone(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (n[i], want[i]) for i in n}
 
 
+def cell_pairs(cells):
+    """Pairs of rows that the cells' tasks form."""
+    by = {}
+    for r in cells.collect():
+        by.setdefault((r.token, r.lo, r.hi), []).append(r)
+    return [(x, y) for rows in by.values() for i, x in enumerate(rows) for y in rows[i + 1:]
+            if (x.block != y.block if x.lo != x.hi else x.root != y.root)]
+
+
+def test_cells_hold_pairs_of_different_components_once(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", 4)
+    sizes = {1: [30], 2: [30, 1], 3: [1] * 13, 4: [9, 2, 2, 1, 8, 1], 5: [1, 1, 1]}  # members of each component
+    rows, doc = [], 0
+    for token, parts in sizes.items():
+        for root, m in enumerate(parts):
+            for _ in range(m):
+                rows.append((token, doc, 10, 100 * token + root, True, bytes([1] * 128), sum(parts)))
+                doc += 1
+    entries = spark.createDataFrame(rows, "token long, doc_id long, n int, root long, short boolean, bins binary, c long")
+    formed = [(x.token, *sorted((x.doc_id, y.doc_id))) for x, y in cell_pairs(jaccard_join.dealt(entries))]
+    want = {(a[0], a[1], b[1]) for i, a in enumerate(rows) for b in rows[i + 1:] if a[0] == b[0] and a[3] != b[3]}
+    assert len(formed) == len(set(formed)) and set(formed) == want
+    assert sum(t == 2 for t, _, _ in formed) == 30  # linked copies and one other: a pair each
+    found = [tuple(r) for r in jaccard_join.across(entries, 80).collect()]
+    assert len(found) == len(set(found)) and set(found) == {(a, b) for _, a, b in want}
+
+
 def test_jaccard_edges(spark):
     rows = edge_rows()
     docs = documents(spark, rows)
