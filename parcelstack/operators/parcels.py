@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import normalize as N
+from .keyfilter import may_meet
 
 # cleaned column <- raw text field
 TEXT_COLS = [
@@ -89,7 +90,7 @@ def address_index(parcels: DataFrame) -> DataFrame:
             .where((F.col("addr_num") != "") & (F.col("addr_name") != "")))
 
 
-def owner_key_index(parcels: DataFrame) -> DataFrame:
+def owner_key_index(parcels: DataFrame, words=None) -> DataFrame:
     """(name_key, pid) pairs, distinct, from both owners' index-side keys.
 
     The keys are a column of the cleaned parcels (`name_keys`), so the index
@@ -97,6 +98,8 @@ def owner_key_index(parcels: DataFrame) -> DataFrame:
     keys of both owners are de-duplicated per row, so the pairs are already
     distinct: no shuffle here. The index is only joined with the (small)
     probe keys of notices, which Spark/AQE broadcast by measured size.
+    `words` (`keyfilter.key_words` of the notices) drops keys that no notice
+    has before the explode, so few are moved where the join shuffles.
     """
     if "name_keys" not in parcels.columns:
         staged = (parcels.select("pid", "sale_ts", N.normalize_owner("owner").alias("_n1"),
@@ -104,4 +107,5 @@ def owner_key_index(parcels: DataFrame) -> DataFrame:
                   .select("pid", "sale_ts", N.name_tokens("_n1").alias("_t1"), N.name_tokens("_n2").alias("_t2")))
         parcels = staged.select("pid", "sale_ts", F.array_union(N.owner_keys_from_tokens("_t1"),
                                                                 N.owner_keys_from_tokens("_t2")).alias("name_keys"))
+    parcels = may_meet(parcels.select("pid", "sale_ts", "name_keys"), "name_keys", words)
     return parcels.select("pid", "sale_ts", F.explode("name_keys").alias("name_key"))

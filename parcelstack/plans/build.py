@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..operators import link, parcels as P, rank, score
+from ..operators.keyfilter import key_words
 from ..session import ensure_checkpoint_dir
 from ..sources.feeds import Feeds
 
@@ -57,7 +58,8 @@ def build_links(feeds: Feeds, parcels: DataFrame, county: str = K.DEFAULT_COUNTY
     cands = reduce(DataFrame.unionByName, [c.withColumn("ok", F.lit(True)) for c in open_])
     cands = cands.unionByName(link.code_candidates(feeds.code_cases, open_only=False, dedup_cases=dedup_cases))
     by_addr = link.link_by_address(link.foreclosure_notices(feeds.foreclosures, county), P.address_index(parcels))
-    by_name = link.link_by_name(store(link.estate_notices(feeds.estates, county)), P.owner_key_index(parcels))
+    notices = store(link.estate_notices(feeds.estates, county))
+    by_name = link.link_by_name(notices, P.owner_key_index(parcels, key_words(notices, "keys")))
     return reduce(DataFrame.unionByName, [link.link_by_pid(cands, parcels), by_addr, by_name])
 
 

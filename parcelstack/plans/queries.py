@@ -97,7 +97,8 @@ def address_join(spark, d) -> DataFrame:
 def name_key_join(spark, d) -> DataFrame:
     fe = feeds(spark, d)
     parcels = lead_build(spark, d).parcels
-    ev = link.attach_by_name(build.materialize(link.estate_notices(fe.estates)), P.owner_key_index(parcels))
+    notices = build.materialize(link.estate_notices(fe.estates))
+    ev = link.attach_by_name(notices, P.owner_key_index(parcels, build.key_words(notices, "keys")))
     return ev.select(F.col("row_ord").alias("detail_id"), "pid")
 
 
