@@ -179,6 +179,16 @@ def decedent_keys_from_tokens(t) -> Column:
     ))
 
 
+def joined_keys(keys) -> Column:
+    """The keys that a name join needs. Both sides hold a key of two tokens in
+    both orders or in none, so the order that sorts first finds the same pairs
+    (and is the smaller match); other keys all stay."""
+    def needed(k):
+        a, b = F.substring_index(k, " ", 1), F.substring_index(k, " ", -1)
+        return (F.concat(a, F.lit(" "), b) != k) | (a <= b)
+    return F.filter(col_(keys), needed)
+
+
 # ---------------------------------------------------------------- classifiers
 def _alternation(tokens) -> str:
     import re

@@ -12,9 +12,10 @@ payload as map<string,string>.
 
 The pid-keyed feeds (tax, code cases, demolition orders, instruments) are
 unioned first and meet the parcel table in ONE join, so the parcel side is
-scanned and shuffled once however many feeds there are. Spark/AQE pick
-broadcast (measured size under the threshold) or sort-merge, and split a
-skewed pid partition of the feed side at run time.
+scanned and shuffled once however many feeds there are. A filter of the pids
+(`keyfilter`) goes first where one is given: rows that can meet no parcel are
+not shuffled. Spark/AQE pick broadcast (measured size under the threshold) or
+sort-merge, and split a skewed pid partition of the feed side at run time.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import normalize as N
+from .keyfilter import with_hit
 
 EVIDENCE_COLS = ["pid", "pattern", "fires", "flag", "source", "feed_rank", "row_ord", "rkey", "detail", "sale_ts"]
 
@@ -176,12 +178,14 @@ def instrument_candidates(instr: DataFrame) -> DataFrame:
         F.lit("").alias("rkey"), detail.alias("detail"), F.lit(None).cast("timestamp").alias("sale_ts"))
 
 
-def attach_by_pid(cands: DataFrame, parcels: DataFrame) -> DataFrame:
-    """Inner equi-join of candidate evidence with the parcel table on pid."""
+def attach_by_pid(cands: DataFrame, parcels: DataFrame, words=None) -> DataFrame:
+    """Inner equi-join of candidate evidence with the parcel table on pid.
+    `words`: `keyfilter.key_words` of the parcels' pids."""
     keys = parcels.select("pid", "sale_ts")
     # no parcel has a blank pid (P8): blank keys cannot match, and dropping
     # them first keeps them from piling onto one reducer as a hot key
-    return cands.drop("sale_ts").where(F.col("pid") != "").join(keys, "pid").select(*EVIDENCE_COLS)
+    cands = with_hit(cands.drop("sale_ts"), "pid", words, "_may").where("_may")
+    return cands.join(keys, "pid").select(*EVIDENCE_COLS)
 
 
 # ------------------------------------------------------------------ address-keyed feed
@@ -210,7 +214,7 @@ def _address_evidence(j: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ name-keyed feed
-_NOTICE_COLS = ["_ord", "detail_id", "decedent_name", "posted_date", "case_number", "detail_url"]
+NOTICE_COLS = ["_ord", "detail_id", "decedent_name", "posted_date", "case_number", "detail_url"]
 
 
 def estate_notices(est: DataFrame, county: str = K.DEFAULT_COUNTY) -> DataFrame:
@@ -226,8 +230,8 @@ def attach_by_name(notices: DataFrame, key_index: DataFrame) -> DataFrame:
     keep distinct (notice, pid) with the matched key as evidence (the
     smallest when several keys hit). Notices without keys are skipped
     (counted as unsafe by the metrics)."""
-    own = _NOTICE_COLS
-    probe = notices.select(*own, F.explode("keys").alias("name_key"))
+    own = NOTICE_COLS
+    probe = notices.select(*own, F.explode(N.joined_keys("keys")).alias("name_key"))
     # the payload (five short texts) travels with the keys: no second join
     j = (probe.join(key_index.select("name_key", "pid", "sale_ts"), "name_key")
          .groupBy(*own, "pid").agg(F.min("name_key").alias("match_key"), F.max("sale_ts").alias("sale_ts")))
@@ -257,15 +261,18 @@ def _bare(df: DataFrame, keep: Column) -> DataFrame:
     return df.select(*[F.col(c) if c in own or c not in EVIDENCE_COLS else F.when(keep, F.col(c)).alias(c) for c in df.columns])
 
 
-def link_by_pid(cands: DataFrame, parcels: DataFrame) -> DataFrame:
-    """Every candidate row with its state. `ok` false marks rows that count but
-    never attach (closed cases); blank ids match no parcel and are not joined,
-    as they would pile onto one reducer."""
-    cands = _bare(cands.drop("sale_ts"), F.col("ok"))
+def link_by_pid(cands: DataFrame, parcels: DataFrame, words=None) -> DataFrame:
+    """Every candidate row with its state; rows that attach to no parcel are
+    without payload. `ok` false marks rows that count but never attach (closed
+    cases). Ids that are blank (they would pile onto one reducer) or that the
+    filter `words` (`keyfilter.key_words` of the pids) misses match no parcel
+    and are not joined."""
+    cands = with_hit(cands.drop("sale_ts"), "pid", words, "_may")
+    may = F.col("_may")
     keys = parcels.select("pid", "sale_ts", F.lit(True).alias("_hit"))
-    blank = F.coalesce(F.col("pid"), F.lit("")) == ""
-    joined = cands.where(~blank).join(keys, "pid", "left").unionByName(
-        cands.where(blank).withColumns({"sale_ts": F.lit(None).cast("timestamp"), "_hit": F.lit(None).cast("boolean")}))
+    alone = _bare(cands.where(~may), F.lit(False)).withColumns({"sale_ts": F.lit(None).cast("timestamp"), "_hit": F.lit(None).cast("boolean")})
+    met = _bare(cands.where(may), F.col("ok")).join(keys, "pid", "left")
+    joined = _bare(met, F.col("_hit").isNotNull()).unionByName(alone)
     state = F.when(F.col("_hit").isNull(), UNMATCHED).when(F.col("ok"), ATTACHED).otherwise(CLOSED)
     return joined.withColumn("state", state).select(*LINK_COLS)
 
@@ -285,8 +292,8 @@ def link_by_name(notices: DataFrame, key_index: DataFrame) -> DataFrame:
     without a pid (it is unmatched if it has no other). Notices are expected
     with their keys stored: where `keys` is still an expression, Spark copies
     the whole chain into filters it infers from the explode."""
-    own = _NOTICE_COLS
-    probe = notices.select(*own, F.explode_outer(F.when(F.size("keys") > 0, F.col("keys"))).alias("name_key"))
+    own = NOTICE_COLS
+    probe = notices.select(*own, F.explode_outer(F.when(F.size("keys") > 0, N.joined_keys("keys"))).alias("name_key"))
     keyed = F.col("name_key").isNotNull()
     index = key_index.select("name_key", "pid", "sale_ts")
     joined = (probe.where(keyed).join(index, "name_key", "left").groupBy(*own, "pid")

@@ -108,4 +108,4 @@ def owner_key_index(parcels: DataFrame, words=None) -> DataFrame:
         parcels = staged.select("pid", "sale_ts", F.array_union(N.owner_keys_from_tokens("_t1"),
                                                                 N.owner_keys_from_tokens("_t2")).alias("name_keys"))
     parcels = may_meet(parcels.select("pid", "sale_ts", "name_keys"), "name_keys", words)
-    return parcels.select("pid", "sale_ts", F.explode("name_keys").alias("name_key"))
+    return parcels.select("pid", "sale_ts", F.explode(N.joined_keys("name_keys")).alias("name_key"))

@@ -32,7 +32,7 @@ def materialize(df: DataFrame) -> DataFrame:
     later scans read only the columns they use."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/parcelstack-stage/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -44,23 +44,30 @@ class LeadBuild:
     scored: DataFrame
     top: DataFrame
     records: DataFrame
+    pid_words: tuple[DataFrame, int] | None = None
 
     def ranked(self) -> DataFrame:
         return rank.rank_leads(self.records)
 
 
+def pid_filter(parcels: DataFrame, store=lambda df: df) -> tuple[DataFrame, int] | None:
+    """`key_words` of the pids of a stored parcel table; `store` keeps the table."""
+    words = key_words(parcels.select(F.array("pid").alias("keys")), "keys")
+    return words and (store(words[0]), words[1])
+
+
 def build_links(feeds: Feeds, parcels: DataFrame, county: str = K.DEFAULT_COUNTY,
-                dedup_cases: bool = False, store=lambda df: df) -> DataFrame:
+                dedup_cases: bool = False, store=lambda df: df, pid_words=None) -> DataFrame:
     """Every feed row's links to parcels, with those that found none: evidence
     and match metrics both come from here. `store` keeps the estate notices
-    with their keys, which are exploded next."""
+    with their keys, which are exploded next; `pid_words`: see `pid_filter`."""
     open_ = [link.tax_candidates(feeds.tax, county), link.demo_candidates(feeds.code_demos), link.instrument_candidates(feeds.instruments)]
     cands = reduce(DataFrame.unionByName, [c.withColumn("ok", F.lit(True)) for c in open_])
     cands = cands.unionByName(link.code_candidates(feeds.code_cases, open_only=False, dedup_cases=dedup_cases))
     by_addr = link.link_by_address(link.foreclosure_notices(feeds.foreclosures, county), P.address_index(parcels))
-    notices = store(link.estate_notices(feeds.estates, county))
+    notices = store(link.estate_notices(feeds.estates, county).select(*link.NOTICE_COLS, "keys"))
     by_name = link.link_by_name(notices, P.owner_key_index(parcels, key_words(notices, "keys")))
-    return reduce(DataFrame.unionByName, [link.link_by_pid(cands, parcels), by_addr, by_name])
+    return reduce(DataFrame.unionByName, [link.link_by_pid(cands, parcels, pid_words), by_addr, by_name])
 
 
 def build_evidence(feeds: Feeds, parcels: DataFrame, county: str = K.DEFAULT_COUNTY,
@@ -77,7 +84,8 @@ def build_leads(feeds: Feeds, as_of: str, county: str = K.DEFAULT_COUNTY,
     parcels = P.clean_parcels(feeds.parcels_raw)
     if checkpoint:
         parcels = materialize(parcels)
-    links = build_links(feeds, parcels, county, dedup_cases, materialize if checkpoint else lambda df: df)
+    pid_words = pid_filter(parcels, materialize) if checkpoint else None
+    links = build_links(feeds, parcels, county, dedup_cases, materialize if checkpoint else lambda df: df, pid_words)
     if checkpoint:
         links = materialize(links)
     ev = link.evidence_of(links)
@@ -90,7 +98,8 @@ def build_leads(feeds: Feeds, as_of: str, county: str = K.DEFAULT_COUNTY,
     if checkpoint:
         # the build's output table (S7 writes it); reports and exports read it
         records = materialize(records)
-    return LeadBuild(parcels=parcels, links=links, evidence=ev, scored=scored, top=top, records=records)
+    return LeadBuild(parcels=parcels, links=links, evidence=ev, scored=scored, top=top, records=records,
+                     pid_words=pid_words)
 
 
 def run_job(spark, paths: dict, out_dir: str, as_of: str, county: str = K.DEFAULT_COUNTY,

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import link, parcels as P, report, score
+from ..sources import feeds as FD
 from . import build, standins
 from .oracle import AS_OF, DRY_RUN_N, FILTER_SPEC, INGEST_LIMIT, SEARCHES, TOGGLES
 
@@ -22,13 +23,30 @@ _BUILDS: dict = {}
 _FEEDS: dict = {}
 
 
-def feeds(spark: SparkSession, d: str):
+class _StoredFeeds:
+    """Feeds of which each is derived and stored when it is first read, so a
+    query does not wait for feeds it has no use for."""
+
+    def __init__(self, derived: FD.Feeds):
+        self._derived = derived
+
+    def names(self) -> list[str]:
+        return self._derived.names()
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._derived.names():
+            raise AttributeError(name)
+        stored = build.materialize(getattr(self._derived, name))
+        setattr(self, name, stored)
+        return stored
+
+
+def feeds(spark: SparkSession, d: str) -> _StoredFeeds:
     """The stand-in feeds, derived once per (application, directory) and
     stored, as a deployment reads its stored feed tables."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _FEEDS:
-        fe = standins.feeds(spark, d)
-        _FEEDS[key] = type(fe)(**{k: build.materialize(getattr(fe, k)) for k in fe.names()})
+        _FEEDS[key] = _StoredFeeds(standins.feeds(spark, d))
     return _FEEDS[key]
 
 
@@ -76,7 +94,7 @@ def signal_join_pid(spark, d) -> DataFrame:
     cands = reduce(DataFrame.unionByName, [
         link.tax_candidates(fe.tax), link.code_candidates(fe.code_cases),
         link.demo_candidates(fe.code_demos), link.instrument_candidates(fe.instruments)])
-    ev = link.attach_by_pid(cands, parcels)
+    ev = link.attach_by_pid(cands, parcels, lead_build(spark, d).pid_words)
     return ev.select("pid", "pattern", "flag", "source", _bl(F.col("feed_rank")).alias("feed_rank"),
                      "row_ord", "rkey")
 
@@ -115,7 +133,8 @@ def doctype_canonical(spark, d) -> DataFrame:
 
 def repeat_flag(spark, d) -> DataFrame:
     fe = feeds(spark, d)
-    ev = link.attach_by_pid(link.code_candidates(fe.code_cases), lead_build(spark, d).parcels)
+    b = lead_build(spark, d)
+    ev = link.attach_by_pid(link.code_candidates(fe.code_cases), b.parcels, b.pid_words)
     return ev.groupBy("pid").agg(F.count(F.lit(1)).alias("n_open")).where(F.col("n_open") >= 2)
 
 
@@ -326,12 +345,12 @@ def _fold_drops(spark, d) -> str:
     from ..streaming import refold
     key = (spark.sparkContext.applicationId, d)
     if key not in _FOLDS:
-        fe, parcels = feeds(spark, d), lead_build(spark, d).parcels
+        fe, b = feeds(spark, d), lead_build(spark, d)
         state = ingest.scratch_dir(spark, "fold-state")
         for n in [0, 1, 2, 2, 3, 4]:
-            part = type(fe)(**{k: f if k == "parcels_raw" else f.where(F.pmod(link.row_ord(f), F.lit(5)) == n)
+            part = FD.Feeds(**{k: f if k == "parcels_raw" else f.where(F.pmod(link.row_ord(f), F.lit(5)) == n)
                                for k, f in ((k, getattr(fe, k)) for k in fe.names())})
-            links = build.build_links(part, parcels, store=build.materialize)
+            links = build.build_links(part, b.parcels, store=build.materialize, pid_words=b.pid_words)
             refold.apply_drop(build.materialize(link.evidence_of(links)), state, n)
         _FOLDS[key] = state
     return _FOLDS[key]
@@ -412,7 +431,6 @@ def feed_scan(spark, d) -> DataFrame:
     """Code cases as JSON lines whose ids come as numbers, quoted numbers
     and fractions, among lines that are no JSON; the scan keeps every case."""
     from ..sources import ingest
-    from ..sources import feeds as FD
     cases = standins.code_cases(spark, d).drop("_row")
     line = F.to_json(F.struct(*[F.col(c) for c in cases.columns if c != "OBJECTID"]))
     oid = F.col("OBJECTID").cast("string")
@@ -437,14 +455,12 @@ def _case_lines(spark, d) -> str:
 
 def feed_rejects(spark, d) -> DataFrame:
     """The lines that the lenient scan of the code cases rejects."""
-    from ..sources import feeds as FD
     return FD.scan_lines(spark, _case_lines(spark, d), FD.CODE_CASE).rejects.select("line")
 
 
 def feed_scan_counts(spark, d) -> DataFrame:
     """Rows and rejected lines of a lenient scan (code cases), a strict
     scan (the parcel master) and a missing optional feed."""
-    from ..sources import feeds as FD
     from ..sources import ingest
     master = ingest.scratch_dir(spark, "parcel-lines")
     feeds(spark, d).parcels_raw.write.json(master)
