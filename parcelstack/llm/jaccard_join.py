@@ -19,10 +19,12 @@ very many documents share come last and hardly ever into a prefix.
    all pairs across components there that pass the size filter are verified
    too. Pairs inside a component need no check, since they change nothing.
    One shingle of the two must lie in the shorter prefix that suffices for
-   the smaller set (n - ceil(2t / (1 + t) * n) + 1).
+   the smaller set (n - ceil(2t / (1 + t) * n) + 1). Of shingles with the same
+   documents one is looked at, as the others give the same pairs.
 
-A pair is verified in two steps: counts of shingles per hash bin (128 bytes a
-document) give an upper bound of the intersection, and only pairs that it
+A pair is verified in two steps: the parities of the shingle counts per hash
+bin (256 bytes a document) differ in no more bins than the sets differ in
+shingles, which bounds the intersection from above, and only pairs that this
 leaves open are compared by their whole sets.
 
 So the work stays linear in a group of near copies, however large, while no
@@ -54,7 +56,9 @@ from .exact_dedup import (FINGERPRINT_BITS, copies, holds, id_fingerprint, messa
 
 SKETCH_BITS = 18
 SKETCH_CHUNK = 4096
-BINS = 128
+# Parity bits of a document: sets of a few thousand shingles that miss the
+# threshold by some hundredths are told apart by them.
+PARITIES = 2048
 # Documents of one shingle that a task pairs with as many others at a time.
 BLOCK = 1024
 # Hubs that a group is paired with before components are first formed.
@@ -126,8 +130,7 @@ def frequency_sketch(docs: DataFrame, k: int) -> np.ndarray:
 def prefixes(live: DataFrame, k: int, threshold: int) -> DataFrame:
     """(doc_id, n, gid, tokens, n_short, bins): set size, group, the prefix
     shingles that occur in more than one document's prefix (n_short of them in
-    the shorter prefix), and shingle counts per hash bin (null if one is over
-    255)."""
+    the shorter prefix), and parity bits of the set."""
     spark = live.sparkSession
     sketch = spark.sparkContext.broadcast(frequency_sketch(live, k))
 
@@ -157,8 +160,7 @@ def prefixes(live: DataFrame, k: int, threshold: int) -> DataFrame:
                     toks.append(p[twice].view(np.int64))
                     short = len(s) + (-200 * threshold * len(s) // (100 * (100 + threshold))) + 1 if len(s) else 0
                     n_short.append(int(twice[:max(short, 0)].sum()))
-                    count = np.bincount((s & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)
-                    bins.append(count.astype(np.uint8).tobytes() if count.max(initial=0) < 256 else None)
+                    bins.append(parities(s))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(n, pa.int32()), pa.array(gid, pa.int64()), pa.array(toks, pa.list_(pa.int64())),
                      pa.array(n_short, pa.int32()), pa.array(bins, pa.binary())],
@@ -168,19 +170,32 @@ def prefixes(live: DataFrame, k: int, threshold: int) -> DataFrame:
         rows, "doc_id long, n int, gid long, tokens array<long>, n_short int, bins binary"))
 
 
+def parities(s: np.ndarray) -> bytes:
+    """Whether a set has an odd number of shingles, per hash bin, as bits."""
+    count = np.bincount((s & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES)
+    return np.packbits((count & 1).astype(np.uint8)).tobytes()
+
+
+def parity_rows(col) -> np.ndarray:
+    """The parity bits of a column, a row of 64-bit words each."""
+    words = np.frombuffer(b"".join(col.to_pylist()), dtype=np.uint64)
+    return words.reshape(len(col), len(words) // max(1, len(col)))
+
+
+def may_reach(na: np.ndarray, nb: np.ndarray, x: np.ndarray, y: np.ndarray, threshold: int) -> np.ndarray:
+    """Whether sets of these sizes and parity bits can reach the threshold:
+    each bin whose parities differ holds a shingle that one of the two lacks."""
+    both = (na + nb - np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)) // 2
+    return 100 * both >= threshold * (na + nb - both)
+
+
 def possible(docs: DataFrame, pairs: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose bin counts leave the threshold possible."""
+    """The pairs (a, b) whose parity bits leave the threshold possible."""
     def bound(batches):
         for batch in batches:
             na, nb = (np.asarray(batch.column(c), dtype=np.int64) for c in ("na", "nb"))
-            both = np.minimum(na, nb)
-            known = np.asarray(batch.column("xa").is_valid()) & np.asarray(batch.column("xb").is_valid())
-            at = np.flatnonzero(known)
-            if len(at):
-                x, y = (np.frombuffer(b"".join(batch.column(c).take(pa.array(at)).to_pylist()), dtype=np.uint8).reshape(-1, BINS)
-                        for c in ("xa", "xb"))
-                both[at] = np.minimum(x, y).sum(axis=1, dtype=np.int64)
-            yield batch.select(["a", "b"]).filter(pa.array(100 * both >= threshold * (na + nb - both)))
+            x, y = (parity_rows(batch.column(c)) for c in ("xa", "xb"))
+            yield batch.select(["a", "b"]).filter(pa.array(may_reach(na, nb, x, y, threshold), pa.bool_()))
 
     x, y = (docs.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("bins").alias(f"x{c}")) for c in "ab")
     return pairs.distinct().join(x, "a").join(y, "b").select("a", "b", "na", "nb", "xa", "xb").mapInArrow(bound, "a long, b long")
@@ -220,7 +235,7 @@ def dealt(entries: DataFrame) -> DataFrame:
 
 def across(entries: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) of one shingle's documents that lie in different components
-    and that sizes and bin counts leave possible. No pair inside a component is
+    and that sizes and parity bits leave possible. No pair inside a component is
     formed: linked copies that share a shingle with one other document cost a
     pair each. A shingle with many documents is dealt out as cells of two
     blocks each, so no task holds more than a few blocks; pairs are formed and
@@ -240,9 +255,7 @@ def across(entries: DataFrame, threshold: int) -> DataFrame:
         run = np.r_[np.flatnonzero(turn), size]
         start = np.repeat(run[1:], np.diff(run))
         after = np.repeat(edge[1:], np.diff(edge)) - start
-        has = np.asarray(rows.column("bins").is_valid())
-        blank = bytes(BINS)
-        bins = np.frombuffer(b"".join(x if x is not None else blank for x in rows.column("bins").to_pylist()), dtype=np.uint8).reshape(-1, BINS)
+        bins = parity_rows(rows.column("bins"))
         done = np.r_[0, np.cumsum(after)]
         lo = 0
         while lo < size:  # about a quarter of a million pairs at a time
@@ -257,9 +270,7 @@ def across(entries: DataFrame, threshold: int) -> DataFrame:
             i, j, ni, nj = i[ok], j[ok], ni[ok], nj[ok]
             for at in range(0, len(i), 1 << 15):
                 x, y, nx, ny = (v[at:at + (1 << 15)] for v in (i, j, ni, nj))
-                both = np.minimum(bins[x], bins[y]).sum(axis=1, dtype=np.int64)
-                both = np.where(has[x] & has[y], both, np.minimum(nx, ny))
-                ok = 100 * both >= threshold * (nx + ny - both)
+                ok = may_reach(nx, ny, bins[x], bins[y], threshold)
                 u, v = cols["doc_id"][x[ok]], cols["doc_id"][y[ok]]
                 if len(u):
                     yield np.stack([np.minimum(u, v), np.maximum(u, v)], axis=1)
@@ -348,9 +359,13 @@ def links(live: DataFrame, k: int = 5, threshold: int = 80) -> tuple[DataFrame,
     # across components: shingles, and groups, whose documents are not yet connected
     roots = components(found)
     placed = some.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-    entries = placed.select("doc_id", "n", "root", "n_short", "bins", F.posexplode(F.concat(F.array("gid"), "tokens")).alias("at", "token"))
-    entries = entries.select("doc_id", "n", "root", "bins", "token", (F.col("at") <= F.col("n_short")).alias("short"))
-    open_ = entries.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("c")).where("r0 < r1")
+    entries = placed.select("doc_id", "n", "gid", "root", "n_short", "bins", F.posexplode(F.concat(F.array("gid"), "tokens")).alias("at", "token"))
+    entries = entries.select("doc_id", "n", "gid", "root", "bins", "token", (F.col("at") <= F.col("n_short")).alias("short"))
+    # of shingles with the same documents, in the same prefixes, one gives every pair
+    same = [F.bit_xor(F.xxhash64(F.lit(x), "doc_id", "n", "gid", "short")).alias(f"same_{x}") for x in (8, 9)]
+    open_ = entries.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("c"), *same).where("r0 < r1")
+    open_ = open_.groupBy("c", "same_8", "same_9").agg(F.min("token").alias("token"))
+    entries = entries.drop("gid")
     spread = F.xxhash64(F.lit(5), "token").alias("spread")
     entries = entries.select("*", spread).join(open_.select("token", "c", spread), ["token", "spread"]).drop("spread")
     tried = pairs.select("a", "b").unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))

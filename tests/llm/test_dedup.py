@@ -4,6 +4,7 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -107,6 +108,50 @@ def test_links_found_across_components_alone(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (n[i], want[i]) for i in n}
 
 
+def test_near_misses_and_repeated_shingles_form_few_pairs(spark, monkeypatch):
+    """Documents that miss the threshold by some hundredths leave hardly a
+    pair, and shingles with the same documents are looked at once."""
+    monkeypatch.setattr(jaccard_join, "HUBS", 0)
+    seen, across = {}, jaccard_join.across
+
+    def watched(entries, threshold):
+        out = across(entries, threshold)
+        seen.update(tokens=entries.select("token").distinct().count(), pairs=out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "across", watched)
+    rnd, base, passage = random.Random(8), prose(500, 600).split(), prose(600, 200)
+    rows = []
+    for i in range(24):
+        w = list(base)
+        for at in rnd.sample(range(600), 17):
+            w[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(w)))
+    n, want = near_components(rows)
+    got = jaccard_join.similar_components(documents(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (n[i], want[i]) for i in n}
+    assert seen["pairs"] <= 24  # of 276
+    rows = [(i, f"{passage} tail{i} of its own") for i in range(4)]
+    n, want = near_components(rows)
+    got = jaccard_join.similar_components(documents(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (n[i], want[i]) for i in n}
+    assert seen["tokens"] <= 4
+
+
+def test_parity_bound_loses_no_pair():
+    """Whatever shares enough shingles passes, also with hashes that collide."""
+    rnd = np.random.default_rng(3)
+    x = np.unique(rnd.integers(0, 1 << 62, 5000, dtype=np.uint64))
+    for own in (0, 1, 50, 400, 555):
+        y = np.unique(np.r_[x[own:], rnd.integers(0, 1 << 62, own, dtype=np.uint64) & np.uint64((1 << 62) - 64)])
+        both = len(np.intersect1d(x, y))
+        rows = [jaccard_join.parity_rows(pa.array([jaccard_join.parities(s)])) for s in (x, y)]
+        sizes = [np.array([len(s)]) for s in (x, y)]
+        for t in (80, 90, 99):
+            linked = 100 * both >= t * (len(x) + len(y) - both)
+            assert not linked or jaccard_join.may_reach(*sizes, *rows, t)[0]
+
+
 def cell_pairs(cells):
     """Pairs of rows that the cells' tasks form."""
     by = {}
