@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 from .common import slices, stored, text_bytes, texts
 from .words import mix, word_hashes
 
-SLICE = 8 << 20
+# Bytes of text summed at a time: a task holds about 60 bytes of arrays for each.
+SLICE = 2 << 20
 ENTRIES = 1 << 20
 HOT = 4096
 END = "."
@@ -60,13 +61,13 @@ def word_array(col: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     inside = kind == 0
     edge = np.unique(offsets[(offsets > 0) & (offsets < len(raw))])
     turn = inside[1:] != inside[:-1]
-    start = np.r_[inside[:1], turn & inside[1:]]
-    start[edge] = inside[edge]
+    start, end = np.r_[inside[:1], turn & inside[1:]], np.r_[turn & inside[:-1], inside[-1:]]
+    start[edge], end[edge - 1] = inside[edge], inside[edge - 1]
     starts = np.flatnonzero(start)
     if not len(starts):
         return pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, bool)
-    letters = np.r_[0, np.flatnonzero(inside)]
-    first = np.searchsorted(letters[1:], starts)
+    lengths = np.flatnonzero(end) + 1 - starts
+    first = np.cumsum(lengths) - lengths
     data = raw[inside]
     bounds = np.r_[first, len(data)].astype(np.int32)
     words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(data))

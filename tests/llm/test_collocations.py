@@ -2,8 +2,15 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+
+from parcelstack.llm import collocations
+from parcelstack.llm.common import slices
+
 from .helpers import documents, edge_rows, prose
 
 FOLD = {c: c + 32 for c in range(65, 91)}
@@ -94,3 +101,17 @@ def test_ranking(spark):
     rows = [("en", p, a, 9, 9, 9, s) for p, a, s in (("z z", 5, 7), ("a a", 5, 7), ("é a", 5, 7), ("b b", 6, 7), ("c c", 1, 8))]
     got = ranked(spark.createDataFrame(rows, "lang string, phrase string, a long, l long, r long, n long, score long"), first=4)
     assert [(r.rank, r.phrase) for r in sorted(got.collect(), key=lambda r: r.rank)] == [(1, "c c"), (2, "b b"), (3, "a a"), (4, "z z")]
+
+
+def test_a_slice_holds_little():
+    """Counting long batches holds a bounded number of arrays at a time."""
+    text = " ".join(prose(k, 400) for k in range(50))
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 400, "text": [text[k:] for k in range(400)]})
+    assert batch.nbytes > 6 << 20
+    tracemalloc.start()
+    for part in slices(batch, limit=collocations.SLICE):
+        for _, block in collocations.Stripes(part).blocks(8, np.zeros(0, np.uint64)):
+            assert block.num_rows
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120 << 20
