@@ -67,6 +67,13 @@ def test_metrics_and_name_join_plans(spark):
     assert "regexp" not in p and "rlike" not in p.lower()
 
 
+def test_estate_pages_move_as_keys_and_are_cut_once(spark):
+    from parcelstack.plans import queries
+    p = queries.estate_extract(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "lorem" not in p[p.index("Repartition"):]  # the long texts are made after the shuffle
+    assert p.count("</main, 1)") == 1  # a filter on blocks does not cut them again
+
+
 def test_cluster_settings():
     from parcelstack.session import cluster_settings
     s = cluster_settings(100 * 1024 ** 4, 8000)
