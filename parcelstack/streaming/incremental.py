@@ -50,14 +50,14 @@ def first_versions(stream: DataFrame, id_col: str, order_col: str) -> DataFrame:
     count as one id); `order_col` is numeric, its nulls last. The state holds
     one flag per id, the rows travel as JSON texts."""
     def first(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        best = None  # an id's rows of the batch come in chunks; only the best row so far is held
-        for rows in chunks:
-            if best is not None:
-                rows = pd.concat([best, rows])
-            best = rows if len(rows) == 1 else rows.sort_values(["_order", "_row"], na_position="last").iloc[:1]
-        if not state.exists:
+        held, best = state.exists, None
+        for rows in chunks:  # an id's rows of the batch come in chunks; only the best row so far is held
+            if not held and len(rows):  # compared as they are: frames sorted for each id cost far more than its few rows
+                some = min((order is None, order or 0, row) for order, row in zip(rows["_order"].array, rows["_row"].array, strict=True))
+                best = some if best is None else min(best, some)
+        if best is not None:
             state.update((True,))
-            yield best[["_row"]]
+            yield pd.DataFrame({"_row": [best[2]]})
 
     rows = stream.select(F.col(id_col).alias("_id"), F.col(order_col).cast("decimal(38,9)").alias("_order"),
                          F.to_json(F.struct("*"), {"ignoreNullFields": "false", **_EXACT_TIME}).alias("_row"))

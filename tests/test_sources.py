@@ -295,3 +295,35 @@ def test_entities_without_python(spark):
 def test_entities_null(spark):
     from parcelstack.sources.extract import html_unescape
     assert spark.createDataFrame([(None,)], "t string").select(html_unescape("t").alias("r")).first()["r"] is None
+
+
+def test_extraction_by_plain_search(spark):
+    """Blocks, summaries and ends of texts are found as their patterns find them."""
+    import re
+    from pyspark.sql import functions as F
+    from parcelstack.sources import extract as X
+    o, e = X.SUMMARY_START, X.SUMMARY_END
+    blocks = ["", "none", f"{o}open", f"{e}{o}a{e}b{e}", f"x{o}{e}", f"{o}a{o}b{e}c", f"{o}é\nz{e}"]
+    ends = ["", " ", "a", " a ", "a\t \n", "\x0b a\x0c b\r", "a \u2028", "\xa0a\xa0", "a\x85", "a&#10;", "&#9; a &#x2028;", "a  b\n\nc"]
+    got = [r[0] for r in spark.createDataFrame([(b,) for b in blocks], "b string").select(X._between(F.col("b"), o, e)).collect()]
+    found = [re.search(f"(?s){o}(.*?){e}", b) for b in blocks]
+    assert got == [m[1] if m else "" for m in found]
+    df = spark.createDataFrame([(x,) for x in [*ends, None]], "x string").select(
+        X.strip_tags("x"), X.N.clean(X.html_unescape(F.regexp_replace(F.regexp_replace("x", "<[^>]+>", " "), r"\s+", " "))))
+    assert all(a == b for a, b in df.collect())
+    pages = ["no block", "a<<b</e>c<<d|x</e><<", "<<</e|"]
+    rows = X.split_blocks(spark.createDataFrame([(x,) for x in pages], "html string"), "<<", ["|x", "</e"]).collect()
+    want = [(n, re.sub(r"(?s)(?:\|x|</e).*$", "", b)) for x in pages for n, b in enumerate(x.split("<<")) if n]
+    assert [(r.block_no, r.block) for r in rows] == want
+
+
+def test_first_version_of_an_id_with_nulls_and_ties(spark, tmp_path):
+    """The first by order, nulls last, then by content; ids seen before add nothing."""
+    from parcelstack.streaming import incremental as inc
+    schema, src, target = "id long, seq long, v string", str(tmp_path / "src"), str(tmp_path / "t")
+    for rows in ([(1, None, "a"), (1, 5, "c"), (1, 5, "b"), (2, None, "z"), (2, None, "y"), (3, 0, "q"), (3, -1, "r"), (None, 1, "n")],
+                 [(1, 0, "late"), (4, 2, "w"), (None, 0, "m")]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(src)
+    inc.run_dedup_stream(spark, src, spark.createDataFrame([], schema).schema, target, str(tmp_path / "c"), id_col="id", order_col="seq")
+    got = sorted(((r.id or 0, r.seq, r.v) for r in spark.read.parquet(target).collect()), key=str)
+    assert got == sorted([(1, 5, "b"), (2, None, "y"), (3, -1, "r"), (0, 1, "n"), (4, 2, "w")], key=str)
