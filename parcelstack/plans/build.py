@@ -76,14 +76,17 @@ def build_evidence(feeds: Feeds, parcels: DataFrame, county: str = K.DEFAULT_COU
 
 
 def build_leads(feeds: Feeds, as_of: str, county: str = K.DEFAULT_COUNTY,
-                checkpoint: bool = True, dedup_cases: bool = False, weights: dict | None = None) -> LeadBuild:
+                checkpoint: bool = True, dedup_cases: bool = False, weights: dict | None = None,
+                parcels: DataFrame | None = None) -> LeadBuild:
     """The whole lead build. `as_of` is the run's 'now' (UTC date);
     `county` the notice feeds' county; `dedup_cases` counts each code case
     once (latest row) instead of once per ingested row; `weights` overrides
-    score weights by name (see `score.WEIGHT_KEYS`)."""
-    parcels = P.clean_parcels(feeds.parcels_raw)
-    if checkpoint:
-        parcels = materialize(parcels)
+    score weights by name (see `score.WEIGHT_KEYS`); `parcels` is the stored
+    table of `clean_parcels` where there is one already."""
+    if parcels is None:
+        parcels = P.clean_parcels(feeds.parcels_raw)
+        if checkpoint:
+            parcels = materialize(parcels)
     pid_words = pid_filter(parcels, materialize) if checkpoint else None
     links = build_links(feeds, parcels, county, dedup_cases, materialize if checkpoint else lambda df: df, pid_words)
     if checkpoint:

@@ -20,6 +20,7 @@ from . import build, standins
 from .oracle import AS_OF, DRY_RUN_N, FILTER_SPEC, INGEST_LIMIT, SEARCHES, TOGGLES
 
 _BUILDS: dict = {}
+_PARCELS: dict = {}
 _FEEDS: dict = {}
 
 
@@ -50,10 +51,19 @@ def feeds(spark: SparkSession, d: str) -> _StoredFeeds:
     return _FEEDS[key]
 
 
+def parcel_table(spark: SparkSession, d: str, fresh: bool = False) -> DataFrame:
+    """The cleaned parcels, stored once: the lead build's first stage table,
+    and all that queries over parcels alone wait for."""
+    key = (spark.sparkContext.applicationId, d)
+    if fresh or key not in _PARCELS:
+        _PARCELS[key] = build.materialize(P.clean_parcels(feeds(spark, d).parcels_raw))
+    return _PARCELS[key]
+
+
 def lead_build(spark: SparkSession, d: str, fresh: bool = False) -> build.LeadBuild:
     key = (spark.sparkContext.applicationId, d)
     if fresh or key not in _BUILDS:
-        _BUILDS[key] = build.build_leads(feeds(spark, d), AS_OF)
+        _BUILDS[key] = build.build_leads(feeds(spark, d), AS_OF, parcels=parcel_table(spark, d, fresh))
     return _BUILDS[key]
 
 
@@ -107,14 +117,14 @@ def unmatched_by_feed(spark, d) -> DataFrame:
 
 def address_join(spark, d) -> DataFrame:
     fe = feeds(spark, d)
-    parcels = lead_build(spark, d).parcels
+    parcels = parcel_table(spark, d)
     ev = link.attach_by_address(link.foreclosure_notices(fe.foreclosures), P.address_index(parcels))
     return ev.select(F.col("row_ord").alias("detail_id"), "pid", "pattern")
 
 
 def name_key_join(spark, d) -> DataFrame:
     fe = feeds(spark, d)
-    parcels = lead_build(spark, d).parcels
+    parcels = parcel_table(spark, d)
     notices = build.materialize(link.estate_notices(fe.estates))
     ev = link.attach_by_name(notices, P.owner_key_index(parcels, build.key_words(notices, "keys")))
     return ev.select(F.col("row_ord").alias("detail_id"), "pid")
@@ -177,20 +187,20 @@ def lead_export(spark, d) -> DataFrame:
 
 def owner_parse(spark, d) -> DataFrame:
     from ..functions.normalize import with_owner_parsed
-    p = lead_build(spark, d).parcels
+    p = parcel_table(spark, d)
     return with_owner_parsed(p, "owner1_first", "owner1_last", "o").select("pid", "o.*")
 
 
 def entity_flags(spark, d) -> DataFrame:
     from ..functions.normalize import is_entity, is_landlord_entity
-    p = lead_build(spark, d).parcels
+    p = parcel_table(spark, d)
     return p.select("pid", "owner", is_entity("owner").alias("is_entity"),
                     is_landlord_entity("owner").alias("is_landlord"))
 
 
 def street_normalize(spark, d) -> DataFrame:
     from ..functions.normalize import street_key
-    p = lead_build(spark, d).parcels
+    p = parcel_table(spark, d)
     return p.select("pid", F.col("addr_key.num").alias("addr_num"), F.col("addr_key.name").alias("addr_name"),
                     street_key("mail_addr")["name"].alias("mail_name"), "absentee")
 

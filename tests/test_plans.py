@@ -74,6 +74,16 @@ def test_estate_pages_move_as_keys_and_are_cut_once(spark):
     assert p.count("</main, 1)") == 1  # a filter on blocks does not cut them again
 
 
+def test_queries_over_parcels_wait_for_the_parcel_table_only(spark, monkeypatch):
+    from parcelstack.plans import queries
+    for kept in ("_BUILDS", "_PARCELS", "_FEEDS"):
+        monkeypatch.setattr(queries, kept, {})
+    monkeypatch.setattr(build, "build_links", lambda *a, **k: (_ for _ in ()).throw(AssertionError("links are not asked for")))
+    d = "/root/testdata/sf0.001"
+    rows = [q(spark, d).count() for q in (queries.owner_parse, queries.entity_flags, queries.street_normalize)]
+    assert rows[0] > 0 and set(rows) == {queries.parcel_table(spark, d).count()}
+
+
 def test_cluster_settings():
     from parcelstack.session import cluster_settings
     s = cluster_settings(100 * 1024 ** 4, 8000)
