@@ -23,7 +23,7 @@ very many documents share come last and hardly ever into a prefix.
    documents one is looked at, as the others give the same pairs.
 
 A pair is verified in two steps: the parities of the shingle counts per hash
-bin (256 bytes a document) differ in no more bins than the sets differ in
+bin (128 bytes a document) differ in no more bins than the sets differ in
 shingles, which bounds the intersection from above, and only pairs that this
 leaves open are compared by their whole sets.
 
@@ -58,7 +58,7 @@ SKETCH_BITS = 18
 SKETCH_CHUNK = 4096
 # Parity bits of a document: sets of a few thousand shingles that miss the
 # threshold by some hundredths are told apart by them.
-PARITIES = 2048
+PARITIES = 1024
 # Documents of one shingle that a task pairs with as many others at a time.
 BLOCK = 1024
 # Hubs that a group is paired with before components are first formed.
