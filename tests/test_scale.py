@@ -81,3 +81,30 @@ def test_stores_by_type_and_source_are_compressed(spark, tmp_path):
         assert files and all(f.endswith(".gz") for f in files)
     assert ingest.read_instruments(spark, f"{tmp_path}/rod").first().book == "7"
     assert ingest.read_tax_snapshot(spark, f"{tmp_path}/tax").first().courtfile == "T"
+
+
+def test_files_of_a_table_of_one_split_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    from parcelstack import session
+    session.configure(spark)
+    assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) <= 4 * spark.sparkContext.defaultParallelism
+    pages = [(i, f"u{i}", f"<article>x\n<p><b>Head {i}</b>&amp; a sale</p>\n<p><b>Two</b> text</article>") for i in range(40)]
+    spark.createDataFrame([*pages, (40, "u", None)], "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    events = [(i * 100, "open", float(i)) for i in range(60)]
+    spark.createDataFrame(events, "event_id long, event_type string, value double").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(ingest, "scratch_dir", lambda spark, name: str(tmp_path / name))
+    got = queries.page_files(spark, str(tmp_path))
+    wanted = queries.page_extract(spark, str(tmp_path))
+    assert sorted(map(str, got.collect())) == sorted(map(str, wanted.select(*got.columns).collect()))
+    assert got.count() == 80
+    assert queries.payload_files(spark, str(tmp_path)).count() == 60
+    for name, folders in (("page-files", 41), ("payload-files", 12)):
+        files = glob.glob(str(tmp_path / name / "*" / "part-*"))
+        assert len(files) == len({f.rsplit("/", 2)[1] for f in files}) == folders  # a file each
+        assert len({f.rsplit("/part-", 1)[1][:5] for f in files}) > 2  # number of the task
+
+
+def test_rows_of_one_key_share_a_file(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "c")], "k long, t string").coalesce(1)
+    ingest.write_files(rows, "k", str(tmp_path / "f"))
+    from parcelstack.sources import extract as X
+    assert sorted((r.k or "", r.html) for r in X.read_whole_files(spark, str(tmp_path / "f")).collect()) == [("", "c\n"), ("1", "a\na\n"), ("2", "b\n")]
