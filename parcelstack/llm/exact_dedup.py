@@ -85,8 +85,11 @@ def text_bytes_of(docs: DataFrame) -> int:
 MESSAGE = "sender long, owner int, n int, k int, code binary, again binary"
 
 
-def messages(fingerprints: DataFrame, owner_bits: int) -> DataFrame:
-    """One row per (sender, owner) with the sender's sorted fingerprints."""
+def messages(rows: DataFrame, owner_bits: int, of=None) -> DataFrame:
+    """One row per (sender, owner) with the sender's sorted fingerprints: the
+    rows' column `fp`, or what `of` yields as `fp` of batches of the rows. It
+    runs in the sending step itself, as a step of its own before this one would
+    keep a second Python worker, with all its memory, at every core."""
     low = FINGERPRINT_BITS - owner_bits
 
     def send(batches):
@@ -107,7 +110,7 @@ def messages(fingerprints: DataFrame, owner_bits: int) -> DataFrame:
                     pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)), strict=True)))
 
         held, n = [], 0
-        for batch in batches:
+        for batch in of(batches) if of else batches:
             fp = np.asarray(batch.column("fp"), dtype=np.int64)
             if len(fp):
                 held.append(fp)
@@ -118,7 +121,7 @@ def messages(fingerprints: DataFrame, owner_bits: int) -> DataFrame:
         if held:
             yield flush(held)
 
-    return fingerprints.mapInArrow(send, MESSAGE)
+    return rows.mapInArrow(send, MESSAGE)
 
 
 def bitmaps(sent: DataFrame) -> DataFrame:

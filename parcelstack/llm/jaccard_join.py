@@ -143,7 +143,7 @@ def prefixes(live: DataFrame, k: int, threshold: int) -> DataFrame:
 
     # a text has a word for two bytes at most, and its prefix about (100 - threshold)% of its shingles
     owner_bits = owner_bits_for(spark, text_bytes_of(live) * (100 - threshold) // 200 + live.count())
-    sent = cut(messages(live.select("text").mapInArrow(tokens, "fp long"), owner_bits))
+    sent = cut(messages(live.select("text"), owner_bits, of=tokens))
     known = spark.sparkContext.broadcast(suspect_filter_bits(cut(suspects(sent, owner_bits))))
 
     def rows(batches):

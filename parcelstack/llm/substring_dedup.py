@@ -115,8 +115,9 @@ def _fp(h: np.ndarray) -> np.ndarray:
     return (H.mix(h, 7) >> np.uint64(64 - FINGERPRINT_BITS)).astype(np.int64)
 
 
-def _level(live: DataFrame, window: int, known) -> DataFrame:
-    """Fingerprints of one level's windows; `known`: what earlier levels found."""
+def _level(window: int, known):
+    """Batches of texts to fingerprints of one level's windows; `known`: what
+    earlier levels found."""
     def run(batches):
         for batch in batches:
             for part in slices(batch):
@@ -124,7 +125,7 @@ def _level(live: DataFrame, window: int, known) -> DataFrame:
                 _, h = levels.second(*known.value) if known is not None else levels.first()
                 yield pa.RecordBatch.from_pydict({"fp": pa.array(_fp(h), pa.int64())})
 
-    return live.select("text").mapInArrow(run, "fp long")
+    return run
 
 
 def _full_windows(live: DataFrame, window: int, known, known2) -> DataFrame:
@@ -146,10 +147,10 @@ def _full_windows(live: DataFrame, window: int, known, known2) -> DataFrame:
     return live.where("doc_id IS NOT NULL").mapInArrow(run, "h1 long, h2 int, doc_id long, row long, pos int")
 
 
-def _repeated(spark, fingerprints: DataFrame, owner_bits: int):
-    """The broadcast filter of repeated fingerprints."""
-    return spark.sparkContext.broadcast(suspect_filter_bits(
-        cut(suspects(cut(messages(fingerprints, owner_bits)), owner_bits))))
+def _repeated(live: DataFrame, level, owner_bits: int):
+    """The broadcast filter of a level's repeated fingerprints."""
+    return live.sparkSession.sparkContext.broadcast(suspect_filter_bits(
+        cut(suspects(cut(messages(live.select("text"), owner_bits, of=level)), owner_bits))))
 
 
 def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
@@ -162,8 +163,9 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     live = rows.where("first").select("doc_id", "row", "text")
     # an anchor for about half the distance within which one is chosen; words take two bytes or more
     owner_bits = owner_bits_for(spark, text_bytes_of(live) // (window - window // 2 + 1))
-    known = _repeated(spark, _level(live.where("doc_id IS NOT NULL"), window, None), owner_bits)
-    known2 = _repeated(spark, _level(live.where("doc_id IS NOT NULL"), window, known), owner_bits)
+    named = live.where("doc_id IS NOT NULL")
+    known = _repeated(named, _level(window, None), owner_bits)
+    known2 = _repeated(named, _level(window, known), owner_bits)
     full = _full_windows(live, window, known, known2)
     lowest = full.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     # the redundant key gives the join an exchange of its own, whose large

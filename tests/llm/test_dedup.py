@@ -280,3 +280,17 @@ def test_many_owners_give_the_same_rows(spark):
     docs = documents(spark, edge_rows())
     want = sorted(exact_dedup.copies(docs, 3).select("doc.doc_id", "keep_id", "group_size", "kept").collect(), key=str)
     assert sorted(exact_dedup.copies(docs, 9).select("doc.doc_id", "keep_id", "group_size", "kept").collect(), key=str) == want
+
+
+def test_fingerprints_are_made_and_sent_in_one_python_step(spark, monkeypatch):
+    docs = documents(spark, near_rows())
+    plans = []
+    for module in (jaccard_join, substring_dedup):
+        monkeypatch.setattr(module, "cut", lambda df, f=module.cut: (plans.append(df._jdf.queryExecution().executedPlan().toString()), f(df))[1])
+    jaccard_join.similar_components(docs).collect()
+    assert any("again" in p for p in plans)
+    n = len(plans)
+    substring_dedup.remove_repeats(docs).collect()
+    assert any("again" in p for p in plans[n:])
+    # a worker at every core for each step that a task runs one behind another
+    assert max(p.count("MapInArrow") for p in plans if "Exchange" not in p and "Join" not in p) == 1
