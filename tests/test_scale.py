@@ -108,3 +108,32 @@ def test_rows_of_one_key_share_a_file(spark, tmp_path):
     ingest.write_files(rows, "k", str(tmp_path / "f"))
     from parcelstack.sources import extract as X
     assert sorted((r.k or "", r.html) for r in X.read_whole_files(spark, str(tmp_path / "f")).collect()) == [("", "c\n"), ("1", "a\na\n"), ("2", "b\n")]
+
+
+def test_postings_are_lists_made_in_one_pass_of_a_text(spark, tmp_path):
+    """A row a trigram, field and block, not one a record; long, short, empty and null texts, characters beyond 16 bits."""
+    from parcelstack.operators import search
+    smile = "\U0001F600"
+    owners = ["Ann Maple", "ANN MAPLE", "", "ab", None, f"x{smile}{smile}y café", "lorem ipsum " * 20_000 + "the end"]
+    rows = [(f"{i:08d}", "1 ELM ST", o, {"tax": [{"case": f"24sp{i}"}]}) for i, o in enumerate(owners)]
+    records = spark.createDataFrame(rows, "pid string, address string, owner string, signals map<string,array<map<string,string>>>").coalesce(1)
+    search.build_postings(records, str(tmp_path / "p"))
+    postings = search.read_postings(spark, str(tmp_path / "p"))
+    held = [(r.gram, r.field, r.pids) for r in postings.where("field <> 'signals'").collect()]
+    texts = [(f, r[0], (r[k] or "").lower()) for r in rows for k, f in ((1, "address"), (2, "owner"), (0, "pid"))]
+    assert len(held) < len({(g, f) for g, f, _ in held}) * 2
+    assert sorted((g, f, p) for g, f, pids in held for p in pids) == sorted({(t[i:i + 3], f, p) for f, p, t in texts for i in range(len(t) - 2)})
+    find = lambda text, **more: sorted(r.pid[-1] for r in search.search(records, postings, {"text": text, **more}).select("pid").collect())
+    assert find("n maple") == ["0", "1"] and find(f"{smile}{smile}Y") == ["5"] and find("m the end") == ["6"] and find("ab") == ["3"]
+    assert find("24SP3") == [] and find("24SP3", search_signals=True) == ["3"] and len(find("elm")) == 7
+
+
+def test_blocks_of_a_few_characters_give_the_same_postings():
+    import pyarrow as pa
+    from parcelstack.operators import search
+    texts = ["abcabc", None, "", "bcab", "abc" * 9, "x"]
+    batch = pa.RecordBatch.from_arrays([pa.array(list("012345")), pa.array(texts)], ["pid", "t"])
+    want = sorted({(t[i:i + 3], p) for p, t in zip("012345", texts) for i in range(len(t or "") - 2)})
+    for chars in (1, 8, 1 << 20):
+        got = [r for b in search.posting_lists(("t",), chars)(iter([batch])) for r in b.to_pylist()]
+        assert sorted((r["gram"], p) for r in got for p in r["pids"]) == want and all(r["field"] == "t" for r in got)
