@@ -161,15 +161,18 @@ def write_document(records: DataFrame, summary: DataFrame, path: str, records_pe
 
 def read_document(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The records of a document that `write_document` wrote, with `place`,
-    their 1-based place in it. `schema`: of a record. A part is read whole, so
-    that its lines keep their order; its size is bounded when it is written."""
-    parts = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_name").alias("file"), F.split(F.regexp_replace("value", r"\n$", ""), "\n").alias("lines"))
-    sizes = parts.select("file", F.size("lines").alias("n"))
-    before = F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))  # one row a part
-    starts = sizes.select("file", F.coalesce(before, F.lit(0)).alias("start"))
-    lines = parts.join(starts, "file").select("start", F.posexplode("lines").alias("at", "line"))
-    lines = lines.select((F.col("start") + F.col("at")).alias("place"), "line")
+    their 1-based place in it. `schema`: of a record. Files are read by lines
+    and in blocks, however large they are: a line's place is the number of
+    lines in earlier files and blocks and of those before it in its own, where
+    a scan numbers lines upwards."""
+    # the block is selected with the line: Spark fills it in while it reads
+    lines = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_name").alias("file"),
+                                         F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"))
+    blocks = lines.groupBy("file", "at").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("file", "at").rowsBetween(Window.unboundedPreceding, -1))  # one row a block
+    starts = blocks.select("file", "at", F.coalesce(before, F.lit(0)).alias("start"))
+    own = F.row_number().over(Window.partitionBy("file", "at").orderBy("n"))
+    lines = lines.withColumn("own", own).join(starts, ["file", "at"]).select((F.col("start") + F.col("own") - 1).alias("place"), "line")
     lines = lines.where((F.col("place") > 0) & (F.col("line") != "]}"))
     one = F.from_json(F.regexp_replace("line", "^,", ""), schema)
     return lines.select("place", one.alias("r")).select("place", "r.*")

@@ -137,3 +137,28 @@ def test_blocks_of_a_few_characters_give_the_same_postings():
     for chars in (1, 8, 1 << 20):
         got = [r for b in search.posting_lists(("t",), chars)(iter([batch])) for r in b.to_pylist()]
         assert sorted((r["gram"], p) for r in got for p in r["pids"]) == want and all(r["field"] == "t" for r in got)
+
+
+def test_a_document_is_read_by_lines_in_blocks(spark, tmp_path):
+    """A file of many blocks: every line keeps its place, and no file is one value."""
+    from parcelstack.operators import report
+    schema = "pid string, tier string, tier_rank int, stack_count int, raw_score int, patterns array<string>, flags array<string>, is_absentee boolean, note string"
+    rows = [(f"{i * 7919 % 100000:08d}", "WARM", i % 3, i % 4, i % 5, ["tax"], [], False, "line\nbreak " + "x" * (i % 90)) for i in range(700)]
+    records = spark.createDataFrame(rows, schema)
+    out = str(tmp_path / "doc")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        report.write_document(records, report.run_summary(records), out)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        assert spark.read.text(out).rdd.getNumPartitions() > 2 * len(glob.glob(out + "/part-*"))
+        back = report.read_document(spark, out, records.schema)
+        got = [(r.place, r.pid, r.note) for r in back.orderBy("place").collect()]
+        plan = back._jdf.queryExecution().analyzed().toString().lower()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    ranked = records.orderBy(F.desc("tier_rank"), F.desc("stack_count"), F.desc("raw_score"), "pid").collect()
+    assert got == [(i, r.pid, r.note) for i, r in enumerate(ranked, 1)]
+    assert "posexplode" not in plan  # of the lines of a whole file
