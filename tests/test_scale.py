@@ -8,7 +8,7 @@ from conftest import make_feeds
 from parcelstack.functions import normalize as N
 from parcelstack.operators import keyfilter, link, parcels as P
 from parcelstack.plans import build, queries
-from parcelstack.sources import ingest
+from parcelstack.sources import extract as X, ingest
 from pyspark.sql import functions as F
 
 
@@ -162,3 +162,20 @@ def test_a_document_is_read_by_lines_in_blocks(spark, tmp_path):
     ranked = records.orderBy(F.desc("tier_rank"), F.desc("stack_count"), F.desc("raw_score"), "pid").collect()
     assert got == [(i, r.pid, r.note) for i, r in enumerate(ranked, 1)]
     assert "posexplode" not in plan  # of the lines of a whole file
+
+
+def test_pages_are_written_and_read_in_batches(spark, tmp_path, monkeypatch):
+    """No folder of files is larger than a batch; the rows are those of one folder, null and repeated ids included."""
+    pages = [(i, f"u{i}", f"<article><p><b>Head {i}</b>&amp; a sale</p><p><b>Two</b> text</article>") for i in range(30)]
+    pages += [(None, "u", "<p><b>None</b> x</article>"), (3, "u", "<p><b>Again</b> y</article>"), (31, "u", None)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    listed = []
+    read = X.read_whole_files
+    monkeypatch.setattr(X, "read_whole_files", lambda s, folder, *a: listed.append(folder) or read(s, folder, *a))
+    monkeypatch.setattr(ingest, "scratch_dir", lambda spark, name: str(tmp_path / f"{name}-{len(listed)}"))
+    want = sorted(map(str, queries.page_files(spark, str(tmp_path)).collect()))
+    assert len(listed) == 1 and len(want) == 62
+    monkeypatch.setattr(ingest, "FILES_PER_BATCH", 8)
+    got = queries.page_files(spark, str(tmp_path))
+    assert sorted(map(str, got.collect())) == want and len(listed) == 1 + 5
+    assert max(len(glob.glob(f"{f}/*/part-*")) for f in listed[1:]) < 20
