@@ -179,3 +179,20 @@ def test_pages_are_written_and_read_in_batches(spark, tmp_path, monkeypatch):
     got = queries.page_files(spark, str(tmp_path))
     assert sorted(map(str, got.collect())) == want and len(listed) == 1 + 5
     assert max(len(glob.glob(f"{f}/*/part-*")) for f in listed[1:]) < 20
+
+
+def test_a_drop_moves_the_held_signals_once(spark, tmp_path, monkeypatch):
+    from parcelstack.operators import rank
+    from parcelstack.streaming import refold
+    from test_refold import evidence
+    plans = []
+    top = rank.top_signals
+    def seen(*a, **k):  # noqa: E306
+        plans.append(top(*a, **k))
+        return plans[-1]
+    monkeypatch.setattr(rank, "top_signals", seen)
+    ev = evidence(spark)
+    for n in range(2):
+        refold.apply_drop(ev.where(F.col("row_ord") % 2 == n), str(tmp_path / "s"), n, n_buckets=4)
+    plan = plans[-1]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(_bucket") == 1 and plan.count("Exchange hashpartitioning(") <= 2  # another one: of the drop's own rows
